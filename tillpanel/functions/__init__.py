@@ -7,6 +7,8 @@ from tillpanel.functions.calendar import (  # noqa: F401
 )
 from tillpanel.functions.metrics import (  # noqa: F401
     clip_at_zero,
+    exact_mean,
+    exact_sum,
     invert_forecast,
     log_target,
     mae,

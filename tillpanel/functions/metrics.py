@@ -63,3 +63,18 @@ def invert_forecast(log_pred, clip: bool = True, cents: bool = True) -> Column:
     if clip:
         v = clip_at_zero(v)
     return F.round(v, 2) if cents else v
+
+
+EXACT_SUM_TYPE = "decimal(38,8)"
+
+
+def exact_sum(c) -> Column:
+    """Order-independent sum of a money column: DECIMAL sum cast to double."""
+    return F.sum(_col(c).cast(EXACT_SUM_TYPE)).cast("double")
+
+
+def exact_mean(c) -> Column:
+    """Mean from an exact DECIMAL sum (same value on any plan or engine)."""
+    c = _col(c)
+    n = F.count(c)
+    return F.when(n > 0, exact_sum(c) / n)

@@ -135,3 +135,302 @@ def _():
     return f"""WITH {holdout(8)}
 SELECT (SELECT cutoff FROM cutoff) AS cutoff, {metrics('sales', 'sales_lag_1')}
 FROM test WHERE sales_lag_1 IS NOT NULL"""
+
+
+def exact_mean(x: str) -> str:
+    return f"(CAST(SUM(CAST({x} AS DECIMAL(38,8))) AS DOUBLE) / COUNT({x}))"
+
+
+def exact_sum(x: str) -> str:
+    return f"CAST(SUM(CAST({x} AS DECIMAL(38,8))) AS DOUBLE)"
+
+
+FEED = f"""
+feed AS (
+  SELECT CAST(s.s_nationkey AS INTEGER) AS store_nbr,
+         {wef('CAST(l.l_shipdate AS DATE)')} AS date,
+         l.l_extendedprice * (1.0::DOUBLE - l.l_discount) AS sales,
+         CAST({holiday(wef('CAST(l.l_shipdate AS DATE)'))} AS INTEGER) AS holiday_flag,
+         l.l_quantity AS temperature,
+         l.l_extendedprice / 1000.0::DOUBLE AS fuel_price,
+         l.l_tax * 100.0::DOUBLE AS cpi,
+         l.l_discount * 100.0::DOUBLE AS unemployment
+  FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
+)"""
+
+REQUIRED = ["date", "store_nbr", "sales", "holiday_flag", "temperature", "fuel_price", "cpi", "unemployment"]
+RANGE_RULES = [
+    ("sales", "error", "sales < 0", "negative value(s)"),
+    ("holiday_flag", "error", "NOT COALESCE(holiday_flag IN (0, 1), false)", "value(s) outside {0, 1}"),
+    ("unemployment", "error", "unemployment < 0", "negative value(s)"),
+    ("fuel_price", "error", "fuel_price <= 0", "non-positive value(s)"),
+    ("cpi", "error", "cpi <= 0", "non-positive value(s)"),
+    ("store_nbr", "error", "store_nbr < 1", "value(s) below 1"),
+    ("temperature", "warning", "(temperature < -30 OR temperature > 130)", "implausible value(s)"),
+]
+
+
+def validation_sql(src: str) -> str:
+    aggs = [f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS null__{c}" for c in REQUIRED]
+    aggs += [f"CAST(COUNT_IF({p}) AS BIGINT) AS range__{c}" for c, _, p, _ in RANGE_RULES]
+    rows = [f"SELECT 'error' AS severity, 'nulls' AS \"check\", '{c}' AS \"column\", null__{c} AS n_bad, "
+            f"printf('Column ''{c}'' has %d null value(s)', null__{c}) AS message FROM one" for c in REQUIRED]
+    rows += [f"SELECT '{sev}', 'range', '{c}', range__{c}, printf('''{c}'' has %d {msg}', range__{c}) FROM one"
+             for c, sev, _, msg in RANGE_RULES]
+    rows.append("SELECT 'error', 'duplicates', 'date,store_nbr', n_dupes, "
+                "printf('%d duplicate row(s) on key [''date'', ''store_nbr'']', n_dupes) FROM dup")
+    rows.append("SELECT 'warning', 'balance', 'date', CASE WHEN k > 1 THEN hi - lo ELSE 0 END, "
+                "printf('Uneven number of weeks per store (min=%d, max=%d); expected a balanced panel.', lo, hi) "
+                "FROM bal")
+    union = "\n  UNION ALL ".join(rows)
+    return f"""{src},
+one AS (SELECT {', '.join(aggs)} FROM src),
+per_key AS (SELECT store_nbr, date, COUNT(*) AS n FROM src GROUP BY store_nbr, date),
+dup AS (SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS n_dupes FROM per_key),
+weeks AS (SELECT store_nbr, COUNT(*) AS weeks FROM per_key
+          WHERE store_nbr IS NOT NULL AND date IS NOT NULL GROUP BY store_nbr),
+bal AS (SELECT CAST(MIN(weeks) AS BIGINT) AS lo, CAST(MAX(weeks) AS BIGINT) AS hi,
+               COUNT(DISTINCT weeks) AS k FROM weeks),
+rep AS (
+  {union}
+)
+SELECT severity, "check", "column", CAST(n_bad AS BIGINT) AS n_bad, message FROM rep WHERE n_bad > 0"""
+
+
+@oracle("panel_profile")
+def _():
+    return f"""WITH {PANEL}
+SELECT CAST(COUNT(*) AS BIGINT) AS n_rows, MIN(date) AS min_date, MAX(date) AS max_date,
+       CAST(COUNT(DISTINCT store_nbr) AS BIGINT) AS n_stores FROM panel"""
+
+
+@oracle("validation_report")
+def _():
+    return validation_sql(f"WITH {PANEL}, src AS (SELECT * FROM panel)")
+
+
+@oracle("validation_report_feed")
+def _():
+    return validation_sql(f"WITH {FEED}, src AS (SELECT * FROM feed)")
+
+
+@oracle("quarantine_counts")
+def _():
+    parts = [f"SELECT 'null_{c}' AS violation, CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS n FROM feed"
+             for c in REQUIRED]
+    parts += [f"SELECT '{sev}_{c}', CAST(COUNT_IF({p}) AS BIGINT) FROM feed" for c, sev, p, _ in RANGE_RULES]
+    return f"WITH {FEED} SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE n > 0"
+
+
+@oracle("model_columns")
+def _():
+    return f"""WITH {FEAT}
+SELECT store_nbr, holiday_flag, month, week_of_year, year, sales_lag_1, sales_lag_4, sales_lag_52,
+       sales_roll_mean_4, sales_roll_mean_8 FROM feat"""
+
+
+@oracle("naive_baseline_all")
+def _():
+    return f"WITH {FEAT} SELECT {metrics('sales', 'sales_lag_1')} FROM feat WHERE sales_lag_1 IS NOT NULL"
+
+
+@oracle("naive_baseline_by_store")
+def _():
+    return f"""WITH {holdout(8)}
+SELECT store_nbr, {metrics('sales', 'sales_lag_1')} FROM test WHERE sales_lag_1 IS NOT NULL GROUP BY store_nbr"""
+
+
+STORE_AVG = f"store_avg AS (SELECT store_nbr, {exact_mean('sales')} AS avg_sales FROM panel " \
+            f"WHERE store_nbr IS NOT NULL GROUP BY store_nbr)"
+
+
+@oracle("store_avg_sales")
+def _():
+    return f"WITH {PANEL}, {STORE_AVG} SELECT * FROM store_avg"
+
+
+@oracle("rank_stores")
+def _():
+    return f"""WITH {PANEL}, {STORE_AVG}
+SELECT store_nbr, avg_sales, CAST(ROW_NUMBER() OVER (ORDER BY avg_sales, store_nbr) AS INTEGER) AS rank
+FROM store_avg"""
+
+
+@oracle("store_scale_range")
+def _():
+    return f"""WITH {PANEL}, {STORE_AVG}
+SELECT MIN(avg_sales) AS smallest_avg, MAX(avg_sales) AS largest_avg, CAST(COUNT(*) AS BIGINT) AS n_stores
+FROM store_avg"""
+
+
+@oracle("weekly_total")
+def _():
+    return f"""WITH {PANEL}
+SELECT date, {exact_sum('sales')} AS total_sales, CAST(COUNT(*) AS BIGINT) AS n_stores FROM panel GROUP BY date"""
+
+
+@oracle("holiday_effect")
+def _():
+    return f"""WITH {PANEL}
+SELECT holiday_flag, {exact_mean('sales')} AS mean_sales, CAST(COUNT(*) AS BIGINT) AS n_weeks
+FROM panel WHERE holiday_flag IS NOT NULL GROUP BY holiday_flag"""
+
+
+@oracle("distinct_holiday_weeks")
+def _():
+    return f"WITH {PANEL} SELECT DISTINCT date FROM panel WHERE holiday_flag = 1"
+
+
+IND = "ind AS (SELECT store_nbr, AVG(cpi) AS cpi, AVG(unemployment) AS unemployment FROM panel " \
+      "WHERE store_nbr IS NOT NULL GROUP BY store_nbr)"
+
+
+@oracle("indicator_by_store")
+def _():
+    return f"WITH {PANEL}, {IND} SELECT store_nbr, ROUND(cpi, 6) AS cpi, ROUND(unemployment, 6) AS unemployment FROM ind"
+
+
+@oracle("describe_indicators")
+def _():
+    stats = [("count", "CAST(COUNT({c}) AS DOUBLE)"), ("mean", "AVG({c})"), ("std", "STDDEV_SAMP({c})"),
+             ("min", "MIN({c})"), ("25%", "quantile_cont({c}, 0.25)"), ("50%", "quantile_cont({c}, 0.5)"),
+             ("75%", "quantile_cont({c}, 0.75)"), ("max", "MAX({c})")]
+    parts = [f"SELECT '{s}' AS stat, ROUND({e.format(c='cpi')}, 6) AS cpi, "
+             f"ROUND({e.format(c='unemployment')}, 6) AS unemployment FROM ind" for s, e in stats]
+    return f"WITH {PANEL}, {IND} {' UNION ALL '.join(parts)}"
+
+
+def binned_sql(col: str, bins: int = 10) -> str:
+    return f"""WITH {PANEL},
+b AS (SELECT MIN({col}) AS lo, MAX({col}) AS hi, CORR({col}, sales) AS corr FROM panel),
+w AS (SELECT lo, hi, corr, CASE WHEN hi > lo THEN (hi - lo) / {bins}.0::DOUBLE ELSE 1.0::DOUBLE END AS width FROM b),
+x AS (SELECT LEAST(CAST(FLOOR((p.{col} - w.lo) / w.width) AS INTEGER), {bins - 1}) AS bin, p.sales
+      FROM panel p, w WHERE p.{col} IS NOT NULL)
+SELECT '{col}' AS indicator, x.bin, w.lo + x.bin * w.width AS bin_lo, w.lo + (x.bin + 1) * w.width AS bin_hi,
+       CAST(COUNT(*) AS BIGINT) AS n, {exact_mean('x.sales')} AS mean_sales, ROUND(ANY_VALUE(w.corr), 6) AS corr
+FROM x, w GROUP BY x.bin, w.lo, w.width"""
+
+
+@oracle("temperature_vs_sales")
+def _():
+    return binned_sql("temperature")
+
+
+@oracle("fuel_price_vs_sales")
+def _():
+    return binned_sql("fuel_price")
+
+
+@oracle("evaluation_window")
+def _():
+    return f"""WITH {holdout(8)}
+SELECT MIN(date) AS start_date, MAX(date) AS end_date, CAST(COUNT(DISTINCT date) AS BIGINT) AS n_weeks,
+       CAST(COUNT(*) AS BIGINT) AS n_rows FROM test"""
+
+
+@oracle("holiday_anchors")
+def _():
+    y = "year"
+    a = {"super_bowl": nth_weekday(y, 2, 6, 1), "labor_day": nth_weekday(y, 9, 0, 1),
+         "thanksgiving": nth_weekday(y, 11, 3, 4), "christmas": f"make_date({y}, 12, 25)"}
+    cols = [f"{v} AS {k}" for k, v in a.items()] + [f"{wef(v)} AS {k}_week" for k, v in a.items()]
+    return f"""WITH {PANEL}, years AS (SELECT DISTINCT CAST(year(date) AS INTEGER) AS year FROM panel)
+SELECT year, {', '.join(cols)} FROM years"""
+
+
+@oracle("calendar_features")
+def _():
+    return f"""WITH {PANEL},
+days AS (SELECT CAST(unnest(generate_series(date - 6, date, INTERVAL 1 DAY)) AS DATE) AS day
+         FROM (SELECT DISTINCT date FROM panel))
+SELECT day, CAST(month(day) AS INTEGER) AS month, CAST(weekofyear(day) AS INTEGER) AS week_of_year,
+       CAST(year(day) AS INTEGER) AS year, CAST(isodow(day) - 1 AS INTEGER) AS weekday,
+       {wef('day')} AS week_friday, CAST({holiday('day')} AS INTEGER) AS holiday_flag
+FROM days"""
+
+
+SNAP_COLS = ["temperature", "fuel_price", "cpi", "unemployment", "sales_lag_1", "sales_lag_4", "sales_lag_52",
+             "sales_roll_mean_4", "sales_roll_mean_8", "sales_roll_std_4"]
+SNAP = "snap AS (SELECT store_nbr, " + ", ".join(f"arg_max({c}, date) AS {c}" for c in SNAP_COLS) + \
+       " FROM feat WHERE store_nbr IS NOT NULL GROUP BY store_nbr)"
+
+REQ = """
+req AS (
+  SELECT o_orderkey AS request_id, o_custkey AS batch_id,
+         CAST((o_orderkey % 50) - 2 AS INTEGER) AS store_nbr,
+         CASE WHEN o_orderkey % 97 <> 0 THEN CAST(o_orderdate AS DATE) END AS date,
+         CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey % 3 AS INTEGER) END AS holiday_flag,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN o_totalprice / 5000.0::DOUBLE END AS temperature,
+         CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice / 100000.0::DOUBLE - 1.0::DOUBLE END AS fuel_price,
+         CASE WHEN o_orderkey % 11 = 0 THEN o_totalprice / 1000.0::DOUBLE - 5.0::DOUBLE END AS cpi,
+         CASE WHEN o_orderkey % 13 = 0 THEN o_totalprice / 50000.0::DOUBLE - 0.5::DOUBLE END AS unemployment
+  FROM orders
+),
+req_r AS (
+  SELECT *, concat_ws(',',
+    CASE WHEN store_nbr IS NULL THEN 'store_nbr_required' END,
+    CASE WHEN store_nbr < 1 OR store_nbr > 45 THEN 'store_nbr_out_of_range' END,
+    CASE WHEN date IS NULL THEN 'date_required' END,
+    CASE WHEN holiday_flag IS NOT NULL AND holiday_flag NOT IN (0, 1) THEN 'holiday_flag_invalid' END,
+    CASE WHEN fuel_price < 0 THEN 'fuel_price_negative' END,
+    CASE WHEN cpi <= 0 THEN 'cpi_non_positive' END,
+    CASE WHEN unemployment < 0 THEN 'unemployment_negative' END) AS reasons
+  FROM req
+),
+req_ok AS (SELECT * EXCLUDE (reasons) FROM req_r WHERE reasons = '')"""
+
+
+@oracle("snapshot")
+def _():
+    return f"WITH {FEAT}, {SNAP} SELECT * REPLACE (ROUND(sales_roll_std_4, 2) AS sales_roll_std_4) FROM snap"
+
+
+@oracle("request_validation")
+def _():
+    return f"WITH {REQ} SELECT request_id, store_nbr, date, reasons FROM req_r WHERE reasons <> ''"
+
+
+@oracle("batch_size_check")
+def _():
+    return f"""WITH {REQ}
+SELECT batch_id, CAST(COUNT(*) AS BIGINT) AS n_items, COUNT(*) BETWEEN 1 AND 500 AS ok FROM req GROUP BY batch_id"""
+
+
+SCORE = f"""
+scored AS (
+  SELECT r.request_id, r.batch_id, r.store_nbr, r.date,
+         COALESCE(r.holiday_flag, CAST({holiday('r.date')} AS INTEGER)) AS holiday_flag,
+         COALESCE(r.temperature, s.temperature) AS temperature,
+         COALESCE(r.fuel_price, s.fuel_price) AS fuel_price,
+         COALESCE(r.cpi, s.cpi) AS cpi,
+         COALESCE(r.unemployment, s.unemployment) AS unemployment,
+         CAST(month(r.date) AS INTEGER) AS month, CAST(weekofyear(r.date) AS INTEGER) AS week_of_year,
+         CAST(year(r.date) AS INTEGER) AS year,
+         s.sales_lag_1, s.sales_lag_4, s.sales_lag_52, s.sales_roll_mean_4, s.sales_roll_mean_8, s.sales_roll_std_4,
+         CASE WHEN s.store_nbr IS NULL THEN 'unknown_store' ELSE 'ok' END AS status
+  FROM req_ok r LEFT JOIN snap s ON r.store_nbr = s.store_nbr
+)"""
+
+
+@oracle("score_features")
+def _():
+    return (f"WITH {FEAT}, {SNAP}, {REQ}, {SCORE} "
+            "SELECT * REPLACE (ROUND(sales_roll_std_4, 2) AS sales_roll_std_4) FROM scored")
+
+
+@oracle("unknown_stores")
+def _():
+    return f"""WITH {FEAT}, {SNAP}, {REQ}
+SELECT request_id, store_nbr, date FROM req_ok r WHERE NOT EXISTS (SELECT 1 FROM snap s WHERE s.store_nbr = r.store_nbr)"""
+
+
+@oracle("batch_predict_naive")
+def _():
+    pred = clip0("EXP(LN(1 + sales_lag_1)) - 1")
+    return f"""WITH {FEAT}, {SNAP}, {REQ}, {SCORE}
+SELECT request_id, store_nbr, date, ROUND({pred}, 4) AS predicted_sales, status,
+       'naive' AS model_name, 'production' AS model_alias FROM scored WHERE status = 'ok'
+UNION ALL
+SELECT request_id, store_nbr, date, NULL, status, 'naive', 'production' FROM scored WHERE status <> 'ok'
+UNION ALL
+SELECT request_id, store_nbr, date, NULL, 'invalid', 'naive', 'production' FROM req_r WHERE reasons <> ''"""

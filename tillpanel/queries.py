@@ -68,3 +68,198 @@ def q_naive_baseline_holdout(spark, sf_dir, test_weeks: int = 8):
     cutoff = holdout_cutoff(f, test_weeks)
     test = f.filter(F.col("date") >= F.lit(cutoff))
     return rounded_metrics(naive_baseline(test)).select(F.lit(cutoff).alias("cutoff"), "*")
+
+
+# ---------------------------------------------------------------- 2.1 / 2.2 quality
+from tillpanel.operators import explore as X  # noqa: E402
+from tillpanel.operators import scoring as S  # noqa: E402
+from tillpanel.operators.evaluate import evaluate_all  # noqa: E402
+from tillpanel.operators.features import select_model_columns  # noqa: E402
+from tillpanel.operators.snapshot import latest_per_store  # noqa: E402
+from tillpanel.operators.validate import lineitem_feed, quarantine, validate_panel  # noqa: E402
+from tillpanel.sources.derived import scoring_requests  # noqa: E402
+from tillpanel.sources.panel import panel_profile  # noqa: E402
+from tillpanel.functions.calendar import (  # noqa: E402
+    LABOR_DAY, SUPER_BOWL, THANKSGIVING, is_major_holiday_week, nth_weekday, week_ending_friday)
+
+
+def holdout_test(spark, sf_dir, test_weeks: int = 8):
+    f = features(spark, sf_dir)
+    cutoff = holdout_cutoff(f, test_weeks)
+    return f.filter(F.col("date") < F.lit(cutoff)), f.filter(F.col("date") >= F.lit(cutoff))
+
+
+@query("panel_profile")
+def q_panel_profile(spark, sf_dir):
+    return panel_profile(weekly_panel(spark, sf_dir))
+
+
+@query("validation_report")
+def q_validation_report(spark, sf_dir):
+    return validate_panel(weekly_panel(spark, sf_dir))
+
+
+@query("validation_report_feed")
+def q_validation_report_feed(spark, sf_dir):
+    return validate_panel(lineitem_feed(spark, sf_dir))
+
+
+@query("quarantine_counts")
+def q_quarantine_counts(spark, sf_dir):
+    q = quarantine(lineitem_feed(spark, sf_dir))
+    return (q.select(F.explode("violations").alias("violation"))
+            .groupBy("violation").agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("model_columns")
+def q_model_columns(spark, sf_dir):
+    return select_model_columns(features(spark, sf_dir)).select(
+        "store_nbr", "holiday_flag", "month", "week_of_year", "year", "sales_lag_1", "sales_lag_4",
+        "sales_lag_52", "sales_roll_mean_4", "sales_roll_mean_8")
+
+
+# ---------------------------------------------------------------- 2.4 aggregations
+@query("naive_baseline_all")
+def q_naive_baseline_all(spark, sf_dir):
+    return rounded_metrics(naive_baseline(features(spark, sf_dir)))
+
+
+@query("naive_baseline_by_store")
+def q_naive_baseline_by_store(spark, sf_dir):
+    _, test = holdout_test(spark, sf_dir)
+    return rounded_metrics(naive_baseline(test, by=["store_nbr"]))
+
+
+@query("store_avg_sales")
+def q_store_avg_sales(spark, sf_dir):
+    return X.store_avg_sales(weekly_panel(spark, sf_dir))
+
+
+@query("rank_stores")
+def q_rank_stores(spark, sf_dir):
+    return X.rank_stores(weekly_panel(spark, sf_dir))
+
+
+@query("store_scale_range")
+def q_store_scale_range(spark, sf_dir):
+    return X.store_scale_range(weekly_panel(spark, sf_dir))
+
+
+@query("weekly_total")
+def q_weekly_total(spark, sf_dir):
+    return X.weekly_total(weekly_panel(spark, sf_dir))
+
+
+@query("holiday_effect")
+def q_holiday_effect(spark, sf_dir):
+    return X.holiday_effect(weekly_panel(spark, sf_dir))
+
+
+@query("distinct_holiday_weeks")
+def q_distinct_holiday_weeks(spark, sf_dir):
+    return X.distinct_holiday_weeks(weekly_panel(spark, sf_dir))
+
+
+@query("indicator_by_store")
+def q_indicator_by_store(spark, sf_dir):
+    d = X.indicator_by_store(weekly_panel(spark, sf_dir))
+    return d.select("store_nbr", r6(F.col("cpi")).alias("cpi"), r6(F.col("unemployment")).alias("unemployment"))
+
+
+@query("describe_indicators")
+def q_describe_indicators(spark, sf_dir):
+    d = X.describe_over_stores(weekly_panel(spark, sf_dir))
+    return d.select("stat", r6(F.col("cpi")).alias("cpi"), r6(F.col("unemployment")).alias("unemployment"))
+
+
+def _binned(spark, sf_dir, col):
+    b = X.indicator_vs_sales(weekly_panel(spark, sf_dir), col, bins=10)
+    return b.withColumn("corr", r6(F.col("corr")))
+
+
+@query("temperature_vs_sales")
+def q_temperature_vs_sales(spark, sf_dir):
+    return _binned(spark, sf_dir, "temperature")
+
+
+@query("fuel_price_vs_sales")
+def q_fuel_price_vs_sales(spark, sf_dir):
+    return _binned(spark, sf_dir, "fuel_price")
+
+
+@query("evaluation_window")
+def q_evaluation_window(spark, sf_dir):
+    _, test = holdout_test(spark, sf_dir)
+    return X.evaluation_window(test)
+
+
+# ---------------------------------------------------------------- 2.8 calendar
+@query("holiday_anchors")
+def q_holiday_anchors(spark, sf_dir):
+    years = weekly_panel(spark, sf_dir).select(F.year("date").alias("year")).distinct()
+    y = F.col("year")
+    anchors = {
+        "super_bowl": nth_weekday(y, *SUPER_BOWL),
+        "labor_day": nth_weekday(y, *LABOR_DAY),
+        "thanksgiving": nth_weekday(y, *THANKSGIVING),
+        "christmas": F.make_date(y, F.lit(12), F.lit(25)),
+    }
+    cols = {k: v for k, v in anchors.items()}
+    cols.update({f"{k}_week": week_ending_friday(v) for k, v in anchors.items()})
+    return years.select("year", *[v.alias(k) for k, v in cols.items()])
+
+
+@query("calendar_features")
+def q_calendar_features(spark, sf_dir):
+    """Calendar fields and the holiday rule on every weekday of the panel's weeks."""
+    dates = weekly_panel(spark, sf_dir).select("date").distinct()
+    days = dates.select(F.explode(F.sequence(F.date_sub("date", 6), F.col("date"))).alias("day"))
+    d = F.col("day")
+    return days.select("day", F.month(d).alias("month"), F.weekofyear(d).alias("week_of_year"),
+                       F.year(d).alias("year"), F.weekday(d).alias("weekday"),
+                       week_ending_friday(d).alias("week_friday"),
+                       is_major_holiday_week(d).alias("holiday_flag"))
+
+
+# ---------------------------------------------------------------- 2.5 snapshot / 2.3 scoring
+def snapshot_of(spark, sf_dir):
+    return latest_per_store(features(spark, sf_dir))
+
+
+def round_std(df):
+    return df.withColumn("sales_roll_std_4", r2(F.col("sales_roll_std_4")))
+
+
+@query("snapshot")
+def q_snapshot(spark, sf_dir):
+    return round_std(snapshot_of(spark, sf_dir))
+
+
+@query("request_validation")
+def q_request_validation(spark, sf_dir):
+    _, rejected = S.validate_requests(scoring_requests(spark, sf_dir))
+    return rejected.select("request_id", "store_nbr", "date", F.array_join("reasons", ",").alias("reasons"))
+
+
+@query("batch_size_check")
+def q_batch_size_check(spark, sf_dir):
+    return S.check_batch_size(scoring_requests(spark, sf_dir))
+
+
+@query("score_features")
+def q_score_features(spark, sf_dir):
+    ok, _ = S.validate_requests(scoring_requests(spark, sf_dir))
+    return round_std(S.score_features(ok, snapshot_of(spark, sf_dir)))
+
+
+@query("unknown_stores")
+def q_unknown_stores(spark, sf_dir):
+    ok, _ = S.validate_requests(scoring_requests(spark, sf_dir))
+    return S.unknown_stores(ok, snapshot_of(spark, sf_dir)).select("request_id", "store_nbr", "date")
+
+
+@query("batch_predict_naive")
+def q_batch_predict_naive(spark, sf_dir):
+    out = S.batch_predict(scoring_requests(spark, sf_dir), snapshot_of(spark, sf_dir), cents=False)
+    # 4 decimals: the exact persistence value survives the log round trip
+    return out.withColumn("predicted_sales", F.round("predicted_sales", 4))
