@@ -434,3 +434,153 @@ UNION ALL
 SELECT request_id, store_nbr, date, NULL, status, 'naive', 'production' FROM scored WHERE status <> 'ok'
 UNION ALL
 SELECT request_id, store_nbr, date, NULL, 'invalid', 'naive', 'production' FROM req_r WHERE reasons <> ''"""
+
+
+# ---------------------------------------------------------------- 2.11 segments
+def size_buckets(ref: str) -> str:
+    return f"""
+sa AS (SELECT store_nbr, {exact_mean('sales')} AS avg_sales FROM {ref} WHERE store_nbr IS NOT NULL GROUP BY store_nbr),
+rk AS (SELECT store_nbr, avg_sales, ROW_NUMBER() OVER (ORDER BY avg_sales, store_nbr) AS rank,
+              COUNT(*) OVER () AS n_stores FROM sa),
+sizes AS (
+  SELECT store_nbr, avg_sales, CAST(rank AS INTEGER) AS rank,
+    CASE WHEN n_stores = 1 THEN 'medium'
+         WHEN n_stores = 2 THEN CASE WHEN rank = 1 THEN 'small' ELSE 'large' END
+         WHEN 3 * (rank - 1) < n_stores - 1 THEN 'small'
+         WHEN 3 * (rank - 1) < 2 * (n_stores - 1) THEN 'medium'
+         ELSE 'large' END AS store_size_bucket
+  FROM rk
+)"""
+
+
+def segmented(ev: str, ref: str) -> str:
+    return size_buckets(ref) + f""",
+edges AS (SELECT list_sort(list_distinct(quantile_cont(unemployment, [0.25, 0.5, 0.75]))) AS e FROM {ref}),
+seg AS (
+  SELECT t.*, s.store_size_bucket,
+    CASE WHEN t.unemployment IS NOT NULL THEN
+      ['Q1_lowest', 'Q2', 'Q3', 'Q4_highest'][1 + (CASE WHEN edges.e[1] <= t.unemployment THEN 1 ELSE 0 END)
+        + (CASE WHEN edges.e[2] <= t.unemployment THEN 1 ELSE 0 END)
+        + (CASE WHEN edges.e[3] <= t.unemployment THEN 1 ELSE 0 END)] END
+      AS unemployment_bucket
+  FROM {ev} t LEFT JOIN sizes s ON t.store_nbr = s.store_nbr, edges
+)"""
+
+
+def seg_report() -> str:
+    parts = [f"SELECT '{d}' AS segment_dimension, CAST({d} AS VARCHAR) AS segment_value, "
+             f"{metrics('sales', 'prediction', r=False)} FROM seg WHERE {d} IS NOT NULL GROUP BY {d}"
+             for d in ["store_size_bucket", "unemployment_bucket", "store_nbr"]]
+    return "rep AS (" + " UNION ALL ".join(parts) + ")"
+
+
+FAIR_SELECT = """
+SELECT segment_dimension, segment_value, n, n_missing, ROUND(rmsle, 6) AS rmsle, ROUND(mae, 2) AS mae,
+       ROUND(rmse, 2) AS rmse,
+       ROUND(CASE WHEN MIN(rmsle) OVER d > 0 THEN MAX(rmsle) OVER d / MIN(rmsle) OVER d END, 6) AS disparity_ratio,
+       COALESCE(CASE WHEN MIN(rmsle) OVER d > 0 THEN MAX(rmsle) OVER d / MIN(rmsle) OVER d END > 1.5, false)
+         AS flagged
+FROM rep WINDOW d AS (PARTITION BY segment_dimension)"""
+
+NAIVE_HOLDOUT = holdout(8) + ", ev AS (SELECT *, sales_lag_1 AS prediction FROM test)"
+
+
+@oracle("store_size_buckets")
+def _():
+    return f"WITH {holdout(8)}, {size_buckets('pool')} SELECT * FROM sizes"
+
+
+@oracle("unemployment_edges")
+def _():
+    return f"""WITH {holdout(8)},
+q AS (SELECT list_sort(list_distinct(quantile_cont(unemployment, [0.25, 0.5, 0.75]))) AS e FROM pool)
+SELECT CAST(generate_subscripts(e, 1) - 1 AS INTEGER) AS edge_index, ROUND(unnest(e), 6) AS edge FROM q"""
+
+
+@oracle("holdout_segments")
+def _():
+    return f"""WITH {NAIVE_HOLDOUT}, {segmented('ev', 'pool')}
+SELECT store_nbr, date, unemployment, store_size_bucket, unemployment_bucket FROM seg"""
+
+
+@oracle("segment_performance_size")
+def _():
+    return f"""WITH {NAIVE_HOLDOUT}, {segmented('ev', 'pool')}
+SELECT store_size_bucket, {metrics('sales', 'prediction')} FROM seg WHERE store_size_bucket IS NOT NULL
+GROUP BY store_size_bucket"""
+
+
+@oracle("fairness_report")
+def _():
+    return f"WITH {NAIVE_HOLDOUT}, {segmented('ev', 'pool')}, {seg_report()} {FAIR_SELECT}"
+
+
+@oracle("fairness_report_self")
+def _():
+    return (f"WITH {FEAT}, ev AS (SELECT *, sales_lag_1 AS prediction FROM feat), "
+            f"{segmented('ev', 'ev')}, {seg_report()} {FAIR_SELECT}")
+
+
+@oracle("disparity_summary")
+def _():
+    return f"""WITH {NAIVE_HOLDOUT}, {segmented('ev', 'pool')}, {seg_report()},
+agg AS (SELECT segment_dimension, MIN(rmsle) AS lo, MAX(rmsle) AS hi, CAST(COUNT(*) AS BIGINT) AS n_segments
+        FROM rep GROUP BY segment_dimension)
+SELECT segment_dimension, n_segments, ROUND(CASE WHEN lo > 0 THEN hi / lo END, 6) AS disparity_ratio,
+       COALESCE(CASE WHEN lo > 0 THEN hi / lo END > 1.5, false) AS flagged FROM agg"""
+
+
+@oracle("worst_store_latest")
+def _():
+    d = f"({log1p(clip0('sales_lag_1'))} - {log1p(clip0('sales'))})"
+    return f"""WITH {NAIVE_HOLDOUT},
+ps AS (SELECT store_nbr, SQRT(AVG({d} * {d})) AS rmsle FROM ev WHERE sales_lag_1 IS NOT NULL GROUP BY store_nbr),
+worst AS (SELECT store_nbr FROM ps ORDER BY rmsle DESC, store_nbr ASC LIMIT 1)
+SELECT e.store_nbr, e.date, e.sales, e.prediction FROM ev e JOIN worst w ON e.store_nbr = w.store_nbr
+ORDER BY e.date DESC LIMIT 1"""
+
+
+# ---------------------------------------------------------------- 2.5 folds
+def folds_sql(k: int = 3) -> str:
+    fl = ", ".join(str(j) for j in range(k))
+    return f"""
+di AS (SELECT date, ROW_NUMBER() OVER (ORDER BY date) - 1 AS i, COUNT(*) OVER () AS n
+       FROM (SELECT DISTINCT date FROM pool)),
+dt AS (SELECT *, CAST(FLOOR(n / {k + 1}) AS BIGINT) AS t FROM di),
+df AS (SELECT date, i, n, t, unnest([{fl}]) AS fold FROM dt),
+folds AS (
+  SELECT date, CAST(fold AS INTEGER) AS fold,
+         CASE WHEN i >= n - ({k} - fold) * t THEN 'valid' ELSE 'train' END AS role
+  FROM df WHERE t > 0 AND i < n - ({k - 1} - fold) * t
+)"""
+
+
+@oracle("cv_folds")
+def _():
+    return f"WITH {holdout(8)}, {folds_sql()} SELECT * FROM folds"
+
+
+@oracle("fold_sizes")
+def _():
+    return f"""WITH {holdout(8)}, {folds_sql()}
+SELECT f.fold, f.role, CAST(COUNT(*) AS BIGINT) AS n_rows, CAST(COUNT(DISTINCT p.date) AS BIGINT) AS n_weeks,
+       MIN(p.date) AS first_date, MAX(p.date) AS last_date
+FROM pool p JOIN folds f ON p.date = f.date GROUP BY f.fold, f.role"""
+
+
+@oracle("naive_cv_scores")
+def _():
+    d = f"({log1p(clip0('sales_lag_1'))} - {log1p(clip0('sales'))})"
+    return f"""WITH {holdout(8)}, {folds_sql()},
+pf AS (SELECT f.fold, SQRT(AVG({d} * {d})) AS rmsle FROM pool p JOIN folds f ON p.date = f.date
+       WHERE f.role = 'valid' AND p.sales_lag_1 IS NOT NULL GROUP BY f.fold)
+SELECT fold, ROUND(rmsle, 6) AS rmsle FROM pf
+UNION ALL SELECT -1, ROUND(AVG(rmsle), 6) FROM pf"""
+
+
+@oracle("holdout_disjoint")
+def _():
+    return f"""WITH {holdout(8)}
+SELECT CAST((SELECT COUNT(*) FROM (SELECT date FROM pool INTERSECT SELECT date FROM test)) AS BIGINT) AS n_shared,
+       (SELECT MAX(date) FROM pool) AS pool_max, (SELECT MIN(date) FROM test) AS test_min,
+       COALESCE((SELECT MAX(date) FROM pool) < (SELECT MIN(date) FROM test), true) AS ordered"""

@@ -263,3 +263,105 @@ def q_batch_predict_naive(spark, sf_dir):
     out = S.batch_predict(scoring_requests(spark, sf_dir), snapshot_of(spark, sf_dir), cents=False)
     # 4 decimals: the exact persistence value survives the log round trip
     return out.withColumn("predicted_sales", F.round("predicted_sales", 4))
+
+
+# ---------------------------------------------------------------- 2.11 segments / fairness
+from tillpanel.operators import segments as G  # noqa: E402
+from tillpanel.operators.split import assert_disjoint, assign_folds, rolling_origin_folds  # noqa: E402
+
+
+def naive_holdout_frames(spark, sf_dir, test_weeks: int = 8):
+    """(pool, test with ``prediction`` = persistence forecast)."""
+    pool, test = holdout_test(spark, sf_dir, test_weeks)
+    return pool, test.withColumn("prediction", F.col("sales_lag_1"))
+
+
+def rounded_report(df):
+    return rounded_metrics(df).withColumn("disparity_ratio", r6(F.col("disparity_ratio")))
+
+
+@query("store_size_buckets")
+def q_store_size_buckets(spark, sf_dir):
+    pool, _ = holdout_test(spark, sf_dir)
+    return G.store_size_buckets(pool).select("store_nbr", "avg_sales", "rank", "store_size_bucket")
+
+
+@query("unemployment_edges")
+def q_unemployment_edges(spark, sf_dir):
+    pool, _ = holdout_test(spark, sf_dir)
+    q = pool.agg(F.percentile("unemployment", G.QUARTILES).alias("q"))
+    return q.select(F.posexplode(F.array_distinct("q")).alias("edge_index", "edge")).withColumn(
+        "edge", r6(F.col("edge")))
+
+
+@query("holdout_segments")
+def q_holdout_segments(spark, sf_dir):
+    pool, test = naive_holdout_frames(spark, sf_dir)
+    return G.add_segments(test, pool).select(
+        "store_nbr", "date", "unemployment", "store_size_bucket", "unemployment_bucket")
+
+
+@query("segment_performance_size")
+def q_segment_performance_size(spark, sf_dir):
+    pool, test = naive_holdout_frames(spark, sf_dir)
+    return rounded_metrics(G.segment_performance(G.add_segments(test, pool), "store_size_bucket"))
+
+
+@query("fairness_report")
+def q_fairness_report(spark, sf_dir):
+    pool, test = naive_holdout_frames(spark, sf_dir)
+    return rounded_report(G.fairness_report(test, pool))
+
+
+@query("fairness_report_self")
+def q_fairness_report_self(spark, sf_dir):
+    """Exploratory form: boundaries from the evaluated rows themselves (all weeks)."""
+    f = features(spark, sf_dir).withColumn("prediction", F.col("sales_lag_1"))
+    return rounded_report(G.fairness_report(f))
+
+
+@query("disparity_summary")
+def q_disparity_summary(spark, sf_dir):
+    pool, test = naive_holdout_frames(spark, sf_dir)
+    rep = G.segment_report(G.add_segments(test, pool))
+    return G.disparity_summary(rep).withColumn("disparity_ratio", r6(F.col("disparity_ratio")))
+
+
+@query("worst_store_latest")
+def q_worst_store_latest(spark, sf_dir):
+    pool, test = naive_holdout_frames(spark, sf_dir)
+    per_store = naive_baseline(test, by=["store_nbr"])
+    row = G.worst_segment_row(test.select("store_nbr", "date", "sales", "prediction"), per_store)
+    return row
+
+
+# ---------------------------------------------------------------- 2.5 folds / 2.7 sets
+@query("cv_folds")
+def q_cv_folds(spark, sf_dir):
+    pool, _ = holdout_test(spark, sf_dir)
+    return rolling_origin_folds(pool, 3)
+
+
+@query("fold_sizes")
+def q_fold_sizes(spark, sf_dir):
+    pool, _ = holdout_test(spark, sf_dir)
+    rows = assign_folds(pool.select("store_nbr", "date", "sales"), rolling_origin_folds(pool, 3))
+    return rows.groupBy("fold", "role").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("date").alias("n_weeks"),
+        F.min("date").alias("first_date"), F.max("date").alias("last_date"))
+
+
+@query("naive_cv_scores")
+def q_naive_cv_scores(spark, sf_dir):
+    """Persistence forecast scored per CV fold, and the fold mean (I2/D18)."""
+    pool, _ = holdout_test(spark, sf_dir)
+    valid = assign_folds(pool, rolling_origin_folds(pool, 3)).filter(F.col("role") == "valid")
+    per_fold = naive_baseline(valid, by=["fold"])
+    mean = per_fold.agg(F.avg("rmsle").alias("rmsle")).select(F.lit(-1).alias("fold"), "rmsle")
+    return per_fold.select("fold", "rmsle").unionByName(mean).withColumn("rmsle", r6(F.col("rmsle")))
+
+
+@query("holdout_disjoint")
+def q_holdout_disjoint(spark, sf_dir):
+    pool, test = holdout_test(spark, sf_dir)
+    return assert_disjoint(pool, test)
