@@ -584,3 +584,103 @@ def _():
 SELECT CAST((SELECT COUNT(*) FROM (SELECT date FROM pool INTERSECT SELECT date FROM test)) AS BIGINT) AS n_shared,
        (SELECT MAX(date) FROM pool) AS pool_max, (SELECT MIN(date) FROM test) AS test_min,
        COALESCE((SELECT MAX(date) FROM pool) < (SELECT MIN(date) FROM test), true) AS ordered"""
+
+
+# ---------------------------------------------------------------- run log / versions
+RUNS = """
+runs AS (
+  SELECT 'run-' || CAST(o_orderkey AS VARCHAR) AS run_id,
+         'candidate-' || CAST(o_orderkey % 6 AS VARCHAR) AS run_name,
+         'model-' || CAST(o_custkey % 7 AS VARCHAR) AS model_name,
+         CASE WHEN o_orderstatus = 'F' THEN 'gbt_final' ELSE 'gbt' END AS model_type,
+         CAST(3 + o_orderkey % 3 AS VARCHAR) AS max_depth,
+         o_totalprice / 1000000.0::DOUBLE AS test_rmsle,
+         o_totalprice / 900000.0::DOUBLE AS cv_mean_rmsle,
+         o_orderpriority AS priority,
+         CAST(o_orderdate AS TIMESTAMP) AS started_at
+  FROM orders
+)"""
+
+VERSIONS = """
+versions AS (
+  SELECT 'model-' || CAST(o_custkey % 7 AS VARCHAR) AS model_name, o_orderkey AS version,
+         CASE WHEN o_orderpriority = '1-URGENT' THEN 'production' END AS alias,
+         'run-' || CAST(o_orderkey AS VARCHAR) AS run_id,
+         CAST(o_orderdate AS TIMESTAMP) + to_seconds(CAST(o_orderkey % 86400 AS BIGINT)) AS created_at
+  FROM orders WHERE o_orderstatus = 'F'
+),
+cur AS (
+  SELECT model_name, version, run_id, created_at FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY model_name ORDER BY created_at DESC, version DESC) AS rn
+    FROM versions WHERE alias = 'production') WHERE rn = 1
+)"""
+
+INCUMBENT = "inc AS (SELECT c.run_id, c.model_name, c.version, c.created_at, r.test_rmsle AS incumbent_test_rmsle " \
+            "FROM cur c LEFT JOIN runs r ON c.run_id = r.run_id)"
+
+
+@oracle("run_log_read")
+def _():
+    return f"WITH {RUNS} SELECT run_id, run_name, model_name, model_type, max_depth, test_rmsle, priority, " \
+           f"started_at FROM runs"
+
+
+@oracle("tag_lineage")
+def _():
+    return f"""WITH {PANEL}, {RUNS},
+fp AS (SELECT CAST(COUNT(*) AS VARCHAR) AS raw_data_rows, CAST(MIN(date) AS VARCHAR) AS raw_data_min_date,
+              CAST(MAX(date) AS VARCHAR) AS raw_data_max_date,
+              CAST(COUNT(DISTINCT store_nbr) AS VARCHAR) AS raw_data_n_stores FROM panel)
+SELECT r.run_id, fp.raw_data_rows, fp.raw_data_min_date, fp.raw_data_max_date, fp.raw_data_n_stores, r.priority
+FROM runs r, fp"""
+
+
+@oracle("incumbent")
+def _():
+    return f"WITH {RUNS}, {VERSIONS}, {INCUMBENT} SELECT * FROM inc"
+
+
+@oracle("quality_gate")
+def _():
+    return f"""WITH {RUNS}, {VERSIONS}, {INCUMBENT},
+lr AS (SELECT model_name, run_id, candidate_test_rmsle FROM (
+  SELECT model_name, run_id, test_rmsle AS candidate_test_rmsle,
+         ROW_NUMBER() OVER (PARTITION BY model_name ORDER BY started_at DESC, run_id DESC) AS rn FROM runs)
+  WHERE rn = 1)
+SELECT lr.model_name, lr.run_id, lr.candidate_test_rmsle, i.incumbent_test_rmsle,
+       COALESCE(i.incumbent_test_rmsle IS NULL OR (NOT isnan(lr.candidate_test_rmsle)
+                AND NOT isnan(i.incumbent_test_rmsle) AND lr.candidate_test_rmsle <= i.incumbent_test_rmsle), false)
+         AS gate_passed
+FROM lr LEFT JOIN inc i ON lr.model_name = i.model_name"""
+
+
+@oracle("best_candidate")
+def _():
+    return f"""WITH {RUNS}
+SELECT model_name, arg_min(run_id, (cv_mean_rmsle, run_id)) AS best_run_id, MIN(cv_mean_rmsle) AS best_cv_mean_rmsle
+FROM runs WHERE cv_mean_rmsle IS NOT NULL AND NOT isnan(cv_mean_rmsle) GROUP BY model_name"""
+
+
+AGE = """
+age AS (
+  SELECT model_name, version, created_at,
+         (epoch_us(TIMESTAMP '1998-08-03 12:00:00') / 1e6 - epoch_us(created_at) / 1e6) AS age_seconds
+  FROM cur
+)"""
+
+
+@oracle("model_age")
+def _():
+    return f"""WITH {VERSIONS}, {AGE}
+SELECT model_name, version, created_at, ROUND(age_seconds / 86400.0, 6) AS age_days FROM age"""
+
+
+@oracle("staleness_status")
+def _():
+    due = "COALESCE(a.age_seconds >= 7 * 86400.0, true)"
+    near = f"(a.age_seconds IS NOT NULL AND NOT {due} AND a.age_seconds >= 5 * 86400.0)"
+    return f"""WITH {RUNS}, {VERSIONS}, {AGE}
+SELECT m.model_name, a.version, ROUND(a.age_seconds / 86400.0, 6) AS age_days, {due} AS due, {near} AS approaching,
+       CASE WHEN {due} THEN 'due' WHEN {near} THEN 'approaching' ELSE 'fresh' END AS status,
+       ROUND(CASE WHEN NOT {due} THEN 7.0 - a.age_seconds / 86400.0 END, 6) AS days_left
+FROM (SELECT DISTINCT model_name FROM runs) m LEFT JOIN age a ON m.model_name = a.model_name"""

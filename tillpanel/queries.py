@@ -365,3 +365,57 @@ def q_naive_cv_scores(spark, sf_dir):
 def q_holdout_disjoint(spark, sf_dir):
     pool, test = holdout_test(spark, sf_dir)
     return assert_disjoint(pool, test)
+
+
+# ---------------------------------------------------------------- 2.1 / 2.9 / 2.12 run log, gate, staleness
+from tillpanel.operators import runlog as RL  # noqa: E402
+from tillpanel.sources.derived import model_versions, run_log  # noqa: E402
+
+# Fixed "now" of the staleness queries (the derived versions span 1992-1998).
+STALENESS_NOW = "1998-08-03 12:00:00"
+
+
+@query("run_log_read")
+def q_run_log_read(spark, sf_dir):
+    r = run_log(spark, sf_dir)
+    return r.select("run_id", "run_name", "model_name", "model_type",
+                    F.element_at("params", F.lit("max_depth")).alias("max_depth"),
+                    F.element_at("metrics", F.lit("test_rmsle")).alias("test_rmsle"),
+                    F.element_at("tags", F.lit("priority")).alias("priority"), "started_at")
+
+
+@query("tag_lineage")
+def q_tag_lineage(spark, sf_dir):
+    fp = RL.panel_fingerprint(weekly_panel(spark, sf_dir))
+    t = RL.tag_lineage(run_log(spark, sf_dir), fp)
+    return t.select("run_id", *[F.element_at("tags", F.lit(k)).alias(k) for k in fp],
+                    F.element_at("tags", F.lit("priority")).alias("priority"))
+
+
+@query("incumbent")
+def q_incumbent(spark, sf_dir):
+    return RL.incumbent_of(model_versions(spark, sf_dir), run_log(spark, sf_dir))
+
+
+@query("quality_gate")
+def q_quality_gate(spark, sf_dir):
+    runs = run_log(spark, sf_dir)
+    inc = RL.incumbent_of(model_versions(spark, sf_dir), runs)
+    return RL.quality_gate(RL.latest_runs(runs), inc)
+
+
+@query("best_candidate")
+def q_best_candidate(spark, sf_dir):
+    return RL.best_candidate(run_log(spark, sf_dir))
+
+
+@query("model_age")
+def q_model_age(spark, sf_dir):
+    a = RL.model_age(model_versions(spark, sf_dir), STALENESS_NOW)
+    return a.select("model_name", "version", "created_at", r6(F.col("age_days")).alias("age_days"))
+
+
+@query("staleness_status")
+def q_staleness_status(spark, sf_dir):
+    s = RL.staleness_status(run_log(spark, sf_dir), model_versions(spark, sf_dir), STALENESS_NOW)
+    return s.withColumns({"age_days": r6(F.col("age_days")), "days_left": r6(F.col("days_left"))})
