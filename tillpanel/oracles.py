@@ -684,3 +684,204 @@ SELECT m.model_name, a.version, ROUND(a.age_seconds / 86400.0, 6) AS age_days, {
        CASE WHEN {due} THEN 'due' WHEN {near} THEN 'approaching' ELSE 'fresh' END AS status,
        ROUND(CASE WHEN NOT {due} THEN 7.0 - a.age_seconds / 86400.0 END, 6) AS days_left
 FROM (SELECT DISTINCT model_name FROM runs) m LEFT JOIN age a ON m.model_name = a.model_name"""
+
+
+# ---------------------------------------------------------------- 2.13 monitoring
+PLOG = """
+plog AS (
+  SELECT event_id, CAST(ts AS TIMESTAMP) AS ts, CAST(user_id % 45 + 1 AS INTEGER) AS store_nbr,
+         CASE WHEN event_type = 'error' AND value >= 50 THEN 404 WHEN event_type = 'error' THEN 500 ELSE 200 END
+           AS http_status,
+         CASE WHEN event_type = 'error' AND value >= 50 THEN 'unknown_store'
+              WHEN event_type = 'error' THEN 'internal_error' END AS reason,
+         value / 1000.0::DOUBLE AS latency_s,
+         CASE WHEN event_type <> 'error' THEN value * 10000.0::DOUBLE END AS predicted_sales
+  FROM events
+)"""
+
+
+def sliding(src: str, size_min: int, slide_min: int = 1) -> str:
+    ks = ", ".join(str(k) for k in range(size_min // slide_min))
+    return f"""
+SELECT p.*, date_trunc('minute', p.ts) - to_minutes(CAST(k.k AS BIGINT)) AS window_start,
+       date_trunc('minute', p.ts) - to_minutes(CAST(k.k AS BIGINT)) + to_minutes({size_min}) AS window_end
+FROM {src} p, (SELECT unnest([{ks}]) AS k) k"""
+
+
+def alert_sql(cond: str, keys: list[str], hold_s: float) -> str:
+    """CTEs a1..a4 implementing alert_for on ``cond`` (keys…, tick, condition)."""
+    k = ", ".join(keys)
+    return f"""
+a1 AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY {k} ORDER BY tick) AS i FROM {cond}),
+a2 AS (SELECT *, i - ROW_NUMBER() OVER (PARTITION BY {k}, condition ORDER BY tick) AS grp FROM a1),
+a3 AS (SELECT *, CASE WHEN condition THEN MIN(tick) OVER (PARTITION BY {k}, condition, grp) END AS pending_since
+       FROM a2),
+a4 AS (SELECT *, COALESCE(condition AND (epoch_us(tick) - epoch_us(pending_since)) >= {int(hold_s * 1e6)}, false)
+         AS firing FROM a3)"""
+
+
+def episodes_sql(keys: list[str]) -> str:
+    k = ", ".join(keys)
+    return f"""SELECT {k}, pending_since, MIN(CASE WHEN firing THEN tick END) AS fired_at, MAX(tick) AS last_tick
+FROM a4 WHERE pending_since IS NOT NULL GROUP BY {k}, pending_since
+HAVING MIN(CASE WHEN firing THEN tick END) IS NOT NULL"""
+
+
+TICKS = """
+bnd AS (SELECT MIN(ts) AS lo, MAX(ts) AS hi FROM plog),
+ticks AS (SELECT date_trunc('minute', lo) + to_minutes(CAST(unnest(range(1, CAST(floor(epoch(hi - lo) / 60) AS BIGINT) + 3)) AS BIGINT)) AS tick
+          FROM bnd)"""
+
+
+@oracle("prediction_log")
+def _():
+    return f"WITH {PLOG} SELECT * FROM plog"
+
+
+@oracle("prediction_rate")
+def _():
+    return f"""WITH {PLOG}, w AS ({sliding('plog', 5)})
+SELECT window_start, window_end, store_nbr, CAST(COUNT(*) AS BIGINT) AS n, ROUND(COUNT(*) / 300.0::DOUBLE, 6) AS rate
+FROM w WHERE http_status = 200 GROUP BY window_start, window_end, store_nbr"""
+
+
+@oracle("error_rate_by_reason")
+def _():
+    return f"""WITH {PLOG}, w AS ({sliding('plog', 5)})
+SELECT window_start, window_end, reason, CAST(COUNT(*) AS BIGINT) AS n, ROUND(COUNT(*) / 300.0::DOUBLE, 6) AS rate,
+       COUNT(*) / 300.0::DOUBLE > 0.5 AS alert
+FROM w WHERE reason IS NOT NULL GROUP BY window_start, window_end, reason"""
+
+
+@oracle("request_rate_by_status")
+def _():
+    return f"""WITH {PLOG}
+SELECT date_trunc('minute', ts) AS window_start, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS window_end,
+       http_status, CAST(COUNT(*) AS BIGINT) AS n, ROUND(COUNT(*) / 60.0::DOUBLE, 6) AS rate
+FROM plog GROUP BY 1, 2, http_status"""
+
+
+@oracle("http_error_ratio")
+def _():
+    return f"""WITH {PLOG}, w AS ({sliding('plog', 5)})
+SELECT window_start, window_end, CAST(COUNT_IF(http_status >= 500) AS BIGINT) AS n_5xx, CAST(COUNT(*) AS BIGINT) AS n,
+       ROUND(COUNT_IF(http_status >= 500) / COUNT(*), 6) AS ratio, COUNT_IF(http_status >= 500) / COUNT(*) > 0.05 AS alert
+FROM w GROUP BY window_start, window_end"""
+
+
+@oracle("latency_quantiles")
+def _():
+    return f"""WITH {PLOG}, w AS ({sliding('plog', 5)})
+SELECT window_start, window_end, CAST(COUNT(*) AS BIGINT) AS n, ROUND(quantile_cont(latency_s, 0.5), 8) AS p50,
+       ROUND(quantile_cont(latency_s, 0.95), 8) AS p95, quantile_cont(latency_s, 0.95) > 0.5 AS alert
+FROM w WHERE http_status = 200 GROUP BY window_start, window_end"""
+
+
+BOUNDS = [0, 100_000, 250_000, 500_000, 750_000, 1_000_000, 1_250_000, 1_500_000, 1_750_000, 2_000_000,
+          2_500_000, 3_000_000]
+HIST = "hist AS (" + " UNION ALL ".join(
+    [f"SELECT {i} AS bucket, '{b}' AS le, {float(b)}::DOUBLE AS upper, "
+     f"CAST(COUNT_IF(predicted_sales <= {float(b)}) AS BIGINT) AS cum_count FROM plog WHERE predicted_sales IS NOT NULL"
+     for i, b in enumerate(BOUNDS)]
+    + [f"SELECT {len(BOUNDS)}, '+Inf', 'inf'::DOUBLE, CAST(COUNT(*) AS BIGINT) FROM plog WHERE predicted_sales IS NOT NULL"]
+) + ")"
+
+
+@oracle("sales_histogram")
+def _():
+    return f"WITH {PLOG}, {HIST} SELECT CAST(bucket AS INTEGER) AS bucket, le, cum_count FROM hist"
+
+
+@oracle("histogram_quantiles")
+def _():
+    st = "COALESCE(prev_upper, 0.0)"
+    pc = "COALESCE(prev_cum, 0)"
+    val = (f"CASE WHEN bucket = last_bucket THEN prev_upper WHEN bucket = 0 AND upper <= 0 THEN upper "
+           f"ELSE {st} + (upper - {st}) * ((q * total - {pc}) / (cum_count - {pc})) END")
+    return f"""WITH {PLOG}, {HIST},
+hh AS (SELECT *, LAG(upper) OVER (ORDER BY bucket) AS prev_upper, LAG(cum_count) OVER (ORDER BY bucket) AS prev_cum,
+              MAX(cum_count) OVER () AS total, MAX(bucket) OVER () AS last_bucket FROM hist),
+qs AS (SELECT unnest([0.5::DOUBLE, 0.95::DOUBLE]) AS q)
+SELECT q, ROUND(arg_min({val}, bucket), 2) AS value FROM hh, qs WHERE cum_count >= q * total GROUP BY q"""
+
+
+@oracle("no_traffic_alerts")
+def _():
+    return f"""WITH {PLOG}, {TICKS},
+mn AS (SELECT date_trunc('minute', ts) + INTERVAL 1 MINUTE AS m_end, COUNT(*) AS n FROM plog WHERE http_status = 200
+       GROUP BY 1),
+sp AS (SELECT m_end + to_minutes(CAST(k AS BIGINT)) AS tick, n FROM mn, (SELECT unnest(range(0, 15)) AS k)),
+pt AS (SELECT tick, SUM(n) AS n FROM sp GROUP BY tick),
+cond AS (SELECT 'no_traffic' AS rule, t.tick, COALESCE(pt.n, 0) = 0 AS condition
+         FROM ticks t LEFT JOIN pt ON t.tick = pt.tick),
+{alert_sql('cond', ['rule'], 15 * 60)}
+{episodes_sql(['rule'])}"""
+
+
+@oracle("error_rate_alerts")
+def _():
+    return f"""WITH {PLOG}, {TICKS}, w AS ({sliding('plog', 5)}),
+er AS (SELECT window_end AS tick, MAX(n / 300.0::DOUBLE > 0.002) AS alert FROM (
+         SELECT window_end, reason, COUNT(*) AS n FROM w WHERE reason IS NOT NULL GROUP BY window_end, reason)
+       GROUP BY window_end),
+cond AS (SELECT 'error_rate' AS rule, t.tick, COALESCE(er.alert, false) AS condition
+         FROM ticks t LEFT JOIN er ON t.tick = er.tick),
+{alert_sql('cond', ['rule'], 5 * 60)}
+{episodes_sql(['rule'])}"""
+
+
+@oracle("scrape_up")
+def _():
+    return f"""WITH {PLOG},
+hb AS (SELECT CAST(http_status AS VARCHAR) AS rule, ts FROM plog),
+mn AS (SELECT rule, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS m_end, COUNT(*) AS n FROM hb GROUP BY 1, 2),
+sp AS (SELECT rule, m_end + to_minutes(CAST(k AS BIGINT)) AS tick, n FROM mn, (SELECT unnest(range(0, 30)) AS k)),
+seen AS (SELECT rule, tick, SUM(n) AS n FROM sp GROUP BY 1, 2),
+bd AS (SELECT rule, MIN(m_end) AS lo, MAX(m_end) AS hi FROM mn GROUP BY rule),
+tk AS (SELECT rule, unnest(generate_series(lo, hi, INTERVAL 1 MINUTE)) AS tick FROM bd),
+cond AS (SELECT t.rule, t.tick, COALESCE(s.n, 0) = 0 AS condition FROM tk t LEFT JOIN seen s
+         ON t.rule = s.rule AND t.tick = s.tick),
+{alert_sql('cond', ['rule'], 60)}
+SELECT rule, CAST(COUNT_IF(condition) AS BIGINT) AS n_down_ticks, CAST(COUNT_IF(firing) AS BIGINT) AS n_firing_ticks,
+       MIN(CASE WHEN firing THEN tick END) AS first_firing FROM a4 GROUP BY rule"""
+
+
+@oracle("staleness_alerts")
+def _():
+    now = "TIMESTAMP '1998-08-03 12:00:00'"
+    begin = f"({now} - INTERVAL 14 DAY)"
+    return f"""WITH {VERSIONS},
+mv AS (SELECT model_name, created_at FROM versions WHERE alias = 'production' AND created_at <= {now}),
+rel AS (SELECT model_name, MAX(created_at) AS created_at FROM mv WHERE created_at < {begin} GROUP BY model_name
+        UNION ALL SELECT model_name, created_at FROM mv WHERE created_at >= {begin}),
+tk AS (SELECT model_name, unnest(generate_series({begin}, {now}, INTERVAL 1 HOUR)) AS tick
+       FROM (SELECT DISTINCT model_name FROM mv)),
+ev AS (SELECT model_name, tick AS t, 1 AS is_tick, CAST(NULL AS TIMESTAMP) AS created_at FROM tk
+       UNION ALL SELECT model_name, created_at, 0, created_at FROM rel),
+asf AS (SELECT model_name, t AS tick,
+                CAST(epoch_us(t) - epoch_us(LAST_VALUE(created_at IGNORE NULLS) OVER (PARTITION BY model_name
+                  ORDER BY t, is_tick ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS DOUBLE) / 86400e6 AS age_days,
+                is_tick FROM ev),
+cw AS (SELECT model_name, 'approaching' AS rule, tick, COALESCE(age_days >= 5 AND age_days < 7, false) AS condition
+       FROM asf WHERE is_tick = 1),
+cc AS (SELECT model_name, 'stale' AS rule, tick, COALESCE(age_days >= 7, false) AS condition
+       FROM asf WHERE is_tick = 1),
+{alert_sql('cw', ['model_name', 'rule'], 600).replace('a1 AS', 'w1 AS').replace('FROM a1', 'FROM w1').replace('a2 AS', 'w2 AS').replace('FROM a2', 'FROM w2').replace('a3 AS', 'w3 AS').replace('FROM a3', 'FROM w3').replace('a4 AS', 'w4 AS')},
+{alert_sql('cc', ['model_name', 'rule'], 86400).replace('a1 AS', 'c1 AS').replace('FROM a1', 'FROM c1').replace('a2 AS', 'c2 AS').replace('FROM a2', 'FROM c2').replace('a3 AS', 'c3 AS').replace('FROM a3', 'FROM c3').replace('a4 AS', 'c4 AS')},
+a4 AS (SELECT * FROM w4 UNION ALL SELECT * FROM c4)
+{episodes_sql(['model_name', 'rule'])}"""
+
+
+@oracle("model_status")
+def _():
+    return f"""WITH {RUNS}, {VERSIONS}, {AGE}
+SELECT m.model_name, a.version IS NOT NULL AS model_loaded, a.version, ROUND(a.age_seconds / 86400.0, 6) AS age_days
+FROM (SELECT DISTINCT model_name FROM runs) m LEFT JOIN age a ON m.model_name = a.model_name"""
+
+
+@oracle("stream_counters_batch")
+def _():
+    return f"""WITH {PLOG}
+SELECT 'predictions' AS counter, CAST(store_nbr AS VARCHAR) AS label, CAST(COUNT(*) AS BIGINT) AS total
+FROM plog WHERE http_status = 200 GROUP BY store_nbr
+UNION ALL SELECT 'errors', reason, CAST(COUNT(*) AS BIGINT) FROM plog WHERE reason IS NOT NULL GROUP BY reason"""

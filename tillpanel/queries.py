@@ -419,3 +419,103 @@ def q_model_age(spark, sf_dir):
 def q_staleness_status(spark, sf_dir):
     s = RL.staleness_status(run_log(spark, sf_dir), model_versions(spark, sf_dir), STALENESS_NOW)
     return s.withColumns({"age_days": r6(F.col("age_days")), "days_left": r6(F.col("days_left"))})
+
+
+# ---------------------------------------------------------------- 2.13 monitoring (batch form)
+from tillpanel.sources.derived import prediction_log  # noqa: E402
+from tillpanel.streaming import monitor as M  # noqa: E402
+
+
+@query("prediction_log")
+def q_prediction_log(spark, sf_dir):
+    return prediction_log(spark, sf_dir)
+
+
+@query("prediction_rate")
+def q_prediction_rate(spark, sf_dir):
+    return M.prediction_rate(prediction_log(spark, sf_dir)).withColumn("rate", r6(F.col("rate")))
+
+
+@query("error_rate_by_reason")
+def q_error_rate_by_reason(spark, sf_dir):
+    return M.error_rate_by_reason(prediction_log(spark, sf_dir)).withColumn("rate", r6(F.col("rate")))
+
+
+@query("request_rate_by_status")
+def q_request_rate_by_status(spark, sf_dir):
+    return M.request_rate_by_status(prediction_log(spark, sf_dir)).withColumn("rate", r6(F.col("rate")))
+
+
+@query("http_error_ratio")
+def q_http_error_ratio(spark, sf_dir):
+    return M.http_error_ratio(prediction_log(spark, sf_dir)).withColumn("ratio", r6(F.col("ratio")))
+
+
+@query("latency_quantiles")
+def q_latency_quantiles(spark, sf_dir):
+    d = M.latency_quantiles(prediction_log(spark, sf_dir))
+    # latencies have 5 decimals, so interpolated quantiles are exact at 8
+    return d.withColumns({"p50": F.round("p50", 8), "p95": F.round("p95", 8)})
+
+
+@query("sales_histogram")
+def q_sales_histogram(spark, sf_dir):
+    return M.sales_histogram(prediction_log(spark, sf_dir)).drop("upper")
+
+
+@query("histogram_quantiles")
+def q_histogram_quantiles(spark, sf_dir):
+    h = M.sales_histogram(prediction_log(spark, sf_dir))
+    out = M.histogram_quantile(h, 0.5).unionByName(M.histogram_quantile(h, 0.95))
+    return out.withColumn("value", r2(F.col("value")))
+
+
+@query("no_traffic_alerts")
+def q_no_traffic_alerts(spark, sf_dir):
+    cond = M.no_traffic(prediction_log(spark, sf_dir), 15).withColumn("rule", F.lit("no_traffic"))
+    return M.alert_episodes(M.alert_for(cond, 15 * 60))
+
+
+@query("error_rate_alerts")
+def q_error_rate_alerts(spark, sf_dir):
+    """Errors/s over 5 min above a limit, held 5 min (limit scaled to the log's volume)."""
+    log = prediction_log(spark, sf_dir)
+    per = (M.error_rate_by_reason(log, limit=0.002)
+           .groupBy(F.col("window_end").alias("tick")).agg(F.max("alert").alias("alert")))
+    cond = (M.minute_ticks(log).join(per, "tick", "left")
+            .select(F.lit("error_rate").alias("rule"), "tick",
+                    F.coalesce("alert", F.lit(False)).alias("condition")))
+    return M.alert_episodes(M.alert_for(cond, 5 * 60))
+
+
+@query("scrape_up")
+def q_scrape_up(spark, sf_dir):
+    hb = prediction_log(spark, sf_dir).select((F.col("http_status").cast("string")).alias("target"), "ts")
+    s = M.scrape_up(hb, "target", lookback_minutes=30)
+    return s.groupBy("rule").agg(F.count_if(~F.col("up")).alias("n_down_ticks"),
+                                 F.count_if("firing").alias("n_firing_ticks"),
+                                 F.min(F.when(F.col("firing"), F.col("tick"))).alias("first_firing"))
+
+
+@query("staleness_alerts")
+def q_staleness_alerts(spark, sf_dir):
+    return M.staleness_alerts(model_versions(spark, sf_dir), STALENESS_NOW, days=14)
+
+
+@query("model_status")
+def q_model_status(spark, sf_dir):
+    """Loaded flag, serving version and age per model name (M9)."""
+    runs = run_log(spark, sf_dir)
+    ages = RL.model_age(model_versions(spark, sf_dir), STALENESS_NOW)
+    j = runs.select("model_name").distinct().join(ages, "model_name", "left")
+    return j.select("model_name", F.col("version").isNotNull().alias("model_loaded"), "version",
+                    r6(F.col("age_days")).alias("age_days"))
+
+
+@query("stream_counters_batch")
+def q_stream_counters_batch(spark, sf_dir):
+    served, errors = M.stream_counters(prediction_log(spark, sf_dir))
+    return served.select(F.lit("predictions").alias("counter"), F.col("store_nbr").cast("string").alias("label"),
+                         F.col("predictions_total").alias("total")).unionByName(
+        errors.select(F.lit("errors").alias("counter"), F.col("reason").alias("label"),
+                      F.col("errors_total").alias("total")))
