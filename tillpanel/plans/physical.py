@@ -31,3 +31,28 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def with_row_index(df: DataFrame, order_cols: list, name: str = "row_idx",
+                   n_parts: int | None = None) -> DataFrame:
+    """Dense 0-based index in ``order_cols`` order, computed distributed.
+
+    Range-partition + sort within partitions, tag each row with its
+    partition and position, checkpoint (so both passes see identical rows),
+    count rows per partition (one small action), then add prefix offsets.
+    Order columns should make the order total (ties are broken arbitrarily).
+    """
+    spark = df.sparkSession
+    n_parts = n_parts or spark.sparkContext.defaultParallelism
+    ranged = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
+    tagged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id())
+                         .withColumn("_mid", F.monotonically_increasing_id()))
+    counts = sorted((r["_pid"], r["n"]) for r in
+                    tagged.groupBy("_pid").agg(F.count(F.lit(1)).alias("n")).collect())
+    kv, acc = [], 0
+    for pid, n in counts:
+        kv += [F.lit(pid), F.lit(acc)]
+        acc += n
+    offset = F.element_at(F.create_map(*kv), F.col("_pid")) if kv else F.lit(0)
+    local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
+    return tagged.withColumn(name, (offset + local).cast("long")).drop("_pid", "_mid")
