@@ -885,3 +885,10 @@ def _():
 SELECT 'predictions' AS counter, CAST(store_nbr AS VARCHAR) AS label, CAST(COUNT(*) AS BIGINT) AS total
 FROM plog WHERE http_status = 200 GROUP BY store_nbr
 UNION ALL SELECT 'errors', reason, CAST(COUNT(*) AS BIGINT) FROM plog WHERE reason IS NOT NULL GROUP BY reason"""
+
+
+# Streaming forms: same result as their batch twins once the input is drained.
+for _b, _s in [("prediction_rate", "stream_prediction_rate"), ("error_rate_by_reason", "stream_error_rate_by_reason"),
+               ("http_error_ratio", "stream_http_error_ratio"), ("stream_counters_batch", "stream_counters"),
+               ("batch_predict_naive", "stream_scoring"), ("no_traffic_alerts", "stream_no_traffic_alerts")]:
+    ORACLES[_s] = ORACLES[_b]

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillpanel.operators.evaluate import naive_baseline
 from tillpanel.operators.features import build_features
 from tillpanel.operators.split import holdout_cutoff
-from tillpanel.sources.panel import weekly_panel
+from tillpanel.sources.panel import read_table, weekly_panel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -519,3 +519,176 @@ def q_stream_counters_batch(spark, sf_dir):
                          F.col("predictions_total").alias("total")).unionByName(
         errors.select(F.lit("errors").alias("counter"), F.col("reason").alias("label"),
                       F.col("errors_total").alias("total")))
+
+
+# ---------------------------------------------------------------- 2.9 / 2.10 model and attribution (no SQL twin)
+from tillpanel.plans import attribution as A  # noqa: E402
+from tillpanel.plans.model import ForecastModel, cv_score, gain_importance, sample_param_grid  # noqa: E402
+from tillpanel.plans.model import DEFAULT_PARAM_GRID, best_of, score_in_sales_space  # noqa: E402
+
+# Small trees keep the registered model queries quick; the training job
+# takes any grid.
+QUERY_PARAMS = {"num_leaves": 15, "n_estimators": 20, "learning_rate": 0.1, "min_child_samples": 5}
+QUERY_CANDIDATES = [QUERY_PARAMS, {"num_leaves": 7, "n_estimators": 20, "learning_rate": 0.1,
+                                   "min_child_samples": 10}]
+_MODELS: dict = {}
+
+
+def holdout_model(spark, sf_dir):
+    """GBT fitted on the training pool, cached per session and input."""
+    key = (id(spark), sf_dir)
+    if key not in _MODELS:
+        pool, _ = holdout_test(spark, sf_dir)
+        _MODELS[key] = ForecastModel.fit(pool, QUERY_PARAMS)
+    return _MODELS[key]
+
+
+@query("param_grid")
+def q_param_grid(spark, sf_dir):
+    rows = sample_param_grid(DEFAULT_PARAM_GRID, 6, 42)
+    return spark.createDataFrame([tuple(r.values()) for r in rows],
+                                 "num_leaves int, learning_rate double, n_estimators int, min_child_samples int")
+
+
+@query("gbt_holdout_eval")
+def q_gbt_holdout_eval(spark, sf_dir):
+    _, test = holdout_test(spark, sf_dir)
+    scored = score_in_sales_space(holdout_model(spark, sf_dir), test)
+    return rounded_metrics(evaluate_all(scored)).withColumn("model", F.lit("gbt")).unionByName(
+        rounded_metrics(naive_baseline(test)).withColumn("model", F.lit("persistence")))
+
+
+@query("gbt_cv_search")
+def q_gbt_cv_search(spark, sf_dir):
+    pool, _ = holdout_test(spark, sf_dir)
+    pool = pool.cache()
+    scores = cv_score(pool, rolling_origin_folds(pool, 3), QUERY_CANDIDATES, parallelism=4)
+    best, _ = best_of(scores)
+    return scores.withColumn("is_best", F.col("candidate") == F.lit(best))
+
+
+@query("gbt_batch_predict")
+def q_gbt_batch_predict(spark, sf_dir):
+    return S.batch_predict(scoring_requests(spark, sf_dir), snapshot_of(spark, sf_dir),
+                           model=holdout_model(spark, sf_dir), model_name="tillpanel-gbt")
+
+
+@query("gain_importance")
+def q_gain_importance(spark, sf_dir):
+    return gain_importance(holdout_model(spark, sf_dir), features(spark, sf_dir))
+
+
+@query("permutation_importance")
+def q_permutation_importance(spark, sf_dir):
+    _, test = holdout_test(spark, sf_dir)
+    return A.permutation_importance(holdout_model(spark, sf_dir), test, n_repeats=8, seed=42)
+
+
+@query("global_attribution")
+def q_global_attribution(spark, sf_dir):
+    return A.global_attribution(holdout_model(spark, sf_dir), features(spark, sf_dir),
+                                sample_size=500, n_perm=8, seed=42)
+
+
+@query("attribution_check")
+def q_attribution_check(spark, sf_dir):
+    """Per sampled row: Σ attributions − (f(x) − mean f(background)) ≈ 0."""
+    f = features(spark, sf_dir)
+    feats = A.model_features(f)
+    s = A.sample_rows(f, 100, 42).select(*A._keep(f, feats))
+    x = A.with_row_index(s, ["store_nbr", "date"], "row_id")
+    attr = A.attributions(holdout_model(spark, sf_dir), x, s, n_perm=4)
+    return attr.groupBy("row_id").agg(
+        F.sum("attribution").alias("sum_attr"), F.first("f_x").alias("f_x"),
+        F.first("base_value").alias("base_value")).withColumn(
+        "gap", F.abs(F.col("sum_attr") - (F.col("f_x") - F.col("base_value"))))
+
+
+@query("local_explanation")
+def q_local_explanation(spark, sf_dir):
+    pool, test = naive_holdout_frames(spark, sf_dir)
+    model = holdout_model(spark, sf_dir)
+    scored = score_in_sales_space(model, test)
+    per_store = evaluate_all(scored, by=["store_nbr"])
+    row = G.worst_segment_row(test.drop("prediction"), per_store)
+    return A.local_explanation(model, row, A.sample_rows(pool, 200, 42), n_perm=16)
+
+
+# ---------------------------------------------------------------- 2.13 monitoring (Structured Streaming form)
+import uuid as _uuid  # noqa: E402
+
+from tillpanel.session import scratch_path  # noqa: E402
+from tillpanel.streaming import stream as ST  # noqa: E402
+
+
+def _events_stream(spark, sf_dir):
+    return ST.prediction_log_stream(spark, f"{sf_dir.rstrip('/')}/events.parquet")
+
+
+def _drain(df, mode="complete"):
+    return ST.run_to_memory(df, f"m_{_uuid.uuid4().hex}", mode=mode)
+
+
+@query("stream_prediction_rate")
+def q_stream_prediction_rate(spark, sf_dir):
+    out = _drain(M.prediction_rate(_events_stream(spark, sf_dir)))
+    return out.withColumn("rate", r6(F.col("rate")))
+
+
+@query("stream_error_rate_by_reason")
+def q_stream_error_rate_by_reason(spark, sf_dir):
+    out = _drain(M.error_rate_by_reason(_events_stream(spark, sf_dir)))
+    return out.withColumn("rate", r6(F.col("rate")))
+
+
+@query("stream_http_error_ratio")
+def q_stream_http_error_ratio(spark, sf_dir):
+    out = _drain(M.http_error_ratio(_events_stream(spark, sf_dir)))
+    return out.withColumn("ratio", r6(F.col("ratio")))
+
+
+@query("stream_counters")
+def q_stream_counters(spark, sf_dir):
+    served, errors = M.stream_counters(_events_stream(spark, sf_dir))
+    a = _drain(served).select(F.lit("predictions").alias("counter"), F.col("store_nbr").cast("string").alias("label"),
+                              F.col("predictions_total").alias("total"))
+    b = _drain(errors).select(F.lit("errors").alias("counter"), F.col("reason").alias("label"),
+                              F.col("errors_total").alias("total"))
+    return a.unionByName(b)
+
+
+@query("stream_scoring")
+def q_stream_scoring(spark, sf_dir):
+    """Orders streamed as scoring requests; served + unknown rows and
+    rejected rows land in two parquet sinks (read back and unioned)."""
+    o = spark.readStream.schema(read_orders_schema(spark, sf_dir)).option(
+        "basePath", sf_dir.rstrip("/")).parquet(f"{sf_dir.rstrip('/')}/orders.parque[t]")
+    reqs = requests_from_orders(o)
+    base = scratch_path(spark, "stream-scoring")
+    q = ST.stream_scoring(reqs, snapshot_of(spark, sf_dir), f"{base}/ok", f"{base}/rejected", f"{base}/ckpt",
+                          cents=False)
+    q.awaitTermination()
+    ok = spark.read.parquet(f"{base}/ok")
+    bad = spark.read.parquet(f"{base}/rejected")
+    out = ok.unionByName(bad).drop("batch_id")
+    return out.withColumn("predicted_sales", F.round("predicted_sales", 4))
+
+
+@query("stream_no_traffic_alerts")
+def q_stream_no_traffic_alerts(spark, sf_dir):
+    """Tick conditions fed through the stateful streaming alert machine."""
+    cond = M.no_traffic(prediction_log(spark, sf_dir), 15).withColumn("rule", F.lit("no_traffic"))
+    path = scratch_path(spark, "ticks")
+    cond.select("rule", "tick", "condition").write.parquet(path)
+    stream = spark.readStream.schema("rule string, tick timestamp, condition boolean").parquet(path)
+    per_tick = _drain(ST.alert_for_stream(stream, 15 * 60), mode="append")
+    return M.alert_episodes(per_tick)
+
+
+def read_orders_schema(spark, sf_dir):
+    return read_table(spark, sf_dir, "orders").schema
+
+
+def requests_from_orders(o):
+    from tillpanel.sources.derived import requests_from_orders as rfo
+    return rfo(o)

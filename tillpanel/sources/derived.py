@@ -23,7 +23,11 @@ N_MODELS = 7
 
 def scoring_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``request_id, batch_id, store_nbr, date`` + nullable overrides."""
-    o = read_table(spark, sf_dir, "orders")
+    return requests_from_orders(read_table(spark, sf_dir, "orders"))
+
+
+def requests_from_orders(o: DataFrame) -> DataFrame:
+    """Row-wise projection orders → scoring requests (works on streams too)."""
     k = F.col("o_orderkey")
     price = F.col("o_totalprice")
     return o.select(
@@ -46,7 +50,11 @@ def prediction_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     error events → 404 ``unknown_store`` (value ≥ 50) or 500
     ``internal_error``; the rest are served predictions (HTTP 200).
     """
-    e = read_table(spark, sf_dir, "events")
+    return derive_prediction_log(read_table(spark, sf_dir, "events"))
+
+
+def derive_prediction_log(e: DataFrame) -> DataFrame:
+    """Row-wise projection events → prediction log (works on streams too)."""
     err = F.col("event_type") == "error"
     return e.select(
         F.col("event_id"),

@@ -82,7 +82,7 @@ def load_panel_csv(spark: SparkSession, path: str) -> DataFrame:
     raw = _read_or_raise(
         lambda p: spark.read.schema(RAW_SCHEMA).option("header", True).csv(p), path)
     df = raw.withColumnsRenamed(RAW_COLUMN_RENAME)
-    df = df.withColumn("date", F.try_to_date(F.col("date"), F.lit(RAW_DATE_FORMAT)))
+    df = df.withColumn("date", F.try_to_date(F.col("date"), RAW_DATE_FORMAT))
     return normalize_panel(df.select(*PANEL_COLUMNS))
 
 
