@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tillpanel.operators.evaluate import naive_baseline
 from tillpanel.operators.features import build_features
 from tillpanel.operators.split import holdout_cutoff
-from tillpanel.sources.panel import read_table, weekly_panel
+from tillpanel.sources.panel import panel_table, read_table, weekly_panel
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,13 +41,13 @@ def rounded_metrics(df: DataFrame) -> DataFrame:
 
 
 def features(spark, sf_dir) -> DataFrame:
-    return build_features(weekly_panel(spark, sf_dir))
+    return build_features(panel_table(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- 2.1 sources
 @query("panel")
 def q_panel(spark, sf_dir):
-    return weekly_panel(spark, sf_dir)
+    return weekly_panel(spark, sf_dir)  # derived from lineitem ⋈ supplier every time
 
 
 @query("features")
@@ -91,12 +91,12 @@ def holdout_test(spark, sf_dir, test_weeks: int = 8):
 
 @query("panel_profile")
 def q_panel_profile(spark, sf_dir):
-    return panel_profile(weekly_panel(spark, sf_dir))
+    return panel_profile(panel_table(spark, sf_dir))
 
 
 @query("validation_report")
 def q_validation_report(spark, sf_dir):
-    return validate_panel(weekly_panel(spark, sf_dir))
+    return validate_panel(panel_table(spark, sf_dir))
 
 
 @query("validation_report_feed")
@@ -132,48 +132,48 @@ def q_naive_baseline_by_store(spark, sf_dir):
 
 @query("store_avg_sales")
 def q_store_avg_sales(spark, sf_dir):
-    return X.store_avg_sales(weekly_panel(spark, sf_dir))
+    return X.store_avg_sales(panel_table(spark, sf_dir))
 
 
 @query("rank_stores")
 def q_rank_stores(spark, sf_dir):
-    return X.rank_stores(weekly_panel(spark, sf_dir))
+    return X.rank_stores(panel_table(spark, sf_dir))
 
 
 @query("store_scale_range")
 def q_store_scale_range(spark, sf_dir):
-    return X.store_scale_range(weekly_panel(spark, sf_dir))
+    return X.store_scale_range(panel_table(spark, sf_dir))
 
 
 @query("weekly_total")
 def q_weekly_total(spark, sf_dir):
-    return X.weekly_total(weekly_panel(spark, sf_dir))
+    return X.weekly_total(panel_table(spark, sf_dir))
 
 
 @query("holiday_effect")
 def q_holiday_effect(spark, sf_dir):
-    return X.holiday_effect(weekly_panel(spark, sf_dir))
+    return X.holiday_effect(panel_table(spark, sf_dir))
 
 
 @query("distinct_holiday_weeks")
 def q_distinct_holiday_weeks(spark, sf_dir):
-    return X.distinct_holiday_weeks(weekly_panel(spark, sf_dir))
+    return X.distinct_holiday_weeks(panel_table(spark, sf_dir))
 
 
 @query("indicator_by_store")
 def q_indicator_by_store(spark, sf_dir):
-    d = X.indicator_by_store(weekly_panel(spark, sf_dir))
+    d = X.indicator_by_store(panel_table(spark, sf_dir))
     return d.select("store_nbr", r6(F.col("cpi")).alias("cpi"), r6(F.col("unemployment")).alias("unemployment"))
 
 
 @query("describe_indicators")
 def q_describe_indicators(spark, sf_dir):
-    d = X.describe_over_stores(weekly_panel(spark, sf_dir))
+    d = X.describe_over_stores(panel_table(spark, sf_dir))
     return d.select("stat", r6(F.col("cpi")).alias("cpi"), r6(F.col("unemployment")).alias("unemployment"))
 
 
 def _binned(spark, sf_dir, col):
-    b = X.indicator_vs_sales(weekly_panel(spark, sf_dir), col, bins=10)
+    b = X.indicator_vs_sales(panel_table(spark, sf_dir), col, bins=10)
     return b.withColumn("corr", r6(F.col("corr")))
 
 
@@ -196,7 +196,7 @@ def q_evaluation_window(spark, sf_dir):
 # ---------------------------------------------------------------- 2.8 calendar
 @query("holiday_anchors")
 def q_holiday_anchors(spark, sf_dir):
-    years = weekly_panel(spark, sf_dir).select(F.year("date").alias("year")).distinct()
+    years = panel_table(spark, sf_dir).select(F.year("date").alias("year")).distinct()
     y = F.col("year")
     anchors = {
         "super_bowl": nth_weekday(y, *SUPER_BOWL),
@@ -212,7 +212,7 @@ def q_holiday_anchors(spark, sf_dir):
 @query("calendar_features")
 def q_calendar_features(spark, sf_dir):
     """Calendar fields and the holiday rule on every weekday of the panel's weeks."""
-    dates = weekly_panel(spark, sf_dir).select("date").distinct()
+    dates = panel_table(spark, sf_dir).select("date").distinct()
     days = dates.select(F.explode(F.sequence(F.date_sub("date", 6), F.col("date"))).alias("day"))
     d = F.col("day")
     return days.select("day", F.month(d).alias("month"), F.weekofyear(d).alias("week_of_year"),
@@ -386,7 +386,7 @@ def q_run_log_read(spark, sf_dir):
 
 @query("tag_lineage")
 def q_tag_lineage(spark, sf_dir):
-    fp = RL.panel_fingerprint(weekly_panel(spark, sf_dir))
+    fp = RL.panel_fingerprint(panel_table(spark, sf_dir))
     t = RL.tag_lineage(run_log(spark, sf_dir), fp)
     return t.select("run_id", *[F.element_at("tags", F.lit(k)).alias(k) for k in fp],
                     F.element_at("tags", F.lit("priority")).alias("priority"))

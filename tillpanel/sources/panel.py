@@ -202,3 +202,24 @@ def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
         .select(F.col("path").alias("file"), F.sha2(F.col("content"), 256).alias("sha256"),
                 F.col("length"))
     )
+
+
+_MATERIALIZED: dict = {}
+
+
+def panel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The derived panel, written once per session as a parquet table under
+    the shared checkpoint folder and read back by every later query.
+
+    Materializing cuts the lineage to the raw scan (later jobs neither
+    rescan ``lineitem`` nor depend on executors that held it) and gives the
+    panel real file statistics for the planner.
+    """
+    from tillpanel.session import scratch_path
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    path = _MATERIALIZED.get(key)
+    if path is None:
+        path = scratch_path(spark, "panel")
+        weekly_panel(spark, sf_dir).write.mode("overwrite").parquet(path)
+        _MATERIALIZED[key] = path
+    return spark.read.parquet(path)
