@@ -94,12 +94,27 @@ def prepare(df: DataFrame) -> DataFrame:
     return model_input(df).withColumn("store_key", F.col("store_nbr").cast("string"))
 
 
+ROWS_PER_PARTITION = 100_000
+
+
 def fit_global_model(train: DataFrame, params: dict) -> PipelineModel:
     """Fit StringIndexer(store) → VectorAssembler → GBTRegressor on rows
-    with a log target. The store count (for ``maxBins``) is one small action."""
+    with a log target.
+
+    One small action sizes the fit: the store count (for ``maxBins``) and
+    the row count, which sets the partition count (~100k rows each, at most
+    the cluster's parallelism) so that each boosting iteration's jobs are
+    neither starved nor drowned in tiny tasks.
+    """
     data = prepare(train.filter(F.col(LOG_TARGET).isNotNull()))
-    n_stores = data.select("store_nbr").distinct().count()
-    return build_pipeline(data, params, n_stores).fit(data)
+    st = data.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("store_nbr").alias("s")).first()
+    par = data.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, min(par, -(-st["n"] // ROWS_PER_PARTITION)))
+    data = data.repartition(parts).persist()
+    try:
+        return build_pipeline(data, params, st["s"]).fit(data)
+    finally:
+        data.unpersist()
 
 
 class ForecastModel:
