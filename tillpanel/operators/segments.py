@@ -48,10 +48,12 @@ def store_size_buckets(reference: DataFrame) -> DataFrame:
 def unemployment_edges(reference: DataFrame) -> list[float]:
     """Distinct exact quartiles (linear interpolation) of the reference period.
 
-    Three scalars come back to the driver; applying them needs no join.
+    Computed by a distributed sort (no single task buffers the column);
+    three scalars come back to the driver, so applying them needs no join.
     """
-    row = reference.agg(F.percentile("unemployment", QUARTILES).alias("q")).first()
-    q = row["q"] or []
+    from tillpanel.plans.physical import exact_group_quantiles
+    row = exact_group_quantiles(reference, [], "unemployment", QUARTILES, ["a", "b", "c"]).first()
+    q = [] if row is None else [row["a"], row["b"], row["c"]]
     out: list[float] = []
     for v in q:
         if v is not None and v not in out:

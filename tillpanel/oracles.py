@@ -892,3 +892,17 @@ for _b, _s in [("prediction_rate", "stream_prediction_rate"), ("error_rate_by_re
                ("http_error_ratio", "stream_http_error_ratio"), ("stream_counters_batch", "stream_counters"),
                ("batch_predict_naive", "stream_scoring"), ("no_traffic_alerts", "stream_no_traffic_alerts")]:
     ORACLES[_s] = ORACLES[_b]
+
+
+ORACLES["snapshot_roundtrip"] = ORACLES["snapshot"]
+
+
+@oracle("densify_panel")
+def _():
+    return f"""WITH {PANEL},
+b AS (SELECT MIN(date) AS lo, MAX(date) AS hi FROM panel),
+sp AS (SELECT s.store_nbr, CAST(unnest(generate_series(b.lo, b.hi, INTERVAL 7 DAY)) AS DATE) AS date
+       FROM (SELECT DISTINCT store_nbr FROM panel) s, b)
+SELECT sp.store_nbr, sp.date, p.sales, COALESCE(p.holiday_flag, CAST({holiday('sp.date')} AS INTEGER)) AS holiday_flag,
+       p.temperature, p.fuel_price, p.cpi, p.unemployment
+FROM sp LEFT JOIN panel p ON sp.store_nbr = p.store_nbr AND sp.date = p.date"""

@@ -56,3 +56,37 @@ def with_row_index(df: DataFrame, order_cols: list, name: str = "row_idx",
     offset = F.element_at(F.create_map(*kv), F.col("_pid")) if kv else F.lit(0)
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
     return tagged.withColumn(name, (offset + local).cast("long")).drop("_pid", "_mid")
+
+
+def exact_group_quantiles(df: DataFrame, group_cols: list, value_col: str, probs: list[float],
+                          names: list[str] | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles per group without buffering a
+    group in one task.
+
+    One distributed sort on (group…, value) gives every row a global index
+    (range partitioning splits a hot group across tasks); per group the
+    first index and count locate ranks ⌊p(n−1)⌋ and ⌈p(n−1)⌉, which are
+    fetched with an equi-join on the index and interpolated.
+    Nulls are ignored. Output: group columns + one column per prob.
+    """
+    names = names or [f"q{int(round(p * 100))}" for p in probs]
+    vals = df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
+    idx = with_row_index(vals, [*group_cols, "_v"], "_gi")
+    stats = idx.groupBy(*group_cols).agg(F.min("_gi").alias("_start"), F.count(F.lit(1)).alias("_n"))
+    pcol = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.lit(float(p)).alias("p"))
+                               for i, p in enumerate(probs)])).alias("_pp")
+    tg = stats.select(*group_cols, "_start", "_n", pcol).select(
+        *group_cols, "_start", "_n", F.col("_pp.k").alias("_k"),
+        (F.col("_pp.p") * (F.col("_n") - 1)).alias("_pos"))
+    tg = tg.withColumns({"_lo": F.col("_start") + F.floor("_pos").cast("long"),
+                         "_hi": F.col("_start") + F.ceil("_pos").cast("long"),
+                         "_frac": F.col("_pos") - F.floor("_pos")})
+    pick = idx.select(F.col("_gi"), F.col("_v"))
+    lo = pick.withColumnRenamed("_gi", "_lo").withColumnRenamed("_v", "_vlo")
+    hi = pick.withColumnRenamed("_gi", "_hi").withColumnRenamed("_v", "_vhi")
+    j = tg.join(lo, "_lo").join(hi, "_hi")
+    q = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
+        (F.lit(1.0) - F.col("_frac")) * F.col("_vlo") + F.col("_frac") * F.col("_vhi"))
+    long = j.select(*group_cols, "_k", q.alias("_q"))
+    aggs = [F.max(F.when(F.col("_k") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
+    return long.groupBy(*group_cols).agg(*aggs) if group_cols else long.agg(*aggs)

@@ -288,9 +288,10 @@ def q_store_size_buckets(spark, sf_dir):
 
 @query("unemployment_edges")
 def q_unemployment_edges(spark, sf_dir):
+    from tillpanel.plans.physical import exact_group_quantiles
     pool, _ = holdout_test(spark, sf_dir)
-    q = pool.agg(F.percentile("unemployment", G.QUARTILES).alias("q"))
-    return q.select(F.posexplode(F.array_distinct("q")).alias("edge_index", "edge")).withColumn(
+    q = exact_group_quantiles(pool, [], "unemployment", G.QUARTILES, ["a", "b", "c"])
+    return q.select(F.posexplode(F.array_distinct(F.array("a", "b", "c"))).alias("edge_index", "edge")).withColumn(
         "edge", r6(F.col("edge")))
 
 
@@ -543,13 +544,6 @@ def holdout_model(spark, sf_dir):
     return _MODELS[key]
 
 
-@query("param_grid")
-def q_param_grid(spark, sf_dir):
-    rows = sample_param_grid(DEFAULT_PARAM_GRID, 6, 42)
-    return spark.createDataFrame([tuple(r.values()) for r in rows],
-                                 "num_leaves int, learning_rate double, n_estimators int, min_child_samples int")
-
-
 @query("gbt_holdout_eval")
 def q_gbt_holdout_eval(spark, sf_dir):
     _, test = holdout_test(spark, sf_dir)
@@ -626,7 +620,7 @@ def _events_stream(spark, sf_dir):
 
 
 def _drain(df, mode="complete"):
-    return ST.run_to_memory(df, f"m_{_uuid.uuid4().hex}", mode=mode)
+    return ST.run_to_table(df, scratch_path(df.sparkSession, f"stream-{_uuid.uuid4().hex[:8]}"), mode=mode)
 
 
 @query("stream_prediction_rate")
@@ -692,3 +686,72 @@ def read_orders_schema(spark, sf_dir):
 def requests_from_orders(o):
     from tillpanel.sources.derived import requests_from_orders as rfo
     return rfo(o)
+
+
+# ---------------------------------------------------------------- sources, reports, job runs
+from tillpanel.operators.snapshot import read_snapshot, write_snapshot  # noqa: E402
+from tillpanel.plans.reports import segment_summary_json, write_report_tables  # noqa: E402
+from tillpanel.plans.training import run_training  # noqa: E402
+from tillpanel.sources.panel import densify_panel, file_fingerprint  # noqa: E402
+
+
+@query("file_fingerprint")
+def q_file_fingerprint(spark, sf_dir):
+    """SHA-256 and length of the raw lineitem and supplier files."""
+    d = sf_dir.rstrip("/")
+    return file_fingerprint(spark, f"{d}/lineitem.parquet").unionByName(
+        file_fingerprint(spark, f"{d}/supplier.parquet"))
+
+
+@query("snapshot_roundtrip")
+def q_snapshot_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "snapshot")
+    write_snapshot(snapshot_of(spark, sf_dir), path)
+    return round_std(read_snapshot(spark, path))
+
+
+@query("densify_panel")
+def q_densify_panel(spark, sf_dir):
+    """Store × week grid over the panel's span; missing weeks keep null sales."""
+    return densify_panel(panel_table(spark, sf_dir))
+
+
+@query("sample_rows")
+def q_sample_rows(spark, sf_dir):
+    return A.sample_rows(panel_table(spark, sf_dir), 500, 42)
+
+
+@query("segment_summary_json")
+def q_segment_summary_json(spark, sf_dir):
+    pool, test = naive_holdout_frames(spark, sf_dir)
+    return segment_summary_json(G.fairness_report(test, pool), test)
+
+
+@query("report_tables")
+def q_report_tables(spark, sf_dir):
+    """Writes the report artifacts; returns one row per artifact with its row count."""
+    pool, test = naive_holdout_frames(spark, sf_dir)
+    rep = G.fairness_report(test, pool)
+    model = holdout_model(spark, sf_dir)
+    paths = write_report_tables(
+        scratch_path(spark, "reports"), rep, segment_summary_json(rep, test),
+        gain=gain_importance(model, features(spark, sf_dir)),
+        top_attr=A.global_attribution(model, features(spark, sf_dir), sample_size=200, n_perm=4))
+    rows = []
+    for name, p in paths.items():
+        reader = spark.read.text if name in ("fairness_summary", "local_example") else \
+            (lambda x: spark.read.option("header", True).csv(x))
+        rows.append((name, p, reader(p).count()))
+    return spark.createDataFrame(rows, "artifact string, path string, n_rows long").drop("path")
+
+
+@query("training_run")
+def q_training_run(spark, sf_dir):
+    """The whole training job (validate → features → CV search → holdout →
+    gate → refit → register → snapshot); returns the runs it logged."""
+    out = scratch_path(spark, "training")
+    run_training(spark, panel_table(spark, sf_dir), out, candidates=QUERY_CANDIDATES, n_splits=3)
+    runs = RL.read_runs(spark, f"{out}/runs")
+    return runs.select("run_name", "model_type", F.element_at("tags", F.lit("quality_gate")).alias("quality_gate"),
+                       r6(F.element_at("metrics", F.lit("test_rmsle"))).alias("test_rmsle"),
+                       r6(F.element_at("metrics", F.lit("cv_mean_rmsle"))).alias("cv_mean_rmsle"))

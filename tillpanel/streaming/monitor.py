@@ -68,16 +68,27 @@ def http_error_ratio(log: DataFrame, size: str = "5 minutes", slide: str = "1 mi
 
 
 def latency_quantiles(log: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
-                      limit: float = LATENCY_P95_LIMIT, exact: bool = True,
+                      limit: float = LATENCY_P95_LIMIT, method: str | None = None,
                       watermark: str | None = None) -> DataFrame:
     """p50/p95 latency of served requests per window.
 
-    ``exact`` uses linear-interpolated percentiles (buffers a window's
-    values); ``exact=False`` uses ``percentile_approx`` (bounded memory) for
-    very busy services.
+    ``method``: ``exact`` (batch default) — distributed sort-based exact
+    quantiles, no window buffered in one task; ``buffered`` (stream
+    default) — the ``percentile`` aggregate, exact but holding each
+    window's values in its state; ``approx`` — ``percentile_approx`` with
+    bounded memory for very busy services.
     """
+    from tillpanel.plans.physical import exact_group_quantiles
+    method = method or ("buffered" if log.isStreaming else "exact")
     served = _wm(log, watermark).filter(F.col("http_status") == 200)
-    if exact:
+    if method == "exact":
+        w = served.select(_win(size, slide).alias("window"), "latency_s")
+        flat = w.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                        "latency_s")
+        q = exact_group_quantiles(flat, ["window_start", "window_end"], "latency_s", [0.5, 0.95], ["p50", "p95"])
+        n = flat.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("n"))
+        return n.join(q, ["window_start", "window_end"]).withColumn("alert", F.col("p95") > F.lit(limit))
+    if method == "buffered":
         q = F.percentile("latency_s", [0.5, 0.95])
     else:
         q = F.percentile_approx("latency_s", [0.5, 0.95], 10000).cast("array<double>")

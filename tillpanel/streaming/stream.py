@@ -57,6 +57,22 @@ def run_to_memory(df: DataFrame, name: str, mode: str = "append", checkpoint: st
     return spark.table(name)
 
 
+def run_to_table(df: DataFrame, path: str, mode: str = "append", checkpoint: str | None = None) -> DataFrame:
+    """Drain the available input into a parquet table (executors write it;
+    nothing passes through the driver). Complete mode rewrites the table
+    with every micro-batch's full result; append/update modes append."""
+    spark = df.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+
+    q = (df.writeStream.foreachBatch(write).outputMode(mode)
+         .option("checkpointLocation", checkpoint or f"{path}-checkpoint")
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
                    interval: str = "1 minute"):
     w = df.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint)
