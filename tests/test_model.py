@@ -79,3 +79,10 @@ def test_row_index_dense(spark):
     df = spark.range(0, 1000).select((F.col("id") * 7 % 1000).alias("k"))
     idx = A.with_row_index(df, ["k"], "i", n_parts=4)
     assert idx.filter(F.col("i") != F.col("k")).count() == 0
+
+
+def test_param_grid_reference_picks():
+    from tillpanel.plans.model import DEFAULT_PARAM_GRID
+    picks = [tuple(p.values()) for p in sample_param_grid(DEFAULT_PARAM_GRID, 6, 42)]
+    assert picks == [(31, 0.03, 200, 5), (15, 0.03, 200, 5), (31, 0.05, 100, 20), (15, 0.1, 100, 5),
+                     (15, 0.03, 100, 10), (31, 0.1, 100, 5)]

@@ -59,3 +59,11 @@ def test_batch_size_limits(spark):
     out = {r["batch_id"]: r for r in check_batch_size(reqs, max_items=3).collect()}
     assert out[0]["n_items"] == 4 and not out[0]["ok"]
     assert out[1]["n_items"] == 3 and out[1]["ok"]
+
+
+def test_advanced_snapshot_uses_last_week(spark):
+    from tillpanel.operators.snapshot import advanced_snapshot
+    snap = {r["store_nbr"]: r for r in advanced_snapshot(toy_panel(spark, stores=(1,), weeks=12)).collect()}
+    assert snap[1]["sales_lag_1"] == 11000.0  # the last week's own sales
+    assert snap[1]["sales_roll_mean_4"] == (8000 + 9000 + 10000 + 11000) / 4
+    assert snap[1]["target_date"] == dt.date(2010, 2, 5) + dt.timedelta(days=7 * 12)

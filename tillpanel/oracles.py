@@ -906,3 +906,25 @@ sp AS (SELECT s.store_nbr, CAST(unnest(generate_series(b.lo, b.hi, INTERVAL 7 DA
 SELECT sp.store_nbr, sp.date, p.sales, COALESCE(p.holiday_flag, CAST({holiday('sp.date')} AS INTEGER)) AS holiday_flag,
        p.temperature, p.fuel_price, p.cpi, p.unemployment
 FROM sp LEFT JOIN panel p ON sp.store_nbr = p.store_nbr AND sp.date = p.date"""
+
+
+@oracle("snapshot_advanced")
+def _():
+    return f"""WITH {PANEL},
+nxt AS (SELECT store_nbr, MAX(date) + 7 AS date, CAST(NULL AS DOUBLE) AS sales,
+               arg_max(temperature, date) AS temperature, arg_max(fuel_price, date) AS fuel_price,
+               arg_max(cpi, date) AS cpi, arg_max(unemployment, date) AS unemployment
+        FROM panel GROUP BY store_nbr),
+rows AS (SELECT store_nbr, date, sales, temperature, fuel_price, cpi, unemployment, false AS nx FROM panel
+         UNION ALL SELECT store_nbr, date, sales, temperature, fuel_price, cpi, unemployment, true FROM nxt),
+f AS (
+  SELECT *, LAG(sales, 1) OVER w AS sales_lag_1, LAG(sales, 4) OVER w AS sales_lag_4, LAG(sales, 52) OVER w AS sales_lag_52,
+    CAST(SUM(CAST(sales AS DECIMAL(38,8))) OVER (w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS DOUBLE)
+      / COUNT(sales) OVER (w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS sales_roll_mean_4,
+    CAST(SUM(CAST(sales AS DECIMAL(38,8))) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS DOUBLE)
+      / COUNT(sales) OVER (w ROWS BETWEEN 8 PRECEDING AND 1 PRECEDING) AS sales_roll_mean_8,
+    STDDEV_SAMP(sales) OVER (w ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS sales_roll_std_4
+  FROM rows WINDOW w AS (PARTITION BY store_nbr ORDER BY date))
+SELECT store_nbr, temperature, fuel_price, cpi, unemployment, sales_lag_1, sales_lag_4, sales_lag_52,
+       sales_roll_mean_4, sales_roll_mean_8, ROUND(sales_roll_std_4, 2) AS sales_roll_std_4, date AS target_date
+FROM f WHERE nx"""

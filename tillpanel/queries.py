@@ -755,3 +755,9 @@ def q_training_run(spark, sf_dir):
     return runs.select("run_name", "model_type", F.element_at("tags", F.lit("quality_gate")).alias("quality_gate"),
                        r6(F.element_at("metrics", F.lit("test_rmsle"))).alias("test_rmsle"),
                        r6(F.element_at("metrics", F.lit("cv_mean_rmsle"))).alias("cv_mean_rmsle"))
+
+
+@query("snapshot_advanced")
+def q_snapshot_advanced(spark, sf_dir):
+    from tillpanel.operators.snapshot import advanced_snapshot
+    return round_std(advanced_snapshot(panel_table(spark, sf_dir)))
