@@ -81,7 +81,10 @@ def exact_group_quantiles(df: DataFrame, group_cols: list, value_col: str, probs
     tg = tg.withColumns({"_lo": F.col("_start") + F.floor("_pos").cast("long"),
                          "_hi": F.col("_start") + F.ceil("_pos").cast("long"),
                          "_frac": F.col("_pos") - F.floor("_pos")})
-    pick = idx.select(F.col("_gi"), F.col("_v"))
+    # only the ≤ 2 ranks per (group, prob) are needed: semi-filter the index
+    # with a size-checked broadcast of those ranks, then join small × small
+    need = tg.select(F.col("_lo").alias("_gi")).union(tg.select(F.col("_hi").alias("_gi"))).distinct()
+    pick = idx.select("_gi", "_v").join(broadcast_if_small(need), "_gi", "left_semi")
     lo = pick.withColumnRenamed("_gi", "_lo").withColumnRenamed("_v", "_vlo")
     hi = pick.withColumnRenamed("_gi", "_hi").withColumnRenamed("_v", "_vhi")
     j = tg.join(lo, "_lo").join(hi, "_hi")
