@@ -761,3 +761,11 @@ def q_training_run(spark, sf_dir):
 def q_snapshot_advanced(spark, sf_dir):
     from tillpanel.operators.snapshot import advanced_snapshot
     return round_std(advanced_snapshot(panel_table(spark, sf_dir)))
+
+
+@query("fairness_report_gbt")
+def q_fairness_report_gbt(spark, sf_dir):
+    """Segment report of the holdout model's own predictions (J2 as run after training)."""
+    pool, test = holdout_test(spark, sf_dir)
+    scored = score_in_sales_space(holdout_model(spark, sf_dir), test)
+    return rounded_report(G.fairness_report(scored, pool))
