@@ -55,7 +55,7 @@ def test_missing_column_reported_and_skipped(spark):
 
 
 def test_csv_ingest(spark, tmp_dir):
-    path = f"{tmp_dir}/Walmart_Sales.csv"
+    path = f"{tmp_dir}/weekly_sales.csv"
     with open(path, "w") as fh:
         fh.write("Store,Date,Weekly_Sales,Holiday_Flag,Temperature,Fuel_Price,CPI,Unemployment\n")
         fh.write("1,05-02-2010,1643690.9,0,42.31,2.572,211.0963582,8.106\n")
