@@ -664,7 +664,7 @@ def q_stream_scoring(spark, sf_dir):
     q.awaitTermination()
     ok = spark.read.parquet(f"{base}/ok")
     bad = spark.read.parquet(f"{base}/rejected")
-    out = ok.unionByName(bad).drop("batch_id")
+    out = ok.unionByName(bad).drop("batch")
     return out.withColumn("predicted_sales", F.round("predicted_sales", 4))
 
 

@@ -64,13 +64,23 @@ def run_to_table(df: DataFrame, path: str, mode: str = "append", checkpoint: str
     spark = df.sparkSession
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite" if mode == "complete" else "append").parquet(path)
+        if mode == "complete":  # every micro-batch carries the full result
+            batch.write.mode("overwrite").parquet(f"{path}/batch=0")
+        else:  # one folder per micro-batch: a replayed batch overwrites its own output
+            batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     q = (df.writeStream.foreachBatch(write).outputMode(mode)
          .option("checkpointLocation", checkpoint or f"{path}-checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.parquet(path).drop("batch") if _has_files(spark, path) else \
+        spark.createDataFrame([], df.schema)
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def run_to_parquet(df: DataFrame, path: str, checkpoint: str, available_now: bool = True,
@@ -87,15 +97,15 @@ def stream_scoring(requests: DataFrame, snapshot: DataFrame, out_ok: str, out_re
     unknown-store rows go to ``out_ok``, invalid requests to ``out_rejected``.
 
     ``foreachBatch`` reuses the batch scoring job on every micro-batch
-    (stream–static join with the broadcast snapshot). Output rows carry the
-    batch id so a replayed micro-batch can be recognised downstream.
+    (stream–static join with the broadcast snapshot). Each micro-batch writes its own ``batch=<id>`` folder in
+    overwrite mode, so a batch replayed after a failure replaces its output
+    instead of duplicating it (exactly-once files).
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        res = batch_predict(batch, snapshot, model=model, model_name=model_name, cents=cents).withColumn(
-            "batch_id", F.lit(batch_id))
+        res = batch_predict(batch, snapshot, model=model, model_name=model_name, cents=cents)
         res = res.persist()
-        res.filter(F.col("status") != "invalid").write.mode("append").parquet(out_ok)
-        res.filter(F.col("status") == "invalid").write.mode("append").parquet(out_rejected)
+        res.filter(F.col("status") != "invalid").write.mode("overwrite").parquet(f"{out_ok}/batch={batch_id}")
+        res.filter(F.col("status") == "invalid").write.mode("overwrite").parquet(f"{out_rejected}/batch={batch_id}")
         res.unpersist()
 
     w = requests.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
