@@ -112,8 +112,9 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     Saturday-to-Friday week; sales = Σ extendedprice·(1−discount); proxies:
     temperature = avg quantity, fuel_price = avg extendedprice / 1000,
     cpi = Σ extendedprice / Σ quantity, unemployment = 100 · avg discount.
-    Sums run in DECIMAL(18,4) so the result does not depend on summation
-    order; the exact sums are cast to double before dividing.
+    Sums are exact (integer cents / hundredths summed as BIGINT, overflow
+    raises under ANSI) so the result does not depend on summation order;
+    each exact sum is converted to double once before dividing.
 
     Plan: the lineitem scan reads five columns; the supplier side is a
     two-column lookup that the planner broadcasts when its size statistics
@@ -121,13 +122,14 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     partial (map-side) + final on (store, week), so only stores × weeks
     partial rows per task are shuffled, whatever the skew of a store.
     """
-    dec = T.DecimalType(18, 4)
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-    price = F.col("l_extendedprice").cast(dec)
-    disc = F.col("l_discount").cast(dec)
-    qty = F.col("l_quantity").cast(dec)
+    # Money in whole cents and discount in hundredths (the source's precision):
+    # per row only long arithmetic; each group's exact sum becomes DECIMAL once.
+    cents = F.rint(F.col("l_extendedprice") * 100).cast("long")
+    disc = F.rint(F.col("l_discount") * 100).cast("long")
+    qty = F.rint(F.col("l_quantity") * 100).cast("long")
     agg = (
         li.join(su, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy(
@@ -135,13 +137,19 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
             week_ending_friday(F.to_date("l_shipdate")).alias("date"),
         )
         .agg(
-            F.sum(price * (F.lit(1) - disc)).cast("double").alias("sales"),
+            F.sum(cents * (F.lit(100) - disc)).alias("_sales_e4"),
             F.count(F.lit(1)).alias("_n"),
-            F.sum(qty).cast("double").alias("_qty"),
-            F.sum(price).cast("double").alias("_price"),
-            F.sum(disc).cast("double").alias("_disc"),
+            F.sum(qty).alias("_qty_e2"),
+            F.sum(cents).alias("_price_e2"),
+            F.sum(disc).alias("_disc_e2"),
         )
     )
+
+    def exact(c, digits):
+        return (F.col(c).cast("decimal(38,0)") / F.lit(10 ** digits)).cast("double")
+
+    agg = agg.select("store_nbr", "date", "_n", exact("_sales_e4", 4).alias("sales"), exact("_qty_e2", 2).alias("_qty"),
+                     exact("_price_e2", 2).alias("_price"), exact("_disc_e2", 2).alias("_disc"))
     return agg.select(
         "store_nbr",
         "date",
