@@ -1,10 +1,11 @@
 """Data-quality checks on a panel, as one report DataFrame.
 
 Report schema: ``severity, check, column, n_bad, message`` — one row per
-failed check. Errors block training, warnings do not. All null and range
-rules are evaluated in a single aggregation; duplicate and balance checks
-share one ``groupBy(store_nbr, date)``. Checks on absent columns are skipped
-(the schema check reports them).
+failed check. Errors block training, warnings do not. All rules are
+evaluated in one pass: a ``groupBy(store_nbr, date)`` carrying every null and
+range count, then per store, then one row. Checks on absent columns are
+skipped (the schema check reports them). Weeks per store count distinct
+non-null dates (a store with none counts 0).
 """
 
 from __future__ import annotations
@@ -79,36 +80,45 @@ def validate_panel(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
             [("error", "schema", ",".join(missing), len(missing),
               f"Missing required columns: {missing}")], REPORT_SCHEMA))
 
-    # nulls + ranges: one pass
+    # nulls + ranges (+ duplicates and balance): every count is additive, so
+    # with key columns present they ride on the groupBy(store, date) that the
+    # duplicate and balance checks need anyway: one scan of the input.
     null_cols = [c for c in required if c in cols]
     rules = _range_rules(cols)
-    aggs = [F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in null_cols]
-    aggs += [F.count_if(pred).alias(f"range__{col}") for col, _, pred, _ in rules]
-    if aggs:
-        one = df.agg(*aggs)
-        entries = [("error", "nulls", c, F.col(f"null__{c}"),
-                    F.format_string(f"Column '{c}' has %d null value(s)", F.col(f"null__{c}")))
-                   for c in null_cols]
-        entries += [(sev, "range", col, F.col(f"range__{col}"),
-                     F.format_string(f"'{col}' has %d {msg}", F.col(f"range__{col}")))
-                    for col, sev, _, msg in rules]
+    counts = [F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in null_cols]
+    counts += [F.count_if(pred).alias(f"range__{col}") for col, _, pred, _ in rules]
+    entries = [("error", "nulls", c, F.col(f"null__{c}"),
+                F.format_string(f"Column '{c}' has %d null value(s)", F.col(f"null__{c}")))
+               for c in null_cols]
+    entries += [(sev, "range", col, F.col(f"range__{col}"),
+                 F.format_string(f"'{col}' has %d {msg}", F.col(f"range__{col}")))
+                for col, sev, _, msg in rules]
+    keyed = all(k in cols for k in KEY_COLUMNS)
+    if not keyed:
+        if counts:
+            parts.append(_rows(df.agg(*counts), entries))
+    else:
+        # one linear chain (no branches → one scan): (store, date) → store → one row
+        per_key = df.groupBy("store_nbr", "date").agg(F.count(F.lit(1)).alias("_n"), *counts)
+        cnt_cols = per_key.columns[3:]
+        per_store = per_key.groupBy("store_nbr").agg(
+            *[F.sum(c).alias(c) for c in cnt_cols],
+            F.sum(F.col("_n") - 1).alias("_dupes"),
+            F.count_if(F.col("date").isNotNull()).alias("_weeks"))
+        weeks = F.when(F.col("store_nbr").isNotNull(), F.col("_weeks"))
+        one = per_store.agg(
+            *[F.sum(c).alias(c) for c in cnt_cols],
+            F.coalesce(F.sum("_dupes"), F.lit(0)).alias("n_dupes"),
+            F.min(weeks).alias("lo"), F.max(weeks).alias("hi"), F.count_distinct(weeks).alias("k"))
+        entries.append(("error", "duplicates", ",".join(KEY_COLUMNS), F.col("n_dupes"),
+                        F.format_string(f"%d duplicate row(s) on key {KEY_COLUMNS}", F.col("n_dupes"))))
+        entries.append(("warning", "balance", "date",
+                        F.when(F.col("k") > 1, F.col("hi") - F.col("lo")).otherwise(0),
+                        F.format_string("Uneven number of weeks per store (min=%d, max=%d); "
+                                        "expected a balanced panel.", F.col("lo"), F.col("hi"))))
         parts.append(_rows(one, entries))
-
-    # duplicates + balance: one groupBy(store, date)
-    if all(k in cols for k in KEY_COLUMNS):
-        per_key = df.groupBy("store_nbr", "date").agg(F.count(F.lit(1)).alias("n"))
-        dupes = per_key.agg(F.sum(F.col("n") - 1).alias("n_dupes"))
-        parts.append(_rows(dupes, [(
-            "error", "duplicates", ",".join(KEY_COLUMNS), F.coalesce(F.col("n_dupes"), F.lit(0)),
-            F.format_string(f"%d duplicate row(s) on key {KEY_COLUMNS}", F.col("n_dupes")))]))
-        weeks = (per_key.filter(F.col("store_nbr").isNotNull() & F.col("date").isNotNull())
-                 .groupBy("store_nbr").agg(F.count(F.lit(1)).alias("weeks")))
-        bal = weeks.agg(F.min("weeks").alias("lo"), F.max("weeks").alias("hi"),
-                        F.count_distinct("weeks").alias("k"))
-        parts.append(_rows(bal, [(
-            "warning", "balance", "date", F.when(F.col("k") > 1, F.col("hi") - F.col("lo")).otherwise(0),
-            F.format_string("Uneven number of weeks per store (min=%d, max=%d); expected a balanced panel.",
-                            F.col("lo"), F.col("hi")))]))
+    if not parts:
+        return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

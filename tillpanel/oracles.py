@@ -187,8 +187,7 @@ def validation_sql(src: str) -> str:
 one AS (SELECT {', '.join(aggs)} FROM src),
 per_key AS (SELECT store_nbr, date, COUNT(*) AS n FROM src GROUP BY store_nbr, date),
 dup AS (SELECT CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS n_dupes FROM per_key),
-weeks AS (SELECT store_nbr, COUNT(*) AS weeks FROM per_key
-          WHERE store_nbr IS NOT NULL AND date IS NOT NULL GROUP BY store_nbr),
+weeks AS (SELECT store_nbr, COUNT(date) AS weeks FROM per_key WHERE store_nbr IS NOT NULL GROUP BY store_nbr),
 bal AS (SELECT CAST(MIN(weeks) AS BIGINT) AS lo, CAST(MAX(weeks) AS BIGINT) AS hi,
                COUNT(DISTINCT weeks) AS k FROM weeks),
 rep AS (
