@@ -86,3 +86,12 @@ def test_param_grid_reference_picks():
     picks = [tuple(p.values()) for p in sample_param_grid(DEFAULT_PARAM_GRID, 6, 42)]
     assert picks == [(31, 0.03, 200, 5), (15, 0.03, 200, 5), (31, 0.05, 100, 20), (15, 0.1, 100, 5),
                      (15, 0.03, 100, 10), (31, 0.1, 100, 5)]
+
+
+def test_target_encoded_store_for_many_stores(fitted):
+    feats, pool, test, _ = fitted
+    m = ForecastModel.fit(pool, PARAMS, max_categorical=2)  # force the high-cardinality path
+    from pyspark.ml.feature import TargetEncoderModel
+    assert isinstance(m.pipeline_model.stages[0], TargetEncoderModel)
+    out = score_in_sales_space(m, test).agg(*metric_aggs("sales", "prediction")).first()
+    assert out["n"] > 0 and out["rmsle"] < 2.0

@@ -13,7 +13,7 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,6 +33,11 @@ LEAVES_TO_DEPTH = {7: 3, 15: 4, 31: 5}
 SENTINEL = -1.0
 SEED = 42
 STORE_INDEX = "store_idx"
+# Above this many stores the store is target-encoded (a numeric feature)
+# instead of a nominal one: tree splits over a nominal feature need
+# maxBins ≥ #stores, which does not scale to very many stores.
+CATEGORICAL_MAX_STORES = 1000
+TARGET_SMOOTHING = 20.0
 
 
 def sample_param_grid(grid: dict, n_samples: int, seed: int = SEED) -> list[dict]:
@@ -81,24 +86,37 @@ def input_columns(df: DataFrame) -> list[str]:
     return cols
 
 
-def build_pipeline(train: DataFrame, params: dict, n_stores: int | None = None) -> Pipeline:
-    store = StringIndexer(inputCol="store_key", outputCol=STORE_INDEX, handleInvalid="keep",
-                          stringOrderType="alphabetAsc")
+def build_pipeline(train: DataFrame, params: dict, n_stores: int | None = None,
+                   max_categorical: int = CATEGORICAL_MAX_STORES) -> Pipeline:
+    """store → (nominal index | target encoding) → assembler → GBT."""
+    if n_stores is not None and n_stores > max_categorical:
+        encoder = TargetEncoder(inputCol="store_code", outputCol="store_te", labelCol=LOG_TARGET,
+                                targetType="continuous", handleInvalid="keep", smoothing=TARGET_SMOOTHING)
+        # recompute as a plain expression: drops the nominal metadata the encoder keeps
+        plain = SQLTransformer(statement=f"SELECT *, store_te + 0.0 AS {STORE_INDEX} FROM __THIS__")
+        store = [encoder, plain]
+        bins_for = None
+    else:
+        store = [StringIndexer(inputCol="store_key", outputCol=STORE_INDEX, handleInvalid="keep",
+                               stringOrderType="alphabetAsc")]
+        bins_for = n_stores
     assembler = VectorAssembler(inputCols=[STORE_INDEX] + input_columns(train), outputCol="features",
                                 handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=LOG_TARGET, predictionCol="log_prediction",
-                       **gbt_params(params, n_stores))
-    return Pipeline(stages=[store, assembler, gbt])
+                       **gbt_params(params, bins_for))
+    return Pipeline(stages=[*store, assembler, gbt])
 
 
 def prepare(df: DataFrame) -> DataFrame:
-    return model_input(df).withColumn("store_key", F.col("store_nbr").cast("string"))
+    return model_input(df).withColumns({"store_key": F.col("store_nbr").cast("string"),
+                                        "store_code": F.col("store_nbr").cast("double")})
 
 
 ROWS_PER_PARTITION = 100_000
 
 
-def fit_global_model(train: DataFrame, params: dict) -> PipelineModel:
+def fit_global_model(train: DataFrame, params: dict,
+                     max_categorical: int = CATEGORICAL_MAX_STORES) -> PipelineModel:
     """Fit StringIndexer(store) → VectorAssembler → GBTRegressor on rows
     with a log target.
 
@@ -113,7 +131,7 @@ def fit_global_model(train: DataFrame, params: dict) -> PipelineModel:
     parts = max(1, min(par, -(-st["n"] // ROWS_PER_PARTITION)))
     data = data.repartition(parts).persist()
     try:
-        return build_pipeline(data, params, st["s"]).fit(data)
+        return build_pipeline(data, params, st["s"], max_categorical).fit(data)
     finally:
         data.unpersist()
 
@@ -127,7 +145,7 @@ class ForecastModel:
     def transform(self, df: DataFrame) -> DataFrame:
         out = self.pipeline_model.transform(prepare(df))
         drop = [c for c in out.columns if c.endswith("__filled") or c.endswith("_is_missing")]
-        return out.drop("features", STORE_INDEX, "store_key", *drop)
+        return out.drop("features", STORE_INDEX, "store_key", "store_code", "store_te", *drop)
 
     def save(self, path: str) -> None:
         self.pipeline_model.write().overwrite().save(path)
@@ -137,8 +155,9 @@ class ForecastModel:
         return cls(PipelineModel.load(path))
 
     @classmethod
-    def fit(cls, train: DataFrame, params: dict) -> "ForecastModel":
-        return cls(fit_global_model(train, params))
+    def fit(cls, train: DataFrame, params: dict,
+            max_categorical: int = CATEGORICAL_MAX_STORES) -> "ForecastModel":
+        return cls(fit_global_model(train, params, max_categorical))
 
 
 def score_in_sales_space(model: ForecastModel, df: DataFrame, clip: bool = False) -> DataFrame:
