@@ -84,3 +84,21 @@ def test_panel_table_materialised_once(spark):
     b = panel_table(spark, SF_SMALL)
     assert a.inputFiles() == b.inputFiles()
     assert a.exceptAll(weekly_panel(spark, SF_SMALL)).count() == 0
+
+
+def test_salted_lookup_join_equals_plain(spark):
+    from tillpanel.plans.physical import hot_keys, lookup_join
+    fact = spark.range(0, 20000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500))
+                                        .alias("k"), F.col("id").alias("v"))
+    dim = spark.range(0, 500).select(F.col("id").alias("dk"), (F.col("id") * 10).alias("w"))
+    assert 7 in hot_keys(fact, "k", fraction=0.2, share=0.05)
+    salted = lookup_join(fact, dim, "k", "dk", max_broadcast_rows=10, salt=8)
+    plain = fact.join(dim, F.col("k") == F.col("dk"))
+    assert salted.count() == plain.count() == 20000
+    assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
+
+
+def test_panel_same_with_salted_join(spark):
+    a = weekly_panel(spark, SF_SMALL)
+    b = weekly_panel(spark, SF_SMALL, join_opts={"max_broadcast_rows": 5, "hot": [1, 2, 3]})
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0

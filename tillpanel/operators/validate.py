@@ -152,7 +152,8 @@ def lineitem_feed(spark, sf_dir) -> DataFrame:
         "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
     su = read_table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     d = week_ending_friday(F.to_date("l_shipdate"))
-    return li.join(su, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    from tillpanel.plans.physical import lookup_join
+    return lookup_join(li, su, "l_suppkey", "s_suppkey").select(
         F.col("s_nationkey").cast("int").alias("store_nbr"),
         d.alias("date"),
         (F.col("l_extendedprice") * (F.lit(1.0) - F.col("l_discount"))).alias("sales"),

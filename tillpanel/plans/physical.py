@@ -93,3 +93,47 @@ def exact_group_quantiles(df: DataFrame, group_cols: list, value_col: str, probs
     long = j.select(*group_cols, "_k", q.alias("_q"))
     aggs = [F.max(F.when(F.col("_k") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
     return long.groupBy(*group_cols).agg(*aggs) if group_cols else long.agg(*aggs)
+
+
+def hot_keys(df: DataFrame, key: str, fraction: float = 0.001, share: float = 0.01,
+             seed: int = 42, max_keys: int = 1000) -> list:
+    """Keys holding more than ``share`` of the rows, estimated from a
+    ``fraction`` sample (one small aggregation; at most ``max_keys`` keys
+    come back to the driver)."""
+    s = df.select(key).sample(fraction=fraction, seed=seed)
+    counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    total = F.sum("n").over(_everything())
+    hot = (counts.select(key, "n", total.alias("t")).filter(F.col("n") > F.col("t") * F.lit(share))
+           .orderBy(F.desc("n")).limit(max_keys).collect())
+    return [r[key] for r in hot]
+
+
+def _everything():
+    from pyspark.sql import Window
+    return Window.partitionBy()
+
+
+def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
+                max_broadcast_rows: int = 5_000_000, salt: int = 16,
+                hot: list | None = None) -> DataFrame:
+    """Inner join of a large fact table with a dimension lookup.
+
+    * dimension provably small (≤ ``max_broadcast_rows``): broadcast hash
+      join, the fact side is never shuffled;
+    * otherwise a shuffle join where only hot keys are salted: their fact
+      rows are spread over ``salt`` sub-keys and their dimension rows are
+      replicated ``salt`` times, so no task receives a third of the data.
+      ``hot`` can be given; else it is estimated from a sample.
+    """
+    n = dim.limit(max_broadcast_rows + 1).count()
+    if n <= max_broadcast_rows:
+        return fact.join(F.broadcast(dim), F.col(fact_key) == F.col(dim_key))
+    hot = hot_keys(fact, fact_key) if hot is None else hot
+    if not hot:
+        return fact.join(dim, F.col(fact_key) == F.col(dim_key))
+    is_hot_f = F.col(fact_key).isin(hot)
+    f = fact.withColumn("_salt", F.when(is_hot_f, F.pmod(F.xxhash64(*fact.columns), F.lit(salt))).otherwise(0))
+    is_hot_d = F.col(dim_key).isin(hot)
+    d = dim.withColumn("_salt", F.explode(F.when(is_hot_d, F.sequence(F.lit(0), F.lit(salt - 1)))
+                                          .otherwise(F.array(F.lit(0)))))
+    return f.join(d, (F.col(fact_key) == F.col(dim_key)) & (f["_salt"] == d["_salt"])).drop("_salt")

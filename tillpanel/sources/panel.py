@@ -14,6 +14,7 @@ from pyspark.sql.utils import AnalysisException
 
 from tillpanel.functions.calendar import is_major_holiday_week, week_ending_friday
 from tillpanel.functions.metrics import nan_to_null
+from tillpanel.plans.physical import lookup_join
 
 # Raw CSV column names → panel column names, and date format.
 RAW_COLUMN_RENAME = {
@@ -105,7 +106,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def weekly_panel(spark: SparkSession, sf_dir: str, join_opts: dict | None = None) -> DataFrame:
     """Store × week panel derived from the driver's ``lineitem`` and ``supplier``.
 
     store = supplier nation + 1; week = Friday closing the ship date's
@@ -117,10 +118,10 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     each exact sum is converted to double once before dividing.
 
     Plan: the lineitem scan reads five columns; the supplier side is a
-    two-column lookup that the planner broadcasts when its size statistics
-    allow (else a sort-merge join with AQE skew splitting); the aggregate is
-    partial (map-side) + final on (store, week), so only stores × weeks
-    partial rows per task are shuffled, whatever the skew of a store.
+    two-column lookup, broadcast when its row count is provably small, else
+    joined by shuffle with hot suppliers salted (``lookup_join``); the
+    aggregate is partial (map-side) + final on (store, week), so only
+    stores × weeks partial rows per task are shuffled, whatever the skew.
     """
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_discount")
@@ -131,7 +132,7 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     disc = F.rint(F.col("l_discount") * 100).cast("long")
     qty = F.rint(F.col("l_quantity") * 100).cast("long")
     agg = (
-        li.join(su, F.col("l_suppkey") == F.col("s_suppkey"))
+        lookup_join(li, su, "l_suppkey", "s_suppkey", **(join_opts or {}))
         .groupBy(
             (F.col("s_nationkey") + 1).cast("int").alias("store_nbr"),
             week_ending_friday(F.to_date("l_shipdate")).alias("date"),
