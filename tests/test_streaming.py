@@ -52,3 +52,14 @@ def test_stream_scoring_two_sinks(spark, tmp_dir):
     assert ok.count() + bad.count() == n_orders
     assert bad.filter(F.col("status") != "invalid").count() == 0
     assert ok.filter("status = 'ok' AND predicted_sales < 0").count() == 0
+
+
+def test_start_monitoring_closed_windows_match_batch(spark, tmp_dir):
+    qs = ST.start_monitoring(spark, f"{SF_SMALL}/events.parquet", f"{tmp_dir}/mon", available_now=True)
+    for q in qs.values():
+        q.awaitTermination()
+    got = spark.read.parquet(f"{tmp_dir}/mon/http_error_ratio")
+    batch = M.http_error_ratio(prediction_log(spark, SF_SMALL))
+    assert got.count() > 0 and got.exceptAll(batch.select(*got.columns)).count() == 0
+    lat = spark.read.parquet(f"{tmp_dir}/mon/latency_quantiles")
+    assert lat.filter("p50 > p95").count() == 0

@@ -162,3 +162,28 @@ def alert_for_stream(conditions: DataFrame, hold_seconds: float) -> DataFrame:
     state and emit every evaluation with its firing flag (append mode)."""
     return conditions.groupBy("rule").applyInPandasWithState(
         _alert_fn(hold_seconds), ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
+
+
+def start_monitoring(spark: SparkSession, events_path: str, out_dir: str, watermark: str = "10 minutes",
+                     available_now: bool = False, interval: str = "1 minute") -> dict:
+    """Start the monitoring streams over an events folder.
+
+    Each windowed monitor runs as its own append-mode query with a
+    watermark (windows are written once, when closed) into
+    ``out_dir/<name>`` with its checkpoint in ``out_dir/_checkpoints``.
+    Latency quantiles use ``percentile_approx`` so state stays bounded.
+    Returns name → StreamingQuery.
+    """
+    from tillpanel.streaming import monitor as M
+    out = out_dir.rstrip("/")
+    log = prediction_log_stream(spark, events_path)
+    jobs = {
+        "prediction_rate": M.prediction_rate(log, watermark=watermark),
+        "error_rate_by_reason": M.error_rate_by_reason(log, watermark=watermark),
+        "request_rate_by_status": M.request_rate_by_status(log, watermark=watermark),
+        "http_error_ratio": M.http_error_ratio(log, watermark=watermark),
+        "latency_quantiles": M.latency_quantiles(log, method="approx", watermark=watermark),
+    }
+    return {name: run_to_parquet(df, f"{out}/{name}", f"{out}/_checkpoints/{name}",
+                                 available_now=available_now, interval=interval)
+            for name, df in jobs.items()}
