@@ -8,15 +8,33 @@ the DuckDB twin in :mod:`tillpanel.oracles` can be compared value by value.
 
 from __future__ import annotations
 
+import uuid as _uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillpanel.operators.evaluate import naive_baseline
-from tillpanel.operators.features import build_features
-from tillpanel.operators.split import holdout_cutoff
-from tillpanel.sources.panel import panel_table, read_table, weekly_panel
+from tillpanel.functions.calendar import (LABOR_DAY, SUPER_BOWL, THANKSGIVING, is_major_holiday_week,
+                                          nth_weekday, week_ending_friday)
+from tillpanel.operators import explore as X
+from tillpanel.operators import runlog as RL
+from tillpanel.operators import scoring as S
+from tillpanel.operators import segments as G
+from tillpanel.operators.evaluate import evaluate_all, naive_baseline
+from tillpanel.operators.features import build_features, select_model_columns
+from tillpanel.operators.snapshot import latest_per_store, read_snapshot, write_snapshot
+from tillpanel.operators.split import assert_disjoint, assign_folds, holdout_cutoff, rolling_origin_folds
+from tillpanel.operators.validate import lineitem_feed, quarantine, validate_panel
+from tillpanel.plans import attribution as A
+from tillpanel.plans.model import ForecastModel, best_of, cv_score, gain_importance, score_in_sales_space
+from tillpanel.plans.reports import segment_summary_json, write_report_tables
+from tillpanel.plans.training import run_training
+from tillpanel.session import scratch_path
+from tillpanel.sources.derived import model_versions, prediction_log, run_log, scoring_requests
+from tillpanel.sources.panel import (densify_panel, file_fingerprint, panel_profile, panel_table, read_table,
+                                     weekly_panel)
+from tillpanel.streaming import monitor as M
+from tillpanel.streaming import stream as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -71,16 +89,6 @@ def q_naive_baseline_holdout(spark, sf_dir, test_weeks: int = 8):
 
 
 # ---------------------------------------------------------------- 2.1 / 2.2 quality
-from tillpanel.operators import explore as X  # noqa: E402
-from tillpanel.operators import scoring as S  # noqa: E402
-from tillpanel.operators.evaluate import evaluate_all  # noqa: E402
-from tillpanel.operators.features import select_model_columns  # noqa: E402
-from tillpanel.operators.snapshot import latest_per_store  # noqa: E402
-from tillpanel.operators.validate import lineitem_feed, quarantine, validate_panel  # noqa: E402
-from tillpanel.sources.derived import scoring_requests  # noqa: E402
-from tillpanel.sources.panel import panel_profile  # noqa: E402
-from tillpanel.functions.calendar import (  # noqa: E402
-    LABOR_DAY, SUPER_BOWL, THANKSGIVING, is_major_holiday_week, nth_weekday, week_ending_friday)
 
 
 def holdout_test(spark, sf_dir, test_weeks: int = 8):
@@ -266,8 +274,6 @@ def q_batch_predict_naive(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- 2.11 segments / fairness
-from tillpanel.operators import segments as G  # noqa: E402
-from tillpanel.operators.split import assert_disjoint, assign_folds, rolling_origin_folds  # noqa: E402
 
 
 def naive_holdout_frames(spark, sf_dir, test_weeks: int = 8):
@@ -369,8 +375,6 @@ def q_holdout_disjoint(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- 2.1 / 2.9 / 2.12 run log, gate, staleness
-from tillpanel.operators import runlog as RL  # noqa: E402
-from tillpanel.sources.derived import model_versions, run_log  # noqa: E402
 
 # Fixed "now" of the staleness queries (the derived versions span 1992-1998).
 STALENESS_NOW = "1998-08-03 12:00:00"
@@ -423,8 +427,6 @@ def q_staleness_status(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- 2.13 monitoring (batch form)
-from tillpanel.sources.derived import prediction_log  # noqa: E402
-from tillpanel.streaming import monitor as M  # noqa: E402
 
 
 @query("prediction_log")
@@ -523,9 +525,6 @@ def q_stream_counters_batch(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- 2.9 / 2.10 model and attribution (no SQL twin)
-from tillpanel.plans import attribution as A  # noqa: E402
-from tillpanel.plans.model import ForecastModel, cv_score, gain_importance, sample_param_grid  # noqa: E402
-from tillpanel.plans.model import DEFAULT_PARAM_GRID, best_of, score_in_sales_space  # noqa: E402
 
 # Small trees keep the registered model queries quick; the training job
 # takes any grid.
@@ -609,10 +608,6 @@ def q_local_explanation(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- 2.13 monitoring (Structured Streaming form)
-import uuid as _uuid  # noqa: E402
-
-from tillpanel.session import scratch_path  # noqa: E402
-from tillpanel.streaming import stream as ST  # noqa: E402
 
 
 def _events_stream(spark, sf_dir):
@@ -689,10 +684,6 @@ def requests_from_orders(o):
 
 
 # ---------------------------------------------------------------- sources, reports, job runs
-from tillpanel.operators.snapshot import read_snapshot, write_snapshot  # noqa: E402
-from tillpanel.plans.reports import segment_summary_json, write_report_tables  # noqa: E402
-from tillpanel.plans.training import run_training  # noqa: E402
-from tillpanel.sources.panel import densify_panel, file_fingerprint  # noqa: E402
 
 
 @query("file_fingerprint")
