@@ -67,3 +67,13 @@ def test_advanced_snapshot_uses_last_week(spark):
     assert snap[1]["sales_lag_1"] == 11000.0  # the last week's own sales
     assert snap[1]["sales_roll_mean_4"] == (8000 + 9000 + 10000 + 11000) / 4
     assert snap[1]["target_date"] == dt.date(2010, 2, 5) + dt.timedelta(days=7 * 12)
+
+
+def test_prepared_snapshot_same_result(spark):
+    from tillpanel.operators.scoring import PreparedSnapshot
+    d = dt.date(2012, 11, 2)
+    reqs = spark.createDataFrame([(1, 1, 1, d, None, None, None, None, None),
+                                  (2, 1, 9, d, None, None, None, None, None)], REQ)
+    a = batch_predict(reqs, _snap(spark))
+    b = batch_predict(reqs, PreparedSnapshot(_snap(spark)))
+    assert a.exceptAll(b).count() == 0 and b.count() == 2

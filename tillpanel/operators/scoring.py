@@ -56,16 +56,38 @@ def check_batch_size(requests: DataFrame, max_items: int = MAX_BATCH,
             .withColumn("ok", F.col("n_items").between(1, max_items)))
 
 
-def score_features(requests: DataFrame, snapshot: DataFrame) -> DataFrame:
+class PreparedSnapshot:
+    """A snapshot checked once, cached and marked for broadcast, so repeated
+    scoring calls (one request at a time) skip the size check."""
+
+    def __init__(self, snapshot: DataFrame, max_rows: int = 200_000):
+        n = snapshot.count()
+        if n > max_rows:
+            raise ValueError(f"snapshot has {n} rows; score with the DataFrame directly (shuffle join)")
+        self.df = F.broadcast(snapshot.select(*SNAPSHOT_COLUMNS).cache())
+        self.df.count()
+
+
+def _lookup(snapshot) -> DataFrame:
+    return snapshot.df if isinstance(snapshot, PreparedSnapshot) else broadcast_if_small(snapshot)
+
+
+def _snapshot_df(snapshot) -> DataFrame:
+    return snapshot.df if isinstance(snapshot, PreparedSnapshot) else snapshot
+
+
+def score_features(requests: DataFrame, snapshot) -> DataFrame:
     """Valid requests ⟕ snapshot on store: overrides win over last known
     values, calendar fields come from the requested date, holiday flag from
     the rule unless given. ``status`` = ok | unknown_store.
 
     The snapshot (one row per store) is broadcast behind a row-count check.
     """
-    snap = snapshot.select(*SNAPSHOT_COLUMNS).withColumn("_known", F.lit(True))
+    base = _snapshot_df(snapshot)
+    snap = base.select(*SNAPSHOT_COLUMNS).withColumn("_known", F.lit(True))
     snap = snap.select("store_nbr", "_known", *[F.col(c).alias(f"_snap_{c}") for c in SNAPSHOT_COLUMNS[1:]])
-    j = requests.join(broadcast_if_small(snap), "store_nbr", "left")
+    snap = F.broadcast(snap) if isinstance(snapshot, PreparedSnapshot) else broadcast_if_small(snap)
+    j = requests.join(snap, "store_nbr", "left")
     d = F.col("date")
     cols = {
         "holiday_flag": F.coalesce(F.col("holiday_flag"), is_major_holiday_week(d)),
@@ -82,7 +104,7 @@ def score_features(requests: DataFrame, snapshot: DataFrame) -> DataFrame:
 
 def unknown_stores(requests: DataFrame, snapshot: DataFrame) -> DataFrame:
     """Requests whose store has no snapshot row (HTTP 404 semantics)."""
-    return requests.join(broadcast_if_small(snapshot.select("store_nbr")), "store_nbr", "left_anti")
+    return requests.join(_lookup(snapshot).select("store_nbr"), "store_nbr", "left_anti")
 
 
 def naive_log_model(features: DataFrame) -> DataFrame:
