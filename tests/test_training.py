@@ -102,3 +102,24 @@ def test_panel_same_with_salted_join(spark):
     a = weekly_panel(spark, SF_SMALL)
     b = weekly_panel(spark, SF_SMALL, join_opts={"max_broadcast_rows": 5, "hot": [1, 2, 3]})
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_panel_total_equals_brute_force(spark):
+    import duckdb
+    total = weekly_panel(spark, SF_SMALL).agg(F.sum("sales")).first()[0]
+    n = weekly_panel(spark, SF_SMALL).agg(F.sum(F.lit(1))).first()[0]
+    exact = duckdb.sql(f"SELECT SUM(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2)))) "
+                       f"FROM '{SF_SMALL}/lineitem.parquet'").fetchall()[0][0]
+    assert abs(total - float(exact)) < 1e-6 * float(exact) and n > 0
+
+
+def test_table_fingerprint_order_free(spark, tmp_dir):
+    from tillpanel.sources.derived import read_prediction_log
+    from tillpanel.sources.panel import table_fingerprint
+    df = spark.range(0, 1000).select("id", (F.col("id") % 7).alias("g"))
+    a = table_fingerprint(df).first()
+    b = table_fingerprint(df.repartition(5).orderBy(F.desc("id"))).first()
+    assert a == b and a["n_rows"] == 1000
+    from tillpanel.sources.derived import prediction_log
+    prediction_log(spark, SF_SMALL).write.parquet(f"{tmp_dir}/log")
+    assert read_prediction_log(spark, f"{tmp_dir}/log").count() == prediction_log(spark, SF_SMALL).count()

@@ -760,3 +760,12 @@ def q_fairness_report_gbt(spark, sf_dir):
     pool, test = holdout_test(spark, sf_dir)
     scored = score_in_sales_space(holdout_model(spark, sf_dir), test)
     return rounded_report(G.fairness_report(scored, pool))
+
+
+@query("table_fingerprint")
+def q_table_fingerprint(spark, sf_dir):
+    """Order-free content hash of lineitem and events (layout-independent)."""
+    from tillpanel.sources.panel import table_fingerprint
+    return table_fingerprint(read_table(spark, sf_dir, "lineitem")).select(
+        F.lit("lineitem").alias("table"), "*").unionByName(
+        table_fingerprint(read_table(spark, sf_dir, "events")).select(F.lit("events").alias("table"), "*"))

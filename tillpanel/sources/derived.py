@@ -108,3 +108,13 @@ def model_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("run-"), k.cast("string")).alias("run_id"),
         created.alias("created_at"),
     )
+
+
+PREDICTION_LOG_SCHEMA = ("event_id BIGINT, ts TIMESTAMP, store_nbr INT, http_status INT, reason STRING, "
+                         "latency_s DOUBLE, predicted_sales DOUBLE")
+
+
+def read_prediction_log(spark: SparkSession, path: str, stream: bool = False) -> DataFrame:
+    """A persisted prediction log (parquet), as a batch or a file stream."""
+    reader = spark.readStream if stream else spark.read
+    return reader.schema(PREDICTION_LOG_SCHEMA).parquet(path)

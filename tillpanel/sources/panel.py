@@ -232,3 +232,12 @@ def panel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
         weekly_panel(spark, sf_dir).write.mode("overwrite").parquet(path)
         _MATERIALIZED[key] = path
     return spark.read.parquet(path)
+
+
+def table_fingerprint(df: DataFrame) -> DataFrame:
+    """Order-free content hash of a table: row count and the exact (DECIMAL)
+    sum of a 64-bit hash of every row. Independent of file layout and
+    partitioning; used for inputs whose files are too large to hash as
+    bytes (``binaryFile`` loads a whole file per row)."""
+    h = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(h).cast("string").alias("content_hash"))
