@@ -95,3 +95,14 @@ def test_target_encoded_store_for_many_stores(fitted):
     assert isinstance(m.pipeline_model.stages[0], TargetEncoderModel)
     out = score_in_sales_space(m, test).agg(*metric_aggs("sales", "prediction")).first()
     assert out["n"] > 0 and out["rmsle"] < 2.0
+
+
+def test_exact_quantiles_both_paths_agree(spark):
+    from tillpanel.plans.physical import exact_group_quantiles
+    df = spark.range(0, 3000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 37) % 1001 / 7.0).alias("v"))
+    a = exact_group_quantiles(df, ["g"], "v", [0.25, 0.5, 0.95], buffer_limit=10**9)   # buffered aggregate
+    b = exact_group_quantiles(df, ["g"], "v", [0.25, 0.5, 0.95], buffer_limit=10)      # distributed sort
+    ra = {r["g"]: r for r in a.collect()}
+    for r in b.collect():
+        for c in ("q25", "q50", "q95"):
+            assert abs(r[c] - ra[r["g"]][c]) < 1e-9

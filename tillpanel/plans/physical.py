@@ -58,19 +58,33 @@ def with_row_index(df: DataFrame, order_cols: list, name: str = "row_idx",
     return tagged.withColumn(name, (offset + local).cast("long")).drop("_pid", "_mid")
 
 
+# Largest group whose values may be buffered by one task for an exact quantile.
+QUANTILE_BUFFER_LIMIT = 1_000_000
+
+
 def exact_group_quantiles(df: DataFrame, group_cols: list, value_col: str, probs: list[float],
-                          names: list[str] | None = None) -> DataFrame:
-    """Exact linear-interpolation quantiles per group without buffering a
-    group in one task.
-
-    One distributed sort on (group…, value) gives every row a global index
-    (range partitioning splits a hot group across tasks); per group the
-    first index and count locate ranks ⌊p(n−1)⌋ and ⌈p(n−1)⌉, which are
-    fetched with an equi-join on the index and interpolated.
+                          names: list[str] | None = None,
+                          buffer_limit: int = QUANTILE_BUFFER_LIMIT) -> DataFrame:
+    """Exact linear-interpolation quantiles per group, never buffering more
+    than ``buffer_limit`` values in one task.
+
+    One small job finds the largest group. Within the bound, the exact
+    ``percentile`` aggregate runs (values of a group buffered together).
+    Beyond it, one distributed sort on (group…, value) gives every row a
+    global index (range partitioning splits a hot group across tasks); per
+    group the first index and count locate ranks ⌊p(n−1)⌋ and ⌈p(n−1)⌉,
+    which are fetched through a semi-join on the index and interpolated.
     Nulls are ignored. Output: group columns + one column per prob.
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     vals = df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
+    sizes = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
+        vals.agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0] or 0
+    if largest <= buffer_limit:
+        q = F.percentile("_v", [float(p) for p in probs])
+        g = vals.groupBy(*group_cols).agg(q.alias("_q")) if group_cols else vals.agg(q.alias("_q"))
+        return g.select(*group_cols, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
     idx = with_row_index(vals, [*group_cols, "_v"], "_gi")
     stats = idx.groupBy(*group_cols).agg(F.min("_gi").alias("_start"), F.count(F.lit(1)).alias("_n"))
     pcol = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.lit(float(p)).alias("p"))
