@@ -927,3 +927,23 @@ f AS (
 SELECT store_nbr, temperature, fuel_price, cpi, unemployment, sales_lag_1, sales_lag_4, sales_lag_52,
        sales_roll_mean_4, sales_roll_mean_8, ROUND(sales_roll_std_4, 2) AS sales_roll_std_4, date AS target_date
 FROM f WHERE nx"""
+
+
+@oracle("windowed_sales_quantiles")
+def _():
+    parts = [f"SELECT window_start, window_end, {i} AS bucket, {float(b)}::DOUBLE AS upper, "
+             f"CAST(COUNT_IF(predicted_sales <= {float(b)}) AS BIGINT) AS cum_count FROM w "
+             f"WHERE predicted_sales IS NOT NULL GROUP BY window_start, window_end" for i, b in enumerate(BOUNDS)]
+    parts.append(f"SELECT window_start, window_end, {len(BOUNDS)}, 'inf'::DOUBLE, CAST(COUNT(*) AS BIGINT) FROM w "
+                 f"WHERE predicted_sales IS NOT NULL GROUP BY window_start, window_end")
+    st, pc = "COALESCE(prev_upper, 0.0)", "COALESCE(prev_cum, 0)"
+    val = (f"CASE WHEN bucket = last_bucket THEN prev_upper WHEN bucket = 0 AND upper <= 0 THEN upper "
+           f"ELSE {st} + (upper - {st}) * ((0.5::DOUBLE * total - {pc}) / (cum_count - {pc})) END")
+    return f"""WITH {PLOG}, w AS ({sliding('plog', 5)}),
+hist AS ({' UNION ALL '.join(parts)}),
+hh AS (SELECT *, LAG(upper) OVER k AS prev_upper, LAG(cum_count) OVER k AS prev_cum,
+              MAX(cum_count) OVER (PARTITION BY window_start, window_end) AS total,
+              MAX(bucket) OVER (PARTITION BY window_start, window_end) AS last_bucket
+       FROM hist WINDOW k AS (PARTITION BY window_start, window_end ORDER BY bucket))
+SELECT window_start, window_end, 0.5::DOUBLE AS q, ROUND(arg_min({val}, bucket), 2) AS value
+FROM hh WHERE cum_count >= 0.5::DOUBLE * total GROUP BY window_start, window_end"""

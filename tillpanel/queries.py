@@ -769,3 +769,10 @@ def q_table_fingerprint(spark, sf_dir):
     return table_fingerprint(read_table(spark, sf_dir, "lineitem")).select(
         F.lit("lineitem").alias("table"), "*").unionByName(
         table_fingerprint(read_table(spark, sf_dir, "events")).select(F.lit("events").alias("table"), "*"))
+
+
+@query("windowed_sales_quantiles")
+def q_windowed_sales_quantiles(spark, sf_dir):
+    """Median predicted sales per 5-minute window from the bucket counts (dashboard form of M7)."""
+    h = M.windowed_sales_histogram(prediction_log(spark, sf_dir))
+    return M.histogram_quantile_by(h, 0.5).withColumn("value", r2(F.col("value")))

@@ -115,6 +115,47 @@ def sales_histogram(log: DataFrame, bounds=SALES_BUCKETS) -> DataFrame:
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
+def windowed_sales_histogram(log: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
+                             bounds=SALES_BUCKETS, watermark: str | None = None) -> DataFrame:
+    """Cumulative bucket counts per sliding window (the rate-window form of
+    the histogram), long format ``window_start, window_end, bucket, le,
+    upper, cum_count``."""
+    v = F.col("predicted_sales")
+    served = _wm(log, watermark).filter(v.isNotNull())
+    aggs = [F.count_if(v <= F.lit(float(b))).alias(f"le_{i}") for i, b in enumerate(bounds)]
+    aggs.append(F.count(F.lit(1)).alias(f"le_{len(bounds)}"))
+    g = _flat(served.groupBy(_win(size, slide)).agg(*aggs))
+    labels = [str(b) for b in bounds] + ["+Inf"]
+    uppers = [float(b) for b in bounds] + [float("inf")]
+    rows = F.array(*[F.struct(F.lit(i).alias("bucket"), F.lit(labels[i]).alias("le"),
+                              F.lit(uppers[i]).alias("upper"), F.col(f"le_{i}").alias("cum_count"))
+                     for i in range(len(labels))])
+    return g.select("window_start", "window_end", F.explode(rows).alias("r")).select(
+        "window_start", "window_end", "r.*")
+
+
+def histogram_quantile_by(hist: DataFrame, q: float, keys=("window_start", "window_end")) -> DataFrame:
+    """``histogram_quantile`` per key (e.g. per window): the same bucket
+    interpolation, with windows partitioned by key over the 13 bucket rows
+    of each key."""
+    keys = list(keys)
+    w = Window.partitionBy(*keys).orderBy("bucket")
+    wk = Window.partitionBy(*keys)
+    h = hist.select(*keys, "bucket", "upper", "cum_count",
+                    F.lag("upper").over(w).alias("prev_upper"), F.lag("cum_count").over(w).alias("prev_cum"),
+                    (F.lit(q) * F.max("cum_count").over(wk)).alias("rank"),
+                    F.max("bucket").over(wk).alias("last_bucket"))
+    start = F.coalesce(F.col("prev_upper"), F.lit(0.0))
+    prev = F.coalesce(F.col("prev_cum"), F.lit(0))
+    value = (F.when(F.col("bucket") == F.col("last_bucket"), F.col("prev_upper"))
+             .when((F.col("bucket") == 0) & (F.col("upper") <= 0), F.col("upper"))
+             .otherwise(start + (F.col("upper") - start)
+                        * ((F.col("rank") - prev) / (F.col("cum_count") - prev))))
+    hit = h.filter(F.col("cum_count") >= F.col("rank"))
+    first = hit.groupBy(*keys).agg(F.min_by(F.struct(value.alias("v")), F.col("bucket")).alias("_f"))
+    return first.select(*keys, F.lit(q).alias("q"), F.col("_f.v").alias("value"))
+
+
 def histogram_quantile(hist: DataFrame, q: float) -> DataFrame:
     """Quantile estimate from cumulative buckets, interpolating linearly
     inside the bucket where the cumulative count first reaches q·total
@@ -228,8 +269,8 @@ def scrape_up(heartbeats: DataFrame, target_col: str = "target", lookback_minute
 
 def staleness_ticks(versions: DataFrame, now, days: int = 14, step_hours: int = 1,
                     alias: str = "production") -> DataFrame:
-    """Hourly model age over the ``days`` before ``now`` (as-of the latest
-    alias move at each tick), with the warning / critical conditions.
+    """Hourly model age over the ``days`` before ``now``: as-of the latest
+    alias move at each tick (null before the first move).
 
     Only the last move before the range plus the moves inside it can be
     the as-of match, so the per-model window is bounded by the range.
