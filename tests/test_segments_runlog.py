@@ -78,3 +78,20 @@ def test_incumbent_latest_alias_move(spark):
     assert r["version"] == 2 and r["incumbent_test_rmsle"] == 0.2
     tagged = RL.tag_lineage(runs, {"raw_data_rows": 10}).select(F.element_at("tags", "raw_data_rows")).first()[0]
     assert tagged == "10"
+
+
+def test_absent_dimension_skipped_and_ratio_flag(spark):
+    df = spark.createDataFrame([(10.0, 11.0, 1), (20.0, 21.0, 1), (10.0, 30.0, 2), (20.0, 5.0, 2)],
+                               "sales double, prediction double, store_nbr int")
+    rep = segment_report(df, ["store_size_bucket", "store_nbr"])
+    assert {r["segment_dimension"] for r in rep.collect()} == {"store_nbr"}
+    s = disparity_summary(rep).first()
+    assert s["disparity_ratio"] >= 1.0 and s["flagged"] == (s["disparity_ratio"] > 1.5)
+
+
+def test_missing_snapshot_raises(spark, tmp_dir):
+    import pytest
+    from tillpanel.operators.snapshot import read_snapshot
+    from tillpanel.sources.panel import PanelNotFoundError
+    with pytest.raises(PanelNotFoundError):
+        read_snapshot(spark, f"{tmp_dir}/nothing")
