@@ -20,8 +20,23 @@ REQUIRED_COLUMNS = ["date", "store_nbr", "sales", "holiday_flag", "temperature",
                     "fuel_price", "cpi", "unemployment"]
 KEY_COLUMNS = ["date", "store_nbr"]
 
-# Temperature plausibility bounds (Fahrenheit), warning only.
+# Temperature plausibility bounds (Fahrenheit, warning only) and
+# the report message formats (%d = number of offending rows).
 TEMP_LOW, TEMP_HIGH = -30.0, 130.0
+MSG_SCHEMA = "Missing required columns: {missing}"
+MSG_NULLS = "Column '{col}' has %d null value(s)"
+MSG_RANGE = "'{col}' has %d {what}"
+MSG_DUPLICATES = "%d duplicate row(s) on key {keys}"
+MSG_BALANCE = "Uneven number of weeks per store (min=%d, max=%d); expected a balanced panel."
+RANGE_WHAT = {
+    "sales": "negative value(s)",
+    "holiday_flag": "value(s) outside {0, 1}",
+    "unemployment": "negative value(s)",
+    "fuel_price": "non-positive value(s)",
+    "cpi": "non-positive value(s)",
+    "store_nbr": "value(s) below 1",
+    "temperature": "implausible value(s)",
+}
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("severity", T.StringType()),
@@ -37,28 +52,22 @@ class DataValidationError(ValueError):
 
 
 def _range_rules(cols: set[str]):
-    """(column, severity, predicate-of-bad, message suffix) for present columns."""
+    """(column, severity, predicate-of-bad, message suffix) for present columns.
+
+    A null never breaks a comparison rule, except the flag rule, where a
+    missing flag is not in {0, 1}.
+    """
     c = F.col
-    rules = []
-    if "sales" in cols:
-        rules.append(("sales", "error", c("sales") < 0, "negative value(s)"))
-    if "holiday_flag" in cols:
-        # null counts as outside {0, 1}
-        rules.append(("holiday_flag", "error", ~F.coalesce(c("holiday_flag").isin(0, 1), F.lit(False)),
-                      "value(s) outside {0, 1}"))
-    if "unemployment" in cols:
-        rules.append(("unemployment", "error", c("unemployment") < 0, "negative value(s)"))
-    if "fuel_price" in cols:
-        rules.append(("fuel_price", "error", c("fuel_price") <= 0, "non-positive value(s)"))
-    if "cpi" in cols:
-        rules.append(("cpi", "error", c("cpi") <= 0, "non-positive value(s)"))
-    if "store_nbr" in cols:
-        rules.append(("store_nbr", "error", c("store_nbr") < 1, "value(s) below 1"))
-    if "temperature" in cols:
-        rules.append(("temperature", "warning",
-                      (c("temperature") < TEMP_LOW) | (c("temperature") > TEMP_HIGH),
-                      "implausible value(s)"))
-    return rules
+    preds = {
+        "sales": ("error", lambda: c("sales") < 0),
+        "holiday_flag": ("error", lambda: ~F.coalesce(c("holiday_flag").isin(0, 1), F.lit(False))),
+        "unemployment": ("error", lambda: c("unemployment") < 0),
+        "fuel_price": ("error", lambda: c("fuel_price") <= 0),
+        "cpi": ("error", lambda: c("cpi") <= 0),
+        "store_nbr": ("error", lambda: c("store_nbr") < 1),
+        "temperature": ("warning", lambda: (c("temperature") < TEMP_LOW) | (c("temperature") > TEMP_HIGH)),
+    }
+    return [(col, sev, pred(), RANGE_WHAT[col]) for col, (sev, pred) in preds.items() if col in cols]
 
 
 def _rows(df: DataFrame, entries):
@@ -78,7 +87,7 @@ def validate_panel(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     if missing:
         parts.append(spark.createDataFrame(
             [("error", "schema", ",".join(missing), len(missing),
-              f"Missing required columns: {missing}")], REPORT_SCHEMA))
+              MSG_SCHEMA.format(missing=missing))], REPORT_SCHEMA))
 
     # nulls + ranges (+ duplicates and balance): every count is additive, so
     # with key columns present they ride on the groupBy(store, date) that the
@@ -88,10 +97,10 @@ def validate_panel(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     counts = [F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in null_cols]
     counts += [F.count_if(pred).alias(f"range__{col}") for col, _, pred, _ in rules]
     entries = [("error", "nulls", c, F.col(f"null__{c}"),
-                F.format_string(f"Column '{c}' has %d null value(s)", F.col(f"null__{c}")))
+                F.format_string(MSG_NULLS.format(col=c), F.col(f"null__{c}")))
                for c in null_cols]
     entries += [(sev, "range", col, F.col(f"range__{col}"),
-                 F.format_string(f"'{col}' has %d {msg}", F.col(f"range__{col}")))
+                 F.format_string(MSG_RANGE.format(col=col, what=msg), F.col(f"range__{col}")))
                 for col, sev, _, msg in rules]
     keyed = all(k in cols for k in KEY_COLUMNS)
     if not keyed:
@@ -111,11 +120,10 @@ def validate_panel(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
             F.coalesce(F.sum("_dupes"), F.lit(0)).alias("n_dupes"),
             F.min(weeks).alias("lo"), F.max(weeks).alias("hi"), F.count_distinct(weeks).alias("k"))
         entries.append(("error", "duplicates", ",".join(KEY_COLUMNS), F.col("n_dupes"),
-                        F.format_string(f"%d duplicate row(s) on key {KEY_COLUMNS}", F.col("n_dupes"))))
+                        F.format_string(MSG_DUPLICATES.format(keys=KEY_COLUMNS), F.col("n_dupes"))))
         entries.append(("warning", "balance", "date",
                         F.when(F.col("k") > 1, F.col("hi") - F.col("lo")).otherwise(0),
-                        F.format_string("Uneven number of weeks per store (min=%d, max=%d); "
-                                        "expected a balanced panel.", F.col("lo"), F.col("hi"))))
+                        F.format_string(MSG_BALANCE, F.col("lo"), F.col("hi"))))
         parts.append(_rows(one, entries))
     if not parts:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
