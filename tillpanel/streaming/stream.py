@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tillpanel.operators.scoring import batch_predict
+from tillpanel.operators.scoring import PreparedSnapshot, batch_predict
 from tillpanel.session import scratch_path
 from tillpanel.sources.derived import derive_prediction_log
 
@@ -101,6 +101,12 @@ def stream_scoring(requests: DataFrame, snapshot: DataFrame, out_ok: str, out_re
     overwrite mode, so a batch replayed after a failure replaces its output
     instead of duplicating it (exactly-once files).
     """
+    if not isinstance(snapshot, PreparedSnapshot):
+        try:  # checked, cached and broadcast once for the life of the stream
+            snapshot = PreparedSnapshot(snapshot)
+        except ValueError:
+            pass  # too large to broadcast: every micro-batch joins it by shuffle
+
     def write(batch: DataFrame, batch_id: int) -> None:
         res = batch_predict(batch, snapshot, model=model, model_name=model_name, cents=cents)
         res = res.persist()
