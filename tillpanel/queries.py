@@ -22,17 +22,19 @@ from tillpanel.operators import scoring as S
 from tillpanel.operators import segments as G
 from tillpanel.operators.evaluate import evaluate_all, naive_baseline
 from tillpanel.operators.features import build_features, select_model_columns
-from tillpanel.operators.snapshot import latest_per_store, read_snapshot, write_snapshot
+from tillpanel.operators.snapshot import advanced_snapshot, latest_per_store, read_snapshot, write_snapshot
 from tillpanel.operators.split import assert_disjoint, assign_folds, holdout_cutoff, rolling_origin_folds
 from tillpanel.operators.validate import lineitem_feed, quarantine, validate_panel
 from tillpanel.plans import attribution as A
+from tillpanel.plans.physical import exact_group_quantiles
 from tillpanel.plans.model import ForecastModel, best_of, cv_score, gain_importance, score_in_sales_space
 from tillpanel.plans.reports import segment_summary_json, write_report_tables
 from tillpanel.plans.training import run_training
 from tillpanel.session import scratch_path
-from tillpanel.sources.derived import model_versions, prediction_log, run_log, scoring_requests
+from tillpanel.sources.derived import (model_versions, prediction_log, requests_from_orders, run_log,
+                                      scoring_requests)
 from tillpanel.sources.panel import (densify_panel, file_fingerprint, panel_profile, panel_table, read_table,
-                                     weekly_panel)
+                                     table_fingerprint, weekly_panel)
 from tillpanel.streaming import monitor as M
 from tillpanel.streaming import stream as ST
 
@@ -294,7 +296,6 @@ def q_store_size_buckets(spark, sf_dir):
 
 @query("unemployment_edges")
 def q_unemployment_edges(spark, sf_dir):
-    from tillpanel.plans.physical import exact_group_quantiles
     pool, _ = holdout_test(spark, sf_dir)
     q = exact_group_quantiles(pool, [], "unemployment", G.QUARTILES, ["a", "b", "c"])
     return q.select(F.posexplode(F.array_distinct(F.array("a", "b", "c"))).alias("edge_index", "edge")).withColumn(
@@ -678,11 +679,6 @@ def read_orders_schema(spark, sf_dir):
     return read_table(spark, sf_dir, "orders").schema
 
 
-def requests_from_orders(o):
-    from tillpanel.sources.derived import requests_from_orders as rfo
-    return rfo(o)
-
-
 # ---------------------------------------------------------------- sources, reports, job runs
 
 
@@ -750,7 +746,6 @@ def q_training_run(spark, sf_dir):
 
 @query("snapshot_advanced")
 def q_snapshot_advanced(spark, sf_dir):
-    from tillpanel.operators.snapshot import advanced_snapshot
     return round_std(advanced_snapshot(panel_table(spark, sf_dir)))
 
 
@@ -765,7 +760,6 @@ def q_fairness_report_gbt(spark, sf_dir):
 @query("table_fingerprint")
 def q_table_fingerprint(spark, sf_dir):
     """Order-free content hash of lineitem and events (layout-independent)."""
-    from tillpanel.sources.panel import table_fingerprint
     return table_fingerprint(read_table(spark, sf_dir, "lineitem")).select(
         F.lit("lineitem").alias("table"), "*").unionByName(
         table_fingerprint(read_table(spark, sf_dir, "events")).select(F.lit("events").alias("table"), "*"))
