@@ -46,3 +46,27 @@ def test_rolling_origin_folds(spark):
     train = {r["fold"]: r["n"] for r in f.filter("role = 'train'").groupBy("fold").count()
              .withColumnRenamed("count", "n").collect()}
     assert train == {0: 36, 1: 69, 2: 102}
+
+
+def test_clip_keeps_null_and_nan_becomes_null(spark):
+    from tillpanel.functions.metrics import clip_at_zero, nan_to_null
+    df = spark.createDataFrame([(None,), (-3.0,), (float("nan"),), (2.5,)], "x double")
+    out = [r[0] for r in df.select(clip_at_zero(nan_to_null("x"))).collect()]
+    assert out == [None, 0.0, None, 2.5]
+
+
+def test_metrics_skip_incomplete_pairs(spark):
+    from tillpanel.functions.metrics import metric_aggs
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, None), (None, 3.0), (4.0, 4.0)], "y double, p double")
+    r = df.agg(*metric_aggs("y", "p")).first()
+    assert (r["n"], r["n_missing"], r["rmsle"], r["mae"]) == (2, 2, 0.0, 0.0)
+
+
+def test_sample_rows_exact_and_reproducible(spark):
+    from tillpanel.plans.attribution import sample_rows
+    panel = toy_panel(spark, stores=(1, 2, 3), weeks=40)
+    a = sample_rows(panel, 17, seed=42)
+    b = sample_rows(panel.repartition(7), 17, seed=42)
+    c = sample_rows(panel, 17, seed=7)
+    assert a.count() == 17 and a.exceptAll(b).count() == 0 and a.exceptAll(c).count() > 0
+    assert sample_rows(panel, 1000, seed=1).count() == panel.count()
