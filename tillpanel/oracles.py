@@ -947,3 +947,18 @@ hh AS (SELECT *, LAG(upper) OVER k AS prev_upper, LAG(cum_count) OVER k AS prev_
        FROM hist WINDOW k AS (PARTITION BY window_start, window_end ORDER BY bucket))
 SELECT window_start, window_end, 0.5::DOUBLE AS q, ROUND(arg_min({val}, bucket), 2) AS value
 FROM hh WHERE cum_count >= 0.5::DOUBLE * total GROUP BY window_start, window_end"""
+
+
+@oracle("run_disparity_metrics")
+def _():
+    return f"""WITH {NAIVE_HOLDOUT}, {segmented('ev', 'pool')}, {seg_report()}, {RUNS},
+d AS (SELECT segment_dimension, CASE WHEN MIN(rmsle) > 0 THEN MAX(rmsle) / MIN(rmsle) END AS r
+      FROM rep GROUP BY segment_dimension),
+p AS (SELECT MAX(CASE WHEN segment_dimension = 'store_size_bucket' THEN r END) AS a,
+             MAX(CASE WHEN segment_dimension = 'unemployment_bucket' THEN r END) AS b,
+             MAX(CASE WHEN segment_dimension = 'store_nbr' THEN r END) AS c FROM d)
+SELECT runs.run_id, ROUND(runs.test_rmsle, 6) AS test_rmsle,
+       ROUND(p.a, 6) AS fairness_disparity_ratio_store_size_bucket,
+       ROUND(p.b, 6) AS fairness_disparity_ratio_unemployment_bucket,
+       ROUND(p.c, 6) AS fairness_disparity_ratio_store_nbr
+FROM runs, p"""

@@ -770,3 +770,14 @@ def q_windowed_sales_quantiles(spark, sf_dir):
     """Median predicted sales per 5-minute window from the bucket counts (dashboard form of M7)."""
     h = M.windowed_sales_histogram(prediction_log(spark, sf_dir))
     return M.histogram_quantile_by(h, 0.5).withColumn("value", r2(F.col("value")))
+
+
+@query("run_disparity_metrics")
+def q_run_disparity_metrics(spark, sf_dir):
+    """Disparity ratios of the holdout report merged into every run's metrics (J3)."""
+    pool, test = naive_holdout_frames(spark, sf_dir)
+    summary = G.disparity_summary(G.segment_report(G.add_segments(test, pool)))
+    runs = G.log_disparity(run_log(spark, sf_dir), summary)
+    keys = [f"fairness_disparity_ratio_{d}" for d in G.DEFAULT_SEGMENT_COLUMNS]
+    return runs.select("run_id", r6(F.element_at("metrics", F.lit("test_rmsle"))).alias("test_rmsle"),
+                       *[r6(F.element_at("metrics", F.lit(k))).alias(k) for k in keys])
