@@ -63,3 +63,17 @@ def test_start_monitoring_closed_windows_match_batch(spark, tmp_dir):
     assert got.count() > 0 and got.exceptAll(batch.select(*got.columns)).count() == 0
     lat = spark.read.parquet(f"{tmp_dir}/mon/latency_quantiles")
     assert lat.filter("p50 > p95").count() == 0
+
+
+def test_no_traffic_stream_with_heartbeats_matches_batch_spine(spark, tmp_dir):
+    log = prediction_log(spark, SF_SMALL)
+    ticks = M.minute_ticks(log)
+    # one heartbeat per minute over the log's span (what a scraper would emit)
+    ticks.select((F.col("tick") - F.expr("INTERVAL 30 SECONDS")).alias("ts")).write.parquet(f"{tmp_dir}/hb")
+    hb = spark.readStream.schema(ST.HEARTBEAT_SCHEMA).parquet(f"{tmp_dir}/hb")
+    s = ST.prediction_log_stream(spark, f"{SF_SMALL}/events.parquet")
+    got = ST.run_to_memory(ST.no_traffic_stream(s, hb, watermark=None), "t_nt", mode="complete")
+    batch = M.traffic_per_tick(log, 15).withColumnRenamed("n_window", "n_batch")
+    j = got.join(batch, got["window_end"] == batch["tick"])
+    assert j.count() >= batch.count() - 15
+    assert j.filter(F.col("n_window") != F.col("n_batch")).count() == 0

@@ -193,3 +193,25 @@ def start_monitoring(spark: SparkSession, events_path: str, out_dir: str, waterm
     return {name: run_to_parquet(df, f"{out}/{name}", f"{out}/_checkpoints/{name}",
                                  available_now=available_now, interval=interval)
             for name, df in jobs.items()}
+
+
+HEARTBEAT_SCHEMA = "ts TIMESTAMP"
+
+
+def no_traffic_stream(log: DataFrame, heartbeats: DataFrame, lookback: str = "15 minutes",
+                      slide: str = "1 minute", watermark: str | None = "20 minutes") -> DataFrame:
+    """Streaming no-traffic condition.
+
+    An empty window emits nothing in a stream, so heartbeat rows (at least
+    one per slide, e.g. from the scraper or a rate source) are unioned into
+    the log: every window then exists, and counts only served predictions.
+    Output per window: ``window_start, window_end, n_window, condition``.
+    """
+    served = log.select("ts", (F.col("http_status") == 200).cast("int").alias("_served"))
+    beats = heartbeats.select(F.col("ts").cast("timestamp").alias("ts"), F.lit(0).alias("_served"))
+    both = served.unionByName(beats)
+    if watermark:
+        both = both.withWatermark("ts", watermark)
+    g = both.groupBy(F.window("ts", lookback, slide)).agg(F.sum("_served").cast("long").alias("n_window"))
+    return g.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                    "n_window", (F.col("n_window") == 0).alias("condition"))
