@@ -95,3 +95,11 @@ def test_missing_snapshot_raises(spark, tmp_dir):
     from tillpanel.sources.panel import PanelNotFoundError
     with pytest.raises(PanelNotFoundError):
         read_snapshot(spark, f"{tmp_dir}/nothing")
+
+
+def test_model_age_ignores_moves_after_now(spark):
+    t = dt.datetime(2024, 1, 1)
+    versions = spark.createDataFrame([("m", 1, "production", "r1", t),
+                                      ("m", 2, "production", "r2", t + dt.timedelta(days=30))], RL.VERSION_SCHEMA)
+    r = RL.model_age(versions, t + dt.timedelta(days=10)).first()
+    assert r["version"] == 1 and abs(r["age_days"] - 10.0) < 1e-9

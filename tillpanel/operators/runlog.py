@@ -130,9 +130,10 @@ def best_candidate(runs: DataFrame, score: str = "cv_mean_rmsle") -> DataFrame:
 
 
 def model_age(versions: DataFrame, now, alias: str = "production") -> DataFrame:
-    """Per model: seconds and days since the aliased version was created."""
-    cur = current_alias(versions, alias)
+    """Per model: seconds and days since the version aliased *as of now*
+    was created (alias moves after ``now`` are not seen yet)."""
     now_c = F.lit(now).cast("timestamp") if not hasattr(now, "_jc") else now
+    cur = current_alias(versions.filter(F.col("created_at") <= now_c), alias)
     secs = F.unix_micros(now_c).cast("double") / 1e6 - F.unix_micros("created_at").cast("double") / 1e6
     return cur.select("model_name", "version", "created_at", secs.alias("age_seconds"),
                       (secs / F.lit(DAY_SECONDS)).alias("age_days"))

@@ -661,10 +661,15 @@ FROM runs WHERE cv_mean_rmsle IS NOT NULL AND NOT isnan(cv_mean_rmsle) GROUP BY
 
 
 AGE = """
+cur_now AS (
+  SELECT model_name, version, run_id, created_at FROM (
+    SELECT *, ROW_NUMBER() OVER (PARTITION BY model_name ORDER BY created_at DESC, version DESC) AS rn
+    FROM versions WHERE alias = 'production' AND created_at <= TIMESTAMP '2001-08-02 00:00:00') WHERE rn = 1
+),
 age AS (
   SELECT model_name, version, created_at,
-         (epoch_us(TIMESTAMP '1998-08-03 12:00:00') / 1e6 - epoch_us(created_at) / 1e6) AS age_seconds
-  FROM cur
+         (epoch_us(TIMESTAMP '2001-08-02 00:00:00') / 1e6 - epoch_us(created_at) / 1e6) AS age_seconds
+  FROM cur_now
 )"""
 
 
@@ -847,7 +852,7 @@ SELECT rule, CAST(COUNT_IF(condition) AS BIGINT) AS n_down_ticks, CAST(COUNT_IF(
 
 @oracle("staleness_alerts")
 def _():
-    now = "TIMESTAMP '1998-08-03 12:00:00'"
+    now = "TIMESTAMP '2001-08-02 00:00:00'"
     begin = f"({now} - INTERVAL 14 DAY)"
     return f"""WITH {VERSIONS},
 mv AS (SELECT model_name, created_at FROM versions WHERE alias = 'production' AND created_at <= {now}),

@@ -377,8 +377,9 @@ def q_holdout_disjoint(spark, sf_dir):
 
 # ---------------------------------------------------------------- 2.1 / 2.9 / 2.12 run log, gate, staleness
 
-# Fixed "now" of the staleness queries (the derived versions span 1992-1998).
-STALENESS_NOW = "1998-08-03 12:00:00"
+# Fixed "now" of the staleness queries: the end of the last order day
+# (orders, hence versions, end on 2001-08-01).
+STALENESS_NOW = "2001-08-02 00:00:00"
 
 
 @query("run_log_read")
