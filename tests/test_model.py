@@ -106,3 +106,14 @@ def test_exact_quantiles_both_paths_agree(spark):
     for r in b.collect():
         for c in ("q25", "q50", "q95"):
             assert abs(r[c] - ra[r["g"]][c]) < 1e-9
+
+
+def test_row_index_dense_with_ties_and_skew(spark):
+    from tillpanel.plans.physical import with_row_index
+    # a third of the rows share one key; the index must still be 0..n-1 exactly once
+    df = spark.range(0, 3000).select(F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"))
+    idx = with_row_index(df, ["k"], "i", n_parts=6)
+    r = idx.agg(F.min("i"), F.max("i"), F.count_distinct("i"), F.count("*")).first()
+    assert tuple(r) == (0, 2999, 3000, 3000)
+    # order respected: every k=0 row precedes every other row
+    assert idx.filter("k = 0").agg(F.max("i")).first()[0] == 999
