@@ -91,3 +91,15 @@ def test_file_fingerprint_matches_hashlib(spark):
     with open(path, "rb") as fh:
         data = fh.read()
     assert r["sha256"] == hashlib.sha256(data).hexdigest() and r["length"] == len(data)
+
+
+def test_subset_stores_full_history_pushed_down(spark, tmp_dir):
+    from conftest import toy_panel
+    from tillpanel.sources.panel import load_panel, subset_stores, write_panel
+    panel = toy_panel(spark, stores=(1, 2, 3, 4), weeks=30)
+    write_panel(panel, f"{tmp_dir}/p", partition_by_year=False)
+    sub = subset_stores(load_panel(spark, f"{tmp_dir}/p"), [1, 3])
+    rows = sub.groupBy("store_nbr").count().collect()
+    assert {r["store_nbr"]: r["count"] for r in rows} == {1: 30, 3: 30}
+    plan = sub._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [In(store_nbr" in plan or "PushedFilters: [Or(" in plan
