@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tillpanel.llm.common import text_key, written
 
 BLOCK_ROWS, PERIOD, MAX_SOURCES = 64, 1024, 512
-CELL_ROWS = 20_000
+CELL_ROWS = 2_000
 
 
 def quotas(weights: dict, period: int) -> dict:
@@ -110,9 +110,10 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_rows: int = BLO
         [(i, s, p["slots"][s]) for i, p in enumerate(plan) for s in p["first"] if p["took"][s]],
         f"phase_ int, place_source {source}, slots array<long>"))
 
-    cells = max(1, sum(counts.values()) // CELL_ROWS)
+    cells = F.broadcast(spark.createDataFrame([(s, max(1, n // CELL_ROWS)) for s, n in counts.items()], f"cell_source {source}, cells long"))
     order = F.xxhash64("doc_id", "node")
-    rows = rows.withColumn("cell", F.pmod(F.xxhash64("node", "doc_id"), F.lit(cells)).cast("int"))
+    rows = rows.join(cells, F.col("source").eqNullSafe(F.col("cell_source"))).withColumn(
+        "cell", F.pmod(F.xxhash64("node", "doc_id"), F.col("cells"))).drop("cell_source", "cells")
     sizes = rows.groupBy(F.col("source").alias("s_"), F.col("cell").alias("c_")).agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("s_").orderBy("c_").rowsBetween(Window.unboundedPreceding, -1))
     offsets = sizes.select("s_", "c_", F.coalesce(before, F.lit(0)).alias("before"))

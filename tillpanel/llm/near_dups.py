@@ -182,9 +182,9 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
-def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """``doc_id, node, class_id, keep`` per row of ``docs``: ``node`` stands for the text, ``class_id``
-    is the smallest doc_id of the class, ``keep`` marks that document."""
+def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, node`` per row of ``docs``, and ``node, first_id, class_id`` per distinct text: the
+    smallest doc_id of the text's copies and of its whole class."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.xxhash64(text_key(F.col("text"))).alias("node"), "text")
     id_type = texts.schema["doc_id"].dataType.simpleString()
@@ -219,15 +219,21 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     labels = components(nodes.select("node", "first_id"), good).join(nodes.select("node", "first_id"), "node")
     names = labels.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    named = labels.join(names, "label").select("node", "class_id")
-    return signed.select("doc_id", "node").join(named, "node").select(
+    return signed.select("doc_id", "node"), labels.join(names, "label").select("node", "first_id", "class_id")
+
+
+def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """``doc_id, node, class_id, keep`` per row of ``docs``: ``node`` stands for the text, ``class_id``
+    is the smallest doc_id of the class, ``keep`` marks that document."""
+    rows, named = classes(docs, threshold)
+    return rows.join(named.drop("first_id"), "node").select(
         "doc_id", "node", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("keep"))
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One row of ``docs``, with all its columns, per class: the one with the smallest doc_id."""
-    kept = near_duplicates(docs, threshold).filter("keep").select(
-        F.col("doc_id").alias("__id"), F.col("node").alias("__kept")).distinct()
+    kept = classes(docs, threshold)[1].filter(F.col("first_id").eqNullSafe(F.col("class_id"))).select(
+        F.col("first_id").alias("__id"), F.col("node").alias("__kept"))
     rows = docs.withColumn("__node", F.xxhash64(text_key(F.col("text"))))
     joined = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__kept")), "left_semi")
     nth = F.row_number().over(Window.partitionBy("doc_id", "__node").orderBy("__node"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from tillpanel.llm.common import text_key, written
 
 GRAIN = 128
-CELL_ROWS = 20_000
+CELL_ROWS = 5_000
 
 
 def differencing(sizes: np.ndarray, shards: int) -> np.ndarray:
