@@ -175,3 +175,33 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = 4 * SEGMEN
         for lo, hi in zip(cuts, cuts[1:], strict=False):
             if hi > lo:
                 yield b.slice(lo, hi - lo)
+
+
+BINS = 4096
+
+
+def kth_largest(df: DataFrame, column: str, k: int) -> float:
+    """The k-th largest value: the range is cut into bins whose counts are
+    summed by Spark, and the bin that holds the k-th is cut again."""
+    lo, hi, n = df.agg(F.min(column), F.max(column), F.count(column)).first()
+    if not n or k >= n:
+        return float("-inf")
+    if k <= 0:
+        return float("inf")
+    above = 0  # values over hi
+    while lo < hi:
+        width = (hi - lo) / BINS
+        if lo + width == lo or width == 0:
+            break
+        bin_of = F.least(F.floor((F.col(column) - lo) / width), F.lit(BINS - 1))
+        inside = df.filter(F.col(column).between(lo, hi))
+        counts = inside.groupBy(bin_of.alias("bin")).agg(
+            F.count(F.lit(1)).alias("n"), F.min(column).alias("lo"), F.max(column).alias("hi")).collect()
+        for r in sorted(counts, key=lambda r: -r["bin"]):
+            if above + r["n"] >= k:
+                lo, hi = r["lo"], r["hi"]
+                break
+            above += r["n"]
+        if len(counts) == 1 and r["n"] <= 1:
+            break
+    return lo

@@ -20,6 +20,7 @@ by default. Only ``doc_id`` and ``text`` are read, other columns do not matter.
 
 from __future__ import annotations
 
+import json
 import re
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -28,107 +29,78 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import slices, written
+from tillpanel.llm.common import kth_largest, slices, written
 
-HOT_PRETOKENS = 50_000
-MEMO = 300_000
+HOT_PRETOKENS = 200_000
+FLUSH = 300_000
+#: rows of the byte-level pre-tokenizer's rule for characters up to U+024F, whose classes are the same
+#: in every Unicode version; texts with others are cut by the library
+_LETTER, _NUMBER, _SPACE = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", r" \t\n\r\f\v\x85\xa0"
+NARROW = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_SPACE}{_LETTER}{_NUMBER}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+WIDE = re.compile("[^\0-ɏ]")
 
 
 class Pretokens:
-    """A tokenizer file's pre-tokenizer, with a bounded memory of what it did."""
-
-    def __init__(self, path: str, pieces: bool = False):
-        import json
+    """A tokenizer file's way of cutting texts into pre-tokens (as they stand in the text)."""
 
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
-        rules = spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None, "decoder": None}
         # cutting needs no vocabulary, which is slow to load
-        self.tok = Tokenizer.from_file(path) if pieces else Tokenizer.from_str(json.dumps(rules))
+        rules = spec | {"model": {"type": "BPE", "vocab": {}, "merges": []}, "added_tokens": [], "post_processor": None, "decoder": None}
+        self.tok = Tokenizer.from_str(json.dumps(rules))
+        pre = spec.get("pre_tokenizer") or {}
+        if spec.get("normalizer") is not None or pre.get("type") != "ByteLevel" or not pre.get("use_regex") or pre.get("add_prefix_space"):
+            raise ValueError("only byte-level tokenizers that take texts as they are")
         added = spec.get("added_tokens") or []
         if any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in added):
             raise ValueError("added tokens that strip or need word borders are not supported")
         names = sorted((t["content"] for t in added), key=len, reverse=True)
         self.added = re.compile("|".join(map(re.escape, names))) if names else None
-        pre = spec.get("pre_tokenizer") or {}
-        # byte-level rules cut before a space that follows a non-space, whatever comes later
-        self.by_space = spec.get("normalizer") is None and pre.get("type") == "ByteLevel" \
-            and pre.get("use_regex") and not pre.get("add_prefix_space")
-        self.memo: dict[str, tuple] = {}
-
-    def units(self, text: str) -> list[str]:
-        """Parts of ``text`` that can be pre-tokenized on their own."""
-        if not self.by_space:
-            return [text] if text else []
-        parts = text.split(" ")
-        out = [parts[0]] if parts[0] else []
-        joined = not parts[0]  # a run of white space is never cut
-        for p in parts[1:]:
-            if joined and out:
-                out[-1] += " " + p
-            elif joined:
-                out.append(" " + p)
-            else:
-                out.append(" " + p)
-            joined = not p or p[-1].isspace()
-        return out
-
-    def of(self, unit: str) -> tuple[str, ...]:
-        """The pre-tokens of one unit."""
-        got = self.memo.get(unit)
-        if got is None:
-            if self.tok.normalizer is not None:
-                unit_text = self.tok.normalizer.normalize_str(unit)
-            else:
-                unit_text = unit
-            got = tuple(p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(unit_text))
-            if len(self.memo) >= MEMO:
-                self.memo.clear()
-            if len(unit) <= 64:
-                self.memo[unit] = got
-        return got
-
-    def counts(self, text: str) -> tuple[int, Counter]:
-        """Number of added tokens in ``text``, and its units with their frequencies."""
+
+    def cut(self, text: str) -> list[str]:
+        if not WIDE.search(text):
+            return NARROW.findall(text)
+        return [text[a:b] for _, (a, b) in self.tok.pre_tokenizer.pre_tokenize_str(text)]
+
+    def counts(self, text: str) -> tuple[int, list[str]]:
+        """Number of added tokens in ``text``, and its pre-tokens."""
         if self.added is None or not self.added.search(text):
-            return 0, Counter(self.units(text))
-        c: Counter = Counter()
-        for part in self.added.split(text):
-            c.update(self.units(part))
-        return len(self.added.findall(text)), c
+            return 0, self.cut(text)
+        return len(self.added.findall(text)), [p for part in self.added.split(text) if part for p in self.cut(part)]
 
 
 def _corpus_pretokens(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre = Pretokens(path)
-        units: Counter = Counter()
+        c: Counter = Counter()
 
         def out() -> pa.RecordBatch:
-            c: Counter = Counter()
-            for u, n in units.items():
-                for p in pre.of(u):
-                    c[p] += n
-            units.clear()
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["pretoken", "n"])
+            b = pa.RecordBatch.from_arrays([pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["pretoken", "n"])
+            c.clear()
+            return b
 
         for b in slices(batches, "text"):
             for text in b.column("text").to_pylist():
                 if text:
-                    units.update(pre.counts(text)[1])
-            if len(units) > MEMO:
+                    c.update(pre.counts(text)[1])
+            if len(c) > FLUSH:
                 yield out()
-        if units:
+        if c:
             yield out()
     return run
 
 
 def _count_pieces(path: str) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = Pretokens(path, pieces=True).tok.model
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        model = Tokenizer.from_file(path).model
+        as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         for b in batches:
-            n = [len(model.tokenize(p)) for p in b.column("pretoken").to_pylist()]
+            n = [len(model.tokenize(as_bytes.pre_tokenize_str(p)[0][0])) for p in b.column("pretoken").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("pretoken"), b.column("n"), pa.array(n, pa.int32())], ["pretoken", "n", "pieces"])
     return run
 
@@ -137,34 +109,23 @@ def _document_pretokens(path: str, hot) -> Callable:
     """Per document: tokens of its hot pre-tokens, and the others with their frequencies."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pre, known = Pretokens(path), hot.value
-        memo: dict[str, tuple] = {}
-
-        def split(unit: str) -> tuple[int, tuple]:
-            got = memo.get(unit)
-            if got is None:
-                ps = pre.of(unit)
-                got = sum(known.get(p, 0) for p in ps), tuple(p for p in ps if p not in known)
-                if len(memo) >= MEMO:
-                    memo.clear()
-                if len(unit) <= 64:
-                    memo[unit] = got
-            return got
-
         for b in slices(batches, "text"):
             size, base, rare, often = [], [], [], []
             for text in b.column("text").to_pylist():
                 text = text or ""
-                n, c = pre.counts(text)
-                rest: Counter = Counter()
-                for u, f in c.items():
-                    tokens, others = split(u)
-                    n += tokens * f
-                    for p in others:
-                        rest[p] += f
+                n, pieces = pre.counts(text)
+                others, times = [], []
+                for p, f in Counter(pieces).items():
+                    tokens = known.get(p)
+                    if tokens is None:
+                        others.append(p)
+                        times.append(f)
+                    else:
+                        n += tokens * f
                 size.append(len(text.encode()))
                 base.append(n)
-                rare.append(list(rest))
-                often.append(list(rest.values()))
+                rare.append(others)
+                often.append(times)
             yield pa.RecordBatch.from_arrays(
                 [b.column("row"), b.column("doc_id"), pa.array(size, pa.int64()), pa.array(base, pa.int64()),
                  pa.array(rare, pa.list_(pa.string())), pa.array(often, pa.list_(pa.int64()))],
@@ -181,7 +142,7 @@ def token_counts(docs: DataFrame, tokenizer_path: str, limit: int = 512, hot: in
         texts.select("text").mapInArrow(_corpus_pretokens(tokenizer_path), "pretoken string, n long")
         .groupBy("pretoken").agg(F.sum("n").alias("n"))
         .mapInArrow(_count_pieces(tokenizer_path), "pretoken string, n long, pieces int"), "pretokens")
-    top = vocabulary.orderBy(F.desc("n"), "pretoken").limit(hot).select("pretoken", "pieces").collect()
+    top = vocabulary.filter(F.col("n") > kth_largest(vocabulary, "n", hot + 1)).select("pretoken", "pieces").collect()
     known = spark.sparkContext.broadcast({r[0]: r[1] for r in top})
     per_doc = texts.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text").mapInArrow(
         _document_pretokens(tokenizer_path, known),
