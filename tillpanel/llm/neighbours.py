@@ -223,21 +223,26 @@ class Graph:
             at = np.cumsum(n) - 1
             least = np.where(n >= k, sims[np.maximum(at, 0)] if len(sims) else 0, -np.inf).astype(np.float32)
             row = np.searchsorted(own["node"].to_numpy(), src)
-            vec = own["vec"].to_numpy()
-            pair = (src << 20) ^ (dst >> 32)
-            order = np.argsort(pair, kind="stable")
-            src, dst, new, row, pair = src[order], dst[order], new[order], row[order], pair[order]
-            bounds = np.append(np.flatnonzero(np.append(True, pair[1:] != pair[:-1])), len(pair)) if len(pair) else np.zeros(1, np.int64)
-            head = bounds[:-1]
-            return pd.DataFrame({"block": (dst[head] >> 32).astype(np.int32), "src": src[head], "vec": [np.frombuffer(x, np.float32).astype(np.float16).tobytes() for x in vec[row[head]]],
-                                 "least": least[row[head]], "dst": _cut(dst, bounds), "new": _cut(new, bounds)})
+            half = _floats(own["vec"], np.float32, width).astype(np.float16)
+            order = np.lexsort((src, dst >> 32))
+            src, dst, new, row = src[order], dst[order], new[order], row[order]
+            if not len(src):
+                return pd.DataFrame({"block": [], "src": [], "vec": [], "least": [], "n": [], "dst": [], "new": []})
+            # a vector goes once to each block that wants it; one row holds all that goes there
+            head = np.flatnonzero(np.append(True, (src[1:] != src[:-1]) | (dst[1:] >> 32 != dst[:-1] >> 32)))
+            to = dst[head] >> 32
+            cut = np.append(np.flatnonzero(np.append(True, to[1:] != to[:-1])), len(to))
+            edge = np.append(head, len(src))
+            n = np.diff(edge).astype(np.int32)
+            return pd.DataFrame({"block": to[cut[:-1]].astype(np.int32), "src": _cut(src[head], cut), "vec": _cut(half[row[head]], cut),
+                                 "least": _cut(least[row[head]], cut), "n": _cut(n, cut), "dst": _cut(dst, edge[cut]), "new": _cut(new, edge[cut])})
 
         def meet(part: pd.DataFrame) -> pd.DataFrame:
             """Local joins: whoever was sent to the same node is compared."""
             x = _floats(part["vec"], np.float16, width).astype(np.float32)
-            who, least = part["src"].to_numpy(), part["least"].to_numpy()
-            dst, n = _lists(part["dst"], np.int64)
-            new, row = _floats(part["new"], np.uint8), np.repeat(np.arange(len(part)), n)
+            who, least = _floats(part["src"], np.int64), _floats(part["least"], np.float32)
+            dst, new = _floats(part["dst"], np.int64), _floats(part["new"], np.uint8)
+            row = np.repeat(np.arange(len(who)), _floats(part["n"], np.int32))
             order = np.lexsort((-new.astype(np.int8), dst))
             dst, new, row = dst[order], new[order], row[order]
             bounds = np.append(np.flatnonzero(np.append(True, dst[1:] != dst[:-1])), len(dst)) if len(dst) else np.zeros(1, np.int64)
@@ -275,7 +280,7 @@ class Graph:
             return send(key, own.sort_values("node").reset_index(drop=True), got)
 
         sent = with_vec.groupBy("block").cogroup(asked.groupBy("block")).applyInPandas(
-            send_sorted, "block int, src long, vec binary, least float, dst binary, new binary")
+            send_sorted, "block int, src binary, vec binary, least binary, n binary, dst binary, new binary")
         proposed = written(sent.groupBy("block").applyInPandas(meet, PROPOSED), "proposals")
         return self._merged(lists.groupBy("block").applyInPandas(known, LISTS), proposed)
 
