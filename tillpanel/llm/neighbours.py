@@ -329,46 +329,57 @@ class Graph:
             return [np.flatnonzero(np.frombuffer(f, np.uint8)[:beam])[:step] for f in part["fresh"]]
 
         def asking(query: np.ndarray, vec: np.ndarray, row: np.ndarray, u: np.ndarray) -> pd.DataFrame:
-            """One row per block and query (by ``row``) with the nodes ``u`` asked for."""
+            """One row per block: who (by ``row``) asks it, with which vector, for which of its nodes ``u``."""
             order = np.lexsort((u, row, u >> 32))
             row, u = row[order], u[order]
-            if len(u):
-                new = np.append(True, (u[1:] != u[:-1]) | (row[1:] != row[:-1]))
-                row, u = row[new], u[new]
+            if not len(u):
+                return pd.DataFrame({"block": [], "query": [], "vec": [], "n": [], "u": []})
+            new = np.append(True, (u[1:] != u[:-1]) | (row[1:] != row[:-1]))
+            row, u = row[new], u[new]
             block = u >> 32
-            bounds = np.append(np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (row[1:] != row[:-1]))), len(u)) if len(u) else np.zeros(1, np.int64)
-            head = bounds[:-1]
-            return pd.DataFrame({"block": block[head].astype(np.int32), "query": query[row[head]], "vec": vec[row[head]], "u": _cut(u, bounds)})
+            head = np.flatnonzero(np.append(True, (block[1:] != block[:-1]) | (row[1:] != row[:-1])))
+            to = block[head]
+            cut = np.append(np.flatnonzero(np.append(True, to[1:] != to[:-1])), len(to))
+            edge = np.append(head, len(u))
+            return pd.DataFrame({"block": to[cut[:-1]].astype(np.int32), "query": _cut(query[row[head]], cut), "vec": _cut(vec[row[head]], cut),
+                                 "n": _cut(np.diff(edge).astype(np.int32), cut), "u": _cut(u, edge[cut])})
+
+        def asked_rows(asked: pd.DataFrame):
+            for q, vec, n, u in zip(asked["query"], asked["vec"], asked["n"], asked["u"], strict=True):
+                q, n = np.frombuffer(q, np.int64), np.frombuffer(n, np.int32)
+                yield q, np.frombuffer(vec, np.float32).reshape(-1, width), np.repeat(np.arange(len(q)), n), np.frombuffer(u, np.int64)
 
         def expand(parts):
             for p in parts:
                 at = next_of(p)
                 n = np.array([len(x) for x in at], np.int64)
                 u = np.concatenate([np.frombuffer(x, np.int64)[i] for x, i in zip(p["nbr"], at, strict=True)]) if len(p) else np.zeros(0, np.int64)
-                yield asking(p["node"].to_numpy(), p["vec"].to_numpy(), np.repeat(np.arange(len(p)), n), u)
+                yield asking(p["node"].to_numpy(), _floats(p["vec"], np.float32, width), np.repeat(np.arange(len(p)), n), u)
 
         def follow(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             own = own.sort_values("node")
             flat, size = _lists(own["nbr"], np.int64)
             start = np.cumsum(size) - size
             out = [asked.iloc[:0]]
-            for lo in range(0, len(asked), 2000):
-                part = asked.iloc[lo:lo + 2000]
-                u, n = _lists(part["u"], np.int64)
-                at, row = np.searchsorted(own["node"].to_numpy(), u), np.repeat(np.arange(len(part)), n)
+            for q, vec, row, u in asked_rows(asked):
+                at = np.searchsorted(own["node"].to_numpy(), u)
                 m = size[at]
                 place = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(start[at], m)
-                out.append(asking(part["query"].to_numpy(), part["vec"].to_numpy(), np.repeat(row, m), flat[place]))
+                out.append(asking(q, vec, np.repeat(row, m), flat[place]))
             return pd.concat(out)
 
         def score(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             own = own.sort_values("node")
             node, x = own["node"].to_numpy(), _floats(own["vec"], np.float32, width)
-            w, n = _lists(asked["u"], np.int64)
-            q, row = _floats(asked["vec"], np.float32, width), np.repeat(np.arange(len(asked)), n)
-            s = np.concatenate([np.einsum("ij,ij->i", x[np.searchsorted(node, w[i:i + 65536])], q[row[i:i + 65536]]) for i in range(0, len(w), 65536)]) if len(w) else np.zeros(0, np.float32)
-            u = asked["query"].to_numpy()[row]
-            return _to_blocks(u >> 32, "block", {"u": u, "w": w, "s": s.astype(np.float32)})
+            us, ws, ss = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.float32)]
+            for q, vec, row, w in asked_rows(asked):
+                for i in range(0, len(w), 65536):
+                    part = slice(i, i + 65536)
+                    us.append(q[row[part]])
+                    ws.append(w[part])
+                    ss.append(np.einsum("ij,ij->i", x[np.searchsorted(node, w[part])], vec[row[part]]).astype(np.float32))
+            u, w, s, _ = _best(np.concatenate(us), np.concatenate(ws), np.concatenate(ss), np.zeros(sum(map(len, us)), np.uint8), pool)
+            return _to_blocks(u >> 32, "block", {"u": u, "w": w, "s": s})
 
         def merge(old: pd.DataFrame, new: pd.DataFrame) -> pd.DataFrame:
             fresh = []
@@ -385,7 +396,7 @@ class Graph:
             got = _list_rows(*_best(u, w, s, f, pool))
             return got.merge(old[["node", "vec"]], on="node")[["block", "node", "vec", "nbr", "sim", "fresh"]]
 
-        asked_schema = "block int, query long, vec binary, u binary"
+        asked_schema = "block int, query binary, vec binary, n binary, u binary"
         while True:
             asked = now.mapInPandas(expand, asked_schema)
             asked = asked.groupBy("block").cogroup(edges.groupBy("block")).applyInPandas(follow, asked_schema)
