@@ -309,18 +309,15 @@ class Graph:
         edges = self.adjacency()
         state = "block int, node long, vec binary, nbr binary, sim binary, fresh binary"
         start = (self.lists.join(wanted.select("node").distinct(), "node", "left_semi").join(self.vectors.select("node", "vec"), "node")
-                 .select("block", "node", "vec", "nbr", "sim", "fresh"))
+                 .select("block", "node", "vec"))
 
         def begin(parts):
             for p in parts:
-                own, sims, vecs = [], [], []
-                for node, vec, nbr, sim in zip(p["node"], p["vec"], p["nbr"], p["sim"], strict=True):
-                    q = np.frombuffer(vec, np.float32).copy()
-                    lift, q[-1] = q[-1], 0.0  # what counts is the inner product alone
-                    own.append(np.int64(node).tobytes() + nbr)
-                    sims.append(np.float32(q @ q).tobytes() + np.frombuffer(sim, np.float32).tobytes())
-                    vecs.append(q.tobytes())
-                yield p.assign(vec=vecs, nbr=own, sim=sims, fresh=[b"\1" * (len(x) // 8) for x in own])
+                q = _floats(p["vec"], np.float32, width).copy()
+                q[:, -1] = 0.0  # the lift orders the graph; what is searched for is the inner product alone
+                own = np.einsum("ij,ij->i", q, q).astype(np.float32)
+                yield p.assign(vec=[x.tobytes() for x in q], nbr=[x.tobytes() for x in p["node"].to_numpy()],
+                               sim=[x.tobytes() for x in own], fresh=[b"\1"] * len(p))
 
         now = written(start.mapInPandas(begin, state), "search")
 
@@ -359,10 +356,12 @@ class Graph:
         def follow(asked: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             own = own.sort_values("node")
             flat, size = _lists(own["nbr"], np.int64)
-            start = np.cumsum(size) - size
+            node, start = own["node"].to_numpy(), np.cumsum(size) - size
             out = [asked.iloc[:0]]
             for q, vec, row, u in asked_rows(asked):
-                at = np.searchsorted(own["node"].to_numpy(), u)
+                at = np.searchsorted(node, u)
+                has = np.append(node, -1)[at] == u  # a node without neighbours has no row
+                at, row = at[has], row[has]
                 m = size[at]
                 place = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(start[at], m)
                 out.append(asking(q, vec, np.repeat(row, m), flat[place]))
