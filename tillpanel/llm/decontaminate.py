@@ -11,7 +11,8 @@ around the window must be at most ``rate`` of the item's words.
 Windows start where a text holds one of an item's three-word runs, shifted as
 that run is in the item. No passage is lost by this: ``floor(rate x m)`` edits
 with rate <= 0.2 leave an intact run of three words in any item of m >= 3 words
-(m = 5 allows one edit only if a run of three remains).
+(m = 5 allows one edit only if a run of three remains). An edit breaks at most
+three runs, so texts with fewer of an item's runs than the rest are passed over.
 
 Everything runs inside the scan, without a shuffle or join; items are taken in
 blocks of ``BLOCK``, each block one column expression of the same scan.
@@ -109,6 +110,7 @@ class Items:
         self.ids, self.words, self.start = ids, w.hashes, w.bounds[:-1]
         self.m = np.diff(w.bounds)
         self.allowed = np.array([allowed(int(x), rate) for x in self.m], np.int64)
+        self.least = np.maximum(self.m - RUN + 1 - RUN * self.allowed, 1)
         runs, owner = w.shingles(RUN)
         place = np.arange(len(owner)) - np.searchsorted(owner, owner)
         order = np.argsort(runs, kind="stable")
@@ -129,6 +131,10 @@ class Items:
         at = np.repeat(at, n)
         hit = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(lo, n)
         text = owner[at]
+        # an edit breaks at most RUN runs: fewer hits on an item in the whole text than this rule it out
+        pair, count = np.unique(text * len(self.m) + self.run_item[hit], return_inverse=True, return_counts=True)[1:]
+        enough = count[pair] >= self.least[self.run_item[hit]]
+        at, hit, text = at[enough], hit[enough], text[enough]
         start = np.maximum(at - first[text] - self.run_place[hit], 0)
         return tuple(np.unique(np.stack((text, start, self.m[self.run_item[hit]])), axis=1)) if len(at) else (np.zeros(0, np.int64),) * 3
 
