@@ -59,3 +59,21 @@ def test_scrape_up_targets(spark):
     a = s.filter("rule = 'a'").orderBy("tick").collect()
     assert [r["up"] for r in a] == [True, False, False, False, False, True]
     assert [r["firing"] for r in a] == [False, False, True, True, True, False]
+
+
+def test_a_target_that_dies_is_down_until_the_end(spark):
+    hb = spark.createDataFrame([("a", T0 + dt.timedelta(minutes=i)) for i in range(61)]
+                               + [("b", T0 + dt.timedelta(minutes=i)) for i in range(11)], "target string, ts timestamp")
+    b = M.scrape_up(hb, "target", lookback_minutes=1, hold_seconds=60).filter("rule = 'b'").collect()
+    assert sum(not r["up"] for r in b) == 50 and sum(r["firing"] for r in b) == 49
+
+
+def test_staleness_covers_the_whole_history(spark):
+    moves = [("m", T0), ("m", T0 + dt.timedelta(days=5, minutes=5)), ("n", T0 - dt.timedelta(days=200))]
+    versions = spark.createDataFrame([(n, "production", t) for n, t in moves], "model_name string, alias string, created_at timestamp")
+    got = {(r["model_name"], r["rule"]): r for r in M.staleness_alerts(versions, T0 + dt.timedelta(days=12)).collect()}
+    # the first model is replaced five minutes into its warning, before the warning has held for ten
+    assert sorted(got) == [("m", "approaching"), ("n", "approaching"), ("n", "stale")]
+    assert got["m", "approaching"]["fired_at"] == T0 + dt.timedelta(days=10, minutes=15)
+    assert got["n", "stale"]["pending_since"] == T0 - dt.timedelta(days=193)
+    assert got["n", "stale"]["until"] == T0 + dt.timedelta(days=12)

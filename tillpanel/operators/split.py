@@ -20,13 +20,12 @@ def holdout_cutoff(df: DataFrame, test_weeks: int):
     ``ValueError`` unless 1 ≤ test_weeks ≤ (distinct dates − 1).
     """
     if test_weeks <= 0:
-        raise ValueError(f"test_weeks={test_weeks} must be at least 1")
+        raise ValueError(f"a holdout needs a positive number of weeks, not {test_weeks}")
     top = (df.select("date").distinct().orderBy(F.desc("date"))
            .limit(test_weeks + 1).collect())
     if len(top) <= test_weeks:
         raise ValueError(
-            f"test_weeks={test_weeks} must be between 1 and {len(top) - 1} "
-            f"(dataset has {len(top)} unique weeks)")
+            f"a holdout of {test_weeks} weeks leaves nothing to train on: only {len(top)} weeks of data")
     return top[test_weeks - 1]["date"]
 
 
@@ -43,7 +42,9 @@ def rolling_origin_folds(df: DataFrame, n_splits: int = 3) -> DataFrame:
     fold j validates dates n−(k−j)·t ≤ i < n−(k−j−1)·t and trains on all
     earlier dates. One row per (date, fold) for dates in train or valid.
     The global window runs on the distinct-date table only (one row per week).
+    Raises ``ValueError`` when there are fewer than ``n_splits + 1`` dates.
     """
+    check_fold_count(df, n_splits)
     dates = df.select("date").distinct()
     idx = dates.select(
         "date",
@@ -64,7 +65,7 @@ def check_fold_count(df: DataFrame, n_splits: int) -> None:
     """Raise when there are too few dates for ``n_splits`` folds (t = 0)."""
     n = df.select("date").distinct().limit(n_splits + 1).count()
     if n < n_splits + 1:
-        raise ValueError(f"Cannot have n_splits={n_splits} with only {n} distinct dates")
+        raise ValueError(f"{n_splits} folds need at least {n_splits + 1} dates, found {n}")
 
 
 def assign_folds(df: DataFrame, folds: DataFrame) -> DataFrame:

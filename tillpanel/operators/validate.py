@@ -20,23 +20,14 @@ REQUIRED_COLUMNS = ["date", "store_nbr", "sales", "holiday_flag", "temperature",
                     "fuel_price", "cpi", "unemployment"]
 KEY_COLUMNS = ["date", "store_nbr"]
 
-# Temperature plausibility bounds (Fahrenheit, warning only) and
-# the report message formats (%d = number of offending rows).
+# Temperature plausibility bounds (Fahrenheit, warning only).
 TEMP_LOW, TEMP_HIGH = -30.0, 130.0
-MSG_SCHEMA = "Missing required columns: {missing}"
-MSG_NULLS = "Column '{col}' has %d null value(s)"
-MSG_RANGE = "'{col}' has %d {what}"
-MSG_DUPLICATES = "%d duplicate row(s) on key {keys}"
-MSG_BALANCE = "Uneven number of weeks per store (min=%d, max=%d); expected a balanced panel."
-RANGE_WHAT = {
-    "sales": "negative value(s)",
-    "holiday_flag": "value(s) outside {0, 1}",
-    "unemployment": "negative value(s)",
-    "fuel_price": "non-positive value(s)",
-    "cpi": "non-positive value(s)",
-    "store_nbr": "value(s) below 1",
-    "temperature": "implausible value(s)",
-}
+
+
+def _message(check: str, column: str, n_bad):
+    """Report text from what the row already says."""
+    return F.concat(F.lit(f"{check} check on {column}: "), n_bad.cast("string"), F.lit(" rows"))
+
 
 REPORT_SCHEMA = T.StructType([
     T.StructField("severity", T.StringType()),
@@ -52,7 +43,7 @@ class DataValidationError(ValueError):
 
 
 def _range_rules(cols: set[str]):
-    """(column, severity, predicate-of-bad, message suffix) for present columns.
+    """(column, severity, predicate-of-bad) for present columns.
 
     A null never breaks a comparison rule, except the flag rule, where a
     missing flag is not in {0, 1}.
@@ -67,7 +58,7 @@ def _range_rules(cols: set[str]):
         "store_nbr": ("error", lambda: c("store_nbr") < 1),
         "temperature": ("warning", lambda: (c("temperature") < TEMP_LOW) | (c("temperature") > TEMP_HIGH)),
     }
-    return [(col, sev, pred(), RANGE_WHAT[col]) for col, (sev, pred) in preds.items() if col in cols]
+    return [(col, sev, pred()) for col, (sev, pred) in preds.items() if col in cols]
 
 
 def _rows(df: DataFrame, entries):
@@ -87,7 +78,7 @@ def validate_panel(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     if missing:
         parts.append(spark.createDataFrame(
             [("error", "schema", ",".join(missing), len(missing),
-              MSG_SCHEMA.format(missing=missing))], REPORT_SCHEMA))
+              f"schema check: absent {', '.join(missing)}")], REPORT_SCHEMA))
 
     # nulls + ranges (+ duplicates and balance): every count is additive, so
     # with key columns present they ride on the groupBy(store, date) that the
@@ -95,13 +86,13 @@ def validate_panel(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
     null_cols = [c for c in required if c in cols]
     rules = _range_rules(cols)
     counts = [F.count_if(F.col(c).isNull()).alias(f"null__{c}") for c in null_cols]
-    counts += [F.count_if(pred).alias(f"range__{col}") for col, _, pred, _ in rules]
+    counts += [F.count_if(pred).alias(f"range__{col}") for col, _, pred in rules]
     entries = [("error", "nulls", c, F.col(f"null__{c}"),
-                F.format_string(MSG_NULLS.format(col=c), F.col(f"null__{c}")))
+                _message("nulls", c, F.col(f"null__{c}")))
                for c in null_cols]
     entries += [(sev, "range", col, F.col(f"range__{col}"),
-                 F.format_string(MSG_RANGE.format(col=col, what=msg), F.col(f"range__{col}")))
-                for col, sev, _, msg in rules]
+                 _message("range", col, F.col(f"range__{col}")))
+                for col, sev, _ in rules]
     keyed = all(k in cols for k in KEY_COLUMNS)
     if not keyed:
         if counts:
@@ -120,10 +111,10 @@ def validate_panel(df: DataFrame, required=REQUIRED_COLUMNS) -> DataFrame:
             F.coalesce(F.sum("_dupes"), F.lit(0)).alias("n_dupes"),
             F.min(weeks).alias("lo"), F.max(weeks).alias("hi"), F.count_distinct(weeks).alias("k"))
         entries.append(("error", "duplicates", ",".join(KEY_COLUMNS), F.col("n_dupes"),
-                        F.format_string(MSG_DUPLICATES.format(keys=KEY_COLUMNS), F.col("n_dupes"))))
+                        _message("duplicates", "+".join(KEY_COLUMNS), F.col("n_dupes"))))
         entries.append(("warning", "balance", "date",
                         F.when(F.col("k") > 1, F.col("hi") - F.col("lo")).otherwise(0),
-                        F.format_string(MSG_BALANCE, F.col("lo"), F.col("hi"))))
+                        F.format_string("balance check: stores have %d to %d weeks", F.col("lo"), F.col("hi"))))
         parts.append(_rows(one, entries))
     if not parts:
         return df.sparkSession.createDataFrame([], REPORT_SCHEMA)
@@ -144,7 +135,7 @@ def quarantine(df: DataFrame) -> DataFrame:
     """Per-row variant: every row with the array of rule names it breaks."""
     cols = set(df.columns)
     checks = [F.when(F.col(c).isNull(), F.lit(f"null_{c}")) for c in REQUIRED_COLUMNS if c in cols]
-    checks += [F.when(pred, F.lit(f"{sev}_{col}")) for col, sev, pred, _ in _range_rules(cols)]
+    checks += [F.when(pred, F.lit(f"{sev}_{col}")) for col, sev, pred in _range_rules(cols)]
     return df.withColumn("violations", F.array_compact(F.array(*checks)))
 
 

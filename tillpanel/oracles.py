@@ -160,27 +160,27 @@ feed AS (
 
 REQUIRED = ["date", "store_nbr", "sales", "holiday_flag", "temperature", "fuel_price", "cpi", "unemployment"]
 RANGE_RULES = [
-    ("sales", "error", "sales < 0", "negative value(s)"),
-    ("holiday_flag", "error", "NOT COALESCE(holiday_flag IN (0, 1), false)", "value(s) outside {0, 1}"),
-    ("unemployment", "error", "unemployment < 0", "negative value(s)"),
-    ("fuel_price", "error", "fuel_price <= 0", "non-positive value(s)"),
-    ("cpi", "error", "cpi <= 0", "non-positive value(s)"),
-    ("store_nbr", "error", "store_nbr < 1", "value(s) below 1"),
-    ("temperature", "warning", "(temperature < -30 OR temperature > 130)", "implausible value(s)"),
+    ("sales", "error", "sales < 0"),
+    ("holiday_flag", "error", "NOT COALESCE(holiday_flag IN (0, 1), false)"),
+    ("unemployment", "error", "unemployment < 0"),
+    ("fuel_price", "error", "fuel_price <= 0"),
+    ("cpi", "error", "cpi <= 0"),
+    ("store_nbr", "error", "store_nbr < 1"),
+    ("temperature", "warning", "(temperature < -30 OR temperature > 130)"),
 ]
 
 
 def validation_sql(src: str) -> str:
     aggs = [f"CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS null__{c}" for c in REQUIRED]
-    aggs += [f"CAST(COUNT_IF({p}) AS BIGINT) AS range__{c}" for c, _, p, _ in RANGE_RULES]
+    aggs += [f"CAST(COUNT_IF({p}) AS BIGINT) AS range__{c}" for c, _, p in RANGE_RULES]
     rows = [f"SELECT 'error' AS severity, 'nulls' AS \"check\", '{c}' AS \"column\", null__{c} AS n_bad, "
-            f"printf('Column ''{c}'' has %d null value(s)', null__{c}) AS message FROM one" for c in REQUIRED]
-    rows += [f"SELECT '{sev}', 'range', '{c}', range__{c}, printf('''{c}'' has %d {msg}', range__{c}) FROM one"
-             for c, sev, _, msg in RANGE_RULES]
+            f"printf('nulls check on {c}: %d rows', null__{c}) AS message FROM one" for c in REQUIRED]
+    rows += [f"SELECT '{sev}', 'range', '{c}', range__{c}, printf('range check on {c}: %d rows', range__{c}) FROM one"
+             for c, sev, _ in RANGE_RULES]
     rows.append("SELECT 'error', 'duplicates', 'date,store_nbr', n_dupes, "
-                "printf('%d duplicate row(s) on key [''date'', ''store_nbr'']', n_dupes) FROM dup")
+                "printf('duplicates check on date+store_nbr: %d rows', n_dupes) FROM dup")
     rows.append("SELECT 'warning', 'balance', 'date', CASE WHEN k > 1 THEN hi - lo ELSE 0 END, "
-                "printf('Uneven number of weeks per store (min=%d, max=%d); expected a balanced panel.', lo, hi) "
+                "printf('balance check: stores have %d to %d weeks', lo, hi) "
                 "FROM bal")
     union = "\n  UNION ALL ".join(rows)
     return f"""{src},
@@ -217,7 +217,7 @@ def _():
 def _():
     parts = [f"SELECT 'null_{c}' AS violation, CAST(COUNT_IF({c} IS NULL) AS BIGINT) AS n FROM feed"
              for c in REQUIRED]
-    parts += [f"SELECT '{sev}_{c}', CAST(COUNT_IF({p}) AS BIGINT) FROM feed" for c, sev, p, _ in RANGE_RULES]
+    parts += [f"SELECT '{sev}_{c}', CAST(COUNT_IF({p}) AS BIGINT) FROM feed" for c, sev, p in RANGE_RULES]
     return f"WITH {FEED} SELECT * FROM ({' UNION ALL '.join(parts)}) WHERE n > 0"
 
 
@@ -825,8 +825,7 @@ cond AS (SELECT 'no_traffic' AS rule, t.tick, COALESCE(pt.n, 0) = 0 AS condition
 @oracle("error_rate_alerts")
 def _():
     return f"""WITH {PLOG}, {TICKS}, w AS ({sliding('plog', 5)}),
-er AS (SELECT window_end AS tick, MAX(n / 300.0::DOUBLE > 0.002) AS alert FROM (
-         SELECT window_end, reason, COUNT(*) AS n FROM w WHERE reason IS NOT NULL GROUP BY window_end, reason)
+er AS (SELECT window_end AS tick, COUNT(*) / 300.0::DOUBLE > 0.002 AS alert FROM w WHERE reason IS NOT NULL
        GROUP BY window_end),
 cond AS (SELECT 'error_rate' AS rule, t.tick, COALESCE(er.alert, false) AS condition
          FROM ticks t LEFT JOIN er ON t.tick = er.tick),
@@ -834,6 +833,17 @@ cond AS (SELECT 'error_rate' AS rule, t.tick, COALESCE(er.alert, false) AS condi
 {episodes_sql(['rule'])}"""
 
 
+@oracle("http_error_alerts")
+def _():
+    return f"""WITH {PLOG}, {TICKS}, w AS ({sliding('plog', 5)}),
+er AS (SELECT window_end AS tick, COUNT_IF(http_status >= 500) / CAST(COUNT(*) AS DOUBLE) > 0.05 AS alert
+       FROM w GROUP BY window_end),
+cond AS (SELECT 'http_errors' AS rule, t.tick, COALESCE(er.alert, false) AS condition
+         FROM ticks t LEFT JOIN er ON t.tick = er.tick),
+{alert_sql('cond', ['rule'], 5 * 60)}
+{episodes_sql(['rule'])}"""
+
+
 @oracle("scrape_up")
 def _():
     return f"""WITH {PLOG},
@@ -841,7 +851,7 @@ hb AS (SELECT CAST(http_status AS VARCHAR) AS rule, ts FROM plog),
 mn AS (SELECT rule, date_trunc('minute', ts) + INTERVAL 1 MINUTE AS m_end, COUNT(*) AS n FROM hb GROUP BY 1, 2),
 sp AS (SELECT rule, m_end + to_minutes(CAST(k AS BIGINT)) AS tick, n FROM mn, (SELECT unnest(range(0, 30)) AS k)),
 seen AS (SELECT rule, tick, SUM(n) AS n FROM sp GROUP BY 1, 2),
-bd AS (SELECT rule, MIN(m_end) AS lo, MAX(m_end) AS hi FROM mn GROUP BY rule),
+bd AS (SELECT rule, MIN(m_end) AS lo, (SELECT MAX(m_end) FROM mn) AS hi FROM mn GROUP BY rule),
 tk AS (SELECT rule, unnest(generate_series(lo, hi, INTERVAL 1 MINUTE)) AS tick FROM bd),
 cond AS (SELECT t.rule, t.tick, COALESCE(s.n, 0) = 0 AS condition FROM tk t LEFT JOIN seen s
          ON t.rule = s.rule AND t.tick = s.tick),
@@ -853,27 +863,17 @@ SELECT rule, CAST(COUNT_IF(condition) AS BIGINT) AS n_down_ticks, CAST(COUNT_IF(
 @oracle("staleness_alerts")
 def _():
     now = "TIMESTAMP '2001-08-02 00:00:00'"
-    begin = f"({now} - INTERVAL 14 DAY)"
     return f"""WITH {VERSIONS},
-mv AS (SELECT model_name, created_at FROM versions WHERE alias = 'production' AND created_at <= {now}),
-rel AS (SELECT model_name, MAX(created_at) AS created_at FROM mv WHERE created_at < {begin} GROUP BY model_name
-        UNION ALL SELECT model_name, created_at FROM mv WHERE created_at >= {begin}),
-tk AS (SELECT model_name, unnest(generate_series({begin}, {now}, INTERVAL 1 HOUR)) AS tick
-       FROM (SELECT DISTINCT model_name FROM mv)),
-ev AS (SELECT model_name, tick AS t, 1 AS is_tick, CAST(NULL AS TIMESTAMP) AS created_at FROM tk
-       UNION ALL SELECT model_name, created_at, 0, created_at FROM rel),
-asf AS (SELECT model_name, t AS tick,
-                CAST(epoch_us(t) - epoch_us(LAST_VALUE(created_at IGNORE NULLS) OVER (PARTITION BY model_name
-                  ORDER BY t, is_tick ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS DOUBLE) / 86400e6 AS age_days,
-                is_tick FROM ev),
-cw AS (SELECT model_name, 'approaching' AS rule, tick, COALESCE(age_days >= 5 AND age_days < 7, false) AS condition
-       FROM asf WHERE is_tick = 1),
-cc AS (SELECT model_name, 'stale' AS rule, tick, COALESCE(age_days >= 7, false) AS condition
-       FROM asf WHERE is_tick = 1),
-{alert_sql('cw', ['model_name', 'rule'], 600).replace('a1 AS', 'w1 AS').replace('FROM a1', 'FROM w1').replace('a2 AS', 'w2 AS').replace('FROM a2', 'FROM w2').replace('a3 AS', 'w3 AS').replace('FROM a3', 'FROM w3').replace('a4 AS', 'w4 AS')},
-{alert_sql('cc', ['model_name', 'rule'], 86400).replace('a1 AS', 'c1 AS').replace('FROM a1', 'FROM c1').replace('a2 AS', 'c2 AS').replace('FROM a2', 'FROM c2').replace('a3 AS', 'c3 AS').replace('FROM a3', 'FROM c3').replace('a4 AS', 'c4 AS')},
-a4 AS (SELECT * FROM w4 UNION ALL SELECT * FROM c4)
-{episodes_sql(['model_name', 'rule'])}"""
+mv AS (SELECT DISTINCT model_name, created_at FROM versions WHERE alias = 'production' AND created_at <= {now}),
+sp AS (SELECT *, LEAD(created_at) OVER (PARTITION BY model_name ORDER BY created_at) AS nx FROM mv),
+ep AS (SELECT model_name, nx, 'approaching' AS rule, created_at + INTERVAL 5 DAY AS pending_since,
+              created_at + INTERVAL 5 DAY + INTERVAL 10 MINUTE AS fired_at,
+              LEAST({now}, COALESCE(nx, {now}), created_at + INTERVAL 7 DAY) AS until FROM sp
+       UNION ALL
+       SELECT model_name, nx, 'stale', created_at + INTERVAL 7 DAY, created_at + INTERVAL 8 DAY,
+              LEAST({now}, COALESCE(nx, {now})) FROM sp)
+SELECT model_name, rule, pending_since, fired_at, until FROM ep
+WHERE fired_at <= {now} AND (nx IS NULL OR fired_at < nx)"""
 
 
 @oracle("model_status")

@@ -15,7 +15,7 @@ from tillpanel.operators import runlog as RL
 from tillpanel.operators.evaluate import evaluate_all, naive_baseline
 from tillpanel.operators.features import build_features
 from tillpanel.operators.snapshot import latest_per_store, write_snapshot
-from tillpanel.operators.split import check_fold_count, holdout_split, rolling_origin_folds
+from tillpanel.operators.split import holdout_split, rolling_origin_folds
 from tillpanel.operators.validate import raise_if_failed, validate_panel
 from tillpanel.plans.model import (DEFAULT_PARAM_GRID, ForecastModel, best_of, cv_score, gain_importance,
                                    sample_param_grid, score_in_sales_space)
@@ -45,7 +45,6 @@ def train_and_log(features: DataFrame, runs_path: str, versions_path: str, model
     spark = features.sparkSession
     features = cut_lineage(features)  # reused by every fit; survives executor loss
     pool, test = holdout_split(features, test_weeks)
-    check_fold_count(pool, n_splits)
     folds = rolling_origin_folds(pool, n_splits)
     now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
     runs: list[dict] = []

@@ -483,16 +483,26 @@ def q_no_traffic_alerts(spark, sf_dir):
 
 @query("error_rate_alerts")
 def q_error_rate_alerts(spark, sf_dir):
-    """Errors/s over 5 min above a limit, held 5 min (limit scaled to the log's volume)."""
+    """Errors/s over 5 min, all reasons together, above a limit, held 5 min (limit scaled to the log's volume)."""
     log = prediction_log(spark, sf_dir)
     per = (M.error_rate_by_reason(log, limit=0.002)
-           .groupBy(F.col("window_end").alias("tick")).agg(F.max("alert").alias("alert")))
+           .groupBy(F.col("window_end").alias("tick")).agg((F.sum("n") / F.lit(300.0) > F.lit(0.002)).alias("alert")))
     cond = (M.minute_ticks(log).join(per, "tick", "left")
             .select(F.lit("error_rate").alias("rule"), "tick",
                     F.coalesce("alert", F.lit(False)).alias("condition")))
     return M.alert_episodes(M.alert_for(cond, 5 * 60))
 
 
+@query("http_error_alerts")
+def q_http_error_alerts(spark, sf_dir):
+    """Share of 5xx answers over 5 min above 5 %, held 5 min."""
+    log = prediction_log(spark, sf_dir)
+    per = M.http_error_ratio(log).select(F.col("window_end").alias("tick"), "alert")
+    cond = (M.minute_ticks(log).join(per, "tick", "left")
+            .select(F.lit("http_errors").alias("rule"), "tick", F.coalesce("alert", F.lit(False)).alias("condition")))
+    return M.alert_episodes(M.alert_for(cond, 5 * 60))
+
+
 @query("scrape_up")
 def q_scrape_up(spark, sf_dir):
     hb = prediction_log(spark, sf_dir).select((F.col("http_status").cast("string")).alias("target"), "ts")
@@ -504,7 +514,7 @@ def q_scrape_up(spark, sf_dir):
 
 @query("staleness_alerts")
 def q_staleness_alerts(spark, sf_dir):
-    return M.staleness_alerts(model_versions(spark, sf_dir), STALENESS_NOW, days=14)
+    return M.staleness_alerts(model_versions(spark, sf_dir), STALENESS_NOW)
 
 
 @query("model_status")

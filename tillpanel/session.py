@@ -42,10 +42,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set (a shared filesystem / object store path).
-    Only when it is unset (local tests) a private folder is created.
+    Only when it is unset and the master is this machine's (``local``, tests)
+    a private folder is created.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        master = spark.conf.get("spark.master", "local")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         path = tempfile.mkdtemp(prefix="tillpanel-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     sc = spark.sparkContext

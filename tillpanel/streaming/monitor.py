@@ -249,8 +249,8 @@ def scrape_up(heartbeats: DataFrame, target_col: str = "target", lookback_minute
     """Per target and minute tick: ``up`` iff a heartbeat arrived in the last
     ``lookback`` minutes; ``firing`` once down for ``hold_seconds``.
 
-    Ticks are generated per target from its own first to last heartbeat
-    (an exploded sequence per target row, no targets × ticks product).
+    Ticks run from a target's first heartbeat to the last heartbeat of any
+    target, so a target that dies is down until the end of the log.
     """
     hb = heartbeats.select(F.col(target_col).alias("rule"), "ts")
     m_end = F.date_trunc("minute", "ts") + F.expr("INTERVAL 1 MINUTE")
@@ -259,7 +259,8 @@ def scrape_up(heartbeats: DataFrame, target_col: str = "target", lookback_minute
                            "m_end", "n").select(
         "rule", (F.col("m_end") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("k"))).alias("tick"), "n")
     seen = spread.groupBy("rule", "tick").agg(F.sum("n").alias("n"))
-    bounds = minute.groupBy("rule").agg(F.min("m_end").alias("lo"), F.max("m_end").alias("hi"))
+    bounds = minute.groupBy("rule").agg(F.min("m_end").alias("lo")).crossJoin(
+        F.broadcast(minute.agg(F.max("m_end").alias("hi"))))  # one row
     ticks = bounds.select("rule", F.explode(F.sequence("lo", "hi", F.expr("INTERVAL 1 MINUTE"))).alias("tick"))
     grid = ticks.join(seen, ["rule", "tick"], "left").select(
         "rule", "tick", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
@@ -267,48 +268,30 @@ def scrape_up(heartbeats: DataFrame, target_col: str = "target", lookback_minute
     return alert_for(cond, hold_seconds).withColumn("up", ~F.col("condition"))
 
 
-def staleness_ticks(versions: DataFrame, now, days: int = 14, step_hours: int = 1,
-                    alias: str = "production") -> DataFrame:
-    """Hourly model age over the ``days`` before ``now``: as-of the latest
-    alias move at each tick (null before the first move).
+def staleness_alerts(versions: DataFrame, now, max_age_days: int = 7, lead_days: int = 2,
+                     alias: str = "production") -> DataFrame:
+    """Firing episodes per model: ``approaching`` (max − lead ≤ age < max, held
+    10 min) and ``stale`` (age ≥ max, held 24 h), over the whole history.
 
-    Only the last move before the range plus the moves inside it can be
-    the as-of match, so the per-model window is bounded by the range.
+    The age grows steadily between alias moves, so each move starts at most one
+    episode per rule and its times follow by arithmetic: pending when the age
+    reaches the threshold, over at the next move, at ``now``, or (approaching)
+    when the age reaches the maximum.
     """
     end = F.lit(now).cast("timestamp")
-    begin = end - F.make_dt_interval(F.lit(days))
-    moves = versions.filter((F.col("alias") == alias) & (F.col("created_at") <= end)).select(
-        "model_name", "created_at")
-    before = moves.filter(F.col("created_at") < begin).groupBy("model_name").agg(
-        F.max("created_at").alias("created_at"))
-    inside = moves.filter(F.col("created_at") >= begin)
-    relevant = before.unionByName(inside)
-    models = moves.select("model_name").distinct()
-    step = F.make_dt_interval(F.lit(0), F.lit(step_hours))
-    per_model_ticks = models.select("model_name", F.explode(F.sequence(begin, end, step)).alias("tick"))
-    events = per_model_ticks.select("model_name", F.col("tick").alias("t"), F.lit(1).alias("is_tick"),
-                                    F.lit(None).cast("timestamp").alias("created_at")).unionByName(
-        relevant.select("model_name", F.col("created_at").alias("t"), F.lit(0).alias("is_tick"), "created_at"))
-    w = Window.partitionBy("model_name").orderBy("t", "is_tick").rowsBetween(Window.unboundedPreceding, 0)
-    asof = events.withColumn("last_move", F.last("created_at", ignorenulls=True).over(w)).filter("is_tick = 1")
-    age = (F.unix_micros("t") - F.unix_micros("last_move")).cast("double") / F.lit(86400e6)
-    return asof.select("model_name", F.col("t").alias("tick"), age.alias("age_days"))
-
-
-def staleness_alerts(versions: DataFrame, now, days: int = 14, max_age_days: int = 7,
-                     lead_days: int = 2) -> DataFrame:
-    """Warning (max−lead ≤ age < max, held 10 min) and critical (age ≥ max,
-    held 24 h) firing episodes per model."""
-    t = staleness_ticks(versions, now, days)
-    a = F.col("age_days")
-    warn = t.select("model_name", "tick", F.lit("approaching").alias("rule"),
-                    F.coalesce((a >= max_age_days - lead_days) & (a < max_age_days),
-                               F.lit(False)).alias("condition"))
-    crit = t.select("model_name", "tick", F.lit("stale").alias("rule"),
-                    F.coalesce(a >= max_age_days, F.lit(False)).alias("condition"))
-    w = alert_for(warn, 10 * 60, key_cols=("model_name", "rule"))
-    c = alert_for(crit, 24 * 3600, key_cols=("model_name", "rule"))
-    return alert_episodes(w.unionByName(c), key_cols=("model_name", "rule"))
+    moves = versions.filter((F.col("alias") == alias) & (F.col("created_at") <= end)).select("model_name", "created_at").distinct()
+    after = F.lead("created_at").over(Window.partitionBy("model_name").orderBy("created_at"))
+    spans = moves.withColumn("next_move", after)
+    days = lambda n: F.make_dt_interval(F.lit(n))
+    rules = [("approaching", days(max_age_days - lead_days), F.make_dt_interval(F.lit(0), F.lit(0), F.lit(10)), days(max_age_days)),
+             ("stale", days(max_age_days), F.make_dt_interval(F.lit(0), F.lit(24)), None)]
+    episodes = [F.struct(F.lit(name).alias("rule"), (F.col("created_at") + begin).alias("pending_since"),
+                         (F.col("created_at") + begin + hold).alias("fired_at"),
+                         F.least(end, "next_move", *([F.col("created_at") + past] if past is not None else [])).alias("until"))
+                for name, begin, hold, past in rules]
+    return (spans.select("model_name", "next_move", F.explode(F.array(*episodes)).alias("e")).select("model_name", "next_move", "e.*")
+            .filter((F.col("fired_at") <= end) & (F.col("next_move").isNull() | (F.col("fired_at") < F.col("next_move"))))
+            .drop("next_move"))
 
 
 def stream_counters(log: DataFrame) -> tuple[DataFrame, DataFrame]:
