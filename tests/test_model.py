@@ -97,15 +97,15 @@ def test_target_encoded_store_for_many_stores(fitted):
     assert out["n"] > 0 and out["rmsle"] < 2.0
 
 
-def test_exact_quantiles_both_paths_agree(spark):
+def test_exact_quantiles_equal_numpy_with_a_hot_value(spark):
+    import numpy as np
     from tillpanel.plans.physical import exact_group_quantiles
-    df = spark.range(0, 3000).select((F.col("id") % 3).alias("g"), ((F.col("id") * 37) % 1001 / 7.0).alias("v"))
-    a = exact_group_quantiles(df, ["g"], "v", [0.25, 0.5, 0.95], buffer_limit=10**9)   # buffered aggregate
-    b = exact_group_quantiles(df, ["g"], "v", [0.25, 0.5, 0.95], buffer_limit=10)      # distributed sort
-    ra = {r["g"]: r for r in a.collect()}
-    for r in b.collect():
-        for c in ("q25", "q50", "q95"):
-            assert abs(r[c] - ra[r["g"]][c]) < 1e-9
+    df = spark.range(0, 3000).select((F.col("id") % 3).alias("g"), F.when(F.col("id") % 9 < 6, 1.5).otherwise(
+        (F.col("id") * 37) % 1001 / 7.0).alias("v"))
+    got = {r["g"]: r for r in exact_group_quantiles(df, ["g"], "v", [0.25, 0.5, 0.95]).collect()}
+    for g, rows in df.toPandas().groupby("g"):
+        for c, p in (("q25", 0.25), ("q50", 0.5), ("q95", 0.95)):
+            assert abs(got[g][c] - np.quantile(rows["v"], p)) < 1e-9
 
 
 def test_row_index_dense_with_ties_and_skew(spark):
@@ -117,3 +117,7 @@ def test_row_index_dense_with_ties_and_skew(spark):
     assert tuple(r) == (0, 2999, 3000, 3000)
     # order respected: every k=0 row precedes every other row
     assert idx.filter("k = 0").agg(F.max("i")).first()[0] == 999
+    # two thirds of equal values still spread over the partitions
+    hot = spark.range(0, 6000).select(F.when(F.col("id") % 3 > 0, 5).otherwise(F.col("id")).alias("k"), "id")
+    parts = with_row_index(hot, ["k"], "i", n_parts=12).groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0]
+    assert parts < 2000

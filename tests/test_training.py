@@ -86,24 +86,6 @@ def test_panel_table_materialised_once(spark):
     assert a.exceptAll(weekly_panel(spark, SF_SMALL)).count() == 0
 
 
-def test_salted_lookup_join_equals_plain(spark):
-    from tillpanel.plans.physical import hot_keys, lookup_join
-    fact = spark.range(0, 20000).select((F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500))
-                                        .alias("k"), F.col("id").alias("v"))
-    dim = spark.range(0, 500).select(F.col("id").alias("dk"), (F.col("id") * 10).alias("w"))
-    assert 7 in hot_keys(fact, "k", fraction=0.2, share=0.05)
-    salted = lookup_join(fact, dim, "k", "dk", max_broadcast_rows=10, salt=8)
-    plain = fact.join(dim, F.col("k") == F.col("dk"))
-    assert salted.count() == plain.count() == 20000
-    assert salted.exceptAll(plain.select(*salted.columns)).count() == 0
-
-
-def test_panel_same_with_salted_join(spark):
-    a = weekly_panel(spark, SF_SMALL)
-    b = weekly_panel(spark, SF_SMALL, join_opts={"max_broadcast_rows": 5, "hot": [1, 2, 3]})
-    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
-
-
 def test_panel_total_equals_brute_force(spark):
     import duckdb
     total = weekly_panel(spark, SF_SMALL).agg(F.sum("sales")).first()[0]
@@ -123,23 +105,3 @@ def test_table_fingerprint_order_free(spark, tmp_dir):
     from tillpanel.sources.derived import prediction_log
     prediction_log(spark, SF_SMALL).write.parquet(f"{tmp_dir}/log")
     assert read_prediction_log(spark, f"{tmp_dir}/log").count() == prediction_log(spark, SF_SMALL).count()
-
-
-def test_salting_spreads_hot_key(spark):
-    from tillpanel.plans.physical import lookup_join
-    prev = spark.conf.get("spark.sql.adaptive.enabled")
-    prev_bc = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # force shuffle joins
-    try:
-        fact = spark.range(0, 30000).select(
-            F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 500).alias("k"), F.col("id").alias("v"))
-        dim = spark.range(0, 500).select(F.col("id").alias("dk"), (F.col("id") * 10).alias("w"))
-        salted = lookup_join(fact, dim, "k", "dk", max_broadcast_rows=10, salt=8, hot=[7])
-        parts = salted.filter("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-        plain = fact.join(dim, F.col("k") == F.col("dk"))
-        plain_parts = plain.filter("k = 7").select(F.spark_partition_id().alias("p")).distinct().count()
-        assert plain_parts == 1 and parts > 1
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", prev)
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev_bc)

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillpanel.plans.physical import broadcast_if_small
 
 RUN_SCHEMA = T.StructType([
     T.StructField("run_id", T.StringType()),
@@ -85,13 +84,13 @@ def incumbent_of(versions: DataFrame, runs: DataFrame, alias: str = "production"
                  metric: str = GATE_METRIC) -> DataFrame:
     """Aliased version per model with its run's gate metric (null if absent).
 
-    The incumbent table has one row per model: broadcast behind a size check,
+    The incumbent table has one row per model: broadcast if the planner finds it small,
     so the (large) run log is scanned once and never shuffled.
     """
     cur = current_alias(versions, alias)
     r = runs.select("run_id", F.element_at("metrics", F.lit(metric)).alias(f"incumbent_{metric}"))
     # inner broadcast join keeps the run log unshuffled; the outer join is small × small
-    matched = r.join(broadcast_if_small(cur.select("run_id")), "run_id")
+    matched = r.join(cur.select("run_id"), "run_id")
     return cur.join(matched, "run_id", "left")
 
 
@@ -103,7 +102,7 @@ def quality_gate(candidates: DataFrame, incumbents: DataFrame, register: bool =
     ``register=False`` the gate is off and every candidate passes.
     """
     inc = incumbents.select("model_name", F.col(f"incumbent_{metric}"))
-    j = candidates.join(broadcast_if_small(inc), "model_name", "left")
+    j = candidates.join(inc, "model_name", "left")
     cand, prod = F.col(f"candidate_{metric}"), F.col(f"incumbent_{metric}")
     ok = prod.isNull() | (~F.isnan(cand) & ~F.isnan(prod) & (cand <= prod))
     if not register:

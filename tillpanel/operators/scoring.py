@@ -14,7 +14,6 @@ from tillpanel.functions.calendar import is_major_holiday_week
 from tillpanel.functions.metrics import invert_forecast
 from tillpanel.operators.features import ALL_FEATURES
 from tillpanel.operators.snapshot import SNAPSHOT_COLUMNS
-from tillpanel.plans.physical import broadcast_if_small
 
 # Request contract.
 MIN_STORE, MAX_STORE = 1, 45
@@ -57,19 +56,16 @@ def check_batch_size(requests: DataFrame, max_items: int = MAX_BATCH,
 
 
 class PreparedSnapshot:
-    """A snapshot checked once, cached and marked for broadcast, so repeated
-    scoring calls (one request at a time) skip the size check."""
-
-    def __init__(self, snapshot: DataFrame, max_rows: int = 200_000):
-        n = snapshot.count()
-        if n > max_rows:
-            raise ValueError(f"snapshot has {n} rows; score with the DataFrame directly (shuffle join)")
-        self.df = F.broadcast(snapshot.select(*SNAPSHOT_COLUMNS).cache())
+    """A snapshot computed once and cached for repeated scoring calls (one
+    request at a time); the planner broadcasts it if its bytes allow."""
+
+    def __init__(self, snapshot: DataFrame):
+        self.df = snapshot.select(*SNAPSHOT_COLUMNS).cache()
         self.df.count()
 
 
 def _lookup(snapshot) -> DataFrame:
-    return snapshot.df if isinstance(snapshot, PreparedSnapshot) else broadcast_if_small(snapshot)
+    return snapshot.df if isinstance(snapshot, PreparedSnapshot) else snapshot
 
 
 def _snapshot_df(snapshot) -> DataFrame:
@@ -81,12 +77,11 @@ def score_features(requests: DataFrame, snapshot) -> DataFrame:
     values, calendar fields come from the requested date, holiday flag from
     the rule unless given. ``status`` = ok | unknown_store.
 
-    The snapshot (one row per store) is broadcast behind a row-count check.
+    The snapshot (one row per store) is broadcast if the planner finds it small.
     """
     base = _snapshot_df(snapshot)
     snap = base.select(*SNAPSHOT_COLUMNS).withColumn("_known", F.lit(True))
     snap = snap.select("store_nbr", "_known", *[F.col(c).alias(f"_snap_{c}") for c in SNAPSHOT_COLUMNS[1:]])
-    snap = F.broadcast(snap) if isinstance(snapshot, PreparedSnapshot) else broadcast_if_small(snap)
     j = requests.join(snap, "store_nbr", "left")
     d = F.col("date")
     cols = {

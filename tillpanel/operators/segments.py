@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from tillpanel.functions.metrics import metric_aggs
 from tillpanel.operators.explore import store_avg_sales
-from tillpanel.plans.physical import broadcast_if_small
 
 # Segment labels and defaults.
 SIZE_LABELS = ["small", "medium", "large"]
@@ -74,7 +73,7 @@ def add_segments(df: DataFrame, reference: DataFrame | None = None) -> DataFrame
     boundaries; no reference → ``df`` itself). Unseen stores get null."""
     ref = df if reference is None else reference
     sizes = store_size_buckets(ref).select("store_nbr", "store_size_bucket")
-    out = df.join(broadcast_if_small(sizes), "store_nbr", "left")
+    out = df.join(sizes, "store_nbr", "left")
     return out.withColumn("unemployment_bucket", unemployment_bucket(unemployment_edges(ref)))
 
 

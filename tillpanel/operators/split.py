@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpanel.plans.physical import broadcast_if_small
 
 
 def holdout_cutoff(df: DataFrame, test_weeks: int):
@@ -71,9 +70,9 @@ def check_fold_count(df: DataFrame, n_splits: int) -> None:
 def assign_folds(df: DataFrame, folds: DataFrame) -> DataFrame:
     """Rows × their (fold, role) memberships, joined on date.
 
-    The fold table has one row per (week, fold): broadcast behind a size check.
+    The fold table has one row per (week, fold): broadcast if the planner finds it small.
     """
-    return df.join(broadcast_if_small(folds), "date")
+    return df.join(folds, "date")
 
 
 def assert_disjoint(pool: DataFrame, test: DataFrame) -> DataFrame:

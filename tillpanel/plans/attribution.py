@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpanel.operators.features import ALL_FEATURES, LOG_TARGET
-from tillpanel.plans.physical import broadcast_if_small, with_row_index
+from tillpanel.plans.physical import with_row_index
 
 SEED = 42
 
@@ -105,7 +105,7 @@ def attributions(model, rows: DataFrame, background: DataFrame, n_perm: int = 8,
     x = rows if row_key in rows.columns else with_row_index(rows, _order(rows, feats), row_key)
     bg = with_row_index(background.select(*_keep(background, feats)), _order(background, feats), "bg_idx")
     n_bg = bg.count()
-    bg = broadcast_if_small(bg.select("bg_idx", *[F.col(f).alias(f"_bg_{f}") for f in feats]))
+    bg = bg.select("bg_idx", *[F.col(f).alias(f"_bg_{f}") for f in feats])
     draws = x.select(row_key, *feats, F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("p"))
     draws = draws.withColumn("bg_idx", F.pmod(F.xxhash64(F.lit(seed), F.col(row_key), F.col("p")), F.lit(n_bg)))
     paired = draws.join(bg, "bg_idx")

@@ -19,7 +19,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpanel.functions.metrics import metric_aggs
-from tillpanel.plans.physical import broadcast_if_small
 from tillpanel.operators.features import HISTORY_FEATURES, LOG_TARGET, NUMERIC_FEATURES
 
 # Search space and its mapping onto Spark's GBT parameters.
@@ -178,7 +177,7 @@ def cv_score(df: DataFrame, folds: DataFrame, candidates: list[dict], parallelis
     """
     spark = df.sparkSession
     fold_ids = sorted(r["fold"] for r in folds.select("fold").distinct().collect())
-    rows = df.join(broadcast_if_small(folds), "date")
+    rows = df.join(folds, "date")
 
     def run(task):
         ci, fold = task

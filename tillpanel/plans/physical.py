@@ -1,4 +1,8 @@
-"""Physical-plan helpers: size-checked broadcast and lineage cuts."""
+"""Physical-plan helpers: lineage cuts, row numbers and exact quantiles.
+
+Joins carry no hints: the planner and adaptive execution choose between
+broadcast and shuffle from the sides' bytes, and split skewed partitions.
+"""
 
 from __future__ import annotations
 
@@ -7,21 +11,6 @@ from pyspark.sql import functions as F
 
 from tillpanel.session import checkpoint_dir
 
-# Largest row count we are willing to ship to every executor. Tables passed
-# here are per-store / per-date lookups, a few hundred bytes per row.
-DEFAULT_BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
-
-    The check reads at most ``max_rows + 1`` rows. Beyond the bound the
-    DataFrame is returned as is and the join falls back to a shuffle join
-    (AQE may still convert it at run time from real shuffle sizes).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared ``spark.checkpoint.dir``.
@@ -40,11 +29,13 @@ def with_row_index(df: DataFrame, order_cols: list, name: str = "row_idx",
     Range-partition + sort within partitions, tag each row with its
     partition and position, checkpoint (so both passes see identical rows),
     count rows per partition (one small action), then add prefix offsets.
-    Order columns should make the order total (ties are broken arbitrarily).
+    Rows of equal order columns are spread and ordered by a hash of the row,
+    so a value that many rows share does not meet in one task.
     """
     spark = df.sparkSession
     n_parts = n_parts or spark.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n_parts, *order_cols).sortWithinPartitions(*order_cols)
+    order = [*order_cols, F.xxhash64(*df.columns)]
+    ranged = df.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
     tagged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id())
                          .withColumn("_mid", F.monotonically_increasing_id()))
     counts = sorted((r["_pid"], r["n"]) for r in
@@ -58,96 +49,18 @@ def with_row_index(df: DataFrame, order_cols: list, name: str = "row_idx",
     return tagged.withColumn(name, (offset + local).cast("long")).drop("_pid", "_mid")
 
 
-# Largest group whose values may be buffered by one task for an exact quantile.
-QUANTILE_BUFFER_LIMIT = 1_000_000
-
-
 def exact_group_quantiles(df: DataFrame, group_cols: list, value_col: str, probs: list[float],
-                          names: list[str] | None = None,
-                          buffer_limit: int = QUANTILE_BUFFER_LIMIT) -> DataFrame:
-    """Exact linear-interpolation quantiles per group, never buffering more
-    than ``buffer_limit`` values in one task.
+                          names: list[str] | None = None) -> DataFrame:
+    """Exact linear-interpolation quantiles per group.
 
-    One small job finds the largest group. Within the bound, the exact
-    ``percentile`` aggregate runs (values of a group buffered together).
-    Beyond it, one distributed sort on (group…, value) gives every row a
-    global index (range partitioning splits a hot group across tasks); per
-    group the first index and count locate ranks ⌊p(n−1)⌋ and ⌈p(n−1)⌉,
-    which are fetched through a semi-join on the index and interpolated.
+    Equal values are counted first (reduced before the shuffle, spread by
+    value), then the exact ``percentile`` runs over the distinct values with
+    their counts, so a value that most rows share costs one entry.
     Nulls are ignored. Output: group columns + one column per prob.
     """
     names = names or [f"q{int(round(p * 100))}" for p in probs]
     vals = df.select(*group_cols, F.col(value_col).alias("_v")).filter(F.col("_v").isNotNull())
-    sizes = vals.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else \
-        vals.agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0] or 0
-    if largest <= buffer_limit:
-        q = F.percentile("_v", [float(p) for p in probs])
-        g = vals.groupBy(*group_cols).agg(q.alias("_q")) if group_cols else vals.agg(q.alias("_q"))
-        return g.select(*group_cols, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
-    idx = with_row_index(vals, [*group_cols, "_v"], "_gi")
-    stats = idx.groupBy(*group_cols).agg(F.min("_gi").alias("_start"), F.count(F.lit(1)).alias("_n"))
-    pcol = F.explode(F.array(*[F.struct(F.lit(i).alias("k"), F.lit(float(p)).alias("p"))
-                               for i, p in enumerate(probs)])).alias("_pp")
-    tg = stats.select(*group_cols, "_start", "_n", pcol).select(
-        *group_cols, "_start", "_n", F.col("_pp.k").alias("_k"),
-        (F.col("_pp.p") * (F.col("_n") - 1)).alias("_pos"))
-    tg = tg.withColumns({"_lo": F.col("_start") + F.floor("_pos").cast("long"),
-                         "_hi": F.col("_start") + F.ceil("_pos").cast("long"),
-                         "_frac": F.col("_pos") - F.floor("_pos")})
-    # only the ≤ 2 ranks per (group, prob) are needed: semi-filter the index
-    # with a size-checked broadcast of those ranks, then join small × small
-    need = tg.select(F.col("_lo").alias("_gi")).union(tg.select(F.col("_hi").alias("_gi"))).distinct()
-    pick = idx.select("_gi", "_v").join(broadcast_if_small(need), "_gi", "left_semi")
-    lo = pick.withColumnRenamed("_gi", "_lo").withColumnRenamed("_v", "_vlo")
-    hi = pick.withColumnRenamed("_gi", "_hi").withColumnRenamed("_v", "_vhi")
-    j = tg.join(lo, "_lo").join(hi, "_hi")
-    q = F.when(F.col("_lo") == F.col("_hi"), F.col("_vlo")).otherwise(
-        (F.lit(1.0) - F.col("_frac")) * F.col("_vlo") + F.col("_frac") * F.col("_vhi"))
-    long = j.select(*group_cols, "_k", q.alias("_q"))
-    aggs = [F.max(F.when(F.col("_k") == i, F.col("_q"))).alias(n) for i, n in enumerate(names)]
-    return long.groupBy(*group_cols).agg(*aggs) if group_cols else long.agg(*aggs)
-
-
-def hot_keys(df: DataFrame, key: str, fraction: float = 0.001, share: float = 0.01,
-             seed: int = 42, max_keys: int = 1000) -> list:
-    """Keys holding more than ``share`` of the rows, estimated from a
-    ``fraction`` sample (one small aggregation; at most ``max_keys`` keys
-    come back to the driver)."""
-    s = df.select(key).sample(fraction=fraction, seed=seed)
-    counts = s.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(_everything())
-    hot = (counts.select(key, "n", total.alias("t")).filter(F.col("n") > F.col("t") * F.lit(share))
-           .orderBy(F.desc("n")).limit(max_keys).collect())
-    return [r[key] for r in hot]
-
-
-def _everything():
-    from pyspark.sql import Window
-    return Window.partitionBy()
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, fact_key: str, dim_key: str,
-                max_broadcast_rows: int = 5_000_000, salt: int = 16,
-                hot: list | None = None) -> DataFrame:
-    """Inner join of a large fact table with a dimension lookup.
-
-    * dimension provably small (≤ ``max_broadcast_rows``): broadcast hash
-      join, the fact side is never shuffled;
-    * otherwise a shuffle join where only hot keys are salted: their fact
-      rows are spread over ``salt`` sub-keys and their dimension rows are
-      replicated ``salt`` times, so no task receives a third of the data.
-      ``hot`` can be given; else it is estimated from a sample.
-    """
-    n = dim.limit(max_broadcast_rows + 1).count()
-    if n <= max_broadcast_rows:
-        return fact.join(F.broadcast(dim), F.col(fact_key) == F.col(dim_key))
-    hot = hot_keys(fact, fact_key) if hot is None else hot
-    if not hot:
-        return fact.join(dim, F.col(fact_key) == F.col(dim_key))
-    is_hot_f = F.col(fact_key).isin(hot)
-    f = fact.withColumn("_salt", F.when(is_hot_f, F.pmod(F.xxhash64(*fact.columns), F.lit(salt))).otherwise(0))
-    is_hot_d = F.col(dim_key).isin(hot)
-    d = dim.withColumn("_salt", F.explode(F.when(is_hot_d, F.sequence(F.lit(0), F.lit(salt - 1)))
-                                          .otherwise(F.array(F.lit(0)))))
-    return f.join(d, (F.col(fact_key) == F.col(dim_key)) & (f["_salt"] == d["_salt"])).drop("_salt")
+    counts = vals.groupBy(*group_cols, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    q = F.percentile("_v", [float(p) for p in probs], F.col("_n")).alias("_q")
+    g = counts.groupBy(*group_cols).agg(q) if group_cols else counts.agg(q)
+    return g.select(*group_cols, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])

@@ -14,7 +14,6 @@ from pyspark.sql.utils import AnalysisException
 
 from tillpanel.functions.calendar import is_major_holiday_week, week_ending_friday
 from tillpanel.functions.metrics import nan_to_null
-from tillpanel.plans.physical import lookup_join
 
 # Raw CSV column names → panel column names, and date format.
 RAW_COLUMN_RENAME = {
@@ -106,7 +105,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def weekly_panel(spark: SparkSession, sf_dir: str, join_opts: dict | None = None) -> DataFrame:
+def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Store × week panel derived from the driver's ``lineitem`` and ``supplier``.
 
     store = supplier nation + 1; week = Friday closing the ship date's
@@ -119,7 +118,7 @@ def weekly_panel(spark: SparkSession, sf_dir: str, join_opts: dict | None = None
 
     Plan: the lineitem scan reads five columns; the supplier side is a
     two-column lookup, broadcast when its row count is provably small, else
-    joined by shuffle with hot suppliers salted (``lookup_join``); the
+    joined by shuffle, where adaptive execution splits hot suppliers; the
     aggregate is partial (map-side) + final on (store, week), so only
     stores × weeks partial rows per task are shuffled, whatever the skew.
     """
@@ -132,7 +131,7 @@ def weekly_panel(spark: SparkSession, sf_dir: str, join_opts: dict | None = None
     disc = F.rint(F.col("l_discount") * 100).cast("long")
     qty = F.rint(F.col("l_quantity") * 100).cast("long")
     agg = (
-        lookup_join(li, su, "l_suppkey", "s_suppkey", **(join_opts or {}))
+        li.join(su, F.col("l_suppkey") == F.col("s_suppkey"))
         .groupBy(
             (F.col("s_nationkey") + 1).cast("int").alias("store_nbr"),
             week_ending_friday(F.to_date("l_shipdate")).alias("date"),

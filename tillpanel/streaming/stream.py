@@ -97,15 +97,12 @@ def stream_scoring(requests: DataFrame, snapshot: DataFrame, out_ok: str, out_re
     unknown-store rows go to ``out_ok``, invalid requests to ``out_rejected``.
 
     ``foreachBatch`` reuses the batch scoring job on every micro-batch
-    (stream–static join with the broadcast snapshot). Each micro-batch writes its own ``batch=<id>`` folder in
+    (stream–static join with the prepared snapshot). Each micro-batch writes its own ``batch=<id>`` folder in
     overwrite mode, so a batch replayed after a failure replaces its output
     instead of duplicating it (exactly-once files).
     """
     if not isinstance(snapshot, PreparedSnapshot):
-        try:  # checked, cached and broadcast once for the life of the stream
-            snapshot = PreparedSnapshot(snapshot)
-        except ValueError:
-            pass  # too large to broadcast: every micro-batch joins it by shuffle
+        snapshot = PreparedSnapshot(snapshot)  # computed once for the life of the stream
 
     def write(batch: DataFrame, batch_id: int) -> None:
         res = batch_predict(batch, snapshot, model=model, model_name=model_name, cents=cents)
