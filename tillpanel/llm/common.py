@@ -90,8 +90,9 @@ def _pieces(text: bytes) -> Iterator[bytes]:
     yield text[at:]
 
 
-def _hash_run(buf: np.ndarray, punctuation: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Hash and start of every word of ``buf`` (which ends with a space)."""
+def _hash_run(buf: np.ndarray, punctuation: bool, heads: tuple[int, ...] = ()) -> tuple[np.ndarray, np.ndarray, list]:
+    """Hash and start of every word of ``buf`` (which ends with a space); for every length of
+    ``heads``, the hashes of the first bytes of the words that have them, and their starts."""
     kind = CLASS[buf]
     if not punctuation:
         kind = kind & 1
@@ -105,14 +106,20 @@ def _hash_run(buf: np.ndarray, punctuation: bool) -> tuple[np.ndarray, np.ndarra
     up, down = _powers(len(buf))
     sums = np.zeros(len(buf) + 1, np.uint64)
     np.cumsum(LOWER[buf] * up[: len(buf)], out=sums[1:])
-    return mix((sums[ends] - sums[starts]) * down[starts]), starts
+    beginnings = []
+    for n in heads:
+        at = starts[ends - starts >= n]
+        beginnings.append((mix((sums[at + n] - sums[at]) * down[at]), at))
+    return mix((sums[ends] - sums[starts]) * down[starts]), starts, beginnings
 
 
 class Words:
-    """Word hashes of several texts: ``hashes`` of all, ``bounds[i]:bounds[i+1]`` of text i."""
+    """Word hashes of several texts: ``hashes`` of all, ``bounds[i]:bounds[i+1]`` of text i;
+    ``heads``: for every length asked for, hashes of word beginnings and their texts' numbers."""
 
-    def __init__(self, texts: list[bytes], punctuation: bool = False):
+    def __init__(self, texts: list[bytes], punctuation: bool = False, heads: tuple[int, ...] = ()):
         parts, counts = [], np.zeros(len(texts), np.int64)
+        begun: list[tuple[list, list]] = [([], []) for _ in heads]
         run: list[bytes] = []
         owner: list[int] = []
         size = 0
@@ -123,8 +130,12 @@ class Words:
                 lengths = np.array([len(x) + 1 for x in run], np.int64)
                 offsets = np.cumsum(lengths) - lengths
                 buf = np.frombuffer(b" ".join(run) + b" ", np.uint8)
-                h, starts = _hash_run(buf, punctuation)
-                np.add.at(counts, np.array(owner)[np.searchsorted(offsets, starts, "right") - 1], 1)
+                h, starts, beginnings = _hash_run(buf, punctuation, heads)
+                owners = np.array(owner)
+                np.add.at(counts, owners[np.searchsorted(offsets, starts, "right") - 1], 1)
+                for (hashes, whose), (x, at) in zip(begun, beginnings, strict=True):
+                    hashes.append(x)
+                    whose.append(owners[np.searchsorted(offsets, at, "right") - 1])
                 parts.append(h)
             run, owner, size = [], [], 0
 
@@ -138,6 +149,7 @@ class Words:
         flush()
         self.hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         self.bounds = np.concatenate(([0], np.cumsum(counts)))
+        self.heads = [(np.concatenate(x), np.concatenate(o)) if x else (np.zeros(0, np.uint64), np.zeros(0, np.int64)) for x, o in begun]
 
     def shingles(self, n: int) -> tuple[np.ndarray, np.ndarray]:
         """Hash of every run of ``n`` words, and its text's number; a text of
