@@ -88,11 +88,15 @@ def test_param_grid_reference_picks():
                      (15, 0.03, 100, 10), (31, 0.1, 100, 5)]
 
 
-def test_target_encoded_store_for_many_stores(fitted):
+def test_store_encoding_does_not_depend_on_the_number_of_stores(fitted):
+    from tillpanel.plans.model import STORE_CODES, STORE_INDEX, prepare
     feats, pool, test, _ = fitted
-    m = ForecastModel.fit(pool, PARAMS, max_categorical=2)  # force the high-cardinality path
-    from pyspark.ml.feature import TargetEncoderModel
-    assert isinstance(m.pipeline_model.stages[0], TargetEncoderModel)
+    many = pool.withColumn("store_nbr", F.col("store_nbr") + (F.dayofyear("date") * 50).cast("int"))
+    for df in (pool, many):
+        frame = prepare(df)
+        assert frame.schema[STORE_INDEX].metadata["ml_attr"]["num_vals"] == STORE_CODES
+        assert frame.filter(F.col(STORE_INDEX) != F.pmod("store_nbr", F.lit(STORE_CODES))).count() == 0
+    m = ForecastModel.fit(many, PARAMS)
     out = score_in_sales_space(m, test).agg(*metric_aggs("sales", "prediction")).first()
     assert out["n"] > 0 and out["rmsle"] < 2.0
 

@@ -77,3 +77,14 @@ def test_staleness_covers_the_whole_history(spark):
     assert got["m", "approaching"]["fired_at"] == T0 + dt.timedelta(days=10, minutes=15)
     assert got["n", "stale"]["pending_since"] == T0 - dt.timedelta(days=193)
     assert got["n", "stale"]["until"] == T0 + dt.timedelta(days=12)
+
+
+def test_model_not_loaded_until_its_first_move(spark):
+    day = "timestamp'2024-01-01 00:00:00'"
+    runs = spark.sql(f"select * from values ('a', {day}), ('a', {day} + interval 3 day), ('b', {day}), ('c', {day}) as t(model_name, started_at)")
+    versions = spark.sql(f"select * from values ('a', 'production', {day} + interval 1 hour), ('b', 'production', {day} + interval 1 minute),"
+                         f" ('c', 'staging', {day}) as t(model_name, alias, created_at)")
+    got = {r["model_name"]: r for r in M.not_loaded_alerts(runs, versions, "2024-01-10 00:00:00").collect()}
+    assert set(got) == {"a", "c"}  # b was loaded within the hold
+    assert str(got["a"]["fired_at"]) == "2024-01-01 00:02:00" and str(got["a"]["until"]) == "2024-01-01 01:00:00"
+    assert str(got["c"]["until"]) == "2024-01-10 00:00:00"

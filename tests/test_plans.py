@@ -5,8 +5,8 @@ import re
 from conftest import SF_SMALL
 from tillpanel.operators import segments as G
 from tillpanel.operators.features import build_features
-from tillpanel.operators.scoring import score_features, validate_requests
-from tillpanel.operators.snapshot import latest_per_store
+from tillpanel.operators.scoring import batch_predict, score_features, validate_requests
+from tillpanel.operators.snapshot import latest_per_store, read_snapshot, write_snapshot
 from tillpanel.operators.validate import lineitem_feed, validate_panel
 from tillpanel.sources.derived import scoring_requests
 from tillpanel.sources.panel import weekly_panel
@@ -31,13 +31,18 @@ def test_validation_reads_input_once(spark):
     assert len(re.findall(r"FileScan parquet \[l_suppkey", plan)) == 1
 
 
-def test_scoring_does_not_shuffle_requests(spark):
-    snap = latest_per_store(build_features(weekly_panel(spark, SF_SMALL)))
+def _stored_snapshot(spark, path):
+    write_snapshot(latest_per_store(build_features(weekly_panel(spark, SF_SMALL))), path)
+    return read_snapshot(spark, path)
+
+
+def test_scoring_does_not_shuffle_requests(spark, tmp_path):
+    snap = _stored_snapshot(spark, str(tmp_path / "snapshot"))
     ok, _ = validate_requests(scoring_requests(spark, SF_SMALL))
     plan = _plan(score_features(ok, snap))
     assert "BroadcastHashJoin" in plan
-    # the only exchange is on the snapshot side (the per-store window), never on requests
-    assert "hashpartitioning(request_id" not in plan and "SortMergeJoin" not in plan
+    # a stored snapshot's bytes are known, so the planner broadcasts it and requests stay where they are
+    assert "hashpartitioning" not in plan and "SortMergeJoin" not in plan
 
 
 def test_segment_report_single_expand(spark):
@@ -45,3 +50,23 @@ def test_segment_report_single_expand(spark):
     f = build_features(weekly_panel(spark, SF_SMALL)).withColumn("prediction", F.col("sales_lag_1"))
     plan = _plan(G.segment_report(G.add_segments(f)))
     assert plan.count("Expand") == 1
+
+
+def test_batch_predict_reads_requests_and_snapshot_once(spark, tmp_path):
+    snap = _stored_snapshot(spark, str(tmp_path / "snapshot"))
+    plan = _plan(batch_predict(scoring_requests(spark, SF_SMALL), snap))
+    scans = re.findall(r"FileScan parquet \[([^\]]*)\]", plan)
+    assert sum("o_orderkey" in s for s in scans) == 1
+    assert sum("sales_lag_1" in s for s in scans) == 1
+    assert "hashpartitioning" not in plan
+
+
+def test_sliding_rates_count_before_they_spread(spark):
+    from tillpanel.sources.derived import prediction_log
+    from tillpanel.streaming import monitor as M
+    log = prediction_log(spark, SF_SMALL)
+    for df in (M.prediction_rate(log), M.http_error_ratio(log), M.latency_quantiles(log)):
+        plan = _plan(df)
+        assert "Expand" not in plan
+        # the copies per window are made above the first aggregate
+        assert plan.index("Generate") < plan.rindex("HashAggregate")

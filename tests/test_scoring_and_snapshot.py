@@ -77,3 +77,22 @@ def test_prepared_snapshot_same_result(spark):
     a = batch_predict(reqs, _snap(spark))
     b = batch_predict(reqs, PreparedSnapshot(_snap(spark)))
     assert a.exceptAll(b).count() == 0 and b.count() == 2
+
+
+def test_requests_of_an_oversized_batch_are_invalid(spark):
+    from conftest import SF_SMALL
+    from tillpanel.operators.features import build_features
+    from tillpanel.operators.scoring import batch_predict
+    from tillpanel.operators.snapshot import latest_per_store
+    from tillpanel.sources.derived import scoring_requests
+    from tillpanel.sources.panel import weekly_panel
+    requests = scoring_requests(spark, SF_SMALL)
+    snap = latest_per_store(build_features(weekly_panel(spark, SF_SMALL)))
+    sizes = {r[0]: r[1] for r in requests.groupBy("batch_id").count().collect()}
+    batch_of = {r[0]: r[1] for r in requests.select("request_id", "batch_id").collect()}
+    limit = max(sizes.values()) - 1
+    plain = {r["request_id"]: r["status"] for r in batch_predict(requests, snap).collect()}
+    bound = {r["request_id"]: r["status"] for r in batch_predict(requests, snap, batch_col="batch_id", max_items=limit).collect()}
+    assert set(plain) == set(bound) and any(plain[i] != bound[i] for i in plain)
+    for i, status in bound.items():
+        assert status == ("invalid" if sizes[batch_of[i]] > limit else plain[i])

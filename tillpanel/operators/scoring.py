@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from tillpanel.functions.calendar import is_major_holiday_week
 from tillpanel.functions.metrics import invert_forecast
-from tillpanel.operators.features import ALL_FEATURES
 from tillpanel.operators.snapshot import SNAPSHOT_COLUMNS
 
 # Request contract.
@@ -109,30 +108,30 @@ def naive_log_model(features: DataFrame) -> DataFrame:
 
 def batch_predict(requests: DataFrame, snapshot: DataFrame, model=None,
                   model_name: str = "naive", model_alias: str = "production",
-                  strict: bool = False, cents: bool = True) -> DataFrame:
-    """validate → join snapshot → features → model → expm1/floor/round.
+                  strict: bool = False, cents: bool = True, batch_col: str | None = None,
+                  max_items: int = MAX_BATCH) -> DataFrame:
+    """validate → join snapshot → features → model → expm1/floor/round, in one pass over the requests.
+
+    With ``batch_col``, all requests of a batch of more than ``max_items`` are
+    invalid; the batches' sizes take one more read of that column.
 
     ``model`` is a fitted Spark ML transformer producing ``log_prediction``
     (default: the persistence model). Every request gets one response row
     with ``status`` ok | invalid | unknown_store; ``strict`` raises instead
     when any request is rejected.
     """
-    ok, rejected = validate_requests(requests)
-    if strict and rejected.limit(1).count() > 0:
+    tagged = requests.withColumn("_invalid", F.size(request_violations()) > 0)
+    if batch_col is not None:
+        sizes = check_batch_size(requests, max_items, batch_col).filter(~F.col("ok"))
+        tagged = tagged.join(sizes.select(F.col(batch_col).alias("_batch"), F.lit(True).alias("_oversized")),
+                             F.col(batch_col).eqNullSafe(F.col("_batch")), "left")
+        tagged = tagged.withColumn("_invalid", F.col("_invalid") | F.coalesce("_oversized", F.lit(False))).drop("_batch", "_oversized")
+    if strict and tagged.filter("_invalid").limit(1).count() > 0:
         raise RejectedRequestsError("batch contains invalid requests")
-    feats = score_features(ok, snapshot)
-    known = feats.filter(F.col("status") == "ok")
-    scored = model.transform(known) if model is not None else naive_log_model(known)
-    pred = invert_forecast(F.col("log_prediction"), clip=True, cents=cents)
+    feats = score_features(tagged, snapshot)
+    scored = model.transform(feats) if model is not None else naive_log_model(feats)
+    status = F.when(F.col("_invalid"), F.lit("invalid")).otherwise(F.col("status"))
+    pred = F.when(status == "ok", invert_forecast(F.col("log_prediction"), clip=True, cents=cents))
     keep = ["request_id"] if "request_id" in requests.columns else []
-    served = scored.select(*keep, "store_nbr", "date", pred.alias("predicted_sales"), "status")
-    unknown = feats.filter(F.col("status") != "ok").select(
-        *keep, "store_nbr", "date", F.lit(None).cast("double").alias("predicted_sales"), "status")
-    bad = rejected.select(*keep, "store_nbr", "date", F.lit(None).cast("double").alias("predicted_sales"),
-                          F.lit("invalid").alias("status"))
-    return (served.unionByName(unknown).unionByName(bad)
-            .withColumns({"model_name": F.lit(model_name), "model_alias": F.lit(model_alias)}))
-
-
-def model_feature_columns(df: DataFrame) -> list[str]:
-    return [c for c in ALL_FEATURES if c in df.columns]
+    return scored.select(*keep, "store_nbr", "date", pred.alias("predicted_sales"), status.alias("status"),
+                         F.lit(model_name).alias("model_name"), F.lit(model_alias).alias("model_alias"))

@@ -844,6 +844,36 @@ cond AS (SELECT 'http_errors' AS rule, t.tick, COALESCE(er.alert, false) AS cond
 {episodes_sql(['rule'])}"""
 
 
+@oracle("latency_alerts")
+def _():
+    return f"""WITH {PLOG}, {TICKS}, w AS ({sliding('plog', 5)}),
+lq AS (SELECT window_end AS tick, quantile_cont(latency_s, 0.95) > 0.05 AS alert FROM w WHERE http_status = 200
+       GROUP BY window_end),
+cond AS (SELECT 'latency_p95' AS rule, t.tick, COALESCE(lq.alert, false) AS condition
+         FROM ticks t LEFT JOIN lq ON t.tick = lq.tick),
+{alert_sql('cond', ['rule'], 5 * 60)}
+{episodes_sql(['rule'])}"""
+
+
+@oracle("http_latency_quantiles")
+def _():
+    return f"""WITH {PLOG}, w AS ({sliding('plog', 5)})
+SELECT window_start, window_end, CAST(COUNT(*) AS BIGINT) AS n, ROUND(quantile_cont(latency_s, 0.5), 8) AS p50,
+       ROUND(quantile_cont(latency_s, 0.95), 8) AS p95
+FROM w GROUP BY window_start, window_end"""
+
+
+@oracle("model_not_loaded_alerts")
+def _():
+    now = "TIMESTAMP '2001-08-02 00:00:00'"
+    return f"""WITH {RUNS}, {VERSIONS},
+fr AS (SELECT model_name, MIN(started_at) AS p FROM runs WHERE started_at <= {now} GROUP BY model_name),
+fm AS (SELECT model_name, MIN(created_at) AS l FROM versions WHERE alias = 'production' AND created_at <= {now} GROUP BY 1),
+ep AS (SELECT fr.model_name, p, LEAST({now}, COALESCE(l, {now})) AS u FROM fr LEFT JOIN fm ON fr.model_name = fm.model_name)
+SELECT 'model_not_loaded' AS rule, model_name, p AS pending_since, p + INTERVAL 2 MINUTE AS fired_at, u AS until
+FROM ep WHERE p + INTERVAL 2 MINUTE <= u"""
+
+
 @oracle("scrape_up")
 def _():
     return f"""WITH {PLOG},

@@ -1,6 +1,6 @@
 """Boosted-tree forecasting with Spark ML.
 
-One global regressor on the log target with the store as a categorical
+One global regressor on the log target with the store's code as a categorical
 feature. Spark's trees reject NaN feature vectors, so history features
 that are null in a store's first weeks are filled with a sentinel (−1;
 sales are non-negative) and paired with ``<feature>_is_missing`` flags.
@@ -13,7 +13,7 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import SQLTransformer, StringIndexer, TargetEncoder, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -32,11 +32,9 @@ LEAVES_TO_DEPTH = {7: 3, 15: 4, 31: 5}
 SENTINEL = -1.0
 SEED = 42
 STORE_INDEX = "store_idx"
-# Above this many stores the store is target-encoded (a numeric feature)
-# instead of a nominal one: tree splits over a nominal feature need
-# maxBins ≥ #stores, which does not scale to very many stores.
-CATEGORICAL_MAX_STORES = 1000
-TARGET_SMOOTHING = 20.0
+# The store is one nominal feature of this many codes (store number modulo it), whatever the number of
+# stores; stores that share a code are told apart by their own history features.
+STORE_CODES = 64
 
 
 def sample_param_grid(grid: dict, n_samples: int, seed: int = SEED) -> list[dict]:
@@ -48,20 +46,18 @@ def sample_param_grid(grid: dict, n_samples: int, seed: int = SEED) -> list[dict
     return [dict(zip(keys, c)) for c in combos[:n_samples]]
 
 
-def gbt_params(params: dict, n_stores: int | None = None) -> dict:
+def gbt_params(params: dict) -> dict:
     """Translate leaf-count style parameters to Spark GBT parameters."""
     leaves = params.get("num_leaves", 15)
     depth = params.get("max_depth") or LEAVES_TO_DEPTH.get(leaves, max(1, (leaves + 1).bit_length() - 1))
-    out = {
+    return {
         "maxDepth": int(depth),
         "maxIter": int(params.get("n_estimators", params.get("max_iter", 20))),
         "stepSize": float(params.get("learning_rate", 0.1)),
         "minInstancesPerNode": int(params.get("min_child_samples", 1)),
+        "maxBins": STORE_CODES,
         "seed": SEED,
     }
-    if n_stores:
-        out["maxBins"] = max(32, int(n_stores) + 1)
-    return out
 
 
 def model_input(df: DataFrame) -> DataFrame:
@@ -85,52 +81,30 @@ def input_columns(df: DataFrame) -> list[str]:
     return cols
 
 
-def build_pipeline(train: DataFrame, params: dict, n_stores: int | None = None,
-                   max_categorical: int = CATEGORICAL_MAX_STORES) -> Pipeline:
-    """store → (nominal index | target encoding) → assembler → GBT."""
-    if n_stores is not None and n_stores > max_categorical:
-        encoder = TargetEncoder(inputCol="store_code", outputCol="store_te", labelCol=LOG_TARGET,
-                                targetType="continuous", handleInvalid="keep", smoothing=TARGET_SMOOTHING)
-        # recompute as a plain expression: drops the nominal metadata the encoder keeps
-        plain = SQLTransformer(statement=f"SELECT *, store_te + 0.0 AS {STORE_INDEX} FROM __THIS__")
-        store = [encoder, plain]
-        bins_for = None
-    else:
-        store = [StringIndexer(inputCol="store_key", outputCol=STORE_INDEX, handleInvalid="keep",
-                               stringOrderType="alphabetAsc")]
-        bins_for = n_stores
+def build_pipeline(train: DataFrame, params: dict) -> Pipeline:
+    """assembler → GBT over prepared rows (``prepare``)."""
     assembler = VectorAssembler(inputCols=[STORE_INDEX] + input_columns(train), outputCol="features",
                                 handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol=LOG_TARGET, predictionCol="log_prediction",
-                       **gbt_params(params, bins_for))
-    return Pipeline(stages=[*store, assembler, gbt])
+                       **gbt_params(params))
+    return Pipeline(stages=[assembler, gbt])
 
 
 def prepare(df: DataFrame) -> DataFrame:
-    return model_input(df).withColumns({"store_key": F.col("store_nbr").cast("string"),
-                                        "store_code": F.col("store_nbr").cast("double")})
-
-
-ROWS_PER_PARTITION = 100_000
+    code = F.coalesce(F.pmod(F.col("store_nbr"), F.lit(STORE_CODES)), F.lit(0)).cast("double")
+    nominal = {"ml_attr": {"type": "nominal", "name": STORE_INDEX, "num_vals": STORE_CODES}}
+    return model_input(df).withColumn(STORE_INDEX, code).withMetadata(STORE_INDEX, nominal)
 
 
-def fit_global_model(train: DataFrame, params: dict,
-                     max_categorical: int = CATEGORICAL_MAX_STORES) -> PipelineModel:
-    """Fit StringIndexer(store) → VectorAssembler → GBTRegressor on rows
-    with a log target.
+def fit_global_model(train: DataFrame, params: dict) -> PipelineModel:
+    """Fit VectorAssembler → GBTRegressor on rows with a log target.
 
-    One small action sizes the fit: the store count (for ``maxBins``) and
-    the row count, which sets the partition count (~100k rows each, at most
-    the cluster's parallelism) so that each boosting iteration's jobs are
-    neither starved nor drowned in tiny tasks.
+    Rows are spread by a hash of (store, date); adaptive execution sizes the
+    partitions from bytes.
     """
-    data = prepare(train.filter(F.col(LOG_TARGET).isNotNull()))
-    st = data.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("store_nbr").alias("s")).first()
-    par = data.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, min(par, -(-st["n"] // ROWS_PER_PARTITION)))
-    data = data.repartition(parts).persist()
+    data = prepare(train.filter(F.col(LOG_TARGET).isNotNull())).repartition("store_nbr", "date").persist()
     try:
-        return build_pipeline(data, params, st["s"], max_categorical).fit(data)
+        return build_pipeline(data, params).fit(data)
     finally:
         data.unpersist()
 
@@ -144,7 +118,7 @@ class ForecastModel:
     def transform(self, df: DataFrame) -> DataFrame:
         out = self.pipeline_model.transform(prepare(df))
         drop = [c for c in out.columns if c.endswith("__filled") or c.endswith("_is_missing")]
-        return out.drop("features", STORE_INDEX, "store_key", "store_code", "store_te", *drop)
+        return out.drop("features", STORE_INDEX, *drop)
 
     def save(self, path: str) -> None:
         self.pipeline_model.write().overwrite().save(path)
@@ -154,9 +128,8 @@ class ForecastModel:
         return cls(PipelineModel.load(path))
 
     @classmethod
-    def fit(cls, train: DataFrame, params: dict,
-            max_categorical: int = CATEGORICAL_MAX_STORES) -> "ForecastModel":
-        return cls(fit_global_model(train, params, max_categorical))
+    def fit(cls, train: DataFrame, params: dict) -> "ForecastModel":
+        return cls(fit_global_model(train, params))
 
 
 def score_in_sales_space(model: ForecastModel, df: DataFrame, clip: bool = False) -> DataFrame:

@@ -503,6 +503,29 @@ def q_http_error_alerts(spark, sf_dir):
     return M.alert_episodes(M.alert_for(cond, 5 * 60))
 
 
+@query("latency_alerts")
+def q_latency_alerts(spark, sf_dir):
+    """p95 latency of served requests over 5 min above a limit, held 5 min (limit scaled to the log's latencies)."""
+    log = prediction_log(spark, sf_dir)
+    per = M.latency_quantiles(log, limit=0.05).select(F.col("window_end").alias("tick"), "alert")
+    cond = (M.minute_ticks(log).join(per, "tick", "left")
+            .select(F.lit("latency_p95").alias("rule"), "tick", F.coalesce("alert", F.lit(False)).alias("condition")))
+    return M.alert_episodes(M.alert_for(cond, 5 * 60))
+
+
+@query("http_latency_quantiles")
+def q_http_latency_quantiles(spark, sf_dir):
+    """p50/p95 latency of all requests, failed ones too."""
+    d = M.latency_quantiles(prediction_log(spark, sf_dir), served_only=False)
+    return d.withColumns({"p50": F.round("p50", 8), "p95": F.round("p95", 8)}).drop("alert")
+
+
+@query("model_not_loaded_alerts")
+def q_model_not_loaded_alerts(spark, sf_dir):
+    """Models with runs but no serving version for 2 minutes."""
+    return M.not_loaded_alerts(run_log(spark, sf_dir), model_versions(spark, sf_dir), STALENESS_NOW)
+
+
 @query("scrape_up")
 def q_scrape_up(spark, sf_dir):
     hb = prediction_log(spark, sf_dir).select((F.col("http_status").cast("string")).alias("target"), "ts")

@@ -37,21 +37,42 @@ def _seconds(size: str) -> float:
     return float(n) * {"second": 1, "minute": 60, "hour": 3600, "day": 86400}[unit.rstrip("s")]
 
 
+def _sliding(log: DataFrame, size: str, slide: str, keys: list[str], counts: dict) -> DataFrame:
+    """``window_start, window_end``, ``keys`` and the ``counts`` (name → count aggregate) of every window.
+
+    In batch, rows are counted once per slide; the small counts are then added
+    up over the windows that cover them. A stream counts in its windows.
+    """
+    if log.isStreaming:
+        return _flat(log.groupBy(_win(size, slide), *keys).agg(*[c.alias(n) for n, c in counts.items()]))
+    step, covered = _seconds(slide), _seconds(size) / _seconds(slide)
+    if covered != int(covered):
+        raise ValueError("a window must hold a whole number of slides")
+    per = log.groupBy(_win(slide), *keys).agg(*[c.alias(n) for n, c in counts.items()])
+    back = F.explode(F.sequence(F.lit(0), F.lit(int(covered) - 1))).alias("_back")
+    spread = per.select(F.col("window.start").alias("_at"), back, *keys, *counts)
+    start = F.col("_at") - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.col("_back") * F.lit(step))
+    end = F.col("window_start") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.lit(_seconds(size)))
+    return (spread.withColumn("window_start", start).groupBy("window_start", *keys)
+            .agg(*[F.sum(n).alias(n) for n in counts])
+            .select("window_start", end.alias("window_end"), *keys, *counts))
+
+
 def prediction_rate(log: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
                     watermark: str | None = None) -> DataFrame:
     """Served predictions per second by store over sliding windows."""
     served = _wm(log, watermark).filter(F.col("http_status") == 200)
-    g = served.groupBy(_win(size, slide), "store_nbr").agg(F.count(F.lit(1)).alias("n"))
-    return _flat(g).withColumn("rate", F.col("n") / F.lit(_seconds(size)))
+    g = _sliding(served, size, slide, ["store_nbr"], {"n": F.count(F.lit(1))})
+    return g.withColumn("rate", F.col("n") / F.lit(_seconds(size)))
 
 
 def error_rate_by_reason(log: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
                          limit: float = ERROR_RATE_LIMIT, watermark: str | None = None) -> DataFrame:
     """Prediction errors per second by reason; ``alert`` when above ``limit``."""
     err = _wm(log, watermark).filter(F.col("reason").isNotNull())
-    g = err.groupBy(_win(size, slide), "reason").agg(F.count(F.lit(1)).alias("n"))
+    g = _sliding(err, size, slide, ["reason"], {"n": F.count(F.lit(1))})
     rate = F.col("n") / F.lit(_seconds(size))
-    return _flat(g).withColumn("rate", rate).withColumn("alert", rate > F.lit(limit))
+    return g.withColumn("rate", rate).withColumn("alert", rate > F.lit(limit))
 
 
 def request_rate_by_status(log: DataFrame, size: str = "1 minute", watermark: str | None = None) -> DataFrame:
@@ -61,33 +82,33 @@ def request_rate_by_status(log: DataFrame, size: str = "1 minute", watermark: st
 
 def http_error_ratio(log: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
                      limit: float = HTTP_5XX_LIMIT, watermark: str | None = None) -> DataFrame:
-    g = _wm(log, watermark).groupBy(_win(size, slide)).agg(
-        F.count_if(F.col("http_status") >= 500).alias("n_5xx"), F.count(F.lit(1)).alias("n"))
+    g = _sliding(_wm(log, watermark), size, slide, [], {"n_5xx": F.count_if(F.col("http_status") >= 500),
+                                                        "n": F.count(F.lit(1))})
     ratio = F.col("n_5xx") / F.col("n")
-    return _flat(g).withColumn("ratio", ratio).withColumn("alert", ratio > F.lit(limit))
+    return g.withColumn("ratio", ratio).withColumn("alert", ratio > F.lit(limit))
 
 
 def latency_quantiles(log: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
                       limit: float = LATENCY_P95_LIMIT, method: str | None = None,
-                      watermark: str | None = None) -> DataFrame:
-    """p50/p95 latency of served requests per window.
-
-    ``method``: ``exact`` (batch default) — distributed sort-based exact
-    quantiles, no window buffered in one task; ``buffered`` (stream
-    default) — the ``percentile`` aggregate, exact but holding each
-    window's values in its state; ``approx`` — ``percentile_approx`` with
-    bounded memory for very busy services.
+                      watermark: str | None = None, served_only: bool = True) -> DataFrame:
+    """p50/p95 latency per window, of served requests or of all.
+
+    ``method``: ``exact`` (batch default) — equal latencies are counted per
+    slide, and each window's exact ``percentile`` runs over those counts;
+    ``buffered`` (stream default) — ``percentile`` over the window's rows,
+    exact but holding each window's values in its state; ``approx`` —
+    ``percentile_approx`` with bounded memory for very busy services.
     """
-    from tillpanel.plans.physical import exact_group_quantiles
     method = method or ("buffered" if log.isStreaming else "exact")
-    served = _wm(log, watermark).filter(F.col("http_status") == 200)
+    served = _wm(log, watermark)
+    if served_only:
+        served = served.filter(F.col("http_status") == 200)
     if method == "exact":
-        w = served.select(_win(size, slide).alias("window"), "latency_s")
-        flat = w.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                        "latency_s")
-        q = exact_group_quantiles(flat, ["window_start", "window_end"], "latency_s", [0.5, 0.95], ["p50", "p95"])
-        n = flat.groupBy("window_start", "window_end").agg(F.count(F.lit(1)).alias("n"))
-        return n.join(q, ["window_start", "window_end"]).withColumn("alert", F.col("p95") > F.lit(limit))
+        counts = _sliding(served, size, slide, ["latency_s"], {"n": F.count(F.lit(1))})
+        g = counts.groupBy("window_start", "window_end").agg(
+            F.sum("n").alias("n"), F.percentile("latency_s", [0.5, 0.95], F.col("n")).alias("_q"))
+        return g.select("window_start", "window_end", "n", F.col("_q")[0].alias("p50"), F.col("_q")[1].alias("p95"),
+                        (F.col("_q")[1] > F.lit(limit)).alias("alert"))
     if method == "buffered":
         q = F.percentile("latency_s", [0.5, 0.95])
     else:
@@ -122,9 +143,9 @@ def windowed_sales_histogram(log: DataFrame, size: str = "5 minutes", slide: str
     upper, cum_count``."""
     v = F.col("predicted_sales")
     served = _wm(log, watermark).filter(v.isNotNull())
-    aggs = [F.count_if(v <= F.lit(float(b))).alias(f"le_{i}") for i, b in enumerate(bounds)]
-    aggs.append(F.count(F.lit(1)).alias(f"le_{len(bounds)}"))
-    g = _flat(served.groupBy(_win(size, slide)).agg(*aggs))
+    aggs = {f"le_{i}": F.count_if(v <= F.lit(float(b))) for i, b in enumerate(bounds)}
+    aggs[f"le_{len(bounds)}"] = F.count(F.lit(1))
+    g = _sliding(served, size, slide, [], aggs)
     labels = [str(b) for b in bounds] + ["+Inf"]
     uppers = [float(b) for b in bounds] + [float("inf")]
     rows = F.array(*[F.struct(F.lit(i).alias("bucket"), F.lit(labels[i]).alias("le"),
@@ -294,6 +315,24 @@ def staleness_alerts(versions: DataFrame, now, max_age_days: int = 7, lead_days:
             .drop("next_move"))
 
 
+def not_loaded_alerts(runs: DataFrame, versions: DataFrame, now, hold_minutes: int = 2,
+                      alias: str = "production") -> DataFrame:
+    """Episodes in which a model that has runs serves no version for longer than the hold.
+
+    A model is pending from its first run until its first alias move (or
+    ``now``), so both times follow from one row per model.
+    """
+    end = F.lit(now).cast("timestamp")
+    wanted = (runs.filter(F.col("started_at") <= end).groupBy("model_name").agg(F.min("started_at").alias("pending_since")))
+    loaded = (versions.filter((F.col("alias") == alias) & (F.col("created_at") <= end))
+              .groupBy("model_name").agg(F.min("created_at").alias("_loaded")))
+    fired = F.col("pending_since") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(hold_minutes))
+    return (wanted.join(loaded, "model_name", "left")
+            .select(F.lit("model_not_loaded").alias("rule"), "model_name", "pending_since", fired.alias("fired_at"),
+                    F.least(end, "_loaded").alias("until"))
+            .filter(F.col("fired_at") <= F.col("until")))
+
+
 def stream_counters(log: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Running totals: served predictions per store, errors per reason."""
     served = log.filter(F.col("http_status") == 200).groupBy("store_nbr").agg(
