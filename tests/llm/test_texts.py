@@ -127,6 +127,27 @@ def test_near_duplicates_equal_brute_force(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(want.values())) and "__x" in kept.columns
 
 
+def test_near_duplicates_of_a_star_are_one_class(spark):
+    g = np.random.default_rng(3)
+    words = [f"w{x}" for x in g.integers(0, 10**6, 400)]
+    rows = [(0, " ".join(words))]
+    for copy in range(1, 301):
+        w = list(words)
+        for j in g.choice(np.arange(2, 398, 5), 7, replace=False):
+            w[j] = f"c{copy}x{j}"
+        rows.append((copy, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    idf = near_dups.idf_table(df)
+    sets = [near_dups.weighted_set([t.encode()])[1:] for _, t in rows]
+    assert all(near_dups.similarity(sets[0], s, idf) >= 0.8 for s in sets)
+    assert np.mean([near_dups.similarity(sets[i], sets[i + 1], idf) >= 0.8 for i in range(1, 300)]) < 0.05
+    bands = near_dups.Sampler()
+    keys = [bands.bands(np.zeros(len(h), np.int64), h, n * idf[near_dups.bucket_of(h)], 1)[0] for h, n in sets]
+    meet = {i for i in range(301) if (keys[i] == keys[0]).any()}
+    got = {r["doc_id"]: r["class_id"] for r in near_dups.near_duplicates(df).collect()}
+    assert len(meet) > 290 and all(got[i] == 0 for i in meet)
+
+
 def test_near_duplicates_of_odd_rows(spark):
     got = near_dups.near_duplicates(odd(spark)).collect()
     assert len(got) == 11

@@ -9,10 +9,13 @@ if its weighted Jaccard similarity, computed from the whole texts, is at least
 ``threshold``. Classes are the connected components of the links.
 
 Skew: equal texts are collapsed by digest first, with map-side reduction. Within
-a bucket every text is compared with the bucket's hub only, so a group of n
-copies costs n comparisons. Texts that do not match their hub are compared
-again where they share two bands (finer buckets, other hubs). Joins on a hub are
-plain shuffle joins, which adaptive execution splits.
+a bucket every text is first compared with the bucket's smallest one, so a group
+of n near copies costs n comparisons. Then rounds follow: in every bucket that
+still holds several components, members outside the most frequent one become
+hubs (four times as many in each round, and the member with the most links), and
+a hub is compared with all members of other components, until every such member
+has been a hub. Then each two texts of a bucket are in one component or were
+compared. Joins on a hub are plain shuffle joins, which adaptive execution splits.
 
 Recall: a pair at similarity s shares a band with probability
 ``1-(1-s^ROWS)^BANDS`` (0.998 at 0.8); no bucket, group or partner count is capped.
@@ -27,10 +30,11 @@ table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpanel.llm.common import Words, mix, slices, text_key, utf8, written
@@ -38,6 +42,8 @@ from tillpanel.llm.common import Words, mix, slices, text_key, utf8, written
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
 BUCKETS = 1 << 18
+#: hubs of a bucket in the second round, four times as many in each further one
+FIRST_HUBS = 8
 POOL = 1 << 14
 #: idf is 1 for a feature that all documents have and grows by this per factor e of rarity
 IDF_SLOPE = 0.05
@@ -154,10 +160,8 @@ def _verify(idf):
     return run
 
 
-def _with_hubs(members: DataFrame, key: list[str]) -> DataFrame:
-    """``members`` (key, node) with the smallest node of their bucket as hub, hubs and single ones left out."""
-    hubs = members.groupBy(*key).agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
-    return members.join(hubs, key).filter(F.col("node") != F.col("hub"))
+def _pair(a: Column, b: Column) -> list[Column]:
+    return [F.least(a, b).alias("hub"), F.greatest(a, b).alias("node")]
 
 
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
@@ -182,6 +186,28 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
+def _next_hubs(members: DataFrame, links: DataFrame, hubs: DataFrame, wide: int) -> tuple[DataFrame, DataFrame]:
+    """``members`` (bucket, node) with their label, of the buckets that are not settled, and their next hubs.
+
+    A bucket is settled when every member outside its most frequent component has been a hub. The next hubs
+    are up to ``wide`` of these members, and the member with the most links, which holds a star together.
+    """
+    labelled = members.join(components(members.select("node").distinct(), links), "node")
+    sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
+    at = labelled.join(main.select("bucket", F.col("m.label").alias("main")), "bucket")
+    at = written(at.join(hubs.withColumn("done", F.lit(True)), ["bucket", "node"], "left").fillna(False, ["done"]), "unsettled")
+    minor = at.filter((F.col("label") != F.col("main")) & ~F.col("done"))
+    nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node"))
+    few = minor.withColumn("nth", nth).filter(F.col("nth") <= wide).select("bucket", "node", "label")
+    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    open_ = minor.select("bucket").distinct()
+    best = (at.filter(~F.col("done")).join(open_, "bucket", "left_semi").join(degree, "node").groupBy("bucket")
+            .agg(F.max(F.struct("degree", "node", "label")).alias("m")).select("bucket", "m.node", "m.label"))
+    asked = written(few.union(best).distinct(), "hubs")
+    return at.join(open_, "bucket", "left_semi").select("bucket", "node", "label"), asked
+
+
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """``doc_id, node`` per row of ``docs``, and ``node, first_id, class_id`` per distinct text: the
     smallest doc_id of the text's copies and of its whole class."""
@@ -191,8 +217,9 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
     idf = spark.sparkContext.broadcast(idf_table(docs))
     signed = written(texts.mapInArrow(_sign(idf), f"doc_id {id_type}, node long, bands array<long>"), "signatures")
     nodes = written(signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands")), "texts")
-    members = nodes.select("node", F.posexplode("bands").alias("band", "value"))
-    tried = written(_with_hubs(members, ["band", "value"]), "candidates")
+    members = nodes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    members = written(members.join(shared, "bucket"), "buckets")
 
     # the texts of candidates, one row each: the copy with the smallest id
     chosen = texts.join(nodes.select(F.col("node").alias("n_"), F.col("first_id").alias("id_")),
@@ -206,16 +233,23 @@ def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, D
                        .mapInArrow(_verify(idf), "node long, hub long, similarity double")
                        .withColumn("linked", F.col("similarity") >= threshold), "links")
 
-    pairs = tried.select("node", "hub").distinct()
-    first = links(pairs)
-    # those unlike their hub meet again where they share two bands
-    lone = tried.join(first.filter(~F.col("linked")).select("node", "hub"), ["node", "hub"], "left_semi")
-    held = lone.groupBy("node").agg(F.sort_array(F.collect_list(F.struct("band", "value"))).alias("at"))  # at most BANDS each
-    finer = held.select("node", F.explode("at").alias("x"), "at").select("node", "x", F.explode("at").alias("y")).filter("x.band < y.band")
-    finer = finer.select("node", F.xxhash64("x", "y").alias("bucket"))
-    more = _with_hubs(finer, ["bucket"]).select("node", "hub").distinct().join(pairs, ["node", "hub"], "left_anti")
-    second = links(written(more, "candidates-2"))
-    good = first.union(second).filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    pairs = written(members.filter("node <> hub").select("hub", "node").distinct(), "candidates")
+    tried, good = [pairs], [links(pairs).filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))]
+    hubs, members = [members.select("bucket", F.col("hub").alias("node")).distinct()], members.drop("hub")
+    wide = FIRST_HUBS
+    while True:
+        linked = reduce(DataFrame.union, good)
+        members, asked = _next_hubs(members, linked, reduce(DataFrame.union, hubs), wide)
+        if asked.limit(1).count() == 0:
+            break
+        other = asked.select("bucket", F.col("node").alias("h"), F.col("label").alias("h_label"))
+        met = members.join(other, "bucket").filter(F.col("label") != F.col("h_label")).select(*_pair(F.col("h"), F.col("node"))).distinct()
+        pairs = written(met.join(reduce(DataFrame.union, tried), ["hub", "node"], "left_anti"), "candidates")
+        tried.append(pairs)
+        good.append(links(pairs).filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")))
+        hubs.append(asked.select("bucket", "node"))
+        members, wide = members.drop("label"), wide * 4
+    good = reduce(DataFrame.union, good)
 
     labels = components(nodes.select("node", "first_id"), good).join(nodes.select("node", "first_id"), "node")
     names = labels.groupBy("label").agg(F.min("first_id").alias("class_id"))
