@@ -264,6 +264,19 @@ def test_mixing_keeps_all_rows_and_shares(spark, docs):
     assert mixing.mixed(rows.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("weights", [{f"s{i}": 0.5 if i == 0 else 0.0001 if i == 1 else 0.4999 / 18 for i in range(20)},
+                                     {f"s{i}": (1 / 3) ** 0.5 if i == 0 else (2 / 57) ** 0.5 for i in range(20)}])
+def test_shares_stay_at_the_given_weights_over_many_periods(weights):
+    total, left = sum(weights.values()), {s: 40_000 for s in weights}
+    seen, t = dict.fromkeys(weights, 0), 0
+    for p in mixing.phases(left, weights):
+        for s in mixing.one_period(p["quota"]):
+            t, seen[s] = t + 1, seen[s] + 1
+            if t <= 60_000:
+                assert all(abs(seen[x] - w / total * t) < 2 for x, w in weights.items())
+    assert seen == left and t == 800_000
+
+
 def test_differencing_is_tight():
     g = np.random.default_rng(2)
     sizes = g.integers(1, 1000, 400).astype(float)

@@ -1,49 +1,88 @@
 """Sources mixed to target weights by Pfair scheduling.
 
-Every source is cut into blocks of ``block_rows`` rows. In a phase, block i of
-a source of weight w is released at slot ``floor(i / w)`` and due at
-``ceil((i + 1) / w)``; earliest-deadline-first over the released blocks fills
-one slot after the other, so that at every slot each source is less than one
-block from its share. Weights are whole shares of ``period`` slots, and the
-schedule repeats each period: the driver schedules one period of a phase, a
-block's slot then follows by arithmetic.
-
-No row is dropped or repeated: when a source runs out, a new phase begins with
-the weights of the others in proportion. Sources are at most ``MAX_SOURCES``;
-only counts per source and one period per phase come to the driver. Ranks
-within a source are taken in hashed cells with offsets, so a source that holds
-a third of all rows is spread.
+Every source is cut into blocks of ``block_rows`` rows, one block a slot. The
+ideal gives each source its exact share of every slot; when a source runs out,
+the others share on in proportion. The schedule is cut into periods (of
+``period`` slots, or the square root of all slots if that is more), and also
+where a source runs out. At each cut a source has the floor or the ceiling of
+its ideal number of blocks: what is rounded in one period is carried into the
+next, earliest deadline first. Within a period, block i of a source with q
+blocks in p slots is released at ``floor(i p / q)`` and due at
+``ceil((i + 1) p / q)``; earliest deadline first fills one slot after the
+other. So at every slot each source is less than two blocks from its exact
+share, however long the schedule, and less than one at each cut.
+
+No row is dropped or repeated; sources are at most ``MAX_SOURCES``. The
+driver holds the counts per source and plans the periods (their number times the
+sources); the slots within periods are found by tasks. Ranks within a source are
+taken in hashed cells with offsets, so a source that holds a third of all rows is
+spread.
 
 Defined results: a null source is a source of its own; sources without a
-target weight get the smallest of the given ones; null ids and repeated rows
-are kept (repeats stand side by side); an empty table gives an empty result.
+target weight get the smallest of the given ones, a weight of zero comes last;
+null ids and repeated rows are kept (repeats stand side by side); an empty table
+gives an empty result.
 """
 
 from __future__ import annotations
 
 import heapq
-from fractions import Fraction
+import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpanel.llm.common import text_key, written
 
 BLOCK_ROWS, PERIOD, MAX_SOURCES = 64, 1024, 512
+#: float noise of ideal block counts, far below the distance of two of them that matter
+NOISE = 1e-7
 CELL_ROWS = 2_000
 
 
+def cuts(blocks: np.ndarray, weights: np.ndarray, period: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First slot and length of every period, and for each source its first block and number of blocks there.
+
+    Sources use up their blocks at ``weight`` blocks a unit of virtual time until they run out, so the ideal
+    number of blocks at a slot follows from the virtual time of that slot."""
+    weights = np.maximum(weights, weights.max() * 1e-12) if weights.max() > 0 else np.ones(len(weights))
+    ends = blocks / weights
+    order = np.argsort(ends, kind="stable")
+    v = np.concatenate(([0.0], ends[order]))
+    rate = np.cumsum(weights[order][::-1])[::-1]
+    t = np.concatenate(([0.0], np.cumsum(np.diff(v) * rate)))
+    total = int(blocks.sum())
+    t *= total / t[-1]
+    length = max(period, math.isqrt(total))
+    at = np.unique(np.concatenate((np.arange(0, total, length), np.floor(t + NOISE).astype(np.int64), [total])))
+    done = np.zeros(len(blocks), np.int64)
+    for lo, hi in zip(at[:-1].tolist(), at[1:].tolist(), strict=True):
+        ideal = np.minimum(blocks, weights * np.interp(hi, t, v)) if hi < total else blocks.astype(float)
+        goal = np.maximum(np.floor(ideal + NOISE).astype(np.int64), done)
+        need = hi - int(goal.sum())
+        # those with a block begun, then (noise only) those with any left, by the end of their next block
+        begun = np.ceil(ideal - NOISE) > goal
+        for some in (begun, ~begun & (goal < blocks)):
+            if need > 0:
+                at_most = np.flatnonzero(some & (goal < blocks))
+                first = at_most[np.argsort((goal[at_most] + 1) / weights[at_most], kind="stable")][:need]
+                goal[first] += 1
+                need -= len(first)
+        while need:  # noise only
+            s = int(np.argmax(np.where(goal > done, goal - ideal, -np.inf))) if need < 0 else int(np.argmax(blocks - goal))
+            goal[s] += 1 if need > 0 else -1
+            need += -1 if need > 0 else 1
+        yield lo, hi - lo, done, goal - done
+        done = goal
+
+
 def quotas(weights: dict, period: int) -> dict:
-    """Whole slots per period, at least one each, in proportion to ``weights`` (largest remainder)."""
-    total = sum(weights.values())
-    period = max(period, len(weights))
-    spare = period - len(weights)
-    exact = {s: 1 + Fraction(w).limit_denominator(10**9) * spare / Fraction(total).limit_denominator(10**9) for s, w in weights.items()}
-    out = {s: int(x) for s, x in exact.items()}
-    left = period - sum(out.values())
-    for s in sorted(exact, key=lambda s: (out[s] - exact[s], str(s)))[:left]:
-        out[s] += 1
-    return out
+    """Whole slots of the first period, in proportion to ``weights``."""
+    plan = cuts(np.full(len(weights), period, np.int64), np.array([float(w) for w in weights.values()]), period)
+    return dict(zip(weights, next(plan)[3].tolist(), strict=True))
 
 
 def one_period(quota: dict) -> list:
@@ -63,27 +102,25 @@ def one_period(quota: dict) -> list:
 
 
 def phases(blocks: dict, weights: dict, period: int = PERIOD) -> list[dict]:
-    """The phases that use up ``blocks`` (count per source): for each its first slot, quota, slots per
-    source within a period, and each source's first block and number of blocks."""
-    left = {s: n for s, n in blocks.items() if n}
-    used = dict.fromkeys(left, 0)
-    at, out = 0, []
-    while left:
-        quota = quotas({s: weights[s] for s in left}, period)
-        order = one_period(quota)
-        slots: dict = {s: [] for s in left}
-        for t, s in enumerate(order):
-            slots[s].append(t)
-        p = len(order)
-        length = min((n - 1) // quota[s] * p + slots[s][(n - 1) % quota[s]] + 1 for s, n in left.items())
-        took = {s: length // p * quota[s] + sum(t < length % p for t in slots[s]) for s in left}
-        out.append({"start": at, "period": p, "quota": quota, "slots": slots, "first": {s: used[s] for s in left}, "took": took})
-        at += length
-        for s, n in took.items():
-            used[s] += n
-            left[s] -= n
-        left = {s: n for s, n in left.items() if n}
-    return out
+    """The periods that use up ``blocks`` (count per source): for each its first slot, length, blocks per
+    source, and each source's first block and number of blocks."""
+    names = sorted((s for s, n in blocks.items() if n), key=lambda s: (s is not None, str(s)))
+    if not names:
+        return []
+    n, w = np.array([blocks[s] for s in names], np.int64), np.array([float(weights[s]) for s in names])
+    return [{"start": lo, "period": length, "quota": (q := dict(zip(names, took.tolist(), strict=True))),
+             "first": dict(zip(names, first.tolist(), strict=True)), "took": q} for lo, length, first, took in cuts(n, w, period)]
+
+
+def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for start, number, first, took in zip(*(b.column(c).to_pylist() for c in ("start", "number", "first", "took")), strict=True):
+            order = np.array(one_period(dict(zip(number, took, strict=True))), np.int64)
+            group = np.argsort(order, kind="stable")
+            whose = order[group]
+            nth = np.arange(len(order)) - np.searchsorted(whose, whose)
+            base = np.array(first, np.int64)[np.searchsorted(number, whose)]
+            yield pa.RecordBatch.from_arrays([pa.array(whose), pa.array(base + nth), pa.array(start + group)], ["number_", "block_", "slot"])
 
 
 def schedule(docs: DataFrame, weights: dict | None = None, block_rows: int = BLOCK_ROWS, period: int = PERIOD) -> DataFrame:
@@ -100,19 +137,21 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_rows: int = BLO
         target = {s: weights.get(s, least) for s in counts}
     else:
         target = {s: n ** 0.5 for s, n in counts.items()}
-    plan = phases({s: -(-n // block_rows) for s, n in counts.items()}, target, period)
+    names = sorted(counts, key=lambda s: (s is not None, str(s)))
     source = rows.schema["source"].dataType.simpleString()
-    spans = F.broadcast(spark.createDataFrame(
-        [(s, p["first"][s], p["first"][s] + p["took"][s], p["start"], p["period"], p["quota"][s], i)
-         for i, p in enumerate(plan) for s in p["first"] if p["took"][s]],
-        f"source_ {source}, first long, past long, start long, period long, quota long, phase int"))
-    places = F.broadcast(spark.createDataFrame(
-        [(i, s, p["slots"][s]) for i, p in enumerate(plan) for s in p["first"] if p["took"][s]],
-        f"phase_ int, place_source {source}, slots array<long>"))
-
-    cells = F.broadcast(spark.createDataFrame([(s, max(1, n // CELL_ROWS)) for s, n in counts.items()], f"cell_source {source}, cells long"))
+    known = F.broadcast(spark.createDataFrame([(s, i, max(1, counts[s] // CELL_ROWS)) for i, s in enumerate(names)],
+                                              f"cell_source {source}, number long, cells long"))
+    plan = []
+    if names:
+        blocks = np.array([-(-counts[s] // block_rows) for s in names], np.int64)
+        for lo, _, first, took in cuts(blocks, np.array([float(target[s]) for s in names]), period):
+            some = np.flatnonzero(took)
+            plan.append((lo, some.tolist(), first[some].tolist(), took[some].tolist()))
+    spans = spark.createDataFrame(plan, "start long, number array<long>, first array<long>, took array<long>")
+    places = spans.mapInArrow(_slots, "number_ long, block_ long, slot long")
+
     order = F.xxhash64("doc_id", "node")
-    rows = rows.join(cells, F.col("source").eqNullSafe(F.col("cell_source"))).withColumn(
+    rows = rows.join(known, F.col("source").eqNullSafe(F.col("cell_source"))).withColumn(
         "cell", F.pmod(F.xxhash64("node", "doc_id"), F.col("cells"))).drop("cell_source", "cells")
     sizes = rows.groupBy(F.col("source").alias("s_"), F.col("cell").alias("c_")).agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("s_").orderBy("c_").rowsBetween(Window.unboundedPreceding, -1))
@@ -121,12 +160,9 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_rows: int = BLO
     ranked = rows.withColumn("rank", rank).join(offsets, F.col("source").eqNullSafe(F.col("s_")) & (F.col("cell") == F.col("c_")))
     at = F.col("before") + F.col("rank") - 1
     blocked = ranked.withColumns({"block": F.floor(at / block_rows), "within": at % block_rows})
-    timed = (blocked.join(spans, F.col("source").eqNullSafe(F.col("source_")) & (F.col("block") >= F.col("first")) & (F.col("block") < F.col("past")))
-             .join(places, (F.col("phase") == F.col("phase_")) & F.col("source").eqNullSafe(F.col("place_source"))))
-    i = F.col("block") - F.col("first")
-    slot = F.col("start") + F.floor(i / F.col("quota")) * F.col("period") + F.get("slots", (i % F.col("quota")).cast("int"))
-    return timed.withColumn("slot", slot).select("source", "doc_id", "node", "copies", "block", "slot",
-                                                 (F.col("slot") * block_rows + F.col("within")).alias("position"))
+    timed = blocked.join(places, (F.col("number") == F.col("number_")) & (F.col("block") == F.col("block_")))
+    return timed.select("source", "doc_id", "node", "copies", "block", "slot",
+                        (F.col("slot") * block_rows + F.col("within")).alias("position"))
 
 
 def mixed(docs: DataFrame, weights: dict | None = None) -> DataFrame:
