@@ -277,6 +277,13 @@ def test_shares_stay_at_the_given_weights_over_many_periods(weights):
     assert seen == left and t == 800_000
 
 
+def test_mixing_takes_any_number_of_sources(spark):
+    rows = spark.createDataFrame([(i, f"t{i}", f"host{i % 700}") for i in range(2_100)], "doc_id long, text string, source string")
+    plan = mixing.schedule(rows, block_rows=2).collect()
+    assert sorted(r["doc_id"] for r in plan) == list(range(2_100))
+    assert sorted({r["slot"] for r in plan}) == list(range(1_400))
+
+
 def test_differencing_is_tight():
     g = np.random.default_rng(2)
     sizes = g.integers(1, 1000, 400).astype(float)

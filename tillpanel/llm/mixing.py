@@ -12,7 +12,7 @@ blocks in p slots is released at ``floor(i p / q)`` and due at
 other. So at every slot each source is less than two blocks from its exact
 share, however long the schedule, and less than one at each cut.
 
-No row is dropped or repeated; sources are at most ``MAX_SOURCES``. The
+No row is dropped or repeated and the number of sources is not limited. The
 driver holds the counts per source and plans the periods (their number times the
 sources); the slots within periods are found by tasks. Ranks within a source are
 taken in hashed cells with offsets, so a source that holds a third of all rows is
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tillpanel.llm.common import text_key, written
 
-BLOCK_ROWS, PERIOD, MAX_SOURCES = 64, 1024, 512
+BLOCK_ROWS, PERIOD = 64, 1024
 #: float noise of ideal block counts, far below the distance of two of them that matter
 NOISE = 1e-7
 CELL_ROWS = 2_000
@@ -129,9 +129,7 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_rows: int = BLO
     spark = docs.sparkSession
     keyed = docs.select("source", "doc_id", F.xxhash64(text_key(F.col("text"))).alias("node"))
     rows = written(keyed.groupBy("source", "doc_id", "node").agg(F.count(F.lit(1)).alias("copies")), "mix-rows")
-    counts = {r[0]: r[1] for r in rows.groupBy("source").agg(F.count(F.lit(1))).limit(MAX_SOURCES + 1).collect()}
-    if len(counts) > MAX_SOURCES:
-        raise ValueError(f"more than {MAX_SOURCES} sources: group them first")
+    counts = {r[0]: r[1] for r in rows.groupBy("source").agg(F.count(F.lit(1))).collect()}
     if weights:
         least = min(weights.values())
         target = {s: weights.get(s, least) for s in counts}
