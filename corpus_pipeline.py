@@ -37,8 +37,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of each document."""
-    return sharding.shards(docs, SHARDS)
+    """Shard and slot of each document; slots follow the mix, whatever order the rows are read in."""
+    return sharding.shards(mixing.placed(docs), SHARDS, position="__position")
 
 
 STAGES = [("quality", good), ("near_dups", distinct), ("decontamination", uncontaminated), ("mixing", mixed), ("sharding", sharded)]

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tillpanel.llm import chat, neighbours, near_dups, registry, warc
+from tillpanel.llm import chat, mixing, neighbours, near_dups, registry, warc
 from tillpanel.session import scratch_path
 
 SF = "/root/testdata/sf0.001"
@@ -140,6 +140,25 @@ def test_pipeline_stages_keep_their_contract(spark):
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()) == sorted(r["doc_id"] for r in got)
 
 
+def test_slots_of_each_shard_follow_the_mix(spark):
+    rows = [(i, f"text number {i}", "en", f"s{min(i % 10, 3)}", 0) for i in range(12_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    place = {r["doc_id"]: r["position"] for r in mixing.schedule(docs).collect()}
+    of = {r[0]: r[3] for r in rows}
+    shards = collections.defaultdict(dict)
+    for r in corpus_pipeline.sharded(spark, corpus_pipeline.mixed(spark, docs, SF).orderBy("doc_id"), SF).collect():
+        shards[r["shard"]][r["slot"]] = r["doc_id"]
+    assert len(shards) == corpus_pipeline.SHARDS
+    counts = collections.Counter(of.values())
+    total = sum(n ** 0.5 for n in counts.values())
+    early = collections.Counter()
+    for slots in shards.values():
+        assert sorted(slots) == list(range(len(slots)))
+        assert [place[slots[t]] for t in sorted(slots)] == sorted(place[d] for d in slots.values())
+        early.update(of[slots[t]] for t in range(len(slots) // 4))
+    assert all(abs(early[s] / sum(early.values()) - n ** 0.5 / total) < 0.05 for s, n in counts.items())
+
+
 def test_distinct_stage_keeps_one_of_each_class(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     classes = {r["class_id"] for r in near_dups.near_duplicates(docs).collect()}

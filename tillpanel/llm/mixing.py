@@ -163,9 +163,14 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_rows: int = BLO
                         (F.col("slot") * block_rows + F.col("within")).alias("position"))
 
 
-def mixed(docs: DataFrame, weights: dict | None = None) -> DataFrame:
-    """All rows and columns of ``docs`` in the order of the mix."""
+def placed(docs: DataFrame, weights: dict | None = None) -> DataFrame:
+    """All rows and columns of ``docs`` and their ``__position`` in the mix."""
     plan = schedule(docs, weights).select(F.col("source").alias("__s"), F.col("doc_id").alias("__d"), F.col("node").alias("__n"), F.col("position").alias("__position"))
     rows = docs.withColumn("__node", F.xxhash64(text_key(F.col("text"))))
     on = rows["source"].eqNullSafe(F.col("__s")) & rows["doc_id"].eqNullSafe(F.col("__d")) & (F.col("__node") == F.col("__n"))
-    return rows.join(plan, on).orderBy("__position").select(*docs.columns)
+    return rows.join(plan, on).select(*docs.columns, "__position")
+
+
+def mixed(docs: DataFrame, weights: dict | None = None) -> DataFrame:
+    """All rows and columns of ``docs`` in the order of the mix."""
+    return placed(docs, weights).orderBy("__position").drop("__position")

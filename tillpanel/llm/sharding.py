@@ -11,6 +11,7 @@ opposite order.
 
 Slots are dense per shard without sorting a shard in one task: rows are hashed
 into small cells, cell counts give offsets, and ranks are taken within cells.
+With a ``position`` column, slots follow it: cells are then stretches of positions.
 
 Defined results: null text has no bytes (size = overhead) and equals the empty
 text; null or repeated ``doc_id`` rows are all placed, order among exact
@@ -72,12 +73,14 @@ def _fingerprint(key: Column) -> Column:
     return F.xxhash64(key)
 
 
-def shards(docs: DataFrame, n_shards: int = 40, overhead: int = 16, grain: int = GRAIN) -> DataFrame:
-    """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` per row of ``docs``."""
+def shards(docs: DataFrame, n_shards: int = 40, overhead: int = 16, grain: int = GRAIN, position: str | None = None) -> DataFrame:
+    """``doc_id, size, text_crc32, law, shard, slot, grown_shard`` per row of ``docs``; slots in the order of
+    the column ``position``, if given."""
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = written(docs.select(
         "doc_id", (F.octet_length(text) + overhead).cast("long").alias("size"),
-        F.crc32(text.cast("binary")).alias("text_crc32"), text_key(F.col("text")).alias("key")), "shard-rows")
+        F.crc32(text.cast("binary")).alias("text_crc32"), text_key(F.col("text")).alias("key"),
+        (F.col(position) if position else F.lit(None)).cast("long").alias("position")), "shard-rows")
     bundles = n_shards * grain
     groups = rows.groupBy("key").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     groups = written(groups, "shard-groups")
@@ -94,19 +97,20 @@ def shards(docs: DataFrame, n_shards: int = 40, overhead: int = 16, grain: int =
     plan = F.broadcast(spark.createDataFrame(
         [(int(b), int(s)) for (b, _), s in zip(sizes, shard_of, strict=True)], "bundle int, shard int"))
     placed = (rows.join(alone, "key", "left").withColumn("bundle", bundle).join(plan, "bundle")
-              .select("doc_id", "size", "text_crc32", "shard"))
+              .select("doc_id", "size", "text_crc32", "shard", "position"))
     n_rows = groups.agg(F.sum("n")).first()[0] or 0
-    return with_slots(placed, n_rows)
+    return with_slots(placed, n_rows, position is not None)
 
 
-def with_slots(placed: DataFrame, n_rows: int) -> DataFrame:
+def with_slots(placed: DataFrame, n_rows: int, ordered: bool = False) -> DataFrame:
     """Adds gapless slots per shard; cells of about ``CELL_ROWS`` rows are ranked apart."""
     cells = max(1, n_rows // CELL_ROWS)
-    placed = placed.withColumn("cell", F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(cells)).cast("int"))
+    hashed = F.pmod(F.xxhash64("doc_id", "text_crc32"), F.lit(cells))
+    placed = placed.withColumn("cell", F.floor(F.col("position") / CELL_ROWS) if ordered else hashed.cast("long"))
     counts = placed.groupBy("shard", "cell").agg(F.count(F.lit(1)).alias("n"))
     before = F.sum("n").over(Window.partitionBy("shard").orderBy("cell").rowsBetween(Window.unboundedPreceding, -1))
     offsets = counts.select("shard", "cell", F.coalesce(before, F.lit(0)).alias("before"))
-    rank = F.row_number().over(Window.partitionBy("shard", "cell").orderBy("doc_id", "text_crc32"))
+    rank = F.row_number().over(Window.partitionBy("shard", "cell").orderBy("position", "doc_id", "text_crc32"))
     ranked = placed.withColumn("rank", rank).join(offsets, ["shard", "cell"])
     return ranked.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard",
                          (F.col("before") + F.col("rank") - 1).cast("long").alias("slot"),
