@@ -232,6 +232,27 @@ def test_licences(spark):
     assert licences.licences(files).count() == 10 and licences.licences(files.limit(0)).count() == 0
 
 
+def test_licences_of_other_versions_and_variants(spark):
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:\n"
+    gnu = "it under the terms of the GNU {}General Public License as published by\nthe Free Software Foundation, either version {} of the License, or\n(at your option) any later version."
+    cases = [("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."), ("GPL-2.0", gnu.format("", 2)),
+             ("GPL-3.0", gnu.format("", 3)), ("LGPL-2.1", gnu.format("Lesser ", 2.1)), ("AGPL-3.0", gnu.format("Affero ", 3)),
+             ("GPL-2.0", "GNU GENERAL PUBLIC LICENSE\n  Version 2, June 1991\n"), ("CC-BY-3.0", "Creative Commons Attribution 3.0 Unported"),
+             (None, "it under the terms of the GNU Lesser General Public License as published by"), ("CC-BY-NC-SA-4.0",
+             "This work is licensed under a Creative Commons\nAttribution-NonCommercial-ShareAlike 4.0 International License."),
+             ("BSD-2-Clause", bsd + "THIS SOFTWARE IS PROVIDED BY THE AUTHOR ``AS IS''"), ("BSD-3-Clause", bsd + "Neither the name of X\nTHIS SOFTWARE IS PROVIDED BY X"),
+             ("ISC", "Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted")]
+    files = spark.createDataFrame([(i, f"d{i}/x.py", t) for i, (_, t) in enumerate(cases)], "file_id long, path string, text string")
+    assert {r["file_id"]: r["licence"] for r in licences.licences(files).collect()} == {i: n for i, (n, _) in enumerate(cases)}
+
+
+def test_a_notice_does_not_cover_its_neighbour_lines(spark):
+    text = "some other words\nLicensed under CC BY-NC 4.0.\nmore other words"
+    files = spark.createDataFrame([(1, text), (2, "foo\nReleased under the MIT License.\nbar")], "file_id long, text string")
+    got = {r[0]: r[1] for r in files.select("file_id", licences.header_column(F.col("text")).alias("h")).select("file_id", "h.share").collect()}
+    assert got == {1: pytest.approx(7 / 13), 2: pytest.approx(5 / 7)}
+
+
 @pytest.mark.parametrize("weights", [{"a": 5, "b": 3, "c": 2}, {"a": 7, "b": 1, "c": 1, "d": 0.01}, {"a": 1}])
 def test_one_period_stays_within_a_block(weights):
     quota = mixing.quotas(weights, 500)

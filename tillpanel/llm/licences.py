@@ -1,8 +1,12 @@
 """Licences of files: cosine to templates, then inheritance from directories.
 
-Every line of every text is a sparse TF-IDF vector over words; it is a header
-of the licence whose template it is nearest to by cosine, if the cosine is at
-least ``threshold``. A file that is named like a licence file, or at least half
+Every line of every text, alone and with the one or two lines after it (notices
+are wrapped), is a sparse TF-IDF vector over words; it is a header of the licence
+whose template it is nearest to by cosine, if the cosine is at least
+``threshold`` and the words that tell variants and versions apart (``VARIANTS``,
+single digits) are the template's. A BSD text with a disclaimer but without the
+clause on names is BSD-2-Clause. Whole licence files are known by their titles
+and notices; their full texts are not compared. A file that is named like a licence file, or at least half
 of whose words are in such lines, speaks for its directory. A file without a
 licence of its own gets that of its nearest ancestor directory that has one:
 distinct directories are expanded to their ancestors, joined to the licensed
@@ -20,6 +24,8 @@ an empty result; no other column is read.
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -28,8 +34,20 @@ from pyspark.sql import functions as F
 from tillpanel.llm.common import SEGMENT, Words, slices, utf8
 
 THRESHOLD, WHOLE_FILE = 0.6, 0.5
+#: lines that are read together
+WRAPPED = 3
 FILE_NAMES = r"(?i)^(licen[cs]e|copying|notice|unlicense)([.-].*)?$"
 
+GNU = [("GPL-2.0", "", "2", "June 1991"), ("GPL-3.0", "", "3", "29 June 2007"), ("LGPL-2.0", "Library", "2", "June 1991"),
+       ("LGPL-2.1", "Lesser", "2.1", "February 1999"), ("LGPL-3.0", "Lesser", "3", "29 June 2007"), ("AGPL-3.0", "Affero", "3", "19 November 2007")]
+GNU_FORMS = ["This work is licensed under the GNU {} General Public License, version {}.",
+             "it under the terms of the GNU {} General Public License as published by the Free Software Foundation, either version {} of the License",
+             "GNU {} General Public License Version {}, {}"]
+#: words that tell variants apart; those of one group mean the same
+VARIANTS = [["lesser"], ["library"], ["affero"], ["nc", "noncommercial"], ["sa", "sharealike"], ["nd", "noderivatives", "noderivs"]]
+DIGITS = "12345"
+BSD_DISCLAIMER, BSD_NAMES = rb"this\W+software\W+is\W+provided\W+by\W", rb"(neither\W+the\W+names?|may\W+not\W+be\W+used\W+to\W+endorse)\W"
+
 # fixed values: notices as they stand in files, by SPDX identifier
 TEMPLATES = [
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
@@ -43,6 +61,18 @@ TEMPLATES = [
     ("GPL-3.0", "it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License"),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+    ("MPL-1.1", "Mozilla Public License Version 1.1"),
+    ("Apache-2.0", "Apache License Version 2.0, January 2004"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("CC-BY-ND-4.0", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("CC-BY-NC-ND-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("CC-BY-3.0", "This work is licensed under a Creative Commons Attribution 3.0 Unported License."),
+    ("CC-BY-SA-3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License."),
+    *((name, form.format(kind, version, date)) for name, kind, version, date in GNU for form in GNU_FORMS),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 ]
 FOUND = "struct<licence:string,score:double,share:double>"
@@ -61,9 +91,23 @@ class Templates:
         self.unknown = np.log(1 + n) + 1
         vectors = tf * self.idf[:, None]
         self.vectors = vectors / np.sqrt((vectors ** 2).sum(0))
+        words = [(x, i) for i, group in enumerate(VARIANTS) for x in group] + [(d, len(VARIANTS) + i) for i, d in enumerate(DIGITS)]
+        hashes = Words([x.encode() for x, _ in words]).hashes
+        order = np.argsort(hashes)
+        self.marks, self.bits = hashes[order], np.array([1 << i for _, i in words])[order]
+        self.variants = (1 << len(VARIANTS)) - 1
+        self.marked = self.marks_of(w.hashes, owner, n)
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.vocabulary >> np.uint64(44)).astype(np.int64)] = True
 
+    def marks_of(self, hashes: np.ndarray, owner: np.ndarray, n: int) -> np.ndarray:
+        """The distinguishing words of ``n`` texts as bits."""
+        place = np.minimum(np.searchsorted(self.marks, hashes), len(self.marks) - 1)
+        hit = self.marks[place] == hashes
+        out = np.zeros(n, np.int64)
+        np.bitwise_or.at(out, owner[hit], self.bits[place[hit]])
+        return out
+
     def lines(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Words, best cosine and template of every one of ``texts``."""
         w = Words(texts)
@@ -85,6 +129,11 @@ class Templates:
             x = tf * self.idf
             norm = np.sqrt((x ** 2).sum(1) + (n[some] - known[some]) * self.unknown ** 2)
             cos = x @ self.vectors / norm[:, None]
+            inside = row[owner] >= 0
+            mine_marks = self.marks_of(w.hashes[inside], row[owner[inside]], len(some))[:, None]
+            differ = mine_marks ^ self.marked[None, :]
+            versioned = self.marked > self.variants
+            cos[(differ & np.where(versioned, -1, self.variants)[None, :]) != 0] = 0.0
             which[some], best[some] = cos.argmax(1), cos.max(1)
         return n, best, which
 
@@ -97,18 +146,30 @@ def header_column(text: Column, templates: list[tuple[str, str]] | None = None,
     def header(text: pa.Array) -> pa.Array:
         known, out = Templates(given), []
         for b in slices([pa.RecordBatch.from_arrays([text], ["text"])], "text", 2 * SEGMENT):
-            split = [t.split(b"\n") for t in utf8(b.column("text"))]
-            n, score, which = known.lines([x for s in split for x in s])
+            texts = utf8(b.column("text"))
+            split = [t.split(b"\n") for t in texts]
+            n, score, which = known.lines([b" ".join(s[i:i + k]) for s in split for k in range(1, WRAPPED + 1) for i in range(len(s) - k + 1)])
             at = 0
-            for s in split:
-                part = slice(at, at + len(s))
-                at += len(s)
+            for text_, s in zip(texts, split, strict=True):
+                part = slice(at, at + sum(max(len(s) - k + 1, 0) for k in range(1, WRAPPED + 1)))
+                at = part.stop
                 i = part.start + int(score[part].argmax())
                 if score[i] < threshold:
                     out.append({"licence": None, "score": float(score[i]), "share": 0.0})
                 else:
-                    share = n[part][score[part] >= threshold].sum() / max(n[part].sum(), 1)
-                    out.append({"licence": known.names[which[i]], "score": float(score[i]), "share": float(share)})
+                    inside = np.zeros(len(s), bool)
+                    # lines together count only if they are nearer than any fewer of them
+                    top, at_k = np.zeros(len(s) + 1), part.start
+                    for k in range(1, min(WRAPPED, len(s)) + 1):
+                        own, fewer = score[at_k:at_k + len(s) - k + 1], np.maximum(top[:-1], top[1:])
+                        for j in np.flatnonzero((own >= threshold) & (own > fewer)):
+                            inside[j:j + k] = True
+                        top, at_k = np.maximum(own, fewer), at_k + len(own)
+                    words = n[part.start:part.start + len(s)]
+                    name = known.names[which[i]]
+                    if name == "BSD-3-Clause" and re.search(BSD_DISCLAIMER, text_.lower()) and not re.search(BSD_NAMES, text_.lower()):
+                        name = "BSD-2-Clause"
+                    out.append({"licence": name, "score": float(score[i]), "share": float(words[inside].sum() / max(words.sum(), 1))})
         return pa.array(out, pa.struct([("licence", pa.string()), ("score", pa.float64()), ("share", pa.float64())]))
 
     return header(F.coalesce(text, F.lit("")))
