@@ -157,6 +157,45 @@ def test_near_duplicates_of_odd_rows(spark):
     assert near_dups.keep_first(odd(spark).limit(0)).count() == 0
 
 
+def test_one_text_of_a_class_stays_whatever_its_ids(spark):
+    words = [f"w{i}" for i in range(300)]
+    near = [" ".join([*words, f"end{i}"]) for i in range(3)]
+    for ids in ((None, None, None), (5, 5, 6), (None, 5, 5)):
+        rows = [(i, t, 1, 2, "n", "k") for i, t in zip(ids, near, strict=True)] + [(9, "something else entirely", 1, 2, "n", "k")]
+        df = spark.createDataFrame(rows, "doc_id long, text string, node long, Kept_Node int, bucket string, label string")
+        kept = near_dups.keep_first(df)
+        assert kept.columns == df.columns and kept.count() == 2
+        least = min((i for i in ids if i is not None), default=None)
+        assert sorted((r["doc_id"] for r in kept.collect()), key=str) == sorted([least, 9], key=str)
+        assert near_dups.near_duplicates(df).filter("keep").select("node").distinct().count() == 2
+
+
+def test_blocks_of_hubs_find_all_links_of_unlike_buckets(spark, monkeypatch):
+    # texts that share buckets without being alike settle in many small blocks
+    monkeypatch.setattr(near_dups, "BLOCK_BYTES", 3000)
+    g = np.random.default_rng(8)
+    words = [f"w{x}" for x in g.integers(0, 10**6, 150)]
+    rows = []
+    for copy in range(80):
+        w = list(words)
+        for j in g.choice(150, int(g.integers(1, 9)), replace=False):
+            w[j] = f"c{copy}x{j}"
+        rows.append((copy, " ".join(w)))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    idf = near_dups.idf_table(df)
+    sets = [near_dups.weighted_set([t.encode()])[1:] for _, t in rows]
+    sampler = near_dups.Sampler()
+    keys = [sampler.bands(np.zeros(len(h), np.int64), h, n * idf[near_dups.bucket_of(h)], 1)[0] for h, n in sets]
+    label = list(range(80))
+    for i in range(80):
+        for j in range(i):
+            if (keys[i] == keys[j]).any() and near_dups.similarity(sets[i], sets[j], idf) >= 0.8:
+                a, b = sorted((label[i], label[j]))
+                label = [a if x == b else x for x in label]
+    assert 1 < len(set(label)) < 80
+    assert {r["doc_id"]: r["class_id"] for r in near_dups.near_duplicates(df).collect()} == dict(enumerate(label))
+
+
 def test_components_of_a_long_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 200)], "a long, b long")
     nodes = spark.createDataFrame([(i,) for i in [*range(61), 100, 200, 300]], "node long")

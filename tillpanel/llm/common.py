@@ -46,6 +46,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names like ``names`` that ``df`` does not have, whatever its letters' case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_key(text: Column) -> Column:
     """128-bit identity of a text (null counts as empty)."""
     return F.md5(F.coalesce(text, F.lit("")).cast("binary"))

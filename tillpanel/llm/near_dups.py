@@ -8,14 +8,17 @@ that agree on a whole band are candidates, and a candidate pair becomes a link
 if its weighted Jaccard similarity, computed from the whole texts, is at least
 ``threshold``. Classes are the connected components of the links.
 
-Skew: equal texts are collapsed by digest first, with map-side reduction. Within
-a bucket every text is first compared with the bucket's smallest one, so a group
-of n near copies costs n comparisons. Then rounds follow: in every bucket that
-still holds several components, members outside the most frequent one become
-hubs (four times as many in each round, and the member with the most links), and
-a hub is compared with all members of other components, until every such member
-has been a hub. Then each two texts of a bucket are in one component or were
-compared. Joins on a hub are plain shuffle joins, which adaptive execution splits.
+Skew: equal texts are collapsed by digest first, with map-side reduction. Two rounds
+then compare each text with one hub, so a group of n near copies costs n
+comparisons: the hub it shares most buckets with, where a bucket's hub is its
+member with the most links so far. After that every bucket that still holds several
+components is settled at once: the members outside its most frequent component meet
+all members of other components. Both sides are dealt into blocks of about
+``BLOCK_BYTES`` of text, and a task compares a block of one side with a block of
+the other through an index of shingles, so a bucket costs rows by the number of its
+blocks, not of its pairs, and no task holds more than two blocks. Of the links it
+finds, a task gives out those that join components. Then each two texts of a bucket are in
+one component or were compared.
 
 Recall: a pair at similarity s shares a band with probability
 ``1-(1-s^ROWS)^BANDS`` (0.998 at 0.8); no bucket, group or partner count is capped.
@@ -23,27 +26,28 @@ Recall: a pair at similarity s shares a band with probability
 Defined results: null text counts as empty; all empty texts are copies of each
 other; a text without words is only like its copies; a text of fewer than five
 words is one shingle; rows of null doc_id take part, and name a class only if
-it has no other id (the class is then null); repeated rows are copies; an empty
-table gives an empty result.
+it has no other id (the class is then null); repeated rows are copies, also
+those that share an id with another text; of texts with the same smallest id, one
+stays; an empty table gives an empty result; other columns may have any name.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import Words, mix, slices, text_key, utf8, written
+from tillpanel.llm.common import Words, mix, slices, text_key, unused, utf8, written
 
 SHINGLE, THRESHOLD = 5, 0.8
 BANDS, ROWS = 12, 4
 BUCKETS = 1 << 18
-#: hubs of a bucket in the second round, four times as many in each further one
-FIRST_HUBS = 8
+#: text of one side that a task holds at a time
+BLOCK_BYTES = 8 << 20
+HUB_ROUNDS = 2
 POOL = 1 << 14
 #: idf is 1 for a feature that all documents have and grows by this per factor e of rarity
 IDF_SLOPE = 0.05
@@ -132,7 +136,10 @@ def _sign(idf):
             sizes = np.where(has, BANDS, 0)
             bands = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()),
                                              pa.array(keys[has].ravel().view(np.int64)))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), bands], ["doc_id", "node", "bands"])
+            weight = np.bincount(owner, count * table[bucket_of(h)].astype(np.float64), b.num_rows)
+            length = pa.compute.binary_length(b.column("text")).cast(pa.int64()).fill_null(0)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("node"), bands, pa.array(weight, pa.float64()), length],
+                                             ["doc_id", "node", "bands", "weight", "bytes"])
     return run
 
 
@@ -145,25 +152,97 @@ def similarity(a: tuple, b: tuple, idf: np.ndarray) -> float:
     return float((w * np.minimum(x, y)).sum() / whole) if whole else 0.0
 
 
-def _verify(idf):
+def expanded(texts: list[bytes], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number, hash and weight of every shingle of ``texts``; the k-th time a text has a shingle is a
+    feature of its own, so that shared weight is a sum over shared features."""
+    owner, h, count = weighted_set(texts)
+    weight = table[bucket_of(h)].astype(np.float64)
+    nth = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+    owner, h, weight = (np.repeat(x, count) for x in (owner, h, weight))
+    return owner, np.where(nth > 0, mix(h + nth.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)), h), weight
+
+
+class Hubs:
+    """Texts with their labels, held against other texts one by one."""
+
+    def __init__(self, nodes: list[int], labels: list[int], texts: list[bytes], table: np.ndarray, threshold: float):
+        self.table, self.threshold = table, threshold
+        self.nodes = np.array(nodes, np.int64)
+        self.names, self.label = np.unique(np.array(labels, np.int64), return_inverse=True)
+        self.merged = {int(x): int(x) for x in self.names}
+        owner, h, weight = expanded(texts, table)
+        self.total = np.bincount(owner, weight, len(nodes))
+        order = np.argsort(h, kind="stable")
+        self.owner, h = owner[order], h[order]
+        self.features, self.start = np.unique(h, return_index=True)
+        self.stop = np.append(self.start[1:], len(h))
+        self.weight = weight[order][self.start]
+
+    def root(self, label: int) -> int:
+        while self.merged.setdefault(label, label) != label:
+            label = self.merged[label]
+        return label
+
+    def links(self, nodes: list[int], labels: list[int], minor: list[bool], texts: list[bytes]) -> Iterator[tuple[int, int]]:
+        """Pairs (hub, node) that reach the threshold, but those that join nothing new. Two texts outside
+        the main component meet twice, and count when the hub is the smaller one."""
+        owner, h, weight = expanded(texts, self.table)
+        at = np.minimum(np.searchsorted(self.features, h), len(self.features) - 1)
+        hit = self.features[at] == h
+        total = np.bincount(owner, weight, len(nodes))
+        cut = np.searchsorted(owner, np.arange(len(nodes) + 1))
+        for i, (node, label, both) in enumerate(zip(nodes, labels, minor, strict=True)):
+            u = at[cut[i]:cut[i + 1]][hit[cut[i]:cut[i + 1]]]
+            if not len(u):
+                continue
+            size = self.stop[u] - self.start[u]
+            ends = np.cumsum(size)
+            where = np.arange(int(ends[-1])) + np.repeat(self.start[u] - (ends - size), size)
+            shared = np.bincount(self.owner[where], np.repeat(self.weight[u], size), len(self.nodes))
+            like = shared >= (self.threshold - 1e-12) * (self.total + total[i] - shared)
+            like &= self.names[self.label] != label
+            if both:
+                like &= self.nodes < node
+            found = np.flatnonzero(like)
+            if len(found):
+                _, one = np.unique(self.label[found], return_index=True)
+                for k in found[one].tolist():
+                    a, b = self.root(int(self.names[self.label[k]])), self.root(label)
+                    if a != b:
+                        self.merged[max(a, b)] = min(a, b)
+                        yield int(self.nodes[k]), node
+
+
+HUB, MEMBER, MINOR = 0, 1, 2
+
+
+def _compare(idf, threshold: float):
+    """Links of groups whose rows come together, hubs first."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = idf.value
+        group, rows, hubs = None, [], None
         for b in slices(batches, "text"):
+            groups = b.column("g").to_numpy()
+            cuts = [0, *(np.flatnonzero(np.diff(groups)) + 1).tolist(), len(groups)]
             out = []
-            for side in ("text", "hub_text"):
-                texts = utf8(b.column(side))
-                owner, h, count = weighted_set(texts)
-                cut = np.searchsorted(owner, np.arange(len(texts) + 1))
-                out.append([(h[x:y], count[x:y]) for x, y in zip(cut, cut[1:], strict=False)])
-            s = [similarity(x, y, table) for x, y in zip(*out, strict=True)]
-            yield pa.RecordBatch.from_arrays([b.column("node"), b.column("hub"), pa.array(s, pa.float64())], ["node", "hub", "similarity"])
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                part = b.slice(lo, hi - lo)
+                side = part.column("side").to_numpy()
+                node, label, text = part.column("node").to_pylist(), part.column("label").to_pylist(), utf8(part.column("text"))
+                if groups[lo] != group:
+                    group, rows, hubs = groups[lo], [], None
+                n = int((side == HUB).sum())
+                rows += list(zip(node[:n], label[:n], text[:n], strict=True))
+                if n < len(node) and rows:
+                    if hubs is None:
+                        hubs = Hubs(*map(list, zip(*rows, strict=True)), table, threshold)
+                    out += hubs.links(node[n:], label[n:], (side[n:] == MINOR).tolist(), text[n:])
+            if out:
+                a, c = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64())], ["a", "b"])
     return run
 
 
-def _pair(a: Column, b: Column) -> list[Column]:
-    return [F.least(a, b).alias("hub"), F.greatest(a, b).alias("node")]
-
-
 def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     """``node, label``: the smallest node of each connected component of ``links`` (a, b).
 
@@ -186,89 +265,102 @@ def components(nodes: DataFrame, links: DataFrame) -> DataFrame:
     return nodes.join(labels, "node", "left").select("node", F.coalesce("label", "node").alias("label"))
 
 
-def _next_hubs(members: DataFrame, links: DataFrame, hubs: DataFrame, wide: int) -> tuple[DataFrame, DataFrame]:
-    """``members`` (bucket, node) with their label, of the buckets that are not settled, and their next hubs.
-
-    A bucket is settled when every member outside its most frequent component has been a hub. The next hubs
-    are up to ``wide`` of these members, and the member with the most links, which holds a star together.
-    """
-    labelled = members.join(components(members.select("node").distinct(), links), "node")
-    sizes = labelled.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label")).alias("m"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    at = labelled.join(main.select("bucket", F.col("m.label").alias("main")), "bucket")
-    at = written(at.join(hubs.withColumn("done", F.lit(True)), ["bucket", "node"], "left").fillna(False, ["done"]), "unsettled")
-    minor = at.filter((F.col("label") != F.col("main")) & ~F.col("done"))
-    nth = F.row_number().over(Window.partitionBy("bucket").orderBy(F.xxhash64("node", "bucket"), "node"))
-    few = minor.withColumn("nth", nth).filter(F.col("nth") <= wide).select("bucket", "node", "label")
-    degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
-    open_ = minor.select("bucket").distinct()
-    best = (at.filter(~F.col("done")).join(open_, "bucket", "left_semi").join(degree, "node").groupBy("bucket")
-            .agg(F.max(F.struct("degree", "node", "label")).alias("m")).select("bucket", "m.node", "m.label"))
-    asked = written(few.union(best).distinct(), "hubs")
-    return at.join(open_, "bucket", "left_semi").select("bucket", "node", "label"), asked
+def _block(count: Column) -> Column:
+    """Block of a row's node among ``count`` blocks."""
+    return F.pmod(F.xxhash64(F.lit("block"), F.col("node")), count)
+
+
+def _blocks(size: Column) -> Column:
+    return F.greatest(F.ceil(size / BLOCK_BYTES), F.lit(1)).cast("long")
+
+
+def _one_hub_each(members: DataFrame, links: DataFrame | None, threshold: float) -> DataFrame:
+    """Groups that compare each text with one hub of another label: of the hubs of its buckets, the one it shares most buckets
+    with. A bucket's hub is its member with the most links. ``members``: bucket, node, label, weight, bytes."""
+    if links is None:
+        ranked = members.withColumn("degree", F.lit(0).cast("long"))
+    else:
+        degree = links.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+        ranked = members.join(degree, "node", "left").fillna(0, ["degree"])
+    hubs = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "node", "label", "weight")).alias("h"))
+    # weighted Jaccard is at most the smaller total weight over the larger
+    may = F.least("weight", "h.weight") >= F.greatest("weight", "h.weight") * (threshold - 1e-9)
+    met = members.join(hubs, "bucket").filter((F.col("label") != F.col("h.label")) & may)
+    shared = met.groupBy("node", F.col("h.node").alias("hub")).agg(
+        F.count(F.lit(1)).alias("n"), F.first("label").alias("label"), F.first("h.label").alias("hub_label"), F.first("bytes").alias("bytes"))
+    chosen = written(shared.groupBy("node").agg(F.max(F.struct("n", "hub", "label", "hub_label", "bytes")).alias("m")).select("node", "m.*"), "hub-pairs")
+    blocks = chosen.groupBy("hub", "hub_label").agg(_blocks(F.sum("bytes")).alias("blocks"))
+    sides = chosen.join(blocks.drop("hub_label"), "hub").select(
+        F.xxhash64("hub", _block(F.col("blocks"))).alias("g"), F.lit(MEMBER).alias("side"), "node", "label")
+    each = blocks.select("hub", "hub_label", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("i"))
+    return sides.unionAll(each.select(F.xxhash64("hub", "i"), F.lit(HUB), "hub", "hub_label"))
+
+
+def _unsettled(members: DataFrame) -> DataFrame:
+    """Groups that settle every bucket of several labels: members outside its most frequent label against all others."""
+    labels = members.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"), F.sum("bytes").alias("bytes"))
+    buckets = (labels.groupBy("bucket").agg(F.max(F.struct("n", "label", "bytes")).alias("m"), F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("parts"))
+               .filter("parts > 1").select("bucket", F.col("m.label").alias("main"), _blocks(F.col("bytes") - F.col("m.bytes")).alias("hb"),
+                                           _blocks(F.col("bytes")).alias("mb")))
+    at = written(members.join(buckets, "bucket").select("bucket", "node", "label", (F.col("label") != F.col("main")).alias("minor"), "hb", "mb"), "unsettled")
+    hubs = at.filter("minor").withColumn("i", F.explode(F.sequence(F.lit(0), F.col("mb") - 1))).select(
+        F.xxhash64("bucket", _block(F.col("hb")), "i").alias("g"), F.lit(HUB).alias("side"), "node", "label")
+    others = at.withColumn("i", F.explode(F.sequence(F.lit(0), F.col("hb") - 1))).select(
+        F.xxhash64("bucket", "i", _block(F.col("mb"))), F.when(F.col("minor"), F.lit(MINOR)).otherwise(F.lit(MEMBER)), "node", "label")
+    return hubs.unionAll(others)
 
 
 def classes(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """``doc_id, node`` per row of ``docs``, and ``node, first_id, class_id`` per distinct text: the
-    smallest doc_id of the text's copies and of its whole class."""
+    """``doc_id, node`` per row of ``docs``, and ``node, first_id, class_id, kept`` per distinct text: the
+    smallest doc_id of the text's copies and of its whole class, and whether it is the text that the class keeps."""
     spark = docs.sparkSession
     texts = docs.select("doc_id", F.xxhash64(text_key(F.col("text"))).alias("node"), "text")
     id_type = texts.schema["doc_id"].dataType.simpleString()
     idf = spark.sparkContext.broadcast(idf_table(docs))
-    signed = written(texts.mapInArrow(_sign(idf), f"doc_id {id_type}, node long, bands array<long>"), "signatures")
-    nodes = written(signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands")), "texts")
-    members = nodes.select("node", F.posexplode("bands").alias("band", "value")).select("node", F.xxhash64("band", "value").alias("bucket"))
-    shared = members.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+    signed = written(texts.mapInArrow(_sign(idf), f"doc_id {id_type}, node long, bands array<long>, weight double, bytes long"), "signatures")
+    nodes = written(signed.groupBy("node").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"),
+                                               F.first("weight").alias("weight"), F.first("bytes").alias("bytes")), "texts")
+    members = nodes.select("node", "weight", "bytes", F.posexplode("bands").alias("band", "value")).select(
+        "node", "weight", "bytes", F.xxhash64("band", "value").alias("bucket"))
+    shared = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
     members = written(members.join(shared, "bucket"), "buckets")
 
     # the texts of candidates, one row each: the copy with the smallest id
     chosen = texts.join(nodes.select(F.col("node").alias("n_"), F.col("first_id").alias("id_")),
                         (F.col("node") == F.col("n_")) & F.col("doc_id").eqNullSafe(F.col("id_"))).select("node", "text")
+    found = written(chosen.join(members.select("node").distinct(), "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
 
-    def links(pairs: DataFrame) -> DataFrame:
-        ends = pairs.select("node").union(pairs.select(F.col("hub").alias("node"))).distinct()
-        found = written(chosen.join(ends, "node", "left_semi").dropDuplicates(["node"]), "candidate-texts")
-        rows = (pairs.join(found.withColumnsRenamed({"node": "hub", "text": "hub_text"}), "hub").join(found, "node"))
-        return written(rows.select("node", "hub", "text", "hub_text")
-                       .mapInArrow(_verify(idf), "node long, hub long, similarity double")
-                       .withColumn("linked", F.col("similarity") >= threshold), "links")
-
-    pairs = written(members.filter("node <> hub").select("hub", "node").distinct(), "candidates")
-    tried, good = [pairs], [links(pairs).filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))]
-    hubs, members = [members.select("bucket", F.col("hub").alias("node")).distinct()], members.drop("hub")
-    wide = FIRST_HUBS
-    while True:
-        linked = reduce(DataFrame.union, good)
-        members, asked = _next_hubs(members, linked, reduce(DataFrame.union, hubs), wide)
-        if asked.limit(1).count() == 0:
-            break
-        other = asked.select("bucket", F.col("node").alias("h"), F.col("label").alias("h_label"))
-        met = members.join(other, "bucket").filter(F.col("label") != F.col("h_label")).select(*_pair(F.col("h"), F.col("node"))).distinct()
-        pairs = written(met.join(reduce(DataFrame.union, tried), ["hub", "node"], "left_anti"), "candidates")
-        tried.append(pairs)
-        good.append(links(pairs).filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b")))
-        hubs.append(asked.select("bucket", "node"))
-        members, wide = members.drop("label"), wide * 4
-    good = reduce(DataFrame.union, good)
+    def compared(groups: DataFrame) -> DataFrame:
+        rows = groups.join(found, "node").select("g", "side", "node", "label", "text")
+        return written(rows.repartition("g").sortWithinPartitions("g", "side").mapInArrow(_compare(idf, threshold), "a long, b long"), "links")
+
+    ends = members.select("node").distinct()
+    labelled, links = members.withColumn("label", F.col("node")), None
+    for _ in range(HUB_ROUNDS):
+        more = compared(_one_hub_each(labelled, links, threshold))
+        links = more if links is None else links.unionAll(more)
+        labelled = written(members.join(components(ends, links), "node"), "labelled")
+    links = links.unionAll(compared(_unsettled(labelled)))
 
-    labels = components(nodes.select("node", "first_id"), good).join(nodes.select("node", "first_id"), "node")
-    names = labels.groupBy("label").agg(F.min("first_id").alias("class_id"))
-    return signed.select("doc_id", "node"), labels.join(names, "label").select("node", "first_id", "class_id")
+    labels = components(nodes.select("node"), links).join(nodes.select("node", "first_id"), "node")
+    first = F.min(F.struct(F.col("first_id").isNull(), F.col("first_id"), F.col("node")))
+    names = labels.groupBy("label").agg(F.min("first_id").alias("class_id"), first.alias("first"))
+    named = labels.join(names, "label").select("node", "first_id", "class_id", (F.col("node") == F.col("first.node")).alias("kept"))
+    return signed.select("doc_id", "node"), named
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, node, class_id, keep`` per row of ``docs``: ``node`` stands for the text, ``class_id``
     is the smallest doc_id of the class, ``keep`` marks that document."""
     rows, named = classes(docs, threshold)
-    return rows.join(named.drop("first_id"), "node").select(
-        "doc_id", "node", "class_id", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("keep"))
+    return rows.join(named, "node").select(
+        "doc_id", "node", "class_id", (F.col("kept") & F.col("doc_id").eqNullSafe(F.col("first_id"))).alias("keep"))
 
 
 def keep_first(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """One row of ``docs``, with all its columns, per class: the one with the smallest doc_id."""
-    kept = classes(docs, threshold)[1].filter(F.col("first_id").eqNullSafe(F.col("class_id"))).select(
-        F.col("first_id").alias("__id"), F.col("node").alias("__kept"))
-    rows = docs.withColumn("__node", F.xxhash64(text_key(F.col("text"))))
-    joined = rows.join(kept, rows["doc_id"].eqNullSafe(F.col("__id")) & (F.col("__node") == F.col("__kept")), "left_semi")
-    nth = F.row_number().over(Window.partitionBy("doc_id", "__node").orderBy("__node"))
-    return joined.withColumn("__nth", nth).filter("__nth = 1").select(*docs.columns)
+    """One row of ``docs``, with all its columns, per class: a row of the kept text with its smallest doc_id."""
+    node, kept_node, kept_id = unused(docs, "node", "kept_node", "kept_id")
+    kept = classes(docs, threshold)[1].filter("kept").select(F.col("first_id").alias(kept_id), F.col("node").alias(kept_node))
+    rows = docs.withColumn(node, F.xxhash64(text_key(F.col("text"))))
+    same = (F.col(node) == F.col(kept_node)) & F.col("doc_id").eqNullSafe(F.col(kept_id))
+    return rows.join(kept, same, "left_semi").dropDuplicates([node]).select(*docs.columns)
