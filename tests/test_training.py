@@ -9,7 +9,7 @@ from tillpanel.operators import runlog as RL
 from tillpanel.operators.features import build_features
 from tillpanel.operators.segments import fairness_report
 from tillpanel.plans.reports import segment_summary_json, write_report_tables
-from tillpanel.plans.training import train_and_log
+from tillpanel.plans.training import run_training
 from tillpanel.sources.panel import densify_panel, panel_table, weekly_panel
 
 
@@ -30,34 +30,50 @@ def fitter_for(factor):
     return lambda train, params: ScaledPersistence(factor)
 
 
-def _run(spark, feats, out, factor, register=True):
-    return train_and_log(feats, f"{out}/runs", f"{out}/versions", f"{out}/models",
-                         candidates=[{"num_leaves": 7}, {"num_leaves": 15}], n_splits=2, test_weeks=4,
-                         register=register, fitter=fitter_for(factor))
+def _run(spark, panel, out, factor, register=True):
+    return run_training(spark, panel, out, points=[{"num_leaves": 7}, {"num_leaves": 15}], n_splits=2, test_weeks=4,
+                        register=register, fitter=fitter_for(factor), lineage={"raw_data_sha256": "abc"})
 
 
 def test_gate_promotes_rejects_and_ties(spark, tmp_dir):
-    feats = build_features(weekly_panel(spark, SF_SMALL))
-    first = _run(spark, feats, tmp_dir, 1.0)
-    assert first["promoted"] and first["current_production_test_rmsle"] is None
-    worse = _run(spark, feats, tmp_dir, 3.0)
-    assert not worse["promoted"]
+    panel = weekly_panel(spark, SF_SMALL)
+    first = _run(spark, panel, tmp_dir, 1.0)
+    assert first.promoted and first.incumbent is None and set(first.reports) == {"fairness_metrics", "fairness_summary"}
+    worse = _run(spark, panel, tmp_dir, 3.0)
+    assert not worse.promoted and worse.released is None and worse.reports == {}
     v = RL.read_versions(spark, f"{tmp_dir}/versions")
     assert v.count() == 1  # alias unchanged, nothing registered
-    tie = _run(spark, feats, tmp_dir, 1.0)
-    assert tie["promoted"]
+    tie = _run(spark, panel, tmp_dir, 1.0)
+    assert tie.promoted
     cur = RL.current_alias(RL.read_versions(spark, f"{tmp_dir}/versions")).first()
-    assert cur["version"] == 2 and cur["run_id"] == tie["run_id"]
-    gates = [r[0] for r in RL.read_runs(spark, f"{tmp_dir}/runs").filter("run_name = 'holdout_test_evaluation'")
-             .select(F.element_at("tags", "quality_gate")).collect()]
+    assert cur["version"] == 2 and cur["run_id"] == tie.run_id
+    runs = RL.read_runs(spark, f"{tmp_dir}/runs")
+    gates = [r[0] for r in runs.filter("run_name = 'holdout'").select(F.element_at("tags", "quality_gate")).collect()]
     assert sorted(gates) == ["fail", "pass", "pass"]
+    # lineage on every run and version, disparity on the released runs, one row per candidate and job
+    assert runs.filter(F.element_at("tags", "raw_data_sha256") == "abc").count() == runs.count()
+    assert RL.read_versions(spark, f"{tmp_dir}/versions").filter(F.element_at("tags", "raw_data_rows").isNull()).count() == 0
+    released = runs.filter("run_name = 'release'").collect()
+    assert len(released) == 2 and all("fairness_disparity_ratio_store_nbr" in r["metrics"] for r in released)
+    assert runs.filter("run_name LIKE 'search-%'").count() == 6
 
 
 def test_gate_off_when_not_registering(spark, tmp_dir):
-    feats = build_features(weekly_panel(spark, SF_SMALL))
-    _run(spark, feats, tmp_dir, 1.0)
-    off = _run(spark, feats, tmp_dir, 5.0, register=False)
-    assert off["promoted"]
+    panel = weekly_panel(spark, SF_SMALL)
+    _run(spark, panel, tmp_dir, 1.0)
+    off = _run(spark, panel, tmp_dir, 5.0, register=False)
+    assert off.promoted
+
+
+def test_a_real_model_is_released_with_all_reports(spark, tmp_dir):
+    points = [{"num_leaves": 7, "n_estimators": n, "learning_rate": 0.3, "min_child_samples": 5} for n in (2, 4)]
+    result = run_training(spark, weekly_panel(spark, SF_SMALL), tmp_dir, points=points, n_splits=2, test_weeks=4)
+    assert result.promoted and set(result.reports) == {
+        "fairness_metrics", "fairness_summary", "native_gain_importance", "attribution_top_features",
+        "permutation_importance_holdout", "local_example"}
+    doc = json.loads(spark.read.text(result.reports["local_example"]).first()[0])
+    assert abs(sum(doc["attributions"].values()) + doc["base_value"] - doc["predicted_log1p_sales"]) < 1e-9
+    assert spark.read.option("header", True).csv(result.reports["permutation_importance_holdout"]).count() == 15
 
 
 def test_reports_written(spark, tmp_dir):

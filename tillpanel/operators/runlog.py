@@ -3,7 +3,7 @@ promotion gate and staleness rules.
 
 Run log: ``run_id, run_name, model_name, model_type, params MAP<STRING,STRING>,
 metrics MAP<STRING,DOUBLE>, tags MAP<STRING,STRING>, started_at TIMESTAMP``.
-Versions: ``model_name, version, alias, run_id, created_at``. A version row
+Versions: ``model_name, version, alias, run_id, created_at, tags MAP<STRING,STRING>``. A version row
 with ``alias`` set is an alias move; the latest move per model wins.
 """
 
@@ -30,6 +30,7 @@ VERSION_SCHEMA = T.StructType([
     T.StructField("alias", T.StringType()),
     T.StructField("run_id", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
+    T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
 ])
 
 # Staleness defaults (days).
@@ -44,6 +45,7 @@ def append_run(spark: SparkSession, path: str, rows: list[dict]) -> None:
 
 
 def append_version(spark: SparkSession, path: str, rows: list[dict]) -> None:
+    rows = [{f.name: row.get(f.name) for f in VERSION_SCHEMA} for row in rows]
     spark.createDataFrame(rows, VERSION_SCHEMA).write.mode("append").parquet(path)
 
 

@@ -47,12 +47,11 @@ def store_size_buckets(reference: DataFrame) -> DataFrame:
 def unemployment_edges(reference: DataFrame) -> list[float]:
     """Distinct exact quartiles (linear interpolation) of the reference period.
 
-    Computed by a distributed sort (no single task buffers the column);
-    three scalars come back to the driver, so applying them needs no join.
+    Found by range refinement: no task holds more than a fixed number of bins, however many values differ.
+    Three scalars come back to the driver, so applying them needs no join.
     """
-    from tillpanel.plans.physical import exact_group_quantiles
-    row = exact_group_quantiles(reference, [], "unemployment", QUARTILES, ["a", "b", "c"]).first()
-    q = [] if row is None else [row["a"], row["b"], row["c"]]
+    from tillpanel.plans.physical import exact_quantiles
+    q = exact_quantiles(reference, ["unemployment"], QUARTILES)["unemployment"]
     out: list[float] = []
     for v in q:
         if v is not None and v not in out:

@@ -997,3 +997,19 @@ SELECT runs.run_id, ROUND(runs.test_rmsle, 6) AS test_rmsle,
        ROUND(p.b, 6) AS fairness_disparity_ratio_unemployment_bucket,
        ROUND(p.c, 6) AS fairness_disparity_ratio_store_nbr
 FROM runs, p"""
+
+LEVEL_SUMS = FEAT + """,
+logs AS (SELECT *, CAST(log_sales AS DECIMAL(18,9)) AS log FROM feat)"""
+ORACLES["store_levels"] = "WITH " + LEVEL_SUMS + """,
+weekly AS (SELECT date, SUM(log) AS s, COUNT(log) AS n FROM logs GROUP BY date),
+prior AS (SELECT date, CAST(SUM(s) OVER w AS DOUBLE) / NULLIF(SUM(n) OVER w, 0) AS prior FROM weekly
+          WINDOW w AS (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+own AS (SELECT store_nbr, date, SUM(log) OVER w AS s, COUNT(log) OVER w AS n FROM logs
+        WINDOW w AS (PARTITION BY store_nbr ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+SELECT store_nbr, date, ROUND(COALESCE((COALESCE(CAST(s AS DOUBLE), 0.0) + 8 * prior) / (n + 8), 0.0), 6) AS store_level
+FROM own JOIN prior USING (date)"""
+ORACLES["store_levels_final"] = "WITH " + LEVEL_SUMS + """,
+per AS (SELECT store_nbr, SUM(log) AS s, COUNT(log) AS n FROM logs GROUP BY store_nbr),
+overall AS (SELECT CAST(SUM(s) AS DOUBLE) / SUM(n) AS prior FROM per)
+SELECT store_nbr, ROUND((CAST(s AS DOUBLE) + 8 * prior) / (n + 8), 6) AS store_level FROM per, overall
+UNION ALL SELECT NULL, ROUND(prior, 6) FROM overall"""

@@ -1,20 +1,19 @@
 """Model explanations as Spark jobs.
 
 * permutation importance on held-out rows (log-target RMSE increase);
-* sampled Shapley values: per explained row, random feature orderings and
-  background rows; one model ``transform`` over all hybrid rows;
+* exact path-dependent attributions of the fitted trees, for any number of rows;
 * global (mean |attribution| over a sample) and local explanations.
 """
 
 from __future__ import annotations
 
-import random
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillpanel.operators.features import ALL_FEATURES, LOG_TARGET
-from tillpanel.plans.physical import with_row_index
+from tillpanel.plans.model import feature_of
+from tillpanel.plans.physical import cut_lineage, permuted_index, with_row_index
+from tillpanel.plans.tree_attribution import contributions
 
 SEED = 42
 
@@ -30,14 +29,6 @@ def sample_rows(df: DataFrame, n: int, seed: int = SEED, keys=("store_nbr", "dat
     return df.withColumn("_h", h).orderBy("_h", *keys).limit(n).drop("_h")
 
 
-def _pick(col_name_col, feats: list[str]):
-    """Value of the feature named by ``col_name_col`` (as double)."""
-    expr = F.lit(None).cast("double")
-    for f in feats:
-        expr = F.when(col_name_col == F.lit(f), F.col(f).cast("double")).otherwise(expr)
-    return expr
-
-
 def _rmse_log(df: DataFrame) -> F.Column:
     e = F.col("log_prediction") - F.col(LOG_TARGET)
     return F.sqrt(F.avg(e * e))
@@ -48,92 +39,48 @@ def permutation_importance(model, df: DataFrame, features: list[str] | None = No
     """Mean and population std over repeats of the log-RMSE increase when
     one feature's column is randomly permuted across the rows of ``df``.
 
-    Every (feature, repeat) permutation comes from one distributed sort
-    (seeded hash keys) and a join on the permuted index; the model scores
+    Rows get numbers once. A (feature, repeat) permutation is arithmetic on these numbers, so no copy is
+    sorted: each row fetches the feature's value of the row that its number is mapped to, and the model scores
     all permuted copies in a single ``transform``.
     """
     feats = features or model_features(df)
     types = dict(df.dtypes)
     base = with_row_index(df.filter(F.col(LOG_TARGET).isNotNull()), ["store_nbr", "date"], "orig_idx")
     n = base.count()
-    combos = [(i, f, r) for i, (f, r) in enumerate((f, r) for f in feats for r in range(n_repeats))]
-    combo = F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.lit(f).alias("f"), F.lit(r).alias("r"))
-                                for c, f, r in combos])).alias("combo")
-    exploded = base.select("*", combo).select("*", "combo.c", "combo.f", "combo.r").drop("combo")
-    donors = exploded.select(
-        "c", "orig_idx", F.xxhash64(F.lit(seed), "f", "r", "orig_idx").alias("pkey"),
-        _pick(F.col("f"), feats).alias("donor_value"))
-    ranked = with_row_index(donors, ["c", "pkey", "orig_idx"], "g")
-    donor = ranked.select("c", (F.col("g") - F.col("c") * F.lit(n)).alias("orig_idx"), "donor_value")
-    joined = exploded.join(donor, ["c", "orig_idx"])
+    combo = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.lit(r).alias("r")) for i in range(len(feats)) for r in range(n_repeats)]))
+    copies = base.select("*", combo.alias("combo")).select("*", "combo.f", "combo.r").drop("combo")
+    donor = permuted_index(F.col("orig_idx"), max(n, 1), F.lit(seed), F.col("f"), F.col("r"))
+    values = base.select(F.col("orig_idx").alias("donor"), F.array(*[F.col(f).cast("double") for f in feats]).alias("donor_values"))
+    joined = copies.withColumn("donor", donor).join(values, "donor").withColumn("donor_value", F.get("donor_values", F.col("f")))
     swapped = joined.withColumns({
-        f: F.when(F.col("f") == F.lit(f), F.col("donor_value").cast(types[f])).otherwise(F.col(f))
-        for f in feats})
-    scored = model.transform(swapped.drop("donor_value"))
+        f: F.when(F.col("f") == i, F.col("donor_value").cast(types[f])).otherwise(F.col(f)) for i, f in enumerate(feats)})
+    scored = model.transform(swapped.drop("donor", "donor_value", "donor_values"))
     per = scored.groupBy("f", "r").agg(_rmse_log(scored).alias("rmse"))
     base_rmse = model.transform(base).agg(_rmse_log(base).alias("b")).first()["b"]
     imp = per.withColumn("delta", F.col("rmse") - F.lit(base_rmse))
-    return imp.groupBy(F.col("f").alias("feature")).agg(
+    names = F.array(*[F.lit(f) for f in feats])
+    return imp.groupBy(F.get(names, F.col("f")).alias("feature")).agg(
         F.avg("delta").alias("importance_mean"), F.stddev_pop("delta").alias("importance_std"))
 
 
-def attributions(model, rows: DataFrame, background: DataFrame, n_perm: int = 8,
-                 seed: int = SEED, features: list[str] | None = None,
-                 row_key: str = "row_id") -> DataFrame:
-    """Sampled Shapley values in log space.
-
-    For explained row x, ordering π and background row z: hybrid j takes
-    the first j features of π from x, the rest from z; feature π[j]
-    contributes f(hybrid_{j+1}) − f(hybrid_j). Averaged over orderings.
-    Per row the contributions sum to f(x) − mean f(z) over its draws.
+def attributions(model, rows: DataFrame, row_key: str = "row_id") -> DataFrame:
+    """Exact path-dependent tree attributions in log space of every row of ``rows``.
 
-    Output: ``row_id, feature, attribution`` plus, per row, ``f_x`` and
-    ``base_value`` (mean background prediction).
+    ``row_id, feature, attribution, f_x, base_value``, one row per row and feature; the attributions of a row add
+    up to ``f_x - base_value``. The inputs made from one feature count together; a feature that no tree uses has 0.
     """
-    feats = features or model_features(rows)
-    d = len(feats)
-    rng = random.Random(seed)
-    perms = []
-    for _ in range(n_perm):
-        order = list(range(d))
-        rng.shuffle(order)
-        perms.append(order)
-    pos = [[order.index(k) for k in range(d)] for order in perms]  # position of feature k in ordering p
-    pos_lit = F.array(*[F.array(*[F.lit(v) for v in row]) for row in pos])
-    perm_lit = F.array(*[F.array(*[F.lit(feats[k]) for k in order]) for order in perms])
-
-    x = rows if row_key in rows.columns else with_row_index(rows, _order(rows, feats), row_key)
-    bg = with_row_index(background.select(*_keep(background, feats)), _order(background, feats), "bg_idx")
-    n_bg = bg.count()
-    bg = bg.select("bg_idx", *[F.col(f).alias(f"_bg_{f}") for f in feats])
-    draws = x.select(row_key, *feats, F.explode(F.sequence(F.lit(0), F.lit(n_perm - 1))).alias("p"))
-    draws = draws.withColumn("bg_idx", F.pmod(F.xxhash64(F.lit(seed), F.col(row_key), F.col("p")), F.lit(n_bg)))
-    paired = draws.join(bg, "bg_idx")
-    steps = paired.withColumn("j", F.explode(F.sequence(F.lit(0), F.lit(d))))
-    posk = F.element_at(pos_lit, F.col("p") + 1)
-    hybrid = steps.select(row_key, "p", "j", *[
-        F.when(F.element_at(posk, k + 1) < F.col("j"), F.col(f)).otherwise(F.col(f"_bg_{f}")).alias(f)
-        for k, f in enumerate(feats)])
-    scored = model.transform(hybrid).select(row_key, "p", "j", "log_prediction")
-    w = Window.partitionBy(row_key, "p").orderBy("j")
-    diffs = scored.select(row_key, "p", "j", "log_prediction",
-                          (F.col("log_prediction") - F.lag("log_prediction").over(w)).alias("delta"))
-    contrib = diffs.filter(F.col("j") > 0).select(
-        row_key, F.element_at(F.element_at(perm_lit, F.col("p") + 1), F.col("j")).alias("feature"), "delta")
-    attr = contrib.groupBy(row_key, "feature").agg((F.sum("delta") / F.lit(float(n_perm))).alias("attribution"))
-    ends = diffs.groupBy(row_key).agg(
-        F.avg(F.when(F.col("j") == 0, F.col("log_prediction"))).alias("base_value"),
-        F.avg(F.when(F.col("j") == d, F.col("log_prediction"))).alias("f_x"))
-    return attr.join(ends, row_key)
-
-
-def _keep(df: DataFrame, feats: list[str]) -> list[str]:
-    return list(dict.fromkeys(feats + [c for c in ("store_nbr", "date") if c in df.columns]))
-
-
-def _order(df: DataFrame, feats: list[str]) -> list[str]:
-    keys = [c for c in ("store_nbr", "date") if c in df.columns]
-    return keys if len(keys) == 2 else feats
+    feats = model_features(rows)
+    keyed = rows if row_key in rows.columns else rows.withColumn(row_key, F.monotonically_increasing_id())
+    data = cut_lineage(model.vectors(keyed).withColumnRenamed(row_key, "row_id").select("row_id", "features"))
+    found, base = contributions(data, model.boosted)
+    feature_of_input = F.array(*[F.lit(feature_of(c)) for c in model.inputs])
+    summed = (found.groupBy("row_id", F.get(feature_of_input, F.col("input")).alias("feature"))
+              .agg(F.sum("contribution").alias("attribution")))
+    f_x = model.boosted.transform(data).select("row_id", F.col("log_prediction").alias("f_x"), F.lit(base).alias("base_value"),
+                                               F.explode(F.array(*[F.lit(f) for f in feats])).alias("feature"))
+    out = f_x.join(summed, ["row_id", "feature"], "left").select(
+        F.col("row_id").alias(row_key), "feature", F.coalesce("attribution", F.lit(0.0)).alias("attribution"), "f_x", "base_value")
+    return out
 
 
 def mean_abs_attribution(attr: DataFrame) -> DataFrame:
@@ -144,29 +91,24 @@ def top_features(imp: DataFrame, n: int = 10, col: str = "mean_abs_attribution")
     return imp.orderBy(F.desc(col), "feature").limit(n)
 
 
-def global_attribution(model, df: DataFrame, sample_size: int = 500, n_perm: int = 8,
-                       seed: int = SEED, top_n: int = 10) -> DataFrame:
-    """Sample → sampled Shapley values (sample as background) → mean |·| → top n."""
-    feats = model_features(df)
-    s = sample_rows(df, sample_size, seed).select(*_keep(df, feats))
-    x = with_row_index(s, _order(s, feats), "row_id")
-    attr = attributions(model, x, s, n_perm, seed, feats)
-    return top_features(mean_abs_attribution(attr), top_n)
+def global_attribution(model, df: DataFrame, sample_size: int = 500, seed: int = SEED, top_n: int = 10) -> DataFrame:
+    """Mean |attribution| over a sample of ``sample_size`` rows, the ``top_n`` largest."""
+    return top_features(mean_abs_attribution(attributions(model, sample_rows(df, sample_size, seed))), top_n)
 
 
-def local_explanation(model, row: DataFrame, background: DataFrame, n_perm: int = 32,
-                      seed: int = SEED) -> DataFrame:
+def local_explanation(model, row: DataFrame) -> DataFrame:
     """JSON record for one row: actual, log and dollar prediction, feature
     values and their attributions (NaN → null, dates ISO)."""
     feats = model_features(row)
     x = row.withColumn("row_id", F.lit(0).cast("long"))
-    attr = attributions(model, x.select("row_id", *feats), background, n_perm, seed, feats)
+    attr = attributions(model, x)
     amap = attr.groupBy("row_id").agg(
-        F.map_from_entries(F.collect_list(F.struct("feature", "attribution"))).alias("attributions"),
+        F.map_from_entries(F.array_sort(F.collect_list(F.struct("feature", "attribution")))).alias("attributions"),
         F.first("f_x").alias("f_x"), F.first("base_value").alias("base_value"))
     j = x.join(amap, "row_id")
     fmap = F.map_from_arrays(F.array(*[F.lit(f) for f in feats]),
                              F.array(*[F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")) for f in feats]))
+    # Names and constants of the record's fields.
     rec = F.struct(
         F.lit("latest_holdout_prediction_for_worst_rmsle_store").alias("selection_reason"),
         F.lit("log1p_weekly_sales").alias("explanation_space"),

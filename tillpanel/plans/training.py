@@ -1,5 +1,8 @@
-"""Training job: split → baseline → CV search → honest holdout → gate →
-refit and register → snapshot and reports. Writes only on promotion.
+"""The training job: check the panel, search, judge on unseen weeks, and release.
+
+Everything up to the gate only reads; the run log gets its rows in one write at
+the end, and the released model, its version, snapshot and reports are written
+only when the gate passes.
 """
 
 from __future__ import annotations
@@ -7,130 +10,179 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillpanel.operators import runlog as RL
+from tillpanel.operators import segments as G
 from tillpanel.operators.evaluate import evaluate_all, naive_baseline
 from tillpanel.operators.features import build_features
 from tillpanel.operators.snapshot import latest_per_store, write_snapshot
 from tillpanel.operators.split import holdout_split, rolling_origin_folds
 from tillpanel.operators.validate import raise_if_failed, validate_panel
-from tillpanel.plans.model import (DEFAULT_PARAM_GRID, ForecastModel, best_of, cv_score, gain_importance,
-                                   sample_param_grid, score_in_sales_space)
+from tillpanel.plans import attribution as A
+from tillpanel.plans.model import ForecastModel, best_of, candidates, cv_score, gain_importance, score_in_sales_space
 from tillpanel.plans.physical import cut_lineage
-
-OVERLAP_FINAL_FIT = True
-
-
-def _metrics_row(df: DataFrame, prefix: str) -> dict:
-    r = df.first()
-    return {f"{prefix}{k}": (None if r[k] is None else float(r[k])) for k in ("rmsle", "mae", "rmse")}
-
-
-def _exists(spark: SparkSession, path: str | None) -> bool:
-    if not path:
-        return False
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
-def train_and_log(features: DataFrame, runs_path: str, versions_path: str, model_dir: str,
-                  candidates: list[dict] | None = None, n_candidates: int = 6, n_splits: int = 3,
-                  test_weeks: int = 8, register: bool = True, parallelism: int = 4,
-                  model_name: str = "tillpanel-gbt", alias: str = "production",
-                  fingerprint: dict | None = None, fitter=ForecastModel.fit) -> dict:
+from tillpanel.plans.reports import segment_summary_json, write_report_tables
+
+METRICS = ("rmsle", "mae", "rmse")
+# Prefixes of the run log's metric names.
+HOLDOUT, ALL_WEEKS = "test_", "holdout_"
+
+
+@dataclass
+class Runs:
+    """Rows of the run log that one job collects."""
+
+    model_name: str
+    tags: dict
+    rows: list[dict] = field(default_factory=list)
+
+    def add(self, run_name: str, model_type: str, params: dict, metrics: dict, **tags: str) -> str:
+        run_id = uuid.uuid4().hex
+        self.rows.append({
+            "run_id": run_id, "run_name": run_name, "model_name": self.model_name, "model_type": model_type,
+            "params": {k: str(v) for k, v in params.items()},
+            "metrics": {k: float(v) for k, v in metrics.items() if v is not None},
+            "tags": {k: str(v) for k, v in (self.tags | tags).items()},
+            "started_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)})
+        return run_id
+
+
+@dataclass
+class Result:
+    """What a training job found and where it wrote it."""
+
+    points: list[dict]
+    scores: DataFrame
+    best: dict
+    cv_rmsle: float
+    holdout: dict
+    baseline: dict
+    incumbent: float | None
+    promoted: bool
+    evaluated: DataFrame
+    pool: DataFrame
+    features: DataFrame
+    judged: object
+    released: object | None = None
+    run_id: str | None = None
+    reports: dict[str, str] = field(default_factory=dict)
+
+
+def _named(row_frame: DataFrame, prefix: str) -> dict:
+    row = row_frame.first()
+    return {prefix + m: row[m] for m in METRICS}
+
+
+def incumbent_score(spark: SparkSession, out: str, model_name: str) -> float | None:
+    """Holdout score of the version now in production; None where there is none yet."""
+    try:
+        versions, runs = RL.read_versions(spark, f"{out}/versions"), RL.read_runs(spark, f"{out}/runs")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+    row = RL.incumbent_of(versions, runs).filter(F.col("model_name") == model_name).first()
+    return None if row is None else row["incumbent_test_rmsle"]
+
+
+def next_version(spark: SparkSession, out: str, model_name: str) -> int:
+    try:
+        known = RL.read_versions(spark, f"{out}/versions")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return 1
+    return (known.filter(F.col("model_name") == model_name).agg(F.max("version")).first()[0] or 0) + 1
+
+
+def passes(score: float | None, incumbent: float | None) -> bool:
+    """Without an incumbent every score passes; a NaN on either side, or a worse score, does not."""
+    return incumbent is None or (score is not None and score <= incumbent)
+
+
+def search_and_judge(features: DataFrame, out: str, runs: Runs, points: list[dict], n_splits: int, test_weeks: int,
+                     register: bool, parallelism: int, fitter) -> Result:
+    """Cross-validated search on the pool, then one look at the holdout weeks."""
     spark = features.sparkSession
-    features = cut_lineage(features)  # reused by every fit; survives executor loss
+    features = cut_lineage(features)  # every fit reads it
     pool, test = holdout_split(features, test_weeks)
-    folds = rolling_origin_folds(pool, n_splits)
-    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    runs: list[dict] = []
-
-    def run_row(name, mtype, params, metrics, tags=None):
-        runs.append({"run_id": uuid.uuid4().hex, "run_name": name, "model_name": model_name,
-                     "model_type": mtype, "params": {k: str(v) for k, v in (params or {}).items()},
-                     "metrics": {k: v for k, v in metrics.items() if v is not None},
-                     "tags": {**(tags or {}), **{k: str(v) for k, v in (fingerprint or {}).items()}},
-                     "started_at": now})
-        return runs[-1]["run_id"]
-
-    base_all = _metrics_row(naive_baseline(features), "holdout_")
-    base_test = _metrics_row(naive_baseline(test), "test_")
-    run_row("baseline_naive_previous_week", "baseline", {}, {**base_all, **base_test})
-
-    cands = candidates or sample_param_grid(DEFAULT_PARAM_GRID, n_candidates)
-    scores = cv_score(pool, folds, cands, parallelism=parallelism, fitter=fitter).cache()
-    for i, p in enumerate(cands):
-        per = scores.filter(F.col("candidate") == i).orderBy("fold").collect()
-        m = {f"fold{r['fold']}_{k}": r[k] for r in per for k in ("rmsle", "mae", "rmse")}
-        m["cv_mean_rmsle"] = sum(r["rmsle"] for r in per) / max(1, len(per))
-        run_row(f"gbt_{'_'.join(str(v) for v in p.values())}", "gbt", p, m)
-    best_i, best_cv = best_of(scores)
-    best = cands[best_i]
-
-    incumbent = None
-    if register and _exists(spark, versions_path) and _exists(spark, runs_path):
-        inc = RL.incumbent_of(RL.read_versions(spark, versions_path), RL.read_runs(spark, runs_path))
-        row = inc.filter(F.col("model_name") == model_name).first()
-        incumbent = None if row is None else row["incumbent_test_rmsle"]
-
-    # With no incumbent the gate passes whatever the holdout score, so the
-    # final refit on all weeks runs concurrently with the holdout fit.
-    early_final = None
-    with ThreadPoolExecutor(max_workers=2) as pool_exec:
-        if incumbent is None and OVERLAP_FINAL_FIT:
-            early_final = pool_exec.submit(fitter, features, best)
-        eval_model = fitter(pool, best)
-        test_scored = score_in_sales_space(eval_model, test)
-        test_metrics = _metrics_row(evaluate_all(test_scored), "test_")
-        early_final = early_final.result() if early_final is not None else None
-    cand = test_metrics["test_rmsle"]
-    passed = (incumbent is None) or (cand is not None and cand == cand and incumbent == incumbent
-                                     and cand <= incumbent)
-    holdout_metrics = {**test_metrics, **{f"baseline_{k}": v for k, v in base_test.items()}}
-    if incumbent is not None:
-        holdout_metrics["current_production_test_rmsle"] = incumbent
-    run_row("holdout_test_evaluation", "gbt_holdout_eval", {**best, "test_weeks": test_weeks},
-            holdout_metrics, {"quality_gate": "pass" if passed else "fail"})
-
-    result = {"baseline_metrics": base_all, "baseline_test_metrics": base_test, "best_params": best,
-              "best_cv_rmsle": best_cv, "cv_scores": scores, "test_metrics": test_metrics,
-              "promoted": False, "current_production_test_rmsle": incumbent, "run_id": None,
-              "model": eval_model, "eval_model": eval_model, "evaluation_df": test_scored,
-              "reference_df": pool, "features": features}
-    if passed:
-        final = early_final if early_final is not None else fitter(features, best)
-        final_id = run_row("best_gbt_final", "gbt_final", {**best, "test_weeks": test_weeks},
-                           {"cv_mean_rmsle": best_cv, **test_metrics,
-                            **{f"baseline_{k}": v for k, v in base_all.items()}},
-                           {"quality_gate": "pass"})
-        path = f"{model_dir.rstrip('/')}/{final_id}"
-        final.save(path)
-        if register:
-            prev = 0
-            if _exists(spark, versions_path):
-                v = RL.read_versions(spark, versions_path).filter(F.col("model_name") == model_name) \
-                    .agg(F.max("version")).first()[0]
-                prev = v or 0
-            RL.append_version(spark, versions_path, [{"model_name": model_name, "version": prev + 1,
-                                                      "alias": alias, "run_id": final_id, "created_at": now}])
-        result.update({"promoted": True, "run_id": final_id, "model": final, "model_uri": path})
-    RL.append_run(spark, runs_path, runs)
-    return result
-
-
-def run_training(spark: SparkSession, panel: DataFrame, out_dir: str, **kw) -> dict:
-    """validate (raise on errors) → features → train_and_log → snapshot +
-    gain importance when promoted."""
+    baseline = _named(naive_baseline(test), HOLDOUT)
+    runs.add("persistence", "baseline", {}, _named(naive_baseline(features), ALL_WEEKS) | baseline)
+
+    scores = cv_score(pool, rolling_origin_folds(pool, n_splits), points, parallelism, fitter)
+    scores.write.parquet(f"{out}/search/{uuid.uuid4().hex}")
+    by_point: dict[int, list] = {}
+    for r in scores.collect():  # candidates x folds rows
+        by_point.setdefault(r["candidate"], []).append(r)
+    for i, rows in sorted(by_point.items()):
+        per_fold = {f"fold{r['fold']}_{m}": r[m] for r in rows for m in METRICS}
+        runs.add(f"search-{i}", "gbt", points[i], per_fold | {"cv_mean_rmsle": sum(r["rmsle"] for r in rows) / len(rows)})
+    best, cv_rmsle = best_of(scores)
+
+    incumbent = incumbent_score(spark, out, runs.model_name) if register else None
+    with ThreadPoolExecutor(max_workers=2) as both:
+        # without an incumbent the gate cannot fail, so the refit on all weeks need not wait for it
+        refit = both.submit(fitter, features, points[best]) if incumbent is None else None
+        judged = fitter(pool, points[best])
+    evaluated = cut_lineage(score_in_sales_space(judged, test))
+    holdout = _named(evaluate_all(evaluated), HOLDOUT)
+    promoted = passes(holdout["test_rmsle"], incumbent)
+    runs.add("holdout", "gbt_holdout", points[best] | {"test_weeks": test_weeks},
+             holdout | {f"baseline_{k}": v for k, v in baseline.items()} | {"incumbent_test_rmsle": incumbent},
+             quality_gate="pass" if promoted else "fail")
+    return Result(points, scores, points[best], cv_rmsle, holdout, baseline, incumbent, promoted, evaluated, pool, features, judged,
+                  refit.result() if refit else None)
+
+
+def write_reports(result: Result, out: str) -> dict[str, str]:
+    """Segment metrics and summary, importances and the worst store's example of a judged model."""
+    report = G.fairness_report(result.evaluated, result.pool)
+    trees = isinstance(result.judged, ForecastModel)
+    worst = G.worst_segment_row(result.evaluated, evaluate_all(result.evaluated, by=["store_nbr"])) if trees else None
+    test = result.evaluated.drop("prediction", "log_prediction")
+    return write_report_tables(
+        f"{out}/reports", report, segment_summary_json(report, result.evaluated),
+        gain=gain_importance(result.judged) if trees else None,
+        top_attr=A.global_attribution(result.judged, result.features) if trees else None,
+        permutation=A.permutation_importance(result.judged, test) if trees else None,
+        local_json=A.local_explanation(result.judged, worst.select(*test.columns)) if trees else None)
+
+
+def release(result: Result, out: str, runs: Runs, register: bool, alias: str, test_weeks: int, fitter) -> None:
+    """Refits on all weeks, saves the model, moves the alias, writes snapshot and reports."""
+    spark = result.features.sparkSession
+    with ThreadPoolExecutor(max_workers=2) as both:  # the reports need the judged model only
+        reports = both.submit(write_reports, result, out)
+        result.released = result.released or fitter(result.features, result.best)
+        result.reports = reports.result()
+    disparity = {f"fairness_disparity_ratio_{r['segment_dimension']}": r["disparity_ratio"]
+                 for r in G.disparity_summary(G.segment_report(G.add_segments(result.evaluated, result.pool))).collect()}
+    result.run_id = runs.add("release", "gbt_final", result.best | {"test_weeks": test_weeks},
+                             {"cv_mean_rmsle": result.cv_rmsle} | result.holdout | disparity, quality_gate="pass")
+    result.released.save(f"{out}/models/{result.run_id}")
+    write_snapshot(latest_per_store(result.features), f"{out}/snapshot")
+    if register:
+        RL.append_version(spark, f"{out}/versions", [{
+            "model_name": runs.model_name, "version": next_version(spark, out, runs.model_name), "alias": alias,
+            "run_id": result.run_id, "created_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+            "tags": {k: str(v) for k, v in runs.tags.items()}}])
+
+
+def run_training(spark: SparkSession, panel: DataFrame, out_dir: str, points: list[dict] | None = None, n_splits: int = 3,
+                 test_weeks: int = 8, register: bool = True, parallelism: int = 8, model_name: str = "tillpanel-gbt",
+                 alias: str = "production", lineage: dict | None = None, fitter=ForecastModel.fit) -> Result:
+    """The whole job below ``out_dir``. ``lineage`` are tags that runs and versions carry beside the panel's own
+    (such as the SHA-256 of the source files)."""
     raise_if_failed(validate_panel(panel))
-    feats = build_features(panel)
-    fp = RL.panel_fingerprint(panel)
     out = out_dir.rstrip("/")
-    res = train_and_log(feats, f"{out}/runs", f"{out}/versions", f"{out}/models", fingerprint=fp, **kw)
-    if res["promoted"]:
-        write_snapshot(latest_per_store(res["features"]), f"{out}/snapshot")
-        gain_importance(res["model"], res["features"]).write.mode("overwrite").parquet(f"{out}/gain_importance")
-    return res
+    runs = Runs(model_name, RL.panel_fingerprint(panel) | (lineage or {}))
+    result = search_and_judge(build_features(panel), out, runs, points or candidates(), n_splits, test_weeks, register, parallelism, fitter)
+    if result.promoted:
+        release(result, out, runs, register, alias, test_weeks, fitter)
+    RL.append_run(spark, f"{out}/runs", runs.rows)
+    return result

@@ -26,9 +26,8 @@ from tillpanel.operators.snapshot import advanced_snapshot, latest_per_store, re
 from tillpanel.operators.split import assert_disjoint, assign_folds, holdout_cutoff, rolling_origin_folds
 from tillpanel.operators.validate import lineitem_feed, quarantine, validate_panel
 from tillpanel.plans import attribution as A
-from tillpanel.plans.physical import exact_group_quantiles
-from tillpanel.plans.model import ForecastModel, best_of, cv_score, gain_importance, score_in_sales_space
-from tillpanel.plans.reports import segment_summary_json, write_report_tables
+from tillpanel.plans.model import gain_importance, score_in_sales_space, store_levels, with_earlier_level
+from tillpanel.plans.reports import segment_summary_json
 from tillpanel.plans.training import run_training
 from tillpanel.session import scratch_path
 from tillpanel.sources.derived import (model_versions, prediction_log, requests_from_orders, run_log,
@@ -297,9 +296,8 @@ def q_store_size_buckets(spark, sf_dir):
 @query("unemployment_edges")
 def q_unemployment_edges(spark, sf_dir):
     pool, _ = holdout_test(spark, sf_dir)
-    q = exact_group_quantiles(pool, [], "unemployment", G.QUARTILES, ["a", "b", "c"])
-    return q.select(F.posexplode(F.array_distinct(F.array("a", "b", "c"))).alias("edge_index", "edge")).withColumn(
-        "edge", r6(F.col("edge")))
+    edges = G.unemployment_edges(pool)
+    return spark.createDataFrame(list(enumerate(edges)), "edge_index int, edge double").withColumn("edge", r6(F.col("edge")))
 
 
 @query("holdout_segments")
@@ -561,21 +559,32 @@ def q_stream_counters_batch(spark, sf_dir):
 
 # ---------------------------------------------------------------- 2.9 / 2.10 model and attribution (no SQL twin)
 
-# Small trees keep the registered model queries quick; the training job
-# takes any grid.
-QUERY_PARAMS = {"num_leaves": 15, "n_estimators": 20, "learning_rate": 0.1, "min_child_samples": 5}
-QUERY_CANDIDATES = [QUERY_PARAMS, {"num_leaves": 7, "n_estimators": 20, "learning_rate": 0.1,
-                                   "min_child_samples": 10}]
-_MODELS: dict = {}
+_TRAINED: dict = {}
+
+
+def _inputs(spark, sf_dir):
+    """Files that the panel is derived from, with size and time of change: a changed input is trained anew."""
+    names = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "supplier")]
+    files = spark.read.format("binaryFile").load(names).select("path", "length", "modificationTime")
+    return tuple(sorted(map(tuple, files.collect())))
+
+
+def trained(spark, sf_dir):
+    """(folder, result) of the full training job over ``sf_dir``: the search over all candidates, the holdout
+    model and, if the gate passes, the release. One job serves every query on models of a session."""
+    key = (spark.sparkContext.applicationId, _inputs(spark, sf_dir))
+    if key not in _TRAINED:
+        d = sf_dir.rstrip("/")
+        sums = file_fingerprint(spark, f"{d}/lineitem.parquet").unionByName(file_fingerprint(spark, f"{d}/supplier.parquet"))
+        both = sums.agg(F.sha2(F.concat_ws(",", F.array_sort(F.collect_list("sha256"))), 256)).first()[0]
+        out = scratch_path(spark, "training")
+        _TRAINED[key] = out, run_training(spark, panel_table(spark, sf_dir), out, lineage={"raw_data_sha256": both})
+    return _TRAINED[key]
 
 
 def holdout_model(spark, sf_dir):
-    """GBT fitted on the training pool, cached per session and input."""
-    key = (id(spark), sf_dir)
-    if key not in _MODELS:
-        pool, _ = holdout_test(spark, sf_dir)
-        _MODELS[key] = ForecastModel.fit(pool, QUERY_PARAMS)
-    return _MODELS[key]
+    """The search's best candidate, fitted on the training pool."""
+    return trained(spark, sf_dir)[1].judged
 
 
 @query("gbt_holdout_eval")
@@ -588,11 +597,23 @@ def q_gbt_holdout_eval(spark, sf_dir):
 
 @query("gbt_cv_search")
 def q_gbt_cv_search(spark, sf_dir):
-    pool, _ = holdout_test(spark, sf_dir)
-    pool = pool.cache()
-    scores = cv_score(pool, rolling_origin_folds(pool, 3), QUERY_CANDIDATES, parallelism=4)
-    best, _ = best_of(scores)
-    return scores.withColumn("is_best", F.col("candidate") == F.lit(best))
+    """Scores of every candidate on every fold, with its parameters."""
+    result = trained(spark, sf_dir)[1]
+    points = spark.createDataFrame([(i, *p.values(), p == result.best) for i, p in enumerate(result.points)],
+                                   ", ".join(["candidate int", "num_leaves int", "learning_rate double", "n_estimators int",
+                                              "min_child_samples int", "is_best boolean"]))
+    return result.scores.join(points, "candidate")
+
+
+@query("store_levels")
+def q_store_levels(spark, sf_dir):
+    """Level of each store before each week, from earlier weeks only."""
+    return with_earlier_level(features(spark, sf_dir)).select("store_nbr", "date", r6(F.col("store_level")).alias("store_level"))
+
+
+@query("store_levels_final")
+def q_store_levels_final(spark, sf_dir):
+    return store_levels(features(spark, sf_dir)).select("store_nbr", r6(F.col("store_level")).alias("store_level"))
 
 
 @query("gbt_batch_predict")
@@ -603,7 +624,7 @@ def q_gbt_batch_predict(spark, sf_dir):
 
 @query("gain_importance")
 def q_gain_importance(spark, sf_dir):
-    return gain_importance(holdout_model(spark, sf_dir), features(spark, sf_dir))
+    return gain_importance(holdout_model(spark, sf_dir))
 
 
 @query("permutation_importance")
@@ -614,18 +635,14 @@ def q_permutation_importance(spark, sf_dir):
 
 @query("global_attribution")
 def q_global_attribution(spark, sf_dir):
-    return A.global_attribution(holdout_model(spark, sf_dir), features(spark, sf_dir),
-                                sample_size=500, n_perm=8, seed=42)
+    return A.global_attribution(holdout_model(spark, sf_dir), features(spark, sf_dir))
 
 
 @query("attribution_check")
 def q_attribution_check(spark, sf_dir):
-    """Per sampled row: Σ attributions − (f(x) − mean f(background)) ≈ 0."""
-    f = features(spark, sf_dir)
-    feats = A.model_features(f)
-    s = A.sample_rows(f, 100, 42).select(*A._keep(f, feats))
-    x = A.with_row_index(s, ["store_nbr", "date"], "row_id")
-    attr = A.attributions(holdout_model(spark, sf_dir), x, s, n_perm=4)
+    """Per row of the holdout: Σ attributions − (f(x) − base value) ≈ 0."""
+    _, test = holdout_test(spark, sf_dir)
+    attr = A.attributions(holdout_model(spark, sf_dir), test)
     return attr.groupBy("row_id").agg(
         F.sum("attribution").alias("sum_attr"), F.first("f_x").alias("f_x"),
         F.first("base_value").alias("base_value")).withColumn(
@@ -634,12 +651,10 @@ def q_attribution_check(spark, sf_dir):
 
 @query("local_explanation")
 def q_local_explanation(spark, sf_dir):
-    pool, test = naive_holdout_frames(spark, sf_dir)
+    _, test = holdout_test(spark, sf_dir)
     model = holdout_model(spark, sf_dir)
-    scored = score_in_sales_space(model, test)
-    per_store = evaluate_all(scored, by=["store_nbr"])
-    row = G.worst_segment_row(test.drop("prediction"), per_store)
-    return A.local_explanation(model, row, A.sample_rows(pool, 200, 42), n_perm=16)
+    per_store = evaluate_all(score_in_sales_space(model, test), by=["store_nbr"])
+    return A.local_explanation(model, G.worst_segment_row(test, per_store))
 
 
 # ---------------------------------------------------------------- 2.13 monitoring (Structured Streaming form)
@@ -750,32 +765,26 @@ def q_segment_summary_json(spark, sf_dir):
 
 @query("report_tables")
 def q_report_tables(spark, sf_dir):
-    """Writes the report artifacts; returns one row per artifact with its row count."""
-    pool, test = naive_holdout_frames(spark, sf_dir)
-    rep = G.fairness_report(test, pool)
-    model = holdout_model(spark, sf_dir)
-    paths = write_report_tables(
-        scratch_path(spark, "reports"), rep, segment_summary_json(rep, test),
-        gain=gain_importance(model, features(spark, sf_dir)),
-        top_attr=A.global_attribution(model, features(spark, sf_dir), sample_size=200, n_perm=4))
+    """The report artifacts that the training job wrote on promotion: one row per artifact with its row count."""
     rows = []
-    for name, p in paths.items():
+    for name, p in trained(spark, sf_dir)[1].reports.items():
         reader = spark.read.text if name in ("fairness_summary", "local_example") else \
             (lambda x: spark.read.option("header", True).csv(x))
-        rows.append((name, p, reader(p).count()))
-    return spark.createDataFrame(rows, "artifact string, path string, n_rows long").drop("path")
+        rows.append((name, reader(p).count()))
+    return spark.createDataFrame(rows, "artifact string, n_rows long")
 
 
 @query("training_run")
 def q_training_run(spark, sf_dir):
-    """The whole training job (validate → features → CV search → holdout →
-    gate → refit → register → snapshot); returns the runs it logged."""
-    out = scratch_path(spark, "training")
-    run_training(spark, panel_table(spark, sf_dir), out, candidates=QUERY_CANDIDATES, n_splits=3)
+    """The whole training job (validate → features → search over all candidates → holdout → gate → refit and
+    register → snapshot and reports); returns the runs it logged."""
+    out, _ = trained(spark, sf_dir)
     runs = RL.read_runs(spark, f"{out}/runs")
     return runs.select("run_name", "model_type", F.element_at("tags", F.lit("quality_gate")).alias("quality_gate"),
-                       r6(F.element_at("metrics", F.lit("test_rmsle"))).alias("test_rmsle"),
-                       r6(F.element_at("metrics", F.lit("cv_mean_rmsle"))).alias("cv_mean_rmsle"))
+                       F.element_at("tags", F.lit("raw_data_sha256")).alias("raw_data_sha256"),
+                       *[r6(F.element_at("metrics", F.lit(k))).alias(k) for k in ("test_rmsle", "cv_mean_rmsle")],
+                       *[r6(F.element_at("metrics", F.lit(f"fairness_disparity_ratio_{d}"))).alias(f"disparity_{d}")
+                         for d in G.DEFAULT_SEGMENT_COLUMNS])
 
 
 @query("snapshot_advanced")
