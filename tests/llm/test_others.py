@@ -140,6 +140,21 @@ def test_pipeline_stages_keep_their_contract(spark):
     assert sorted(r["doc_id"] for r in corpus_pipeline.run(spark, SF).select("doc_id").collect()) == sorted(r["doc_id"] for r in got)
 
 
+def test_stages_return_a_callers_columns_whatever_their_names(spark):
+    names = ["key", "log_weight", "hits", "node", "kept_node", "kept_id", "mix_source", "mix_doc_id", "mix_node", "own_node", "mix_position",
+             "__key", "__log_weight", "__hits", "__node", "__nth", "__kept", "__position", "__s", "__d", "__n", "Block", "label", "bucket"]
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat_ws("-", F.lit(f"own {i}"), "doc_id"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        right = [F.col(c) == F.concat_ws("-", F.lit(f"own {i}"), "doc_id") for i, c in enumerate(names)]
+        rows = out.select("doc_id", F.forall(F.array(*right), lambda x: x).alias("ok")).collect()
+        assert rows and all(r["ok"] for r in rows), name
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
 def test_slots_of_each_shard_follow_the_mix(spark):
     rows = [(i, f"text number {i}", "en", f"s{min(i % 10, 3)}", 0) for i in range(12_000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import SEGMENT, Words, mix, slices, utf8
+from tillpanel.llm.common import SEGMENT, Words, mix, slices, utf8, unused
 
 RATE, LEAST, RUN = 0.2, 3, 3
 WALKS, TABLES, SAMPLED = 4, 8, 2
@@ -235,4 +235,5 @@ def contamination(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) ->
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, rate: float = RATE) -> DataFrame:
     """The rows of ``docs`` that hold no passage, with all their columns."""
-    return docs.withColumn("__hits", hits_column(benchmark, F.col("text"), rate)).filter(F.size("__hits") == 0).select(*docs.columns)
+    hits, = unused(docs, "hits")
+    return docs.withColumn(hits, hits_column(benchmark, F.col("text"), rate)).filter(F.size(hits) == 0).select(*docs.columns)

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import text_key, written
+from tillpanel.llm.common import text_key, unused, written
 
 BLOCK_ROWS, PERIOD = 64, 1024
 #: float noise of ideal block counts, far below the distance of two of them that matter
@@ -163,14 +163,17 @@ def schedule(docs: DataFrame, weights: dict | None = None, block_rows: int = BLO
                         (F.col("slot") * block_rows + F.col("within")).alias("position"))
 
 
-def placed(docs: DataFrame, weights: dict | None = None) -> DataFrame:
-    """All rows and columns of ``docs`` and their ``__position`` in the mix."""
-    plan = schedule(docs, weights).select(F.col("source").alias("__s"), F.col("doc_id").alias("__d"), F.col("node").alias("__n"), F.col("position").alias("__position"))
-    rows = docs.withColumn("__node", F.xxhash64(text_key(F.col("text"))))
-    on = rows["source"].eqNullSafe(F.col("__s")) & rows["doc_id"].eqNullSafe(F.col("__d")) & (F.col("__node") == F.col("__n"))
-    return rows.join(plan, on).select(*docs.columns, "__position")
+def placed(docs: DataFrame, weights: dict | None = None, position: str = "__position") -> DataFrame:
+    """All rows and columns of ``docs`` and their place in the mix, in a column ``position`` that ``docs`` must not have."""
+    source, doc_id, node, own = unused(docs.withColumn(position, F.lit(0)), "mix_source", "mix_doc_id", "mix_node", "own_node")
+    plan = schedule(docs, weights).select(F.col("source").alias(source), F.col("doc_id").alias(doc_id), F.col("node").alias(node),
+                                          F.col("position").alias(position))
+    rows = docs.withColumn(own, F.xxhash64(text_key(F.col("text"))))
+    on = F.col("source").eqNullSafe(F.col(source)) & F.col("doc_id").eqNullSafe(F.col(doc_id)) & (F.col(own) == F.col(node))
+    return rows.join(plan, on).select(*docs.columns, position)
 
 
 def mixed(docs: DataFrame, weights: dict | None = None) -> DataFrame:
     """All rows and columns of ``docs`` in the order of the mix."""
-    return placed(docs, weights).orderBy("__position").drop("__position")
+    position, = unused(docs, "mix_position")
+    return placed(docs, weights, position).orderBy(position).drop(position)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.llm.common import SEGMENT, Words, kth_largest, slices, text_key, unit_hash, utf8, written
+from tillpanel.llm.common import SEGMENT, Words, kth_largest, slices, text_key, unused, unit_hash, utf8, written
 
 SIZE = 1 << 17
 FIT_ROWS = 20_000
@@ -156,16 +156,15 @@ class Resampler:
         self.usable = bool(fit)
         self.weight = _weight(spark.sparkContext.broadcast(log_ratio(counts)))
 
-    def keys(self, docs: DataFrame) -> DataFrame:
-        """``docs`` with ``__log_weight`` and ``__key``."""
+    def keys(self, docs: DataFrame, weight: str = "log_weight", key: str = "key") -> DataFrame:
+        """``docs`` with its log weights and keys in columns of these names, which ``docs`` must not have."""
         noise = gumbel(F.col("doc_id"), text_key(F.col("text")))
-        return docs.withColumn("__log_weight", self.weight(F.coalesce("text", F.lit("")))).withColumn(
-            "__key", F.col("__log_weight") + noise)
+        return docs.withColumn(weight, self.weight(F.coalesce("text", F.lit("")))).withColumn(key, F.col(weight) + noise)
 
     def cut(self, scored: DataFrame, k: int | None = None) -> float:
         """The smallest key that is kept."""
         if k is not None:
-            return kth_largest(scored, "__key", k)
+            return kth_largest(scored, "key", k)
         if not self.usable:
             return float("-inf")
         ids = scored.sparkSession.sparkContext.broadcast(frozenset(self.held_out))
@@ -174,7 +173,8 @@ class Resampler:
         def held(doc_id: pa.Array) -> pa.Array:
             return pa.array([i in ids.value for i in doc_id.to_pylist()], pa.bool_())
 
-        rows = scored.filter(held("doc_id")).select("doc_id", "__key").limit(4 * len(self.held_out)).collect() if self.held_out else []
+        # one key for each labelled id, however often its row is repeated
+        rows = scored.filter(held("doc_id")).groupBy("doc_id").agg(F.max("key")).collect() if self.held_out else []
         return best_cut([(r[1], bool(self.held_out[r[0]])) for r in rows])
 
 
@@ -183,13 +183,13 @@ def resample(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFr
     model = Resampler(docs, labels)
     scored = written(model.keys(docs.select("doc_id", "text")).drop("text"), "quality-keys")
     cut = model.cut(scored, k)
-    return scored.select("doc_id", F.col("__log_weight").alias("log_weight"), F.col("__key").alias("key"),
-                         (F.col("__key") >= cut).alias("keep"))
+    return scored.select("doc_id", "log_weight", "key", (F.col("key") >= cut).alias("keep"))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, k: int | None = None) -> DataFrame:
     """The rows of ``docs`` that are drawn, with all their columns."""
     model = Resampler(docs, labels)
-    scored = written(model.keys(docs.select("doc_id", "text")).select("doc_id", "__key"), "quality-keys")
+    scored = written(model.keys(docs.select("doc_id", "text")).select("doc_id", "key"), "quality-keys")
     cut = model.cut(scored, k)
-    return model.keys(docs).filter(F.col("__key") >= cut).select(*docs.columns)
+    weight, key = unused(docs, "log_weight", "key")
+    return model.keys(docs, weight, key).filter(F.col(key) >= cut).select(*docs.columns)
