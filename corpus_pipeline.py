@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tillpanel.llm import decontaminate, mixing, near_dups, quality, sharding
-from tillpanel.llm.common import table, written
+from tillpanel.llm.common import table, unused, written
 
 SHARDS = 40
 
@@ -38,7 +38,8 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Shard and slot of each document; slots follow the mix, whatever order the rows are read in."""
-    return sharding.shards(mixing.placed(docs), SHARDS, position="__position")
+    position, = unused(docs, "mix_position")
+    return sharding.shards(mixing.placed(docs, position=position), SHARDS, position=position)
 
 
 STAGES = [("quality", good), ("near_dups", distinct), ("decontamination", uncontaminated), ("mixing", mixed), ("sharding", sharded)]
