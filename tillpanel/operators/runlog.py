@@ -30,8 +30,9 @@ VERSION_SCHEMA = T.StructType([
     T.StructField("alias", T.StringType()),
     T.StructField("run_id", T.StringType()),
     T.StructField("created_at", T.TimestampType()),
-    T.StructField("tags", T.MapType(T.StringType(), T.StringType())),
 ])
+#: versions as they are stored: with the lineage tags of their run
+STORED_VERSION_SCHEMA = T.StructType([*VERSION_SCHEMA, T.StructField("tags", T.MapType(T.StringType(), T.StringType()))])
 
 # Staleness defaults (days).
 MAX_AGE_DAYS = 7
@@ -45,8 +46,8 @@ def append_run(spark: SparkSession, path: str, rows: list[dict]) -> None:
 
 
 def append_version(spark: SparkSession, path: str, rows: list[dict]) -> None:
-    rows = [{f.name: row.get(f.name) for f in VERSION_SCHEMA} for row in rows]
-    spark.createDataFrame(rows, VERSION_SCHEMA).write.mode("append").parquet(path)
+    rows = [{f.name: row.get(f.name) for f in STORED_VERSION_SCHEMA} for row in rows]
+    spark.createDataFrame(rows, STORED_VERSION_SCHEMA).write.mode("append").parquet(path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
@@ -54,7 +55,7 @@ def read_runs(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_versions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(VERSION_SCHEMA).parquet(path)
+    return spark.read.schema(STORED_VERSION_SCHEMA).parquet(path)
 
 
 def tag_lineage(runs: DataFrame, fingerprint: dict) -> DataFrame:
