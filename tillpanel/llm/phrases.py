@@ -248,11 +248,16 @@ class Numbers:
             self._ids[lang] = {w: i + 1 for i, w in enumerate(self.words[lang])}
         return self._ids[lang]
 
-    def __getstate__(self) -> dict:
-        return self.__dict__ | {"_ids": {}, "counts": None}
+    def plain(self) -> tuple[list[str], list[list[bytes]]]:
+        """What tasks need, in types that every process knows."""
+        return self.langs, self.words
 
-    def __setstate__(self, state: dict) -> None:
-        self.__dict__.update(state)
+    @classmethod
+    def of(cls, langs: list[str], words: list[list[bytes]]) -> Numbers:
+        known = cls([])
+        known.langs, known.words = langs, words
+        known.number_of = {lang: i for i, lang in enumerate(langs)}
+        return known
 
     def text(self, lang: int, code: int) -> str:
         numbers = [code >> s & 0xFFFF for s in (48, 32, 16, 0)]
@@ -278,7 +283,7 @@ def _pair_bit(lang, pair):
 
 def _grams(numbers, sizes: tuple[int, ...], pairs=None) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = numbers.value
+        known = Numbers.of(*numbers.value)
         table = pairs.value if pairs is not None else None
         held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         size = 0
@@ -329,7 +334,7 @@ def _grams(numbers, sizes: tuple[int, ...], pairs=None) -> Callable:
 
 def _texts(numbers) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = numbers.value
+        known = Numbers.of(*numbers.value)
         for b in batches:
             langs = b.column("lang").to_pylist()
             names = [known.text(lang, code & 0xFFFFFFFFFFFFFFFF) for lang, code in zip(langs, b.column("code").to_pylist(), strict=True)]
@@ -340,7 +345,7 @@ def _texts(numbers) -> Callable:
 def _other_grams(numbers, frequent) -> Callable:
     """Phrases with a word that has no number, as texts; ``frequent`` says which words may be frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, table = numbers.value, frequent.value
+        known, table = Numbers.of(*numbers.value), frequent.value
         held: Counter = Counter()
 
         def out() -> pa.RecordBatch:
@@ -389,7 +394,7 @@ def frequencies(docs: DataFrame, least: int, known_words: int = KNOWN) -> tuple[
     known_table = spark.createDataFrame(
         [(lang, w.decode(), n) for lang, c in zip(known.langs, known.counts, strict=True) for w, n in c.items()],
         "lang string, word string, n long")
-    numbers = spark.sparkContext.broadcast(known)
+    numbers = spark.sparkContext.broadcast(known.plain())
 
     def counted(sizes: tuple[int, ...], pairs=None) -> DataFrame:
         return written(parsed.mapInArrow(_grams(numbers, sizes, pairs), "lang int, code long, n long")

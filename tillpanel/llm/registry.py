@@ -87,7 +87,7 @@ def _nearest(books: str) -> str:
     """Twice used: nearest entry ``e`` and squared distance ``d`` of every part, ties to the lower index."""
     return f"""
         SELECT vec_id, label, p, any_value(x) AS x, min(d * 64 + e) % 64 AS e, min(d * 64 + e) // 64 AS d
-        FROM (SELECT parts.*, {books}.e, list_sum(list_transform(list_zip(parts.x, {books}.x), z -> (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+        FROM (SELECT parts.*, {books}.e, list_sum(list_transform(list_zip(parts.x, {books}.x), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
               FROM parts JOIN {books} USING (p))
         GROUP BY vec_id, label, p"""
 
@@ -120,8 +120,8 @@ ORACLES = {
                       + length(regexp_replace(text, '([\\#<])', '\\\1', 'g')))::BIGINT AS formatted_chars
         FROM c GROUP BY conv_id""",
     "op11_vector_codes": f"""
-        WITH kept AS (SELECT vec_id, label, list_transform(embedding, x -> floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
-                      WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+        WITH kept AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+                      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
         parts AS (SELECT vec_id, label, p, v[p * len(v) // 16 + 1:(p + 1) * len(v) // 16] AS x FROM kept, range(16) AS t(p)),
         books0 AS (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x FROM parts
                    WHERE vec_id IN (SELECT vec_id FROM kept ORDER BY vec_id LIMIT 64)),
