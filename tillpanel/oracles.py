@@ -923,11 +923,21 @@ UNION ALL SELECT 'errors', reason, CAST(COUNT(*) AS BIGINT) FROM plog WHERE reas
 
 # Streaming forms: same result as their batch twins once the input is drained.
 for _b, _s in [("prediction_rate", "stream_prediction_rate"), ("error_rate_by_reason", "stream_error_rate_by_reason"),
-               ("http_error_ratio", "stream_http_error_ratio"), ("stream_counters_batch", "stream_counters"),
+               ("request_rate_by_status", "stream_request_rate_by_status"), ("http_error_ratio", "stream_http_error_ratio"),
+               ("stream_counters_batch", "stream_counters"),
                ("batch_predict_naive", "stream_scoring"), ("no_traffic_alerts", "stream_no_traffic_alerts")]:
     ORACLES[_s] = ORACLES[_b]
 
 
+@oracle("stream_latency_quantiles")
+def _():
+    # the sketch keeps every value of a window until it holds more than SKETCH_K
+    return f"""WITH {PLOG}, w AS ({sliding('plog', 5)})
+SELECT window_start, window_end, CAST(COUNT(*) AS BIGINT) AS n, ROUND(quantile_disc(latency_s, 0.5), 8) AS p50,
+       ROUND(quantile_disc(latency_s, 0.95), 8) AS p95, quantile_disc(latency_s, 0.95) > 0.5 AS alert
+FROM w WHERE http_status = 200 GROUP BY window_start, window_end"""
+
+
 ORACLES["snapshot_roundtrip"] = ORACLES["snapshot"]
 
 

@@ -668,22 +668,37 @@ def _drain(df, mode="complete"):
     return ST.run_to_table(df, scratch_path(df.sparkSession, f"stream-{_uuid.uuid4().hex[:8]}"), mode=mode)
 
 
+def _to_end(spark, sf_dir, name, monitor):
+    """All windows of the log, through an append-mode stream with watermark and deduplication."""
+    return ST.run_to_end(_events_stream(spark, sf_dir), prediction_log(spark, sf_dir), monitor,
+                         scratch_path(spark, f"stream-{name}"))
+
+
 @query("stream_prediction_rate")
 def q_stream_prediction_rate(spark, sf_dir):
-    out = _drain(M.prediction_rate(_events_stream(spark, sf_dir)))
-    return out.withColumn("rate", r6(F.col("rate")))
+    return _to_end(spark, sf_dir, "rate", M.prediction_rate).withColumn("rate", r6(F.col("rate")))
 
 
 @query("stream_error_rate_by_reason")
 def q_stream_error_rate_by_reason(spark, sf_dir):
-    out = _drain(M.error_rate_by_reason(_events_stream(spark, sf_dir)))
-    return out.withColumn("rate", r6(F.col("rate")))
+    return _to_end(spark, sf_dir, "errors", M.error_rate_by_reason).withColumn("rate", r6(F.col("rate")))
+
+
+@query("stream_request_rate_by_status")
+def q_stream_request_rate_by_status(spark, sf_dir):
+    return _to_end(spark, sf_dir, "requests", M.request_rate_by_status).withColumn("rate", r6(F.col("rate")))
 
 
 @query("stream_http_error_ratio")
 def q_stream_http_error_ratio(spark, sf_dir):
-    out = _drain(M.http_error_ratio(_events_stream(spark, sf_dir)))
-    return out.withColumn("ratio", r6(F.col("ratio")))
+    return _to_end(spark, sf_dir, "5xx", M.http_error_ratio).withColumn("ratio", r6(F.col("ratio")))
+
+
+@query("stream_latency_quantiles")
+def q_stream_latency_quantiles(spark, sf_dir):
+    """Rank sketches per minute, merged into sliding windows."""
+    out = _to_end(spark, sf_dir, "latency", M.latency_quantiles)
+    return out.withColumns({q: F.round(q, 8) for q in ("p50", "p95")})
 
 
 @query("stream_counters")
@@ -715,13 +730,19 @@ def q_stream_scoring(spark, sf_dir):
 
 @query("stream_no_traffic_alerts")
 def q_stream_no_traffic_alerts(spark, sf_dir):
-    """Tick conditions fed through the stateful streaming alert machine."""
-    cond = M.no_traffic(prediction_log(spark, sf_dir), 15).withColumn("rule", F.lit("no_traffic"))
-    path = scratch_path(spark, "ticks")
-    cond.select("rule", "tick", "condition").write.parquet(path)
-    stream = spark.readStream.schema("rule string, tick timestamp, condition boolean").parquet(path)
-    per_tick = _drain(ST.alert_for_stream(stream, 15 * 60), mode="append")
-    return M.alert_episodes(per_tick)
+    """Events and one heartbeat a minute streamed into 15-minute windows; closed windows stream on through the
+    stateful alert machine."""
+    log = prediction_log(spark, sf_dir)
+    ticks = M.minute_ticks(log)
+    base = scratch_path(spark, "no-traffic")
+    ticks.select((F.col("tick") - F.expr("INTERVAL 30 SECONDS")).alias("ts")).write.parquet(f"{base}/beats")
+    beats = spark.readStream.schema(ST.HEARTBEAT_SCHEMA).parquet(f"{base}/beats")
+    ST.run_to_end(ST.with_heartbeats(_events_stream(spark, sf_dir), beats), log,
+                  lambda s: ST.no_traffic_stream(s, watermark=None), f"{base}/windows")
+    closed = spark.readStream.schema(ST.WINDOW_SCHEMA).parquet(f"{base}/windows/rows")
+    conditions = closed.select(F.lit("no_traffic").alias("rule"), F.col("window_end").alias("tick"), "condition")
+    per_tick = _drain(ST.alert_for_stream(conditions, 15 * 60), mode="append")
+    return M.alert_episodes(per_tick.join(ticks, "tick", "left_semi"))
 
 
 def read_orders_schema(spark, sf_dir):

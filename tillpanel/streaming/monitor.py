@@ -88,18 +88,24 @@ def http_error_ratio(log: DataFrame, size: str = "5 minutes", slide: str = "1 mi
     return g.withColumn("ratio", ratio).withColumn("alert", ratio > F.lit(limit))
 
 
+#: sketch size of latency quantiles: exact up to this many values of a window, then a rank error below 0.2 %
+SKETCH_K = 2048
+
+
 def latency_quantiles(log: DataFrame, size: str = "5 minutes", slide: str = "1 minute",
                       limit: float = LATENCY_P95_LIMIT, method: str | None = None,
                       watermark: str | None = None, served_only: bool = True) -> DataFrame:
     """p50/p95 latency per window, of served requests or of all.
 
     ``method``: ``exact`` (batch default) — equal latencies are counted per
-    slide, and each window's exact ``percentile`` runs over those counts;
-    ``buffered`` (stream default) — ``percentile`` over the window's rows,
-    exact but holding each window's values in its state; ``approx`` —
-    ``percentile_approx`` with bounded memory for very busy services.
+    slide, and each window's exact, interpolated ``percentile`` runs over
+    those counts; ``sketch`` (stream default) — one KLL sketch per slide,
+    merged into the windows that cover it, so rows are read once and state
+    is bounded by ``SKETCH_K`` per open slide and window whatever the rate.
+    A sketch gives the value whose rank reaches the quantile. Null and NaN
+    latencies count in ``n`` and in no quantile.
     """
-    method = method or ("buffered" if log.isStreaming else "exact")
+    method = method or ("sketch" if log.isStreaming else "exact")
     served = _wm(log, watermark)
     if served_only:
         served = served.filter(F.col("http_status") == 200)
@@ -107,15 +113,19 @@ def latency_quantiles(log: DataFrame, size: str = "5 minutes", slide: str = "1 m
         counts = _sliding(served, size, slide, ["latency_s"], {"n": F.count(F.lit(1))})
         g = counts.groupBy("window_start", "window_end").agg(
             F.sum("n").alias("n"), F.percentile("latency_s", [0.5, 0.95], F.col("n")).alias("_q"))
-        return g.select("window_start", "window_end", "n", F.col("_q")[0].alias("p50"), F.col("_q")[1].alias("p95"),
-                        (F.col("_q")[1] > F.lit(limit)).alias("alert"))
-    if method == "buffered":
-        q = F.percentile("latency_s", [0.5, 0.95])
+        p50, p95 = F.col("_q")[0], F.col("_q")[1]
+    elif method == "sketch":
+        value = F.when(~F.isnan("latency_s"), F.col("latency_s"))
+        per = served.groupBy(_win(slide)).agg(F.kll_sketch_agg_double(value, F.lit(SKETCH_K)).alias("_s"),
+                                              F.count(F.lit(1)).alias("n"))
+        merged = per.groupBy(F.window(F.window_time("window"), size, slide)).agg(
+            F.kll_merge_agg_double("_s", F.lit(SKETCH_K)).alias("_s"), F.sum("n").alias("n"))
+        g = _flat(merged)
+        known = F.kll_sketch_get_n_double("_s") > 0
+        p50, p95 = (F.when(known, F.kll_sketch_get_quantile_double("_s", F.lit(q))) for q in (0.5, 0.95))
     else:
-        q = F.percentile_approx("latency_s", [0.5, 0.95], 10000).cast("array<double>")
-    g = served.groupBy(_win(size, slide)).agg(q.alias("_q"), F.count(F.lit(1)).alias("n"))
-    return _flat(g).select("window_start", "window_end", "n", F.col("_q")[0].alias("p50"),
-                           F.col("_q")[1].alias("p95"), (F.col("_q")[1] > F.lit(limit)).alias("alert"))
+        raise ValueError(f"unknown method {method!r}")
+    return g.select("window_start", "window_end", "n", p50.alias("p50"), p95.alias("p95"), (p95 > F.lit(limit)).alias("alert"))
 
 
 def sales_histogram(log: DataFrame, bounds=SALES_BUCKETS) -> DataFrame:

@@ -135,27 +135,23 @@ def _alert_fn(hold_seconds: float):
 
     def fn(key, pdfs: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         pending, last = (state.get if state.exists else (None, None))
-        pending = None if pending is None or pd.isna(pending) else pd.Timestamp(pending)
-        last = None if last is None or pd.isna(last) else pd.Timestamp(last)
-        parts = [p for p in pdfs]
+        parts = list(pdfs)
         if not parts:
             return
-        batch = pd.concat(parts).sort_values("tick")
-        out = []
-        for tick, cond in zip(batch["tick"], batch["condition"]):
-            tick = pd.Timestamp(tick)
-            if last is not None and tick <= last:
-                continue  # evaluations arrive once; replays are ignored
-            if bool(cond):
-                pending = pending if pending is not None else tick
-                firing = tick - pending >= hold
-            else:
-                pending, firing = None, False
-            out.append((key[0], tick, bool(cond), pending, firing))
-            last = tick
-        state.update((pending, last))
-        if out:
-            yield pd.DataFrame(out, columns=["rule", "tick", "condition", "pending_since", "firing"])
+        ticks = pd.concat(parts).drop_duplicates("tick").sort_values("tick", ignore_index=True)
+        if not pd.isna(last):
+            ticks = ticks[ticks["tick"] > last].reset_index(drop=True)  # evaluations arrive once; replays are ignored
+        if ticks.empty:
+            return
+        held = ticks["condition"].fillna(False).astype(bool)
+        starts = held & ~held.shift(1, fill_value=not pd.isna(pending))
+        since = ticks["tick"].where(starts)
+        if not pd.isna(pending) and held.iloc[0]:
+            since.iloc[0] = pending
+        since = since.ffill().where(held)
+        state.update((since.iloc[-1] if held.iloc[-1] else None, ticks["tick"].iloc[-1]))
+        yield pd.DataFrame({"rule": key[0], "tick": ticks["tick"], "condition": held, "pending_since": since,
+                            "firing": (held & (ticks["tick"] - since >= hold)).astype(bool)})
 
     return fn
 
@@ -167,48 +163,116 @@ def alert_for_stream(conditions: DataFrame, hold_seconds: float) -> DataFrame:
         _alert_fn(hold_seconds), ALERT_OUT, ALERT_STATE, "append", GroupStateTimeout.NoTimeout)
 
 
+# ---------------------------------------------------------------- event-time streams
+def deduplicated(log: DataFrame, watermark: str = "10 minutes") -> DataFrame:
+    """The log stream with its watermark, each event once.
+
+    An event is known by ``event_id``; one without an id by its whole row.
+    The state holds the keys of one watermark, however long the log. Rows
+    behind the watermark are dropped here: ``late_rows`` finds them.
+    """
+    whole = F.when(F.col("event_id").isNull(), F.to_json(F.struct(*log.columns)))
+    keyed = log.withColumn("_whole", whole).withWatermark("ts", watermark)
+    return keyed.dropDuplicatesWithinWatermark(["event_id", "_whole"]).drop("_whole")
+
+
+def land_log(log: DataFrame, path: str, watermark: str = "10 minutes", available_now: bool = True,
+             interval: str = "1 minute"):
+    """Appends every event that is in time, once, to the table ``path/rows`` (exactly-once files)."""
+    return run_to_parquet(deduplicated(log, watermark), f"{path}/rows", f"{path}/checkpoint",
+                          available_now=available_now, interval=interval)
+
+
+def late_rows(log: DataFrame, landed: DataFrame) -> DataFrame:
+    """Side table of a landed log: the events of the batch ``log`` that came behind the watermark, each once."""
+    key = F.when(F.col("event_id").isNull(), F.to_json(F.struct(*log.columns)))
+    have = landed.select(*log.columns).select(F.col("event_id").alias("_id"), key.alias("_row"))
+    rows = log.withColumn("_whole", key)
+    return (rows.join(have, rows["event_id"].eqNullSafe(have["_id"]) & rows["_whole"].eqNullSafe(have["_row"]), "left_anti")
+            .dropDuplicates(["event_id", "_whole"]).drop("_whole"))
+
+
+def monitors() -> dict:
+    """Name → windowed monitor of a log stream that already has its watermark."""
+    from tillpanel.streaming import monitor as M
+    return {
+        "prediction_rate": M.prediction_rate,
+        "error_rate_by_reason": M.error_rate_by_reason,
+        "request_rate_by_status": M.request_rate_by_status,
+        "http_error_ratio": M.http_error_ratio,
+        "latency_quantiles": M.latency_quantiles,
+    }
+
+
 def start_monitoring(spark: SparkSession, events_path: str, out_dir: str, watermark: str = "10 minutes",
                      available_now: bool = False, interval: str = "1 minute") -> dict:
     """Start the monitoring streams over an events folder.
 
-    Each windowed monitor runs as its own append-mode query with a
-    watermark (windows are written once, when closed) into
+    Each windowed monitor runs as its own append-mode query over the
+    deduplicated log (windows are written once, when closed) into
     ``out_dir/<name>`` with its checkpoint in ``out_dir/_checkpoints``.
-    Latency quantiles use ``percentile_approx`` so state stays bounded.
+    Latency quantiles come from rank sketches, so their state stays bounded.
     Returns name → StreamingQuery.
     """
-    from tillpanel.streaming import monitor as M
     out = out_dir.rstrip("/")
-    log = prediction_log_stream(spark, events_path)
-    jobs = {
-        "prediction_rate": M.prediction_rate(log, watermark=watermark),
-        "error_rate_by_reason": M.error_rate_by_reason(log, watermark=watermark),
-        "request_rate_by_status": M.request_rate_by_status(log, watermark=watermark),
-        "http_error_ratio": M.http_error_ratio(log, watermark=watermark),
-        "latency_quantiles": M.latency_quantiles(log, method="approx", watermark=watermark),
-    }
-    return {name: run_to_parquet(df, f"{out}/{name}", f"{out}/_checkpoints/{name}",
+    log = deduplicated(prediction_log_stream(spark, events_path), watermark)
+    return {name: run_to_parquet(monitor(log), f"{out}/{name}", f"{out}/_checkpoints/{name}",
                                  available_now=available_now, interval=interval)
-            for name, df in jobs.items()}
+            for name, monitor in monitors().items()}
+
+
+def run_to_end(log: DataFrame, ended: DataFrame, monitor, path: str, watermark: str = "10 minutes",
+               longest: str = "1 day") -> DataFrame:
+    """Every window of a log that has ended, as append-mode results.
+
+    ``log`` is the log as a stream, ``ended`` the same log as a batch.
+    Append mode keeps the last windows open, so after the input is drained
+    one closing row, ``longest`` beyond the last event, is streamed through
+    the same checkpoint: it moves the watermark past every window and, with
+    no status, reason or values, counts in none. ``monitor`` gets the
+    deduplicated stream. Windows that the closing row itself opens stay open.
+    """
+    spark = ended.sparkSession
+    closing = f"{path}/closing"
+    spark.createDataFrame([], ended.schema).write.parquet(closing)
+
+    def drain():
+        both = log.unionByName(spark.readStream.schema(ended.schema).parquet(closing))
+        df = monitor(deduplicated(both, watermark))
+        run_to_parquet(df, f"{path}/rows", f"{path}/checkpoint").awaitTermination()
+        return df.schema
+
+    drain()
+    end = ended.agg((F.max("ts") + F.expr(f"INTERVAL {longest}")).alias("ts")).filter(F.col("ts").isNotNull())
+    end.select(*[F.col("ts") if f.name == "ts" else F.lit(None).cast(f.dataType).alias(f.name) for f in ended.schema]
+               ).write.mode("append").parquet(closing)
+    schema = drain()
+    return spark.read.schema(schema).parquet(f"{path}/rows")
 
 
 HEARTBEAT_SCHEMA = "ts TIMESTAMP"
+WINDOW_SCHEMA = "window_start TIMESTAMP, window_end TIMESTAMP, n_window BIGINT, condition BOOLEAN"
+
+
+def with_heartbeats(log: DataFrame, heartbeats: DataFrame) -> DataFrame:
+    """The log stream with heartbeat rows: only ``ts`` is set, so they open windows and count in none."""
+    return log.unionByName(heartbeats.select(F.col("ts").cast("timestamp").alias("ts")), allowMissingColumns=True)
 
 
-def no_traffic_stream(log: DataFrame, heartbeats: DataFrame, lookback: str = "15 minutes",
+def no_traffic_stream(log: DataFrame, heartbeats: DataFrame | None = None, lookback: str = "15 minutes",
                       slide: str = "1 minute", watermark: str | None = "20 minutes") -> DataFrame:
     """Streaming no-traffic condition.
 
     An empty window emits nothing in a stream, so heartbeat rows (at least
-    one per slide, e.g. from the scraper or a rate source) are unioned into
-    the log: every window then exists, and counts only served predictions.
+    one per slide, e.g. from the scraper or a rate source) belong to the
+    log, here or by ``with_heartbeats`` before: every window then exists,
+    and counts only served predictions. A log that already has its
+    watermark is given ``watermark=None``.
     Output per window: ``window_start, window_end, n_window, condition``.
     """
-    served = log.select("ts", (F.col("http_status") == 200).cast("int").alias("_served"))
-    beats = heartbeats.select(F.col("ts").cast("timestamp").alias("ts"), F.lit(0).alias("_served"))
-    both = served.unionByName(beats)
+    both = log if heartbeats is None else with_heartbeats(log, heartbeats)
     if watermark:
         both = both.withWatermark("ts", watermark)
-    g = both.groupBy(F.window("ts", lookback, slide)).agg(F.sum("_served").cast("long").alias("n_window"))
+    g = both.groupBy(F.window("ts", lookback, slide)).agg(F.count_if(F.col("http_status") == 200).alias("n_window"))
     return g.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
                     "n_window", (F.col("n_window") == 0).alias("condition"))
