@@ -1,7 +1,9 @@
 """Training job orchestration with a deterministic stand-in model (fast)."""
 
 import json
+import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL, toy_panel
@@ -58,6 +60,28 @@ def test_gate_promotes_rejects_and_ties(spark, tmp_dir):
     assert runs.filter("run_name LIKE 'search-%'").count() == 6
 
 
+def test_claimed_versions_are_nobody_elses(spark, tmp_dir):
+    path = f"{tmp_dir}/versions"
+    assert [RL.claim_version(spark, path, m) for m in ("a", "a", "b/ü", "a")] == [1, 2, 1, 3]
+
+    # a file that another job created between the listing and the claim
+    jvm = spark.sparkContext._jvm
+    file = jvm.org.apache.hadoop.fs.Path(f"{tmp_dir}/claim")
+    fs = file.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert RL._created(fs, file) and not RL._created(fs, file)
+
+
+def test_a_failing_release_leaves_no_version(spark, tmp_dir):
+    class Unsaved(ScaledPersistence):
+        def save(self, path):
+            raise OSError("no space")
+
+    with pytest.raises(OSError):
+        run_training(spark, weekly_panel(spark, SF_SMALL), tmp_dir, points=[{"num_leaves": 7}], n_splits=2, test_weeks=4,
+                     fitter=lambda train, params: Unsaved(1.0))
+    assert not os.path.exists(f"{tmp_dir}/versions") and not os.path.exists(f"{tmp_dir}/runs")
+
+
 def test_gate_off_when_not_registering(spark, tmp_dir):
     panel = weekly_panel(spark, SF_SMALL)
     _run(spark, panel, tmp_dir, 1.0)

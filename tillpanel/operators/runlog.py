@@ -9,6 +9,9 @@ with ``alias`` set is an alias move; the latest move per model wins.
 
 from __future__ import annotations
 
+import hashlib
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +53,36 @@ def append_version(spark: SparkSession, path: str, rows: list[dict]) -> None:
     spark.createDataFrame(rows, STORED_VERSION_SCHEMA).write.mode("append").parquet(path)
 
 
+def claim_version(spark: SparkSession, path: str, model_name: str) -> int:
+    """The next version number of a model at ``path``, claimed for the caller alone.
+
+    A claim is an empty file that is created only if it is absent, which the
+    shared file system decides for one of several jobs; the others go on to
+    the next number. The version is seen once its row is appended; a job that
+    fails before leaves a number out.
+    """
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    key = hashlib.sha256(model_name.encode()).hexdigest()
+    folder = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}_claims/{key}")
+    fs = folder.getFileSystem(conf)
+    fs.mkdirs(folder)
+    taken = [f.getPath().getName() for f in fs.listStatus(folder)]
+    version = max((int(n) for n in taken if n.isdigit()), default=0) + 1
+    while not _created(fs, jvm.org.apache.hadoop.fs.Path(folder, str(version))):
+        version += 1
+    return version
+
+
+def _created(fs, file) -> bool:
+    try:
+        fs.create(file, False).close()
+        return True
+    except Py4JJavaError as e:
+        if "AlreadyExists" not in e.java_exception.getClass().getName():
+            raise
+        return False
+
+
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RUN_SCHEMA).parquet(path)
 

@@ -90,16 +90,6 @@ def incumbent_score(spark: SparkSession, out: str, model_name: str) -> float | N
     return None if row is None else row["incumbent_test_rmsle"]
 
 
-def next_version(spark: SparkSession, out: str, model_name: str) -> int:
-    try:
-        known = RL.read_versions(spark, f"{out}/versions")
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return 1
-    return (known.filter(F.col("model_name") == model_name).agg(F.max("version")).first()[0] or 0) + 1
-
-
 def passes(score: float | None, incumbent: float | None) -> bool:
     """Without an incumbent every score passes; a NaN on either side, or a worse score, does not."""
     return incumbent is None or (score is not None and score <= incumbent)
@@ -153,8 +143,8 @@ def write_reports(result: Result, out: str) -> dict[str, str]:
         local_json=A.local_explanation(result.judged, worst.select(*test.columns)) if trees else None)
 
 
-def release(result: Result, out: str, runs: Runs, register: bool, alias: str, test_weeks: int, fitter) -> None:
-    """Refits on all weeks, saves the model, moves the alias, writes snapshot and reports."""
+def release(result: Result, out: str, runs: Runs, test_weeks: int, fitter) -> None:
+    """Refits on all weeks, saves the model, writes snapshot and reports."""
     spark = result.features.sparkSession
     with ThreadPoolExecutor(max_workers=2) as both:  # the reports need the judged model only
         reports = both.submit(write_reports, result, out)
@@ -166,11 +156,6 @@ def release(result: Result, out: str, runs: Runs, register: bool, alias: str, te
                              {"cv_mean_rmsle": result.cv_rmsle} | result.holdout | disparity, quality_gate="pass")
     result.released.save(f"{out}/models/{result.run_id}")
     write_snapshot(latest_per_store(result.features), f"{out}/snapshot")
-    if register:
-        RL.append_version(spark, f"{out}/versions", [{
-            "model_name": runs.model_name, "version": next_version(spark, out, runs.model_name), "alias": alias,
-            "run_id": result.run_id, "created_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-            "tags": {k: str(v) for k, v in runs.tags.items()}}])
 
 
 def run_training(spark: SparkSession, panel: DataFrame, out_dir: str, points: list[dict] | None = None, n_splits: int = 3,
@@ -183,6 +168,11 @@ def run_training(spark: SparkSession, panel: DataFrame, out_dir: str, points: li
     runs = Runs(model_name, RL.panel_fingerprint(panel) | (lineage or {}))
     result = search_and_judge(build_features(panel), out, runs, points or candidates(), n_splits, test_weeks, register, parallelism, fitter)
     if result.promoted:
-        release(result, out, runs, register, alias, test_weeks, fitter)
+        release(result, out, runs, test_weeks, fitter)
     RL.append_run(spark, f"{out}/runs", runs.rows)
+    if result.promoted and register:  # last: whoever sees the version finds its run, model and snapshot
+        RL.append_version(spark, f"{out}/versions", [{
+            "model_name": model_name, "version": RL.claim_version(spark, f"{out}/versions", model_name), "alias": alias,
+            "run_id": result.run_id, "created_at": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
+            "tags": {k: str(v) for k, v in runs.tags.items()}}])
     return result
