@@ -24,13 +24,19 @@ def tmp_dir():
     return tempfile.mkdtemp(prefix="tillpanel-test-")
 
 
-def toy_panel(spark, stores=(1,), weeks=10, start="2010-02-05", sales_step=1000.0):
-    """F3-style toy panel: weekly rows, sales 0, step, 2·step, … per store."""
+FIRST_WEEK = "2031-03-07"  # a Friday
+
+
+def week_sales(store, week):
+    """Sales of the made-up panel: a sawtooth over the weeks, at another height for every store."""
+    return 700.0 * store + 130.0 * week + 45.0 * (week % 3)
+
+
+def toy_panel(spark, stores=(1,), weeks=10, start=FIRST_WEEK, sales=week_sales):
+    """Weekly rows without gaps for every store; the indicators drift with the week."""
     import datetime as dt
-    d0 = dt.date.fromisoformat(start)
-    rows = []
-    for s in stores:
-        for i in range(weeks):
-            rows.append((s, d0 + dt.timedelta(days=7 * i), float(i) * sales_step, 0, 50.0, 2.5, 200.0, 8.0))
     from tillpanel.sources.panel import PANEL_SCHEMA
+    first = dt.date.fromisoformat(start)
+    rows = [(s, first + dt.timedelta(weeks=w), sales(s, w), int(w % 6 == 5), 41.5 + w % 9, 3.0 + w / 64, 180.0 + s, 6.25 + s / 8)
+            for s in stores for w in range(weeks)]
     return spark.createDataFrame(rows, PANEL_SCHEMA)

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from tillpanel.functions.metrics import metric_aggs
-from tillpanel.operators.features import build_features
+from tillpanel.operators.features import with_inputs
 from tillpanel.operators.split import holdout_split
 from tillpanel.plans import attribution as A
 from tillpanel.plans.model import ForecastModel, candidates, gain_importance, score_in_sales_space
@@ -14,7 +14,7 @@ PARAMS = {"num_leaves": 7, "n_estimators": 8, "learning_rate": 0.3, "min_child_s
 
 @pytest.fixture(scope="module")
 def fitted(spark):
-    feats = build_features(weekly_panel(spark, SF_SMALL)).cache()
+    feats = with_inputs(weekly_panel(spark, SF_SMALL)).cache()
     pool, test = holdout_split(feats, 8)
     return feats, pool, test, ForecastModel.fit(pool, PARAMS)
 

@@ -4,7 +4,7 @@ import re
 
 from conftest import SF_SMALL
 from tillpanel.operators import segments as G
-from tillpanel.operators.features import build_features
+from tillpanel.operators.features import with_inputs
 from tillpanel.operators.scoring import batch_predict, score_features, validate_requests
 from tillpanel.operators.snapshot import latest_per_store, read_snapshot, write_snapshot
 from tillpanel.operators.validate import lineitem_feed, validate_panel
@@ -32,7 +32,7 @@ def test_validation_reads_input_once(spark):
 
 
 def _stored_snapshot(spark, path):
-    write_snapshot(latest_per_store(build_features(weekly_panel(spark, SF_SMALL))), path)
+    write_snapshot(latest_per_store(with_inputs(weekly_panel(spark, SF_SMALL))), path)
     return read_snapshot(spark, path)
 
 
@@ -47,7 +47,7 @@ def test_scoring_does_not_shuffle_requests(spark, tmp_path):
 
 def test_segment_report_single_expand(spark):
     from pyspark.sql import functions as F
-    f = build_features(weekly_panel(spark, SF_SMALL)).withColumn("prediction", F.col("sales_lag_1"))
+    f = with_inputs(weekly_panel(spark, SF_SMALL)).withColumn("prediction", F.col("sales_lag_1"))
     plan = _plan(G.segment_report(G.add_segments(f)))
     assert plan.count("Expand") == 1
 

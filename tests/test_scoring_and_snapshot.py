@@ -2,8 +2,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from conftest import toy_panel
-from tillpanel.operators.features import build_features
+from conftest import FIRST_WEEK, toy_panel, week_sales
+from tillpanel.operators.features import with_inputs
 from tillpanel.operators.scoring import batch_predict, check_batch_size, validate_requests
 from tillpanel.operators.snapshot import latest_per_store, read_snapshot, write_snapshot
 
@@ -12,14 +12,14 @@ REQ = ("request_id long, batch_id long, store_nbr int, date date, holiday_flag i
 
 
 def _snap(spark):
-    return latest_per_store(build_features(toy_panel(spark, stores=(1, 2, 3), weeks=12)))
+    return latest_per_store(with_inputs(toy_panel(spark, stores=(1, 2, 3), weeks=12)))
 
 
 def test_snapshot_one_row_per_store_latest(spark, tmp_dir):
     snap = _snap(spark)
     rows = {r["store_nbr"]: r for r in snap.collect()}
     assert sorted(rows) == [1, 2, 3]
-    assert rows[1]["sales_lag_1"] == 10000.0  # last week's own lag
+    assert rows[1]["sales_lag_1"] == week_sales(1, 10)  # last week's own lag
     write_snapshot(snap, f"{tmp_dir}/snap")
     back = read_snapshot(spark, f"{tmp_dir}/snap")
     assert back.count() == 3 and set(back.columns) == set(snap.columns)
@@ -39,7 +39,7 @@ def test_request_routing(spark):
     assert out[1]["status"] == "invalid" and out[3]["status"] == "invalid" and out[4]["status"] == "invalid"
     assert out[2]["status"] == "unknown_store" and out[2]["predicted_sales"] is None
     assert out[5]["status"] == "ok" and out[6]["status"] == "ok"
-    assert out[5]["predicted_sales"] == round(10000.0, 2)
+    assert out[5]["predicted_sales"] == round(week_sales(1, 10), 2)
     assert out[5]["predicted_sales"] >= 0
 
 
@@ -51,7 +51,7 @@ def test_overrides_and_holiday_from_date(spark):
     ok, _ = validate_requests(reqs)
     f = {r["request_id"]: r for r in score_features(ok, _snap(spark)).collect()}
     assert f[1]["holiday_flag"] == 1 and f[2]["holiday_flag"] == 0
-    assert f[1]["temperature"] == 70.0 and f[2]["temperature"] == 50.0
+    assert f[1]["temperature"] == 70.0 and f[2]["temperature"] == 41.5 + 11 % 9
 
 
 def test_batch_size_limits(spark):
@@ -64,9 +64,9 @@ def test_batch_size_limits(spark):
 def test_advanced_snapshot_uses_last_week(spark):
     from tillpanel.operators.snapshot import advanced_snapshot
     snap = {r["store_nbr"]: r for r in advanced_snapshot(toy_panel(spark, stores=(1,), weeks=12)).collect()}
-    assert snap[1]["sales_lag_1"] == 11000.0  # the last week's own sales
-    assert snap[1]["sales_roll_mean_4"] == (8000 + 9000 + 10000 + 11000) / 4
-    assert snap[1]["target_date"] == dt.date(2010, 2, 5) + dt.timedelta(days=7 * 12)
+    assert snap[1]["sales_lag_1"] == week_sales(1, 11)  # the last week's own sales
+    assert snap[1]["sales_roll_mean_4"] == sum(week_sales(1, w) for w in range(8, 12)) / 4
+    assert snap[1]["target_date"] == dt.date.fromisoformat(FIRST_WEEK) + dt.timedelta(days=7 * 12)
 
 
 def test_prepared_snapshot_same_result(spark):
@@ -81,13 +81,13 @@ def test_prepared_snapshot_same_result(spark):
 
 def test_requests_of_an_oversized_batch_are_invalid(spark):
     from conftest import SF_SMALL
-    from tillpanel.operators.features import build_features
+    from tillpanel.operators.features import with_inputs
     from tillpanel.operators.scoring import batch_predict
     from tillpanel.operators.snapshot import latest_per_store
     from tillpanel.sources.derived import scoring_requests
     from tillpanel.sources.panel import weekly_panel
     requests = scoring_requests(spark, SF_SMALL)
-    snap = latest_per_store(build_features(weekly_panel(spark, SF_SMALL)))
+    snap = latest_per_store(with_inputs(weekly_panel(spark, SF_SMALL)))
     sizes = {r[0]: r[1] for r in requests.groupBy("batch_id").count().collect()}
     batch_of = {r[0]: r[1] for r in requests.select("request_id", "batch_id").collect()}
     limit = max(sizes.values()) - 1

@@ -38,10 +38,10 @@ def test_stream_alert_state_equals_batch(spark, tmp_dir):
 
 
 def test_stream_scoring_two_sinks(spark, tmp_dir):
-    from tillpanel.operators.features import build_features
+    from tillpanel.operators.features import with_inputs
     from tillpanel.operators.snapshot import latest_per_store
     from tillpanel.sources.panel import weekly_panel
-    snap = latest_per_store(build_features(weekly_panel(spark, SF_SMALL)))
+    snap = latest_per_store(with_inputs(weekly_panel(spark, SF_SMALL)))
     o = spark.readStream.schema(spark.read.parquet(f"{SF_SMALL}/orders.parquet").schema).option(
         "basePath", SF_SMALL).parquet(f"{SF_SMALL}/orders.parque[t]")
     from tillpanel.sources.derived import requests_from_orders

@@ -6,9 +6,9 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, toy_panel
+from conftest import SF_SMALL, toy_panel, week_sales
 from tillpanel.operators import runlog as RL
-from tillpanel.operators.features import build_features
+from tillpanel.operators.features import with_inputs
 from tillpanel.operators.segments import fairness_report
 from tillpanel.plans.reports import segment_summary_json, write_report_tables
 from tillpanel.plans.training import run_training
@@ -101,7 +101,7 @@ def test_a_real_model_is_released_with_all_reports(spark, tmp_dir):
 
 
 def test_reports_written(spark, tmp_dir):
-    feats = build_features(toy_panel(spark, stores=(1, 2, 3, 4), weeks=12, sales_step=100.0))
+    feats = with_inputs(toy_panel(spark, stores=(1, 2, 3, 4), weeks=12))
     ev = feats.filter(F.col("sales_lag_1").isNotNull()).withColumn("prediction", F.col("sales_lag_1") * 1.1)
     rep = fairness_report(ev)
     doc = json.loads(segment_summary_json(rep, ev).first()["json"])
@@ -112,7 +112,7 @@ def test_reports_written(spark, tmp_dir):
 
 
 def test_densify_fills_gaps(spark):
-    panel = toy_panel(spark, stores=(1, 2), weeks=6).filter("NOT (store_nbr = 2 AND sales = 3000.0)")
+    panel = toy_panel(spark, stores=(1, 2), weeks=6).filter(~((F.col("store_nbr") == 2) & (F.col("sales") == week_sales(2, 3))))
     d = densify_panel(panel)
     assert d.count() == 12
     hole = d.filter("store_nbr = 2 AND sales IS NULL").collect()

@@ -40,12 +40,12 @@ def advanced_snapshot(panel: DataFrame) -> DataFrame:
     week (lag 1 = last week's sales). Indicators are the last known values.
     One extra row per store; same single window exchange as the features.
     """
-    from tillpanel.operators.features import build_features
+    from tillpanel.operators.features import with_inputs
     last = panel.groupBy("store_nbr").agg(
         F.max_by(F.struct("date", "temperature", "fuel_price", "cpi", "unemployment"), F.col("date")).alias("_l"))
     nxt = last.select("store_nbr", F.date_add("_l.date", 7).alias("date"), F.lit(None).cast("double").alias("sales"),
                       F.lit(None).cast("int").alias("holiday_flag"),
                       *[F.col(f"_l.{c}").alias(c) for c in ("temperature", "fuel_price", "cpi", "unemployment")])
     rows = panel.select(*nxt.columns).unionByName(nxt.withColumn("_next", F.lit(True)), allowMissingColumns=True)
-    feats = build_features(rows)
+    feats = with_inputs(rows)
     return feats.filter(F.col("_next")).select(*SNAPSHOT_COLUMNS, F.col("date").alias("target_date"))

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillpanel.operators.features import ALL_FEATURES, LOG_TARGET
+from tillpanel.operators.features import INPUTS, LOG_SALES
 from tillpanel.plans.model import feature_of
 from tillpanel.plans.physical import cut_lineage, permuted_index, with_row_index
 from tillpanel.plans.tree_attribution import contributions
@@ -19,7 +19,7 @@ SEED = 42
 
 
 def model_features(df: DataFrame) -> list[str]:
-    return [c for c in ALL_FEATURES if c in df.columns]
+    return [c for c in INPUTS if c in df.columns]
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = SEED, keys=("store_nbr", "date")) -> DataFrame:
@@ -30,7 +30,7 @@ def sample_rows(df: DataFrame, n: int, seed: int = SEED, keys=("store_nbr", "dat
 
 
 def _rmse_log(df: DataFrame) -> F.Column:
-    e = F.col("log_prediction") - F.col(LOG_TARGET)
+    e = F.col("log_prediction") - F.col(LOG_SALES)
     return F.sqrt(F.avg(e * e))
 
 
@@ -45,7 +45,7 @@ def permutation_importance(model, df: DataFrame, features: list[str] | None = No
     """
     feats = features or model_features(df)
     types = dict(df.dtypes)
-    base = with_row_index(df.filter(F.col(LOG_TARGET).isNotNull()), ["store_nbr", "date"], "orig_idx")
+    base = with_row_index(df.filter(F.col(LOG_SALES).isNotNull()), ["store_nbr", "date"], "orig_idx")
     n = base.count()
     combo = F.explode(F.array(*[F.struct(F.lit(i).alias("f"), F.lit(r).alias("r")) for i in range(len(feats)) for r in range(n_repeats)]))
     copies = base.select("*", combo.alias("combo")).select("*", "combo.f", "combo.r").drop("combo")

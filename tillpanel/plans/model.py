@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tillpanel.functions.metrics import metric_aggs
-from tillpanel.operators.features import HISTORY_FEATURES, LOG_TARGET, NUMERIC_FEATURES
+from tillpanel.operators.features import LOG_SALES, history_inputs, numeric_inputs
 from tillpanel.plans.physical import cut_lineage
 from tillpanel.plans.tree_attribution import staged_predictions
 
@@ -91,7 +91,7 @@ def with_earlier_level(df: DataFrame) -> DataFrame:
     One window per store, in the order of the lag features; the overall mean of earlier weeks comes from a
     table with one row per week. Sums are exact decimals, so they do not depend on the order of summation.
     """
-    log = F.col(LOG_TARGET).cast(LEVEL_TYPE)
+    log = F.col(LOG_SALES).cast(LEVEL_TYPE)
     weekly = df.groupBy("date").agg(F.sum(log).alias("s"), F.count(log).alias("n"))
     before = Window.orderBy("date").rowsBetween(Window.unboundedPreceding, -1)
     prior = weekly.select(F.col("date").alias("_week"), (F.sum("s").over(before).cast("double") / F.nullif(F.sum("n").over(before), F.lit(0))).alias("_prior"))
@@ -103,7 +103,7 @@ def with_earlier_level(df: DataFrame) -> DataFrame:
 
 def store_levels(df: DataFrame) -> DataFrame:
     """``store_nbr, store_level`` after all weeks of ``df``, and a row of null store with the overall mean."""
-    log = F.col(LOG_TARGET).cast(LEVEL_TYPE)
+    log = F.col(LOG_SALES).cast(LEVEL_TYPE)
     per = df.groupBy("store_nbr").agg(F.sum(log).alias("s"), F.count(log).alias("n"))
     total = per.agg(F.sum("s").cast("double").alias("s"), F.sum("n").alias("n")).first()
     prior = total["s"] / total["n"] if total["n"] else 0.0
@@ -118,7 +118,7 @@ def store_levels(df: DataFrame) -> DataFrame:
 def model_input(df: DataFrame) -> DataFrame:
     """Sentinel-fill history features and add their missing flags."""
     cols = {}
-    for c in HISTORY_FEATURES:
+    for c in history_inputs():
         if c in df.columns:
             cols[f"{c}_is_missing"] = F.col(c).isNull().cast("double")
             cols[f"{c}__filled"] = F.coalesce(F.col(c).cast("double"), F.lit(SENTINEL))
@@ -127,8 +127,8 @@ def model_input(df: DataFrame) -> DataFrame:
 
 def input_columns(df: DataFrame) -> list[str]:
     cols = []
-    for c in NUMERIC_FEATURES:
-        if c in HISTORY_FEATURES:
+    for c in numeric_inputs():
+        if c in history_inputs():
             if c in df.columns:
                 cols += [f"{c}__filled", f"{c}_is_missing"]
         elif c in df.columns:
@@ -144,7 +144,7 @@ def feature_of(model_column: str) -> str:
 def build_pipeline(inputs: list[str], params: dict) -> Pipeline:
     """assembler → GBT over prepared rows."""
     assembler = VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep")
-    gbt = GBTRegressor(featuresCol="features", labelCol=LOG_TARGET, predictionCol="log_prediction",
+    gbt = GBTRegressor(featuresCol="features", labelCol=LOG_SALES, predictionCol="log_prediction",
                        **gbt_params(params))
     return Pipeline(stages=[assembler, gbt])
 
@@ -161,12 +161,12 @@ class ForecastModel:
     def fit(cls, train: DataFrame, params: dict) -> ForecastModel:
         """Fits rows that have a log target, spread by a hash of (store, date) over as many partitions as they
         fill: a fit is one small job per tree level, so partitions of few rows only add to its overhead."""
-        rows = train.filter(F.col(LOG_TARGET).isNotNull())
+        rows = train.filter(F.col(LOG_SALES).isNotNull())
         levels = cut_lineage(store_levels(rows))
         data = model_input(with_earlier_level(rows))
         inputs = [STORE_LEVEL, *input_columns(data)]
         parts = -(-rows.count() // ROWS_PER_PARTITION) or 1
-        data = data.select(*inputs, LOG_TARGET, "store_nbr", "date").repartition(parts, "store_nbr", "date").persist()
+        data = data.select(*inputs, LOG_SALES, "store_nbr", "date").repartition(parts, "store_nbr", "date").persist()
         try:
             return cls(build_pipeline(inputs, params).fit(data), levels)
         finally:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tillpanel.operators import runlog as RL
 from tillpanel.operators import segments as G
 from tillpanel.operators.evaluate import evaluate_all, naive_baseline
-from tillpanel.operators.features import build_features
+from tillpanel.operators.features import with_inputs
 from tillpanel.operators.snapshot import latest_per_store, write_snapshot
 from tillpanel.operators.split import holdout_split, rolling_origin_folds
 from tillpanel.operators.validate import raise_if_failed, validate_panel
@@ -166,7 +166,7 @@ def run_training(spark: SparkSession, panel: DataFrame, out_dir: str, points: li
     raise_if_failed(validate_panel(panel))
     out = out_dir.rstrip("/")
     runs = Runs(model_name, RL.panel_fingerprint(panel) | (lineage or {}))
-    result = search_and_judge(build_features(panel), out, runs, points or candidates(), n_splits, test_weeks, register, parallelism, fitter)
+    result = search_and_judge(with_inputs(panel), out, runs, points or candidates(), n_splits, test_weeks, register, parallelism, fitter)
     if result.promoted:
         release(result, out, runs, test_weeks, fitter)
     RL.append_run(spark, f"{out}/runs", runs.rows)

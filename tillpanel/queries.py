@@ -21,7 +21,7 @@ from tillpanel.operators import runlog as RL
 from tillpanel.operators import scoring as S
 from tillpanel.operators import segments as G
 from tillpanel.operators.evaluate import evaluate_all, naive_baseline
-from tillpanel.operators.features import build_features, select_model_columns
+from tillpanel.operators.features import with_inputs, model_inputs
 from tillpanel.operators.snapshot import advanced_snapshot, latest_per_store, read_snapshot, write_snapshot
 from tillpanel.operators.split import assert_disjoint, assign_folds, holdout_cutoff, rolling_origin_folds
 from tillpanel.operators.validate import lineitem_feed, quarantine, validate_panel
@@ -32,7 +32,7 @@ from tillpanel.plans.training import run_training
 from tillpanel.session import scratch_path
 from tillpanel.sources.derived import (model_versions, prediction_log, requests_from_orders, run_log,
                                       scoring_requests)
-from tillpanel.sources.panel import (densify_panel, file_fingerprint, panel_profile, panel_table, read_table,
+from tillpanel.sources.panel import (densify_panel, file_fingerprint, input_state, panel_profile, panel_table, read_table,
                                      table_fingerprint, weekly_panel)
 from tillpanel.streaming import monitor as M
 from tillpanel.streaming import stream as ST
@@ -60,7 +60,7 @@ def rounded_metrics(df: DataFrame) -> DataFrame:
 
 
 def features(spark, sf_dir) -> DataFrame:
-    return build_features(panel_table(spark, sf_dir))
+    return with_inputs(panel_table(spark, sf_dir))
 
 
 # ---------------------------------------------------------------- 2.1 sources
@@ -122,7 +122,7 @@ def q_quarantine_counts(spark, sf_dir):
 
 @query("model_columns")
 def q_model_columns(spark, sf_dir):
-    return select_model_columns(features(spark, sf_dir)).select(
+    return model_inputs(features(spark, sf_dir)).select(
         "store_nbr", "holiday_flag", "month", "week_of_year", "year", "sales_lag_1", "sales_lag_4",
         "sales_lag_52", "sales_roll_mean_4", "sales_roll_mean_8")
 
@@ -562,17 +562,10 @@ def q_stream_counters_batch(spark, sf_dir):
 _TRAINED: dict = {}
 
 
-def _inputs(spark, sf_dir):
-    """Files that the panel is derived from, with size and time of change: a changed input is trained anew."""
-    names = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in ("lineitem", "supplier")]
-    files = spark.read.format("binaryFile").load(names).select("path", "length", "modificationTime")
-    return tuple(sorted(map(tuple, files.collect())))
-
-
 def trained(spark, sf_dir):
     """(folder, result) of the full training job over ``sf_dir``: the search over all candidates, the holdout
     model and, if the gate passes, the release. One job serves every query on models of a session."""
-    key = (spark.sparkContext.applicationId, _inputs(spark, sf_dir))
+    key = (spark.sparkContext.applicationId, input_state(spark, sf_dir, "lineitem", "supplier"))
     if key not in _TRAINED:
         d = sf_dir.rstrip("/")
         sums = file_fingerprint(spark, f"{d}/lineitem.parquet").unionByName(file_fingerprint(spark, f"{d}/supplier.parquet"))

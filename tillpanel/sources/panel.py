@@ -117,8 +117,8 @@ def weekly_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     each exact sum is converted to double once before dividing.
 
     Plan: the lineitem scan reads five columns; the supplier side is a
-    two-column lookup, broadcast when its row count is provably small, else
-    joined by shuffle, where adaptive execution splits hot suppliers; the
+    two-column lookup, broadcast or shuffled as its bytes decide, where
+    adaptive execution splits hot suppliers; the
     aggregate is partial (map-side) + final on (store, week), so only
     stores × weeks partial rows per task are shuffled, whatever the skew.
     """
@@ -212,25 +212,58 @@ def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def write_store_table(panel: DataFrame, name: str, path: str, buckets: int | None = None) -> DataFrame:
+    """The panel as table ``name`` at ``path``: bucketed by store, partitioned by year, weeks in order.
+
+    A store's weeks lie in one bucket, so windows and aggregates per store
+    need no Exchange, and a filter on ``year`` reads that year's files only
+    (see ``weeks_between``). Rows are spread by the bucket's own hash before
+    writing: buckets x years files, none of them in pieces. A store with a
+    large share of the rows has one row per week here, like any other.
+    """
+    spark = panel.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = panel.withColumn("year", F.year("date")).repartition(n, "store_nbr")
+    (rows.write.mode("overwrite").option("path", path).partitionBy("year")
+     .bucketBy(n, "store_nbr").sortBy("store_nbr", "date").saveAsTable(name))
+    return spark.table(name)
+
+
+def weeks_between(panel: DataFrame, first, last) -> DataFrame:
+    """Weeks from ``first`` to ``last`` (dates, both included); reads only their years of a table partitioned by year."""
+    days = [F.lit(d).cast("date") for d in (first, last)]
+    out = panel.filter(F.col("date").between(*days))
+    return out.filter(F.col("year").between(*[F.year(d) for d in days])) if "year" in panel.columns else out
+
+
+def input_state(spark: SparkSession, sf_dir: str, *tables: str) -> tuple:
+    """Files of the tables with size and time of change (their content is not read)."""
+    names = [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]
+    files = spark.read.format("binaryFile").load(names).select("path", "length", "modificationTime")
+    return tuple(sorted(map(tuple, files.collect())))
+
+
 _MATERIALIZED: dict = {}
 
 
 def panel_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The derived panel, written once per session as a parquet table under
-    the shared checkpoint folder and read back by every later query.
+    """The derived panel, written once per session and state of its input
+    under the shared checkpoint folder, and read back by every later query.
 
     Materializing cuts the lineage to the raw scan (later jobs neither
-    rescan ``lineitem`` nor depend on executors that held it) and gives the
-    panel real file statistics for the planner.
+    rescan ``lineitem`` nor depend on executors that held it), gives the
+    panel real file statistics for the planner, and keeps the weeks of a
+    store together (``write_store_table``).
     """
     from tillpanel.session import scratch_path
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
-    path = _MATERIALIZED.get(key)
-    if path is None:
+    key = (spark.sparkContext.applicationId, input_state(spark, sf_dir, "lineitem", "supplier"))
+    name = _MATERIALIZED.get(key)
+    if name is None or not spark.catalog.tableExists(name):
         path = scratch_path(spark, "panel")
-        weekly_panel(spark, sf_dir).write.mode("overwrite").parquet(path)
-        _MATERIALIZED[key] = path
-    return spark.read.parquet(path)
+        name = f"tillpanel_panel_{path.rsplit('-', 1)[1]}"
+        write_store_table(weekly_panel(spark, sf_dir), name, path)
+        _MATERIALIZED[key] = name
+    return spark.table(name).select(*PANEL_SCHEMA.fieldNames())
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:
