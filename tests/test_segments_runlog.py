@@ -103,3 +103,20 @@ def test_model_age_ignores_moves_after_now(spark):
                                       ("m", 2, "production", "r2", t + dt.timedelta(days=30))], RL.VERSION_SCHEMA)
     r = RL.model_age(versions, t + dt.timedelta(days=10)).first()
     assert r["version"] == 1 and abs(r["age_days"] - 10.0) < 1e-9
+
+
+def test_ranks_of_many_equal_stores_use_many_tasks(spark):
+    from tillpanel.operators.explore import rank_stores
+    from tillpanel.operators.segments import store_size_buckets
+    # two thirds of the stores sell the same, one has no sales at all
+    panel = spark.range(1, 3001).select(
+        F.col("id").cast("int").alias("store_nbr"),
+        F.when(F.col("id") == 777, None).when(F.col("id") % 3 == 0, F.col("id") * 1.5).otherwise(100.0).alias("sales"))
+    rows = {r["store_nbr"]: r for r in rank_stores(panel).collect()}
+    order = sorted(rows, key=lambda s: (rows[s]["avg_sales"] is not None, rows[s]["avg_sales"], s)
+                   if rows[s]["avg_sales"] is not None else (False, 0.0, s))
+    assert [rows[s]["rank"] for s in order] == list(range(1, 3001))
+    sizes = store_size_buckets(panel).groupBy("store_size_bucket").count().collect()
+    assert {r[0]: r[1] for r in sizes} == {"small": 1000, "medium": 1000, "large": 1000}
+    plan = rank_stores(panel)._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan

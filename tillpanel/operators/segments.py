@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillpanel.functions.metrics import metric_aggs
-from tillpanel.operators.explore import store_avg_sales
+from tillpanel.operators.explore import rank_stores
 
 # Segment labels and defaults.
 SIZE_LABELS = ["small", "medium", "large"]
@@ -28,12 +28,10 @@ def store_size_buckets(reference: DataFrame) -> DataFrame:
 
     With r the 1-based rank among n stores: n ≥ 3 → small iff 3(r−1) < n−1,
     medium iff 3(r−1) < 2(n−1), else large; n = 2 → small, large; n = 1 →
-    medium. Windows run on the per-store table (one row per store).
+    medium. Ranks come from ``rank_stores``, n is one number for the driver.
     """
-    avg = store_avg_sales(reference)
-    r = F.row_number().over(Window.orderBy("avg_sales", "store_nbr"))
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    ranked = avg.select("store_nbr", "avg_sales", r.alias("rank"), n.alias("n_stores"))
+    ranks = rank_stores(reference)
+    ranked = ranks.withColumn("n_stores", F.lit(ranks.count()))
     k = 3 * (F.col("rank") - 1)
     m = F.col("n_stores") - 1
     bucket = (F.when(F.col("n_stores") == 1, F.lit("medium"))

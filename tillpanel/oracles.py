@@ -423,18 +423,29 @@ def _():
 SELECT request_id, store_nbr, date FROM req_ok r WHERE NOT EXISTS (SELECT 1 FROM snap s WHERE s.store_nbr = r.store_nbr)"""
 
 
-@oracle("batch_predict_naive")
-def _():
+def predictions_sql(max_items: int | None) -> str:
+    """Responses to all requests; with a limit, those of a batch of more items are invalid."""
     pred = clip0("EXP(LN(1 + sales_lag_1)) - 1")
-    return f"""WITH {FEAT}, {SNAP}, {REQ}, {SCORE}
+    big = f"COUNT(*) > {max_items}" if max_items is not None else "false"
+    return f"""WITH {FEAT}, {SNAP}, {REQ}, {SCORE},
+big AS (SELECT batch_id FROM req GROUP BY batch_id HAVING {big}),
+fit AS (SELECT * FROM scored WHERE batch_id NOT IN (SELECT batch_id FROM big))
 SELECT request_id, store_nbr, date, ROUND({pred}, 4) AS predicted_sales, status,
-       'naive' AS model_name, 'production' AS model_alias FROM scored WHERE status = 'ok'
+       'naive' AS model_name, 'production' AS model_alias FROM fit WHERE status = 'ok'
+UNION ALL
+SELECT request_id, store_nbr, date, NULL, status, 'naive', 'production' FROM fit WHERE status <> 'ok'
 UNION ALL
-SELECT request_id, store_nbr, date, NULL, status, 'naive', 'production' FROM scored WHERE status <> 'ok'
+SELECT request_id, store_nbr, date, NULL, 'invalid', 'naive', 'production' FROM scored
+WHERE batch_id IN (SELECT batch_id FROM big)
 UNION ALL
 SELECT request_id, store_nbr, date, NULL, 'invalid', 'naive', 'production' FROM req_r WHERE reasons <> ''"""
 
 
+ORACLES["batch_predict_naive"] = predictions_sql(500)
+ORACLES["batch_predict_limited"] = predictions_sql(12)
+ORACLES["stream_scoring"] = predictions_sql(None)
+
+
 # ---------------------------------------------------------------- 2.11 segments
 def size_buckets(ref: str) -> str:
     return f"""
@@ -925,7 +936,7 @@ UNION ALL SELECT 'errors', reason, CAST(COUNT(*) AS BIGINT) FROM plog WHERE reas
 for _b, _s in [("prediction_rate", "stream_prediction_rate"), ("error_rate_by_reason", "stream_error_rate_by_reason"),
                ("request_rate_by_status", "stream_request_rate_by_status"), ("http_error_ratio", "stream_http_error_ratio"),
                ("stream_counters_batch", "stream_counters"),
-               ("batch_predict_naive", "stream_scoring"), ("no_traffic_alerts", "stream_no_traffic_alerts")]:
+               ("no_traffic_alerts", "stream_no_traffic_alerts")]:
     ORACLES[_s] = ORACLES[_b]
 
 

@@ -269,7 +269,16 @@ def q_unknown_stores(spark, sf_dir):
 
 @query("batch_predict_naive")
 def q_batch_predict_naive(spark, sf_dir):
-    out = S.batch_predict(scoring_requests(spark, sf_dir), snapshot_of(spark, sf_dir), cents=False)
+    out = S.batch_predict(scoring_requests(spark, sf_dir), snapshot_of(spark, sf_dir), cents=False, batch_col="batch_id")
+    # 4 decimals: the exact persistence value survives the log round trip
+    return out.withColumn("predicted_sales", F.round("predicted_sales", 4))
+
+
+@query("batch_predict_limited")
+def q_batch_predict_limited(spark, sf_dir):
+    """A limit that many of the batches exceed: all requests of such a batch are invalid."""
+    out = S.batch_predict(scoring_requests(spark, sf_dir), snapshot_of(spark, sf_dir), cents=False, batch_col="batch_id",
+                          max_items=12)
     # 4 decimals: the exact persistence value survives the log round trip
     return out.withColumn("predicted_sales", F.round("predicted_sales", 4))
 
@@ -611,7 +620,7 @@ def q_store_levels_final(spark, sf_dir):
 
 @query("gbt_batch_predict")
 def q_gbt_batch_predict(spark, sf_dir):
-    return S.batch_predict(scoring_requests(spark, sf_dir), snapshot_of(spark, sf_dir),
+    return S.batch_predict(scoring_requests(spark, sf_dir), snapshot_of(spark, sf_dir), batch_col="batch_id",
                            model=holdout_model(spark, sf_dir), model_name="tillpanel-gbt")
 
 
