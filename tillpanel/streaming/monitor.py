@@ -88,7 +88,7 @@ def http_error_ratio(log: DataFrame, size: str = "5 minutes", slide: str = "1 mi
     return g.withColumn("ratio", ratio).withColumn("alert", ratio > F.lit(limit))
 
 
-#: sketch size of latency quantiles: exact up to this many values of a window, then a rank error below 0.2 %
+#: sketch size of latency quantiles: exact up to this many values of a window, then a rank error of about 0.2 %
 SKETCH_K = 2048
 
 
