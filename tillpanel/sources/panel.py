@@ -7,12 +7,17 @@ fuel_price DOUBLE, cpi DOUBLE, unemployment DOUBLE``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from concurrent.futures import ThreadPoolExecutor
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.utils import AnalysisException
 
 from tillpanel.functions.calendar import is_major_holiday_week, week_ending_friday
+from tillpanel.functions.digest import UTF8_MARK, Sha256
 from tillpanel.functions.metrics import nan_to_null
 
 # Raw CSV column names → panel column names, and date format.
@@ -203,13 +208,80 @@ def panel_profile(df: DataFrame) -> DataFrame:
     )
 
 
-def file_fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """SHA-256 of the raw bytes of every file under ``path`` (one row per file)."""
-    return (
-        spark.read.format("binaryFile").load(path)
-        .select(F.col("path").alias("file"), F.sha2(F.col("content"), 256).alias("sha256"),
-                F.col("length"))
-    )
+#: files of at most so many bytes are hashed in one piece
+WHOLE_FILE = 64 << 20
+#: files with these endings are unpacked by Spark's line reader, so their bytes are only seen whole
+PACKED = (".gz", ".bz2", ".deflate", ".lz4", ".snappy", ".zst", ".zstd")
+
+
+def _joined_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines of a split as stretches of its bytes, each with the place where the split begins."""
+    for b in batches:
+        if b.num_rows:
+            yield pa.RecordBatch.from_arrays([b.column("at").slice(0, 1), pa.array([b"\n".join(b.column("line").to_pylist())], pa.binary())],
+                                             ["at", "data"])
+
+
+def _sha256_by_splits(spark: SparkSession, path: str, length: int, head: bytes = b"") -> str:
+    """SHA-256 of one file's bytes, of which no task reads more than one split.
+
+    The digest takes the bytes in order, so the splits are read one after another, and each task hands its
+    state on to the next. Spark's line reader cuts a file of any content at line feeds; each split ends with
+    the line in which its last byte lies. ``head``: bytes that the reader leaves out at the beginning.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_block_start").alias("at"), F.col("value").cast("binary").alias("line"))
+    splits = lines.mapInArrow(_joined_lines, "at long, data binary").rdd
+    state, n, last = b"", -1, -1  # n of -1: nothing read yet, so no line feed is due
+
+    def advance(state: bytes, n: int):
+        def run(rows):
+            digest, size, at = Sha256(state), n, []
+            for r in rows:
+                at.append(r["at"])
+                for part in ((b"\n" if size >= 0 else head), bytes(r["data"])):
+                    digest.update(part)
+                    size = max(size, 0) + len(part)
+            yield digest.state(), size, min(at, default=None), max(at, default=None)
+        return run
+
+    for k in range(splits.getNumPartitions()):
+        (state, n, first, newest), = spark.sparkContext.runJob(splits, advance(state, n), [k])
+        if first is not None:
+            if first < last:
+                raise ValueError(f"splits of {path} are not in the order of their bytes")
+            last = newest
+    digest, n = Sha256(state), max(n, 0)
+    if n == length - 1:  # the reader does not tell whether the last line ends with a line feed
+        digest.update(b"\n")
+        n += 1
+    if n != length:
+        if not head:
+            return _sha256_by_splits(spark, path, length, UTF8_MARK)
+        raise ValueError(f"{path}: {n} of {length} bytes read")
+    return digest.hexdigest()
+
+
+def file_fingerprint(spark: SparkSession, path: str, whole: int = WHOLE_FILE, parallelism: int = 8) -> DataFrame:
+    """SHA-256 of the raw bytes of every file under ``path`` (one row per file).
+
+    Files of more than ``whole`` bytes are read split by split when this is called, ``parallelism`` files at a time.
+    """
+    def hashed(files: DataFrame) -> DataFrame:
+        return files.select(F.col("path").alias("file"), F.sha2(F.col("content"), 256).alias("sha256"), F.col("length"))
+
+    files = spark.read.format("binaryFile").load(path)
+    large = [tuple(r) for r in files.filter(F.col("length") > whole).select("path", "length").collect()]
+    if not large:
+        return hashed(files)
+    found = hashed(files.filter(F.col("length") <= whole))  # pushed down, so larger files are not opened
+    packed = [f for f, _ in large if f.lower().endswith(PACKED)]
+    if packed:
+        found = found.unionAll(hashed(spark.read.format("binaryFile").load(packed)))
+    plain = [(f, n) for f, n in large if f not in packed]
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        digests = pool.map(lambda f: _sha256_by_splits(spark, *f), plain)
+        rows = [(f, digest, n) for (f, n), digest in zip(plain, digests, strict=True)]
+    return found.unionAll(spark.createDataFrame(rows, found.schema))
 
 
 def write_store_table(panel: DataFrame, name: str, path: str, buckets: int | None = None) -> DataFrame:
