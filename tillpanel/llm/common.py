@@ -193,7 +193,7 @@ def slices(batches: Iterable[pa.RecordBatch], text: str, limit: int = 4 * SEGMEN
     for b in batches:
         if not b.num_rows:
             continue
-        sizes = np.array([x or 0 for x in pa.compute.binary_length(b.column(text)).to_pylist()], np.int64)
+        sizes = pa.compute.binary_length(b.column(text)).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
         group = np.cumsum(sizes) // limit
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), b.num_rows]
         for lo, hi in zip(cuts, cuts[1:], strict=False):

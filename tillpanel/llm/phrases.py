@@ -31,6 +31,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -177,7 +178,7 @@ def _by_language(b: pa.RecordBatch) -> Iterator[tuple[str, list[bytes], np.ndarr
     """Chunks, overlaps and frequencies of each language of a batch."""
     langs = b.column("lang").dictionary_encode()
     names, index = langs.dictionary.to_pylist(), langs.indices.to_numpy()
-    texts = np.array(b.column("chunk").to_pylist(), object)
+    texts = b.column("chunk").to_numpy(zero_copy_only=False)
     tails, n = b.column("tail").to_numpy(), b.column("n").to_numpy()
     for i, lang in enumerate(names):
         mine = np.flatnonzero(index == i)
@@ -208,15 +209,14 @@ def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             c = found.setdefault(lang, Counter())
             once = []
             for text, tail, times in zip(texts, tails.tolist(), n.tolist(), strict=True):
-                words = text.split(b" ")
-                if tail:
-                    del words[-tail:]
+                own = text.rsplit(b" ", tail)[0] if tail else text
                 if times == 1:
-                    once += words
+                    once.append(own)
                 else:
-                    for w in words:
+                    for w in own.split(b" "):
                         c[w] += times
-            c.update(once)
+            if once:
+                c.update(b" ".join(once).split(b" "))
         if sum(map(len, found.values())) > FLUSH:
             yield from out()
     yield from out()
@@ -308,7 +308,7 @@ def _grams(numbers, sizes: tuple[int, ...], pairs=None) -> Callable:
                     continue
                 get = known.ids(lang).get
                 words, chunk, left, mine = _layout(texts, tails)
-                ids = np.fromiter((get(w, 0) for w in words), np.int64, len(words))
+                ids = np.fromiter(map(get, words, repeat(0)), np.int64, len(words))
                 code, ok = ids, ids > 0
                 for m in range(2, max(sizes) + 1):
                     if len(ids) < m:
@@ -346,22 +346,23 @@ def _other_grams(numbers, frequent) -> Callable:
     """Phrases with a word that has no number, as texts; ``frequent`` says which words may be frequent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, table = Numbers.of(*numbers.value), frequent.value
-        held: Counter = Counter()
+        held: dict[str, dict[bytes, int]] = {}
 
-        def out() -> pa.RecordBatch:
-            rows = pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in held], pa.string()), pa.array([k[1] for k in held], pa.binary()),
-                 pa.array(list(held.values()), pa.int64())], ["lang", "phrase", "n"])
+        def out() -> Iterator[pa.RecordBatch]:
+            for lang, c in held.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(c), pa.string()), pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())],
+                    ["lang", "phrase", "n"])
             held.clear()
-            return rows
 
         for b in slices(batches, "chunk"):
             for name, texts, tails, times in _by_language(b):
                 lang = known.number_of.get(name)
                 ids = known.ids(lang) if lang is not None else {}
                 words, chunk, left, mine = _layout(texts, tails)
-                numbered = np.fromiter((w in ids for w in words), bool, len(words))
+                numbered = np.fromiter(map(ids.__contains__, words), bool, len(words))
                 other = np.flatnonzero(~numbered)
+                c = held.setdefault(name, {})
                 bit = np.fromiter((zlib.crc32(words[i]) % BITS for i in other.tolist()), np.int64, len(other))
                 may = numbered.copy()
                 may[other] = _bit(table, bit)
@@ -371,12 +372,13 @@ def _other_grams(numbers, frequent) -> Callable:
                         break
                     ok = ok[:-1] & may[m - 1:] & (left[:len(words) - m + 1] >= m)
                     new = new[:-1] | ~numbered[m - 1:]
-                    for i in np.flatnonzero(ok & new & mine[:len(ok)]).tolist():
-                        held[name, b" ".join(words[i:i + m])] += int(times[chunk[i]])
-            if len(held) > FLUSH:
-                yield out()
-        if held:
-            yield out()
+                    at = np.flatnonzero(ok & new & mine[:len(ok)])
+                    for i, n in zip(at.tolist(), times[chunk[at]].tolist(), strict=True):
+                        phrase = b" ".join(words[i:i + m])
+                        c[phrase] = c.get(phrase, 0) + n
+            if sum(map(len, held.values())) > FLUSH:
+                yield from out()
+        yield from out()
     return run
 
 
