@@ -1,9 +1,12 @@
 """Operators on documents against brute force, on odd rows: nulls, empty and long texts, repeats, clashing columns."""
 
 import collections
+import tracemalloc
 import zlib
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -76,6 +79,22 @@ def test_quality_keeps_good_and_refuses_junk(spark):
     assert quality.resample(rows.limit(0), labels).count() == 0
 
 
+def test_quality_counts_in_bounded_memory():
+    texts = [" ".join(f"w{(7 * i + k) % 997} ," for k in range(2_000)) for i in range(320)]  # 4 MB, a slice of the former size
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    tracemalloc.start()
+    try:
+        out, = quality._count(SimpleNamespace(value=frozenset(range(0, 320, 2))))(iter([batch]))
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    words = [w for t in texts for w in t.split()]
+    grams = 2 * len(words) - len(texts) + sum(len(w) >= 4 for w in words)  # words, pairs and beginnings of 4 bytes
+    assert sum(out.column("raw").to_pylist()) == 2 * grams
+    assert peak < 200e6, f"{peak / 1e6:.0f} MB"
+
+
+
 def test_kth_largest(spark):
     values = [1.0, 2.0, 2.0, -5.5, 1e-9, 7.25]
     df = spark.createDataFrame([(v,) for v in values], "v double")

@@ -44,11 +44,17 @@ HEADS = (4, 5, 6)
 TABLE = 2 * (2 + len(HEADS)) * SIZE
 
 
-def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Two independent buckets of every word, pair of words and beginning of a word, and its text's number."""
+def features(texts: list[bytes]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """Words, pairs of words and beginnings of words, one kind after another (all at once would be five times the
+    memory): where its two independent ranges of SIZE buckets begin, the buckets in them and the texts' numbers."""
     w = Words(texts, punctuation=True, heads=HEADS)
     mask = np.uint64(SIZE - 1)
+
+    def buckets(kind: int, h: np.ndarray, owner: np.ndarray) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+        return 2 * kind * SIZE, (h & mask).astype(np.int64), ((h >> np.uint64(32)) & mask).astype(np.int64), owner
+
     owner = np.repeat(np.arange(len(texts)), np.diff(w.bounds))
+    yield buckets(0, w.hashes, owner)
     pairs, pair_owner = w.shingles(2)
     # a pair within a run of four equal words is one n-gram, whatever the word
     again = np.zeros(len(owner), bool)
@@ -58,17 +64,17 @@ def features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     longer = np.diff(w.bounds) > 1
     at = np.arange(len(pairs)) + (np.cumsum(longer) - longer)[pair_owner]  # place of a pair's first word
     pairs = np.where(again[at], AGAIN, pairs) if len(at) else pairs
-    first, second = [], []
-    for n, h in enumerate((w.hashes, pairs, *(h for h, _ in w.heads))):
-        first.append((h & mask).astype(np.int64) + 2 * n * SIZE)
-        second.append(((h >> np.uint64(32)) & mask).astype(np.int64) + (2 * n + 1) * SIZE)
-    return np.concatenate(first), np.concatenate(second), np.concatenate((owner, pair_owner, *(o for _, o in w.heads)))
+    del owner, again, at
+    yield buckets(1, pairs, pair_owner)
+    del pairs, pair_owner
+    for n, (h, o) in enumerate(w.heads, 2):
+        yield buckets(n, h, o)
 
 
-def evidence(ratio: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
+def evidence(ratio: np.ndarray, start: int, first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """Log ratio of each n-gram: the weaker of its two buckets', so that one that only
     shares a bucket with a telling n-gram tells nothing."""
-    a, b = ratio[first], ratio[second]
+    a, b = ratio[start:start + SIZE][first], ratio[start + SIZE:start + 2 * SIZE][second]
     return np.where(np.abs(a) < np.abs(b), a, b)
 
 
@@ -77,12 +83,13 @@ def _count(good):
         raw = np.zeros(TABLE, np.int64)
         target = np.zeros(TABLE, np.int64)
         chosen = good.value
-        for b in slices(batches, "text"):
-            first, second, owner = features(utf8(b.column("text")))
-            is_good = np.array([i in chosen for i in b.column("doc_id").to_pylist()], bool)[owner]
-            for buckets in (first, second):
-                raw += np.bincount(buckets, minlength=TABLE)
-                target += np.bincount(buckets[is_good], minlength=TABLE)
+        for b in slices(batches, "text", 2 * SEGMENT):
+            is_good = np.array([i in chosen for i in b.column("doc_id").to_pylist()], bool)
+            for start, *both, owner in features(utf8(b.column("text"))):
+                of_good = is_good[owner]
+                for at, buckets in zip((start, start + SIZE), both, strict=True):
+                    raw[at:at + SIZE] += np.bincount(buckets, minlength=SIZE)
+                    target[at:at + SIZE] += np.bincount(buckets[of_good], minlength=SIZE)
         at = np.flatnonzero(raw)
         if len(at):
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"])
@@ -112,8 +119,10 @@ def _weight(table):
         ratio, out = table.value, []
         batch = pa.RecordBatch.from_arrays([text], ["text"])
         for b in slices([batch], "text", 2 * SEGMENT):
-            first, second, owner = features(utf8(b.column("text")))
-            out.append(np.bincount(owner, evidence(ratio, first, second), b.num_rows))
+            sums = np.zeros(b.num_rows)
+            for start, first, second, owner in features(utf8(b.column("text"))):
+                np.add.at(sums, owner, evidence(ratio, start, first, second))
+            out.append(sums)
         return pa.array(np.concatenate(out) if out else np.zeros(0), pa.float64())
     return weight
 
