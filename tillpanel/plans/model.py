@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tillpanel.functions.metrics import metric_aggs
 from tillpanel.operators.features import LOG_SALES, history_inputs, numeric_inputs
+from tillpanel.plans.boosting import fit_in_one_task
 from tillpanel.plans.physical import cut_lineage
 from tillpanel.plans.tree_attribution import staged_predictions
 
@@ -159,16 +160,24 @@ class ForecastModel:
 
     @classmethod
     def fit(cls, train: DataFrame, params: dict) -> ForecastModel:
-        """Fits rows that have a log target, spread by a hash of (store, date) over as many partitions as they
-        fill: a fit is one small job per tree level, so partitions of few rows only add to its overhead."""
+        """Fits rows that have a log target, spread by a hash of (store, date) over as many partitions as they fill.
+
+        Rows of one partition are fitted in one task. More are fitted by Spark, with small jobs for every tree
+        level, so partitions of few rows would only add to its overhead."""
         rows = train.filter(F.col(LOG_SALES).isNotNull())
         levels = cut_lineage(store_levels(rows))
         data = model_input(with_earlier_level(rows))
         inputs = [STORE_LEVEL, *input_columns(data)]
-        parts = -(-rows.count() // ROWS_PER_PARTITION) or 1
-        data = data.select(*inputs, LOG_SALES, "store_nbr", "date").repartition(parts, "store_nbr", "date").persist()
+        n = rows.count()
+        parts = -(-n // ROWS_PER_PARTITION) or 1
+        data = data.select(*inputs, LOG_SALES, "store_nbr", "date").repartition(parts, "store_nbr", "date")
+        pipeline = build_pipeline(inputs, params)
+        if parts == 1 and n:
+            assembler, gbt = pipeline.getStages()
+            return cls(PipelineModel([assembler, fit_in_one_task(gbt, data, inputs)]), levels)
+        data.persist()
         try:
-            return cls(build_pipeline(inputs, params).fit(data), levels)
+            return cls(pipeline.fit(data), levels)
         finally:
             data.unpersist()
 
