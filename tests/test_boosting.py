@@ -7,7 +7,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor
+from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressor
 from pyspark.sql import functions as F
 
 from conftest import toy_panel
@@ -54,6 +54,7 @@ def test_one_task_grows_the_trees_that_spark_grows(spark, tmp_dir, n, seed, labe
     assert own.treeWeights == spark_s.treeWeights and own.numFeatures == spark_s.numFeatures
     assert own.featureImportances == spark_s.featureImportances
     assert {p.name: v for p, v in own.extractParamMap().items()} == {p.name: v for p, v in spark_s.extractParamMap().items()}
+    assert [t.numNodes for t in own.trees] == [t.numNodes for t in spark_s.trees]
     assert own.transform(rows).select("p").collect() == spark_s.transform(rows).select("p").collect()
 
 
@@ -95,3 +96,12 @@ def test_rows_of_several_partitions_are_fitted_whole(spark, monkeypatch):
     gap = (one.transform(feats).select("store_nbr", "date", F.col("log_prediction").alias("a"))
            .join(several.transform(feats).select("store_nbr", "date", F.col("log_prediction").alias("b")), ["store_nbr", "date"]))
     assert gap.count() == 120 and gap.agg(F.max(F.abs(F.col("a") - F.col("b")))).first()[0] < 1e-6
+
+
+def test_a_model_of_many_trees_gets_its_python_trees_when_asked(spark, monkeypatch):
+    made_trees = []
+    plain = DecisionTreeRegressionModel.__init__
+    monkeypatch.setattr(DecisionTreeRegressionModel, "__init__", lambda self, *a: (made_trees.append(1), plain(self, *a))[1])
+    model = fit_in_one_task(GBTRegressor(labelCol="y", maxIter=7, maxDepth=2), made(spark, 80, 8), NAMES)
+    assert model.getNumTrees == 7 and model.getMaxIter() == 7 and not made_trees
+    assert len(model.trees) == 7 and len(made_trees) == 7
