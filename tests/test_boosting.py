@@ -11,7 +11,9 @@ from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressor
 from pyspark.sql import functions as F
 
 from conftest import toy_panel
+from tillpanel.functions.metrics import metric_aggs
 from tillpanel.operators.features import with_inputs
+from tillpanel.operators.split import rolling_origin_folds
 from tillpanel.plans import model as M
 from tillpanel.plans.boosting import fit_in_one_task, thresholds_of
 
@@ -105,3 +107,19 @@ def test_a_model_of_many_trees_gets_its_python_trees_when_asked(spark, monkeypat
     model = fit_in_one_task(GBTRegressor(labelCol="y", maxIter=7, maxDepth=2), made(spark, 80, 8), NAMES)
     assert model.getNumTrees == 7 and model.getMaxIter() == 7 and not made_trees
     assert len(model.trees) == 7 and len(made_trees) == 7
+
+
+def test_candidates_share_the_rows_of_a_fold(spark, monkeypatch):
+    feats = with_inputs(toy_panel(spark, stores=(1, 2, 3), weeks=30))
+    seen, plain = [], M.store_levels
+    monkeypatch.setattr(M, "store_levels", lambda df: (seen.append(1), plain(df))[1])
+    point = {"num_leaves": 7, "n_estimators": 2, "learning_rate": 0.3, "min_child_samples": 2}
+    points = [point, point | {"learning_rate": 0.1}, point | {"min_child_samples": 4}]
+    folds = rolling_origin_folds(feats, 2)
+    found = {(r["candidate"], r["fold"]): r for r in M.cv_score(feats, folds, points).collect()}
+    assert len(found) == 6 and len(seen) == 2
+    for (i, fold), r in found.items():  # as each candidate fitted by itself
+        ends = {x["role"]: x for x in folds.filter(F.col("fold") == fold).groupBy("role").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).collect()}
+        train, valid = (feats.filter(F.col("date").between(ends[x]["lo"], ends[x]["hi"])) for x in ("train", "valid"))
+        own = M.score_in_sales_space(M.ForecastModel.fit(train, points[i]), valid).agg(*metric_aggs("sales", "prediction")).first()
+        assert abs(own["rmsle"] - r["rmsle"]) < 1e-9 and own["n"] == r["n"]

@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import random
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass, replace
 from math import prod
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -150,20 +151,20 @@ def build_pipeline(inputs: list[str], params: dict) -> Pipeline:
     return Pipeline(stages=[assembler, gbt])
 
 
-class ForecastModel:
-    """A fitted pipeline and the store levels it was fitted with; adds ``log_prediction`` to feature rows."""
+@dataclass
+class TrainingRows:
+    """Rows that have a log target, with the inputs of a fit and the store levels: made once for all fits on them."""
 
-    def __init__(self, pipeline_model: PipelineModel, levels: DataFrame):
-        self.pipeline_model = pipeline_model
-        self.levels = levels
-        self.unknown = levels.filter("store_nbr IS NULL").first()[STORE_LEVEL]
+    levels: DataFrame
+    unknown: float
+    inputs: list[str]
+    data: DataFrame
+    n: int
+    kept: bool = False
 
     @classmethod
-    def fit(cls, train: DataFrame, params: dict) -> ForecastModel:
-        """Fits rows that have a log target, spread by a hash of (store, date) over as many partitions as they fill.
-
-        Rows of one partition are fitted in one task. More are fitted by Spark, with small jobs for every tree
-        level, so partitions of few rows would only add to its overhead."""
+    def of(cls, train: DataFrame) -> TrainingRows:
+        """The rows spread by a hash of (store, date) over as many partitions as they fill."""
         rows = train.filter(F.col(LOG_SALES).isNotNull())
         levels = cut_lineage(store_levels(rows))
         data = model_input(with_earlier_level(rows))
@@ -171,15 +172,40 @@ class ForecastModel:
         n = rows.count()
         parts = -(-n // ROWS_PER_PARTITION) or 1
         data = data.select(*inputs, LOG_SALES, "store_nbr", "date").repartition(parts, "store_nbr", "date")
-        pipeline = build_pipeline(inputs, params)
-        if parts == 1 and n:
+        return cls(levels, level_of_unknown(levels), inputs, data, n)
+
+    def written(self) -> TrainingRows:
+        """The same rows, read from the checkpoint folder by every fit."""
+        return replace(self, data=cut_lineage(self.data), kept=True)
+
+
+def level_of_unknown(levels: DataFrame) -> float:
+    return levels.filter("store_nbr IS NULL").first()[STORE_LEVEL]
+
+
+class ForecastModel:
+    """A fitted pipeline and the store levels it was fitted with; adds ``log_prediction`` to feature rows."""
+
+    def __init__(self, pipeline_model: PipelineModel, levels: DataFrame, unknown: float | None = None):
+        self.pipeline_model = pipeline_model
+        self.levels = levels
+        self.unknown = level_of_unknown(levels) if unknown is None else unknown
+
+    @classmethod
+    def fit(cls, train: DataFrame | TrainingRows, params: dict) -> ForecastModel:
+        """Fits ``train``. Rows of one partition are fitted in one task. More are fitted by Spark, with small jobs
+        for every tree level, so partitions of few rows would only add to its overhead."""
+        rows = train if isinstance(train, TrainingRows) else TrainingRows.of(train)
+        pipeline = build_pipeline(rows.inputs, params)
+        if 0 < rows.n <= ROWS_PER_PARTITION:
             assembler, gbt = pipeline.getStages()
-            return cls(PipelineModel([assembler, fit_in_one_task(gbt, data, inputs)]), levels)
-        data.persist()
+            return cls(PipelineModel([assembler, fit_in_one_task(gbt, rows.data, rows.inputs)]), rows.levels, rows.unknown)
+        data = rows.data if rows.kept else rows.data.persist()
         try:
-            return cls(pipeline.fit(data), levels)
+            return cls(pipeline.fit(data), rows.levels, rows.unknown)
         finally:
-            data.unpersist()
+            if not rows.kept:
+                data.unpersist()
 
     @property
     def boosted(self):
@@ -253,19 +279,23 @@ def staged_scores(model: ForecastModel, valid: DataFrame, lengths: list[int]) ->
 def cv_score(df: DataFrame, folds: DataFrame, points: list[dict], parallelism: int = 8, fitter=ForecastModel.fit) -> DataFrame:
     """Fit every candidate on every fold's training weeks, score its validation weeks.
 
-    A fold's weeks are ranges of dates, so a fit reads its rows by a date filter. Fits are submitted from a
-    driver thread pool, so several Spark ML jobs share the cluster. Returns
-    ``candidate, fold, n, rmsle, mae, rmse`` (sales space).
+    A fold's weeks are ranges of dates, so its rows are read by a date filter, and what a fit needs of them is made
+    once for all candidates. Fits are submitted from a driver thread pool, so several Spark jobs share the cluster.
+    Returns ``candidate, fold, n, rmsle, mae, rmse`` (sales space).
     """
     spark = df.sparkSession
     ranges: dict[int, dict] = {}
     for r in folds.groupBy("fold", "role").agg(F.min("date").alias("lo"), F.max("date").alias("hi")).collect():
         ranges.setdefault(r["fold"], {})[r["role"]] = F.col("date").between(r["lo"], r["hi"])
 
+    def prepared(fold):
+        train = df.filter(ranges[fold]["train"])
+        return TrainingRows.of(train).written() if fitter == ForecastModel.fit else train
+
     def run(task):
         (longest, members), fold = task
-        train, valid = (df.filter(ranges[fold][role]) for role in ("train", "valid"))
-        model = fitter(train, longest)
+        valid = df.filter(ranges[fold]["valid"])
+        model = fitter(trains[fold], longest)
         if len(members) == 1:
             found = {points[members[0]].get(TREES): score_in_sales_space(model, valid).agg(*metric_aggs("sales", "prediction")).first().asDict()}
         else:
@@ -275,6 +305,7 @@ def cv_score(df: DataFrame, folds: DataFrame, points: list[dict], parallelism: i
     # long runs first, so that the pool does not end on one
     tasks = sorted(((r, f) for r in shared_runs(points) for f in sorted(ranges)), key=lambda t: -t[0][0].get(TREES, 0))
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        trains = dict(zip(ranges, pool.map(prepared, ranges), strict=True))
         results = [row for rows in pool.map(run, tasks) for row in rows]
     return spark.createDataFrame(results, "candidate int, fold int, n long, rmsle double, mae double, rmse double")
 
