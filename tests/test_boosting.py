@@ -3,11 +3,13 @@
 import datetime as dt
 import math
 import random
+import threading
 
 import numpy as np
 import pytest
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressionModel, GBTRegressor
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from conftest import toy_panel
@@ -16,6 +18,7 @@ from tillpanel.operators.features import with_inputs
 from tillpanel.operators.split import rolling_origin_folds
 from tillpanel.plans import model as M
 from tillpanel.plans.boosting import fit_in_one_task, thresholds_of
+from tillpanel.plans.reports import write_report_tables
 
 NAMES = list("abcdef")
 
@@ -123,3 +126,16 @@ def test_candidates_share_the_rows_of_a_fold(spark, monkeypatch):
         train, valid = (feats.filter(F.col("date").between(ends[x]["lo"], ends[x]["hi"])) for x in ("train", "valid"))
         own = M.score_in_sales_space(M.ForecastModel.fit(train, points[i]), valid).agg(*metric_aggs("sales", "prediction")).first()
         assert abs(own["rmsle"] - r["rmsle"]) < 1e-9 and own["n"] == r["n"]
+
+
+def test_report_files_are_written_side_by_side(spark, tmp_dir, monkeypatch):
+    together = threading.Barrier(3, timeout=60)  # passed only by three writes that have all begun
+    for kind in ("csv", "text"):
+        plain = getattr(DataFrameWriter, kind)
+        monkeypatch.setattr(DataFrameWriter, kind, lambda self, path, *a, plain=plain, **k: (together.wait(), plain(self, path, *a, **k))[1])
+    report = spark.createDataFrame([("store_nbr", 0.5), ("size", 0.25)], "segment_dimension string, rmsle double")
+    gain = spark.createDataFrame([("a", 0.25), ("b", 0.75)], "feature string, gain double")
+    paths = write_report_tables(tmp_dir, report, spark.createDataFrame([("{}",)], "json string"), gain=gain)
+    assert list(paths) == ["fairness_metrics", "fairness_summary", "native_gain_importance"]
+    assert [r["feature"] for r in spark.read.option("header", True).csv(paths["native_gain_importance"]).collect()] == ["b", "a"]
+    assert spark.read.text(paths["fairness_summary"]).collect()[0][0] == "{}"

@@ -4,6 +4,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,28 +34,26 @@ def segment_summary_json(report: DataFrame, evaluated: DataFrame, threshold: flo
 def write_report_tables(out_dir: str, report: DataFrame, summary_json: DataFrame,
                         gain: DataFrame | None = None, top_attr: DataFrame | None = None,
                         permutation: DataFrame | None = None, local_json: DataFrame | None = None) -> dict:
-    """Write each artifact as a single small file; returns name → path."""
+    """Write each artifact as a single small file, side by side; returns name → path."""
     out = out_dir.rstrip("/")
-    paths = {}
-
-    def csv(df, name):
-        p = f"{out}/{name}"
-        df.coalesce(1).write.mode("overwrite").option("header", True).csv(p)
-        paths[name] = p
-
-    def text(df, name):
-        p = f"{out}/{name}"
-        df.coalesce(1).write.mode("overwrite").text(p)
-        paths[name] = p
-
-    csv(report.orderBy("segment_dimension", F.desc("rmsle")), "fairness_metrics")
-    text(summary_json, "fairness_summary")
-    if gain is not None:
-        csv(gain.orderBy(F.desc("gain")), "native_gain_importance")
-    if top_attr is not None:
-        csv(top_attr, "attribution_top_features")
-    if permutation is not None:
-        csv(permutation.orderBy(F.desc("importance_mean")), "permutation_importance_holdout")
-    if local_json is not None:
-        text(local_json, "local_example")
-    return paths
+
+    def csv(df, path):
+        df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+
+    def text(df, path):
+        df.coalesce(1).write.mode("overwrite").text(path)
+
+    def falling(df, column):
+        return None if df is None else df.orderBy(F.desc(column))
+
+    artifacts = [("fairness_metrics", csv, report.orderBy("segment_dimension", F.desc("rmsle"))),
+                 ("fairness_summary", text, summary_json),
+                 ("native_gain_importance", csv, falling(gain, "gain")),
+                 ("attribution_top_features", csv, top_attr),
+                 ("permutation_importance_holdout", csv, falling(permutation, "importance_mean")),
+                 ("local_example", text, local_json)]
+    wanted = [(name, write, df) for name, write, df in artifacts if df is not None]
+    with ThreadPoolExecutor(max_workers=len(wanted)) as pool:
+        for done in [pool.submit(write, df, f"{out}/{name}") for name, write, df in wanted]:
+            done.result()
+    return {name: f"{out}/{name}" for name, _, _ in wanted}
